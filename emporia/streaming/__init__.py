@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The workload is a batch refresh of bronze, silver and gold tables with full
+overwrites; it has no streams, watermarks, event-time windows or state. No
+streaming operator is built for it (see README, "Not built").
+"""
