@@ -75,10 +75,15 @@ def read_source(
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write a frame as headed CSV (quoted fields may contain line breaks)."""
+    """Write a frame as headed CSV (quoted fields may contain line breaks).
+
+    Outer spaces are kept (Spark's writer trims them by default).
+    """
     (
         df.write.mode(mode)
         .option("header", True)
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
         .option("escape", '"')
         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
         .csv(path)
