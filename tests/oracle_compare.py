@@ -74,7 +74,7 @@ def compare(spark, sf_dir: str, names: list[str] | None = None) -> dict[str, dic
             rec["oracle"] = "none"
             report[name] = rec
             continue
-        want = con.execute(sql[name]).to_arrow_table()
+        want = con.sql(sql[name]).to_arrow_table()
         rec["oracle_rows"] = want.num_rows
         rec["names_match"] = sorted(got.column_names) == sorted(want.column_names)
         gt = {f.name: _norm_type(f.type) for f in got.schema}
