@@ -31,6 +31,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 # Stand-in mappings.
 ORDER_STATUS = {"F": "delivered", "O": "shipped", "P": "processing"}
@@ -38,8 +39,24 @@ UNTRANSLATED_CATEGORY = "PROMO"
 MISSING_SCORE = "n/a"
 
 
+# Fixed-size dimensions: nation has 25 rows and region 5 at every scale factor,
+# so broadcasting them is bounded regardless of data volume.
+FIXED_SIZE_TABLES = frozenset({"nation", "region"})
+
+# The test tables are read-only; their schemas are read once per process so that
+# later reads skip the footer-inference job.
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+    else:
+        df = spark.read.schema(schema).parquet(path)
+    return F.broadcast(df) if name in FIXED_SIZE_TABLES else df
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
