@@ -1,0 +1,104 @@
+"""Hot keys: one order / customer / dedupe key holding a third of the rows.
+
+Results must stay whole and equal to the brute-force definitions, and the plans
+must reduce hot groups map-side (partial aggregation, map-side window limit)
+instead of shipping them whole to one task.
+"""
+
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F
+
+from emporia.operators import dedupe
+from emporia.plans import gold
+from emporia.sources import GOLD_COLUMNS
+from tests.conftest import rows
+from tests.test_gold import (
+    approx,
+    brute_customer_ltv,
+    brute_daily_sales,
+    brute_product_performance,
+    brute_review_insights,
+)
+
+N = 3000
+
+
+@pytest.fixture(scope="module")
+def hot(spark):
+    ids = spark.range(N)
+    # A third of all items belong to order 0; everything else spreads over 500 orders.
+    items = ids.select(
+        F.when(F.col("id") < N // 3, F.lit(0)).otherwise(F.col("id") % 500 + 1).alias("order_id"),
+        F.col("id").cast("int").alias("order_item_id"),
+        (F.col("id") % 37).alias("product_id"),
+        (F.col("id") % 11).alias("seller_id"),
+        (F.col("id") % 100 + F.lit(0.25)).alias("price"),
+        F.lit(1.5).alias("freight_value"),
+    )
+    # A third of all orders belong to customer 0.
+    orders = spark.range(501).select(
+        F.col("id").alias("order_id"),
+        F.when(F.col("id") < 167, F.lit(0)).otherwise(F.col("id") % 40).alias("customer_id"),
+        (F.timestamp_seconds(F.col("id") * 86400 % (30 * 86400))).cast("timestamp_ntz").alias("order_created_ts"),
+    )
+    customers = spark.range(40).select(
+        F.col("id").alias("customer_id"), (F.col("id") % 5).cast("string").alias("state")
+    )
+    products = spark.range(37).select(
+        F.col("id").alias("product_id"), (F.col("id") % 4).cast("string").alias("category")
+    )
+    # A third of the reviews are on order 0.
+    reviews = spark.range(300).select(
+        F.col("id").alias("review_id"),
+        F.when(F.col("id") < 100, F.lit(0)).otherwise(F.col("id") % 500).alias("order_id"),
+        F.when(F.col("id") % 7 == 0, F.lit(None)).otherwise(F.col("id") % 5 + 1).cast("int").alias("review_score"),
+        F.concat(F.lit("text "), F.col("id").cast("string")).alias("review_text"),
+    )
+    return {"items": items, "orders": orders, "customers": customers, "products": products, "reviews": reviews}
+
+
+def test_hot_keys_daily_sales_and_ltv(hot):
+    args = (hot["orders"], hot["items"], hot["customers"])
+    assert approx(rows(gold.daily_sales(*args))) == approx(
+        rows(brute_daily_sales(*args).select(*GOLD_COLUMNS["daily_sales"])))
+    assert approx(rows(gold.customer_ltv(*args))) == approx(
+        rows(brute_customer_ltv(*args).select(*GOLD_COLUMNS["customer_ltv"])))
+
+
+def test_hot_order_product_performance_without_pairs(hot):
+    args = (hot["items"], hot["products"], hot["reviews"])
+    fast = gold.product_performance(*args)
+    assert approx(rows(fast)) == approx(
+        rows(brute_product_performance(*args).select(*GOLD_COLUMNS["product_performance"])))
+    # Reviews reach the join already summarised per order: at most one row per order.
+    summary_rows = gold.review_summary_by_order(hot["reviews"]).count()
+    assert summary_rows == hot["reviews"].select("order_id").distinct().count()
+
+
+def test_hot_order_review_insights_is_whole(hot):
+    args = (hot["reviews"], hot["orders"], hot["items"], hot["products"])
+    fast = gold.review_insights(*args)
+    # order 0: 100 reviews x 1000 items, kept in full
+    assert fast.count() == brute_review_insights(*args).count()
+    assert fast.where("review_id < 100").count() == 100 * (N // 3)
+
+
+def test_hot_dedupe_key_is_cut_map_side(spark):
+    df = spark.range(N).select(
+        F.when(F.col("id") < N // 3, F.lit(0)).otherwise(F.col("id")).alias("k"),
+        (F.lit(N) - F.col("id")).alias("v"),
+    )
+    out = dedupe(df, ["k"])
+    got = dict(rows(out))
+    assert len(got) == N - N // 3 + 1
+    assert got[0] == N - (N // 3 - 1)  # smallest v among the hot key's rows
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # a WindowGroupLimit runs below the exchange (map side) as well as above it
+    assert plan.count("WindowGroupLimit") == 2, plan
+
+
+def test_item_totals_are_partially_aggregated(hot):
+    plan = gold.item_totals_by_order(hot["items"])._jdf.queryExecution().executedPlan().toString()
+    assert "partial_sum" in plan and "partial_count" in plan
