@@ -18,11 +18,13 @@ reviews on order_id without shuffling them.
 from __future__ import annotations
 
 import argparse
+import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from emporia.operators.profile import log_profile
 from emporia.plans import gold, silver
 from emporia.plans.bronze import BRONZE_DATASETS
 from emporia.sources.landing import read_source
@@ -93,9 +95,18 @@ def plan(job: Job, spark: SparkSession, warehouse: Warehouse) -> DataFrame:
     return job.build(*frames)
 
 
-def run_job(spark: SparkSession, name: str, warehouse: Warehouse, buckets: int | None = None) -> str:
+def run_job(
+    spark: SparkSession,
+    name: str,
+    warehouse: Warehouse,
+    buckets: int | None = None,
+    profile: bool = False,
+) -> str:
+    """Write one job's table. ``profile`` logs its columns, counts and a preview first
+    (extra passes over the data; failures only warn)."""
     job = JOBS[name]
     df = plan(job, spark, warehouse)
+    log_profile(df, logging.getLogger(f"emporia.{name}"), enabled=profile)
     bucket_by = None
     if buckets and warehouse.root is None and job.layer == "silver" and job.dataset in ORDER_KEYED:
         bucket_by = (buckets, ORDER_KEYED[job.dataset])
@@ -113,9 +124,10 @@ def run_all(
     warehouse: Warehouse,
     layers: Sequence[str] = LAYER_ORDER,
     buckets: int | None = None,
+    profile: bool = False,
 ) -> list[str]:
     names = ordered([n for n, j in JOBS.items() if j.layer in layers])
-    return [run_job(spark, n, warehouse, buckets) for n in names]
+    return [run_job(spark, n, warehouse, buckets, profile) for n in names]
 
 
 def main(argv: Sequence[str] | None = None) -> None:
@@ -125,7 +137,10 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--warehouse-root", default=None, help="write parquet under this path")
     parser.add_argument("--catalog", default=None, help="catalog prefix for table names")
     parser.add_argument("--buckets", type=int, default=None, help="bucket order-keyed silver tables")
+    parser.add_argument("--profile", action="store_true", help="log a profile of each table before writing")
     args = parser.parse_args(argv)
+    if args.profile:
+        logging.basicConfig(level=logging.DEBUG, format="%(asctime)s %(name)s %(levelname)s %(message)s")
 
     from emporia.session import build_session
 
@@ -142,7 +157,7 @@ def main(argv: Sequence[str] | None = None) -> None:
         else:
             parser.error(f"unknown job {arg!r}; known: {', '.join(JOBS)}")
     for name in ordered(list(dict.fromkeys(names))):
-        print(name, "->", run_job(spark, name, warehouse, args.buckets), flush=True)
+        print(name, "->", run_job(spark, name, warehouse, args.buckets, args.profile), flush=True)
 
 
 if __name__ == "__main__":

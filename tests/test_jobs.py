@@ -63,3 +63,14 @@ def test_bucketed_silver_lets_gold_skip_the_order_shuffle(spark, workdir):
     from emporia.plans import gold
 
     assert rows(out) == rows(gold.daily_sales(fx.orders(), fx.order_items(), fx.customers()))
+
+
+def test_profile_logging_runs_before_write(spark, workdir, caplog):
+    import logging
+
+    landing = write_landing(os.path.join(workdir, "landing"))
+    wh = Warehouse(Registry(landing_root=landing), root=os.path.join(workdir, "wh"))
+    with caplog.at_level(logging.DEBUG, logger="emporia.bronze-sellers"):
+        jobs.run_job(spark, "bronze-sellers", wh, profile=True)
+    text = caplog.text
+    assert "row count: 3" in text and "columns (4)" in text
