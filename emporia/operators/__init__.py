@@ -2,18 +2,27 @@
 
 from emporia.operators.centroid import centroid
 from emporia.operators.dedupe import dedupe
-from emporia.operators.money import MONEY, MONEY_SCALE, exact_total, mean_of, money, money_sum
+from emporia.operators.money import (
+    MONEY_SCALE,
+    UNITS_PER_MONEY,
+    exact_total,
+    mean_of,
+    money_sum,
+    money_units,
+    units_to_money,
+)
 from emporia.operators.profile import log_profile, preview, profile
 
 __all__ = [
     "centroid",
     "dedupe",
-    "MONEY",
     "MONEY_SCALE",
+    "UNITS_PER_MONEY",
     "exact_total",
     "mean_of",
-    "money",
     "money_sum",
+    "money_units",
+    "units_to_money",
     "log_profile",
     "preview",
     "profile",

@@ -14,8 +14,8 @@ Plans are shaped for scale without changing a result:
 * Items are summed per order *before* the order-level joins (partial
   aggregation map-side, output already hash-partitioned by order_id for the
   next join), so the customer join and the final aggregate see one row per
-  order instead of one per item. Money sums are exact decimals
-  (``operators.money``), so regrouping them cannot change a bit.
+  order instead of one per item. Money sums are exact integer sums of
+  1/10^4 units (``operators.money``), so regrouping them cannot change a bit.
 * Reviews are summarised per order before the product-performance join: the
   review fan-out is reproduced arithmetically (counts and sums multiplied by the
   number of reviews) instead of materialising item x review pairs, so a hot
@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emporia.functions import calendar_day, line_total
-from emporia.operators import exact_total, mean_of, money, money_sum
+from emporia.operators import exact_total, mean_of, money_sum, money_units, units_to_money
 
 
 def _c(name: str):
@@ -39,7 +39,7 @@ def _c(name: str):
 
 
 def item_totals_by_order(order_items: DataFrame) -> DataFrame:
-    """Per order_id: exact sum of ``price + freight`` and the count of non-NULL amounts."""
+    """Per order_id: exact sum of ``price + freight`` (money units) and the count of non-NULL amounts."""
     amount = line_total("price", "freight_value")
     return order_items.groupBy("order_id").agg(
         money_sum(amount).alias("amount_sum"),
@@ -73,7 +73,7 @@ def daily_sales(orders: DataFrame, order_items: DataFrame, customers: DataFrame)
     ).agg(
         F.count_distinct(_c("o.order_id")).alias("total_orders"),
         exact_total(_c("t.amount_sum")).alias("total_revenue"),
-        mean_of(F.sum(_c("t.amount_sum")), F.sum(_c("t.amount_n"))).alias("avg_order_value"),
+        mean_of(units_to_money(F.sum(_c("t.amount_sum"))), F.sum(_c("t.amount_n"))).alias("avg_order_value"),
     )
 
 
@@ -120,7 +120,7 @@ def product_performance(order_items: DataFrame, products: DataFrame, reviews: Da
         F.sum(F.when(_c("i.order_id").isNotNull(), copies).otherwise(F.lit(0).cast("bigint"))).alias(
             "total_units_sold"
         ),
-        F.sum(money(amount) * copies.cast("decimal(10,0)")).cast("double").alias("total_revenue"),
+        units_to_money(F.sum(money_units(amount) * copies)).alias("total_revenue"),
         mean_of(F.sum(_c("r.score_sum")), F.sum(_c("r.score_n"))).alias("average_review_score"),
     )
 

@@ -74,6 +74,7 @@ def test_money_sum_is_exact_and_order_independent(spark):
         partial = shuffled.groupBy(F.spark_partition_id().alias("p")).agg(money_sum(F.col("x")).alias("s"))
         totals.add(partial.agg(exact_total(F.col("s"))).first()[0])
     assert totals == {float(Decimal("1000000.6701"))}
+    assert df.agg(money_sum(F.col("x")).alias("u")).first().u == 10000006701
 
 
 def test_mean_of_matches_avg_and_nulls_on_zero(spark):
