@@ -61,6 +61,20 @@ def build_session(
     return spark
 
 
+def _context_checkpoint_dir(spark: SparkSession) -> str | None:
+    try:
+        return spark.sparkContext.getCheckpointDir()
+    except Exception:  # no JVM context reachable (e.g. a remote session)
+        return None
+
+
+def _master(spark: SparkSession) -> str:
+    try:
+        return spark.sparkContext.master
+    except Exception:
+        return spark.conf.get("spark.master", "")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder for intermediate tables.
 
@@ -68,12 +82,10 @@ def scratch_root(spark: SparkSession) -> str:
     the context). Only a local-mode session without one gets a fresh local
     folder, which is then also registered as its checkpoint directory.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        configured = spark.sparkContext.getCheckpointDir()
+    configured = spark.conf.get("spark.checkpoint.dir", None) or _context_checkpoint_dir(spark)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not _master(spark).startswith("local"):
         raise RuntimeError(
             "set spark.checkpoint.dir to a shared folder; a machine-local "
             "temporary folder is not visible to every executor"
