@@ -12,6 +12,7 @@ from emporia.operators.money import (
     units_to_money,
 )
 from emporia.operators.profile import log_profile, preview, profile
+from emporia.operators.skew import balanced_join, hot_key_rows, hot_keys
 
 __all__ = [
     "centroid",
@@ -26,4 +27,7 @@ __all__ = [
     "log_profile",
     "preview",
     "profile",
+    "balanced_join",
+    "hot_key_rows",
+    "hot_keys",
 ]

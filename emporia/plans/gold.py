@@ -12,17 +12,23 @@ Semantics follow the row-level definitions exactly:
 Plans are shaped for scale without changing a result:
 
 * Items are summed per order *before* the order-level joins (partial
-  aggregation map-side, output already hash-partitioned by order_id for the
-  next join), so the customer join and the final aggregate see one row per
-  order instead of one per item. Money sums are exact integer sums of
+  aggregation map-side), so the customer join and the final aggregate see one
+  row per order instead of one per item. Money sums are exact integer sums of
   1/10^4 units (``operators.money``), so regrouping them cannot change a bit.
 * Reviews are summarised per order before the product-performance join: the
   review fan-out is reproduced arithmetically (counts and sums multiplied by the
-  number of reviews) instead of materialising item x review pairs, so a hot
-  order cannot explode the join.
-* Joins on order-level data run before joins on item-level data, so wide item
-  rows are shuffled as few times as possible.
-* No broadcast hints: AQE broadcasts a side only after measuring it.
+  number of reviews) instead of materialising item x review pairs.
+* Every join of a large frame with a frame holding few rows per key (an
+  aggregate, a deduplicated dimension) is a ``balanced_join``: keys holding
+  more than about a task's worth of rows are split across tasks, NULL keys of a
+  left join too. Such joins are exactly the ones AQE cannot split, because the
+  small side reaches them already partitioned on the key.
+* The one join of two large frames (review_insights' review x item fan-out)
+  gets both inputs through their own shuffle, so AQE's skew-join handling
+  splits a hot order there.
+* No broadcast hints: AQE broadcasts a side only after measuring it; the only
+  explicit broadcasts are the hot-key lists inside ``balanced_join``, bounded
+  by rows / threshold.
 """
 
 from __future__ import annotations
@@ -31,11 +37,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emporia.functions import calendar_day, line_total
-from emporia.operators import exact_total, mean_of, money_sum, money_units, units_to_money
-
-
-def _c(name: str):
-    return F.col(name)
+from emporia.operators import (
+    balanced_join,
+    exact_total,
+    mean_of,
+    money_sum,
+    money_units,
+    units_to_money,
+)
 
 
 def item_totals_by_order(order_items: DataFrame) -> DataFrame:
@@ -47,46 +56,59 @@ def item_totals_by_order(order_items: DataFrame) -> DataFrame:
     )
 
 
-def _orders_with_totals(orders: DataFrame, order_items: DataFrame, customers: DataFrame) -> DataFrame:
-    """Order rows that have items and a known customer, with their item totals.
-
-    Equivalent to ``orders JOIN items JOIN customers`` collapsed to one row per
-    order row (repeated order rows stay repeated).
-    """
-    totals = item_totals_by_order(order_items).alias("t")
-    return (
-        orders.alias("o")
-        .join(totals, _c("o.order_id") == _c("t.order_id"))
-        .join(
-            customers.select("customer_id", "state").alias("c"),
-            _c("o.customer_id") == _c("c.customer_id"),
-        )
+def _orders_with_totals(orders: DataFrame, order_items: DataFrame) -> DataFrame:
+    """Order rows that have items, with their item totals (``orders JOIN items``
+    collapsed to one row per order row; repeated order rows stay repeated)."""
+    return balanced_join(
+        orders.select("order_id", "customer_id", "order_created_ts"),
+        item_totals_by_order(order_items),
+        "order_id",
     )
 
 
 def daily_sales(orders: DataFrame, order_items: DataFrame, customers: DataFrame) -> DataFrame:
     """Per (order date, customer state): distinct orders, revenue, mean item total."""
-    rows = _orders_with_totals(orders, order_items, customers)
+    rows = balanced_join(
+        _orders_with_totals(orders, order_items),
+        customers.select("customer_id", "state"),
+        "customer_id",
+    )
     return rows.groupBy(
-        calendar_day(_c("o.order_created_ts")).alias("order_date"),
-        _c("c.state").alias("customer_state"),
+        calendar_day("order_created_ts").alias("order_date"),
+        F.col("state").alias("customer_state"),
     ).agg(
-        F.count_distinct(_c("o.order_id")).alias("total_orders"),
-        exact_total(_c("t.amount_sum")).alias("total_revenue"),
-        mean_of(units_to_money(F.sum(_c("t.amount_sum"))), F.sum(_c("t.amount_n"))).alias("avg_order_value"),
+        F.count_distinct("order_id").alias("total_orders"),
+        exact_total(F.col("amount_sum")).alias("total_revenue"),
+        mean_of(units_to_money(F.sum("amount_sum")), F.sum("amount_n")).alias("avg_order_value"),
     )
 
 
 def customer_ltv(orders: DataFrame, order_items: DataFrame, customers: DataFrame) -> DataFrame:
-    """Per (customer, state): distinct orders, total spent, last order time."""
-    rows = _orders_with_totals(orders, order_items, customers)
-    return rows.groupBy(
-        _c("o.customer_id").alias("customer_id"),
-        _c("c.state").alias("customer_state"),
-    ).agg(
-        F.count_distinct(_c("o.order_id")).alias("total_orders"),
-        exact_total(_c("t.amount_sum")).alias("total_spent"),
-        F.max(_c("o.order_created_ts")).alias("last_order_timestamp"),
+    """Per (customer, state): distinct orders, total spent, last order time.
+
+    Orders are summarised per customer *before* customers are joined, so the
+    join sees at most one row per customer on the order side and one per
+    (customer, state) on the other: a customer holding any share of the orders
+    is absorbed by partial aggregation map-side. A customer row listed k times
+    with one state stands for k copies of each joined row: the money sum is
+    multiplied by k, the distinct count and the latest time are unchanged.
+    """
+    per_customer = (
+        _orders_with_totals(orders, order_items)
+        .groupBy("customer_id")
+        .agg(
+            F.count_distinct("order_id").alias("total_orders"),
+            F.sum("amount_sum").alias("amount_sum"),
+            F.max("order_created_ts").alias("last_order_timestamp"),
+        )
+    )
+    states = customers.groupBy("customer_id", "state").agg(F.count(F.lit(1)).alias("copies"))
+    return per_customer.join(states, "customer_id").select(
+        "customer_id",
+        F.col("state").alias("customer_state"),
+        "total_orders",
+        units_to_money(F.col("amount_sum") * F.col("copies")).alias("total_spent"),
+        "last_order_timestamp",
     )
 
 
@@ -105,23 +127,20 @@ def product_performance(order_items: DataFrame, products: DataFrame, reviews: Da
     An item whose order has k >= 1 reviews stands for k rows; with none, one
     row with a NULL score. Units count the rows with a non-NULL order_id.
     """
-    summary = review_summary_by_order(reviews).alias("r")
-    rows = (
-        order_items.alias("i")
-        .join(products.select("product_id", "category").alias("p"), _c("i.product_id") == _c("p.product_id"))
-        .join(summary, _c("i.order_id") == _c("r.order_id"), "left")
-    )
-    copies = F.coalesce(_c("r.n_reviews"), F.lit(1).cast("bigint"))
-    amount = line_total(_c("i.price"), _c("i.freight_value"))
-    return rows.groupBy(
-        _c("i.product_id").alias("product_id"),
-        _c("p.category").alias("category"),
-    ).agg(
-        F.sum(F.when(_c("i.order_id").isNotNull(), copies).otherwise(F.lit(0).cast("bigint"))).alias(
+    items = order_items.select(
+        "order_id", "product_id", line_total("price", "freight_value").alias("amount")
+    )
+    lines = balanced_join(items, products.select("product_id", "category"), "product_id")
+    rows = balanced_join(
+        lines, review_summary_by_order(reviews), "order_id", "left", counts_from=items
+    )
+    copies = F.coalesce(F.col("n_reviews"), F.lit(1).cast("bigint"))
+    return rows.groupBy("product_id", "category").agg(
+        F.sum(F.when(F.col("order_id").isNotNull(), copies).otherwise(F.lit(0).cast("bigint"))).alias(
             "total_units_sold"
         ),
-        units_to_money(F.sum(money_units(amount) * copies)).alias("total_revenue"),
-        mean_of(F.sum(_c("r.score_sum")), F.sum(_c("r.score_n"))).alias("average_review_score"),
+        units_to_money(F.sum(money_units(F.col("amount")) * copies)).alias("total_revenue"),
+        mean_of(F.sum("score_sum"), F.sum("score_n")).alias("average_review_score"),
     )
 
 
@@ -130,28 +149,31 @@ def review_insights(
 ) -> DataFrame:
     """One row per review x item of the reviewed order, with the item's category.
 
-    Items meet products first (narrow rows), and reviews meet orders on order_id;
-    the final join is on order_id too, so the review text crosses the network
-    once. The result is the (review, item) pairs themselves, so it is emitted in
-    full; AQE splits a hot order's partition across tasks.
+    The result is the (review, item) pairs themselves, so it is emitted in
+    full. The inner joins are associative; they are grouped so that the items
+    (two narrow columns) first meet their order rows and products, both
+    balanced joins, and the reviews meet those dated, categorised items last.
+    Both inputs of that fan-out join arrive through their own shuffle on
+    order_id, which is the shape AQE's skew-join handling needs: a hot order's
+    partition is split across tasks and the other side's matching partition
+    replicated, instead of one task emitting all of that order's pairs.
+    (Joining reviews to orders first would feed the fan-out join an input
+    already partitioned on order_id, which AQE cannot split.) The wide review
+    text crosses the network once.
     """
-    item_categories = (
-        order_items.select("order_id", "product_id")
-        .alias("i")
-        .join(products.select("product_id", "category").alias("p"), _c("i.product_id") == _c("p.product_id"))
-        .select(_c("i.order_id").alias("order_id"), _c("p.category").alias("category"))
-        .alias("ic")
-    )
-    reviewed = (
-        reviews.alias("r")
-        .join(orders.select("order_id", "order_created_ts").alias("o"), _c("r.order_id") == _c("o.order_id"))
+    items = order_items.select("order_id", "product_id")
+    dated = balanced_join(items, orders.select("order_id", "order_created_ts"), "order_id")
+    categorised = balanced_join(
+        dated, products.select("product_id", "category"), "product_id", counts_from=items
     )
-    return reviewed.join(item_categories, _c("o.order_id") == _c("ic.order_id")).select(
-        _c("r.review_id").alias("review_id"),
-        _c("r.review_score").alias("review_score"),
-        _c("r.review_text").alias("review_text"),
-        _c("ic.category").alias("category"),
-        _c("o.order_created_ts").alias("order_timestamp"),
+    return reviews.select("review_id", "order_id", "review_score", "review_text").join(
+        categorised, "order_id"
+    ).select(
+        "review_id",
+        "review_score",
+        "review_text",
+        "category",
+        F.col("order_created_ts").alias("order_timestamp"),
     )
 
 
@@ -166,37 +188,42 @@ def sales_fact(
 
     Orders meet customers before items (order-level rows are the ones shuffled
     by customer_id); this left join commutes with the inner join on order_id.
+    The order x item join has two large inputs, each through its own shuffle,
+    so AQE splits a hot order there; the dimension lookups are balanced joins,
+    their hot keys counted on the items table itself.
     """
-    ordered = orders.alias("o").join(
-        customers.select("customer_id", "city", "state").alias("c"),
-        _c("o.customer_id") == _c("c.customer_id"),
+    items = order_items.select("order_id", "product_id", "seller_id", "price", "freight_value")
+    ordered = balanced_join(
+        orders.select("order_id", "customer_id", "order_created_ts"),
+        customers.select(
+            "customer_id", F.col("city").alias("customer_city"), F.col("state").alias("customer_state")
+        ),
+        "customer_id",
         "left",
     )
-    rows = (
-        ordered.join(order_items.alias("i"), _c("o.order_id") == _c("i.order_id"))
-        .join(
-            products.select("product_id", "category").alias("p"),
-            _c("i.product_id") == _c("p.product_id"),
-            "left",
-        )
-        .join(
-            sellers.select("seller_id", "city", "state").alias("s"),
-            _c("i.seller_id") == _c("s.seller_id"),
-            "left",
-        )
+    rows = ordered.join(items, "order_id")
+    rows = balanced_join(
+        rows, products.select("product_id", "category"), "product_id", "left", counts_from=items
+    )
+    rows = balanced_join(
+        rows,
+        sellers.select("seller_id", F.col("city").alias("seller_city"), F.col("state").alias("seller_state")),
+        "seller_id",
+        "left",
+        counts_from=items,
     )
     return rows.select(
-        _c("o.order_id").alias("order_id"),
-        _c("o.order_created_ts").alias("order_timestamp"),
-        _c("o.customer_id").alias("customer_id"),
-        _c("i.seller_id").alias("seller_id"),
-        _c("i.product_id").alias("product_id"),
-        _c("p.category").alias("category"),
-        _c("i.price").alias("price"),
-        _c("i.freight_value").alias("freight_value"),
-        line_total(_c("i.price"), _c("i.freight_value")).alias("total_amount"),
-        _c("c.city").alias("customer_city"),
-        _c("c.state").alias("customer_state"),
-        _c("s.city").alias("seller_city"),
-        _c("s.state").alias("seller_state"),
+        "order_id",
+        F.col("order_created_ts").alias("order_timestamp"),
+        "customer_id",
+        "seller_id",
+        "product_id",
+        "category",
+        "price",
+        "freight_value",
+        line_total("price", "freight_value").alias("total_amount"),
+        "customer_city",
+        "customer_state",
+        "seller_city",
+        "seller_state",
     )

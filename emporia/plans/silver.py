@@ -19,29 +19,35 @@ from emporia.functions import (
     wall_clock_ts,
     zip_key,
 )
-from emporia.operators import centroid, dedupe
+from emporia.operators import balanced_join, centroid, dedupe
 
 GEO_KEY = "geolocation_zip_code_prefix"
+_ZIP = "__zip_key"
 
 
 def _located(df: DataFrame, zip_col: str, geolocation: DataFrame) -> DataFrame:
-    """Left join to the centroid of the row's zip prefix (1:1, centroids are unique)."""
-    centroids = centroid(geolocation).alias("geo")
-    return df.alias("src").join(
-        centroids, zip_key(F.col(f"src.{zip_col}")) == F.col(f"geo.{GEO_KEY}"), "left"
-    )
+    """Left join to the centroid of the row's zip prefix (1:1, centroids are unique).
+
+    A balanced join: a zip prefix holding a large share of the rows (a big
+    city), or NULL prefixes, are split across tasks instead of landing whole in
+    one; the centroid aggregate reaches the join already partitioned on the
+    prefix, so AQE could not split it.
+    """
+    located = df.withColumn(_ZIP, zip_key(F.col(f"`{zip_col}`")))
+    centroids = centroid(geolocation).withColumnRenamed(GEO_KEY, _ZIP)
+    return balanced_join(located, centroids, _ZIP, "left")
 
 
 def customers(customers: DataFrame, geolocation: DataFrame) -> DataFrame:
     """One row per customer_id with cleaned city/state and the zip centroid."""
     unique = dedupe(customers, ["customer_id"])
     return _located(unique, "customer_zip_code_prefix", geolocation).select(
-        F.col("src.customer_id").alias("customer_id"),
-        F.col("src.customer_unique_id").alias("customer_unique_id"),
-        clean_text(F.col("src.customer_city")).alias("city"),
-        clean_text(F.col("src.customer_state")).alias("state"),
-        F.col("geo.latitude").alias("latitude"),
-        F.col("geo.longitude").alias("longitude"),
+        "customer_id",
+        "customer_unique_id",
+        clean_text(F.col("customer_city")).alias("city"),
+        clean_text(F.col("customer_state")).alias("state"),
+        "latitude",
+        "longitude",
     )
 
 
@@ -49,20 +55,23 @@ def sellers(sellers: DataFrame, geolocation: DataFrame) -> DataFrame:
     """One row per seller_id with cleaned city/state and the zip centroid."""
     unique = dedupe(sellers, ["seller_id"])
     return _located(unique, "seller_zip_code_prefix", geolocation).select(
-        F.col("src.seller_id").alias("seller_id"),
-        clean_text(F.col("src.seller_city")).alias("city"),
-        clean_text(F.col("src.seller_state")).alias("state"),
-        F.col("geo.latitude").alias("latitude"),
-        F.col("geo.longitude").alias("longitude"),
+        "seller_id",
+        clean_text(F.col("seller_city")).alias("city"),
+        clean_text(F.col("seller_state")).alias("state"),
+        "latitude",
+        "longitude",
     )
 
 
 def products(products: DataFrame, translation: DataFrame) -> DataFrame:
     """Products with the English category name (NULL when untranslated).
 
-    Not deduplicated: a repeated product_id stays repeated.
+    Not deduplicated: a repeated product_id stays repeated. The translation
+    lookup is a balanced join, so a category holding a large share of the
+    products (or the NULL category) is spread across tasks.
     """
-    return products.join(translation, "product_category_name", "left").select(
+    names = translation.select("product_category_name", "product_category_name_english")
+    return balanced_join(products, names, "product_category_name", "left").select(
         "product_id",
         F.col("product_category_name_english").alias("category"),
         "product_weight_g",
