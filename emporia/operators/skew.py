@@ -50,11 +50,12 @@ def hot_key_rows(spark: SparkSession) -> int:
 
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame:
-    """``(__hot_key, __hot_splits)`` for every key (NULL included) with more than ``hot_rows`` rows."""
-    counts = df.groupBy(F.col(key).alias(_KEY)).agg(F.count(F.lit(1)).alias("rows"))
-    return counts.where(F.col("rows") > hot_rows).select(
-        _KEY, F.ceil(F.col("rows") / F.lit(hot_rows)).cast("int").alias(_SPLITS)
-    )
+    """``(__hot_key, __hot_splits)`` for every key (NULL included) with more than ``hot_rows`` rows.
+
+    ``__hot_splits = ceil(rows / hot_rows)``, which exceeds 1 exactly when the key is hot.
+    """
+    splits = F.ceil(F.count(F.lit(1)) / F.lit(hot_rows)).cast("int")
+    return df.groupBy(F.col(key).alias(_KEY)).agg(splits.alias(_SPLITS)).where(F.col(_SPLITS) > 1)
 
 
 def balanced_join(
@@ -92,13 +93,19 @@ def balanced_join(
         *[F.col(f"`{c}`") for c in big.columns],
         F.when(splits.isNull(), F.lit(0)).otherwise(spread).alias(_SALT),
     )
-    replicas = F.when(splits.isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(1), splits))
-    # NULL keys of ``small`` never match; dropping them lets both sides use the
-    # same null-safe lookup, so the hot list is computed and broadcast once.
-    salted_small = small.where(F.col(key).isNotNull()).join(
-        hot, F.col(key).eqNullSafe(F.col(_KEY)), "left"
-    ).select(
+    # NULL keys of ``small`` never match: they get no replica (an empty explode
+    # drops the row), and both sides can use the same null-safe lookup, so the
+    # hot list is computed and broadcast once.
+    replicas = (
+        F.when(F.col(key).isNull(), F.array().cast("array<int>"))
+        .when(splits.isNull(), F.array(F.lit(0)))
+        .otherwise(F.sequence(F.lit(1), splits))
+    )
+    salted_small = small.join(hot, F.col(key).eqNullSafe(F.col(_KEY)), "left").select(
         *[F.col(f"`{c}`") for c in small.columns],
         F.explode(replicas).alias(_SALT),
     )
-    return salted_big.join(salted_small, [key, _SALT], how).drop(_SALT)
+    out = [F.col(f"`{key}`")]
+    out += [F.col(f"`{c}`") for c in big.columns if c != key]
+    out += [F.col(f"`{c}`") for c in small.columns if c != key]
+    return salted_big.join(salted_small, [key, _SALT], how).select(*out)

@@ -68,10 +68,13 @@ def _orders_with_totals(orders: DataFrame, order_items: DataFrame) -> DataFrame:
 
 def daily_sales(orders: DataFrame, order_items: DataFrame, customers: DataFrame) -> DataFrame:
     """Per (order date, customer state): distinct orders, revenue, mean item total."""
+    # Each order row meets at most one totals row, so counting customer_id on
+    # the orders themselves bounds the joined rows per customer.
     rows = balanced_join(
         _orders_with_totals(orders, order_items),
         customers.select("customer_id", "state"),
         "customer_id",
+        counts_from=orders,
     )
     return rows.groupBy(
         calendar_day("order_created_ts").alias("order_date"),
@@ -161,7 +164,10 @@ def review_insights(
     already partitioned on order_id, which AQE cannot split.) The wide review
     text crosses the network once.
     """
-    items = order_items.select("order_id", "product_id")
+    # The inner join on order_id drops NULL order ids anyway; dropping them here
+    # too keeps the hot-key counts' input identical to the join's, so Spark
+    # reuses one shuffle of the items for both.
+    items = order_items.where(F.col("order_id").isNotNull()).select("order_id", "product_id")
     dated = balanced_join(items, orders.select("order_id", "order_created_ts"), "order_id")
     categorised = balanced_join(
         dated, products.select("product_id", "category"), "product_id", counts_from=items
@@ -192,7 +198,11 @@ def sales_fact(
     so AQE splits a hot order there; the dimension lookups are balanced joins,
     their hot keys counted on the items table itself.
     """
-    items = order_items.select("order_id", "product_id", "seller_id", "price", "freight_value")
+    # NULL order ids never meet an order (inner join); dropped up front so the
+    # hot-key counts read the same items shuffle as the join.
+    items = order_items.where(F.col("order_id").isNotNull()).select(
+        "order_id", "product_id", "seller_id", "price", "freight_value"
+    )
     ordered = balanced_join(
         orders.select("order_id", "customer_id", "order_created_ts"),
         customers.select(
