@@ -58,6 +58,16 @@ def hot_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame:
     return df.groupBy(F.col(key).alias(_KEY)).agg(splits.alias(_SPLITS)).where(F.col(_SPLITS) > 1)
 
 
+def salt_rows(tagged: DataFrame, columns: list[str]) -> DataFrame:
+    """``columns`` plus ``__salt``: 0 for rows without ``__hot_splits``, else a
+    value in ``[1, __hot_splits]`` from a hash of the row's input partition and
+    content (the same on every attempt of the task)."""
+    splits = F.col(_SPLITS)
+    cols = [F.col(f"`{c}`") for c in columns]
+    spread = F.lit(1) + F.pmod(F.xxhash64(F.spark_partition_id(), *cols), splits).cast("int")
+    return tagged.select(*cols, F.when(splits.isNull(), F.lit(0)).otherwise(spread).alias(_SALT))
+
+
 def balanced_join(
     big: DataFrame,
     small: DataFrame,
@@ -85,14 +95,7 @@ def balanced_join(
     hot_rows = hot_rows or hot_key_rows(big.sparkSession)
     hot = F.broadcast(hot_keys(counts_from if counts_from is not None else big, key, hot_rows))
     splits = F.col(_SPLITS)
-
-    spread = F.lit(1) + F.pmod(
-        F.xxhash64(F.spark_partition_id(), *[F.col(f"`{c}`") for c in big.columns]), splits
-    ).cast("int")
-    salted_big = big.join(hot, F.col(key).eqNullSafe(F.col(_KEY)), "left").select(
-        *[F.col(f"`{c}`") for c in big.columns],
-        F.when(splits.isNull(), F.lit(0)).otherwise(spread).alias(_SALT),
-    )
+    salted_big = salt_rows(big.join(hot, F.col(key).eqNullSafe(F.col(_KEY)), "left"), big.columns)
     # NULL keys of ``small`` never match: they get no replica (an empty explode
     # drops the row), and both sides can use the same null-safe lookup, so the
     # hot list is computed and broadcast once.

@@ -102,3 +102,206 @@ def test_hot_dedupe_key_is_cut_map_side(spark):
 def test_item_totals_are_partially_aggregated(hot):
     plan = gold.item_totals_by_order(hot["items"])._jdf.queryExecution().executedPlan().toString()
     assert "partial_sum" in plan and "partial_count" in plan
+
+
+# --- balanced joins ---------------------------------------------------------------
+
+from emporia.operators import balanced_join, hot_keys  # noqa: E402
+from emporia.operators.skew import HOT_ROWS_CONF, salt_rows  # noqa: E402
+from emporia.plans import silver  # noqa: E402
+from emporia.sources import SILVER_COLUMNS  # noqa: E402
+from tests.test_gold import brute_sales_fact  # noqa: E402
+
+
+@pytest.fixture(scope="module")
+def lopsided(spark):
+    """A third of the big side on key 7, a tenth NULL keys, 500 exact copies of
+    one hot row; the small side repeats key 7 and has NULL keys too."""
+    big = spark.range(6000).select(
+        F.when(F.col("id") < 2000, F.lit(7))
+        .when(F.col("id") % 10 == 0, F.lit(None))
+        .otherwise(F.col("id") % 300)
+        .alias("k"),
+        (F.col("id") % 13).alias("v"),
+    )
+    copies = spark.range(500).select(F.lit(7).cast("bigint").alias("k"), F.lit(3).cast("bigint").alias("v"))
+    small = spark.range(280).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
+    extra = spark.range(4).select(
+        F.when(F.col("id") < 2, F.lit(7)).otherwise(F.lit(None)).cast("bigint").alias("k"),
+        (F.col("id") + 1000).alias("w"),
+    )
+    return big.unionByName(copies), small.unionByName(extra)
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_balanced_join_equals_plain_join(lopsided, how):
+    big, small = lopsided
+    got = balanced_join(big, small, "k", how, hot_rows=100)
+    assert got.columns == ["k", "v", "w"]
+    assert rows(got) == rows(big.join(small, "k", how))
+
+
+def test_hot_keys_and_their_splits(lopsided):
+    big, _ = lopsided
+    got = dict(rows(hot_keys(big, "k", 100)))
+    # key 7: 2000 + 13 (id % 300 == 7) + 500 copies = 2513 rows -> 26 splits;
+    # NULL: 400 rows -> 4 splits; no other key exceeds 100
+    assert got == {7: 26, None: 4}
+
+
+def test_hot_rows_are_spread_over_their_splits(lopsided):
+    big, _ = lopsided
+    hot = hot_keys(big, "k", 100)
+    tagged = big.repartition(6).join(F.broadcast(hot), F.col("k").eqNullSafe(F.col("__hot_key")), "left")
+    salted = salt_rows(tagged, big.columns)
+    sizes = dict(
+        ((r["k"], r["__salt"]), r["n"])
+        for r in salted.groupBy("k", "__salt").agg(F.count(F.lit(1)).alias("n")).collect()
+    )
+    hot7 = [n for (k, s), n in sizes.items() if k == 7]
+    assert sum(hot7) == 2513 and 20 <= len(hot7) <= 26
+    assert max(hot7) <= 3 * 100  # about hot_rows per bucket, copies included
+    assert all(s == 0 for (k, s) in sizes if k not in (7, None))
+
+
+def test_balanced_join_rejects_other_join_types(lopsided):
+    big, small = lopsided
+    with pytest.raises(ValueError):
+        balanced_join(big, small, "k", "full")
+
+
+@pytest.fixture()
+def hot_path(spark):
+    """Force the hot-key path on small data."""
+    spark.conf.set(HOT_ROWS_CONF, "50")
+    yield
+    spark.conf.unset(HOT_ROWS_CONF)
+
+
+def test_gold_plans_with_hot_keys_split_match_brute_force(spark, hot, hot_path):
+    sellers = spark.range(11).select(
+        F.col("id").alias("seller_id"), F.lit("c").alias("city"), (F.col("id") % 2).cast("string").alias("state")
+    )
+    customers = hot["customers"].withColumn("city", F.lit("x"))
+    cases = [
+        (gold.daily_sales, brute_daily_sales, (hot["orders"], hot["items"], customers), "daily_sales"),
+        (gold.customer_ltv, brute_customer_ltv, (hot["orders"], hot["items"], customers), "customer_ltv"),
+        (gold.product_performance, brute_product_performance,
+         (hot["items"], hot["products"], hot["reviews"]), "product_performance"),
+        (gold.review_insights, brute_review_insights,
+         (hot["reviews"], hot["orders"], hot["items"], hot["products"]), "review_insights"),
+        (gold.sales_fact, brute_sales_fact,
+         (hot["orders"], hot["items"], hot["products"], customers, sellers), "sales_fact"),
+    ]
+    for fast, brute, args, name in cases:
+        plan = fast(*args)._jdf.queryExecution().optimizedPlan().toString()
+        assert "__salt" in plan, name
+        assert approx(rows(fast(*args))) == approx(rows(brute(*args).select(*GOLD_COLUMNS[name]))), name
+
+
+def test_silver_lookups_with_a_hot_and_null_zip(spark, hot_path):
+    # A third of the customers share zip 1151 (stored without its leading zero),
+    # a tenth have no zip; the centroid side writes it as 01151.
+    customers = spark.range(600).select(
+        F.concat(F.lit("c"), F.col("id").cast("string")).alias("customer_id"),
+        F.col("id").cast("string").alias("customer_unique_id"),
+        F.when(F.col("id") < 200, F.lit("1151"))
+        .when(F.col("id") % 10 == 0, F.lit(None))
+        .otherwise(F.lpad((F.col("id") % 40).cast("string"), 5, "0"))
+        .alias("customer_zip_code_prefix"),
+        F.lit(" Sao Paulo ").alias("customer_city"),
+        F.lit("SP").alias("customer_state"),
+    )
+    geo = spark.range(300).select(
+        F.when(F.col("id") < 100, F.lit("01151")).otherwise(F.lpad((F.col("id") % 40).cast("string"), 5, "0"))
+        .alias("geolocation_zip_code_prefix"),
+        (F.col("id") / 7.0).alias("geolocation_lat"),
+        (F.col("id") / -3.0).alias("geolocation_lng"),
+    )
+    got = silver.customers(customers, geo)
+    assert got.columns == SILVER_COLUMNS["customers"]
+    from emporia.functions import zip_key
+    from emporia.operators import centroid
+
+    cen = centroid(geo).alias("g")
+    brute = customers.alias("c").join(
+        cen, zip_key(F.col("c.customer_zip_code_prefix")) == F.col("g.geolocation_zip_code_prefix"), "left"
+    ).select(
+        "c.customer_id", "c.customer_unique_id",
+        F.lower(F.trim("c.customer_city")).alias("city"), F.lower(F.trim("c.customer_state")).alias("state"),
+        "g.latitude", "g.longitude",
+    )
+    assert approx(rows(got)) == approx(rows(brute))
+    assert got.where("latitude IS NULL").count() == 40  # the NULL zips (ids 200..599 % 10 == 0): kept
+
+    products = spark.range(900).select(
+        F.col("id").alias("product_id"),
+        F.when(F.col("id") < 300, F.lit("cama_mesa_banho"))
+        .when(F.col("id") % 9 == 0, F.lit(None))
+        .otherwise(F.concat(F.lit("cat"), (F.col("id") % 5).cast("string")))
+        .alias("product_category_name"),
+        F.lit(1).alias("product_weight_g"), F.lit(2).alias("product_length_cm"),
+        F.lit(3).alias("product_height_cm"), F.lit(4).alias("product_width_cm"),
+    )
+    names = spark.createDataFrame(
+        [("cama_mesa_banho", "bed_bath_table"), ("cat1", "one"), ("cat2", "two")],
+        "product_category_name string, product_category_name_english string",
+    )
+    got = silver.products(products, names)
+    brute = products.join(names, "product_category_name", "left").select(
+        "product_id", F.col("product_category_name_english").alias("category"),
+        "product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm",
+    )
+    assert rows(got) == rows(brute)
+
+
+# --- AQE splits the fan-out join ----------------------------------------------------
+
+AQE_SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1000",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
+@pytest.fixture()
+def aqe_skew(spark):
+    saved = {k: spark.conf.get(k) for k in AQE_SKEW}
+    for k, v in AQE_SKEW.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in saved.items():
+        spark.conf.set(k, v)
+
+
+def test_aqe_splits_the_hot_order_in_review_insights(spark, aqe_skew):
+    # A third of the items are on order 0, which has 10 reviews. High-entropy
+    # columns keep shuffle sizes (compressed bytes) proportional to row counts.
+    n = 12000
+    items = spark.range(n).select(
+        F.when(F.col("id") < n // 3, F.lit(0)).otherwise(F.col("id") % 2000 + 1).alias("order_id"),
+        ((F.col("id") * 7919) % 5000).alias("product_id"),
+    )
+    orders = spark.range(2001).select(
+        F.col("id").alias("order_id"),
+        F.timestamp_seconds(F.col("id") * 3600).cast("timestamp_ntz").alias("order_created_ts"),
+    )
+    products = spark.range(5000).select(
+        F.col("id").alias("product_id"), F.sha2(F.col("id").cast("string"), 256).alias("category")
+    )
+    reviews = spark.range(1500).select(
+        F.col("id").alias("review_id"),
+        F.when(F.col("id") < 10, F.lit(0)).otherwise(F.col("id") % 2000 + 1).alias("order_id"),
+        (F.col("id") % 5 + 1).cast("int").alias("review_score"),
+        F.sha2(F.col("id").cast("string"), 256).alias("review_text"),
+    )
+    out = gold.review_insights(reviews, orders, items, products)
+    got = out.collect()
+    assert len(got) == brute_review_insights(reviews, orders, items, products).count()
+    final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    joins = [line for line in final.splitlines() if "SortMergeJoin" in line]
+    # the outermost join is the review x item fan-out
+    assert "(skew=true)" in joins[0], final
