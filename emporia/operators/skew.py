@@ -35,7 +35,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Session setting and default for the hot-key threshold. A key with
-# more rows than this (about one task's worth of input) is split.
+# more rows than this (about one task's worth of input) is split; 0 turns
+# splitting off.
 HOT_ROWS_CONF = "emporia.skew.hotKeyRows"
 DEFAULT_HOT_ROWS = 1_000_000
 
@@ -92,7 +93,11 @@ def balanced_join(
     clash = (set(big.columns) & set(small.columns)) - {key}
     if clash:
         raise ValueError(f"columns on both sides besides the key: {sorted(clash)}")
-    hot_rows = hot_rows or hot_key_rows(big.sparkSession)
+    hot_rows = hot_key_rows(big.sparkSession) if hot_rows is None else hot_rows
+    if hot_rows <= 0:
+        # Splitting switched off (say, for tables bucketed on the key, whose
+        # buckets a salted join would re-shuffle): a plain join.
+        return big.join(small, key, how)
     hot = F.broadcast(hot_keys(counts_from if counts_from is not None else big, key, hot_rows))
     splits = F.col(_SPLITS)
     salted_big = salt_rows(big.join(hot, F.col(key).eqNullSafe(F.col(_KEY)), "left"), big.columns)

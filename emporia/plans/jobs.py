@@ -11,8 +11,10 @@ Run one job, a layer, or everything:
     python -m emporia.plans.jobs all --landing /data/landing --warehouse-root /data/wh
 
 With ``--buckets N`` (catalog layout only) the silver tables keyed by order_id
-are written bucketed on it; gold jobs then join and aggregate orders, items and
-reviews on order_id without shuffling them.
+are written bucketed on it; gold jobs then aggregate items and reviews per
+order without shuffling them. Joins on order_id keep them bucket-aligned only
+with ``--hot-key-rows 0`` (no hot-key splitting), which is safe only when no
+order holds a large share of the rows; a bucket cannot be split either.
 """
 
 from __future__ import annotations
@@ -25,6 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from emporia.operators.profile import log_profile
+from emporia.operators.skew import HOT_ROWS_CONF
 from emporia.plans import gold, silver
 from emporia.plans.bronze import BRONZE_DATASETS
 from emporia.sources.landing import read_source
@@ -138,6 +141,12 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--catalog", default=None, help="catalog prefix for table names")
     parser.add_argument("--buckets", type=int, default=None, help="bucket order-keyed silver tables")
     parser.add_argument("--profile", action="store_true", help="log a profile of each table before writing")
+    parser.add_argument(
+        "--hot-key-rows",
+        type=int,
+        default=None,
+        help="rows per join key above which the key is split across tasks (0: never split)",
+    )
     args = parser.parse_args(argv)
     if args.profile:
         logging.basicConfig(level=logging.DEBUG, format="%(asctime)s %(name)s %(levelname)s %(message)s")
@@ -145,6 +154,8 @@ def main(argv: Sequence[str] | None = None) -> None:
     from emporia.session import build_session
 
     spark = build_session(app_name="emporia-jobs")
+    if args.hot_key_rows is not None:
+        spark.conf.set(HOT_ROWS_CONF, str(args.hot_key_rows))
     warehouse = Warehouse(Registry(landing_root=args.landing, catalog=args.catalog), args.warehouse_root)
     names: list[str] = []
     for arg in args.jobs:

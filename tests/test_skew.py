@@ -305,3 +305,10 @@ def test_aqe_splits_the_hot_order_in_review_insights(spark, aqe_skew):
     joins = [line for line in final.splitlines() if "SortMergeJoin" in line]
     # the outermost join is the review x item fan-out
     assert "(skew=true)" in joins[0], final
+
+
+def test_zero_threshold_is_a_plain_join(lopsided):
+    big, small = lopsided
+    got = balanced_join(big, small, "k", "left", hot_rows=0)
+    assert "__salt" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(got) == rows(big.join(small, "k", "left"))
