@@ -11,10 +11,13 @@ deduplicated dimension):
 1. ``big``'s rows are counted per key (partial aggregation map-side, so at most
    one row per key and map task is shuffled). Keys with more than ``hot_rows``
    rows are hot. There are at most ``rows(big) / hot_rows`` of them, so the hot
-   list has a proven size bound and is broadcast.
+   list has a proven size bound and is broadcast (at the default threshold, at
+   most a million keys for 10^12 rows).
 2. A row of a hot key gets a salt in ``[1, s]``, ``s = ceil(count / hot_rows)``,
    from a hash of its input partition and content: deterministic, so a retried
-   task sends every row where its first attempt did. Other rows get salt 0.
+   task sends every row where its first attempt did. (Identical copies within
+   one input partition share a salt; copies spread over partitions spread over
+   salts.) Other rows get salt 0.
 3. ``small``'s rows of a hot key are replicated once per salt value: at most
    ``rows(big) / hot_rows + #hot`` extra rows in all.
 4. One join on ``(key, salt)``: no task sees more than about ``hot_rows`` rows of
