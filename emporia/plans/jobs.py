@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from emporia.operators.profile import log_profile
 from emporia.operators.skew import HOT_ROWS_CONF
+from emporia.session import shuffle_partitions_for
 from emporia.plans import gold, silver
 from emporia.plans.bronze import BRONZE_DATASETS
 from emporia.sources.landing import read_source
@@ -90,12 +91,17 @@ JOBS: dict[str, Job] = {job.name: job for job in _jobs()}
 LAYER_ORDER = ("bronze", "silver", "gold")
 
 
+def inputs(job: Job, spark: SparkSession, warehouse: Warehouse) -> list[DataFrame]:
+    """The job's input frames: its landing file (bronze) or the tables it reads."""
+    if job.build is None:
+        return [read_source(spark, job.dataset, warehouse.registry)]
+    return [read_layer(spark, dataset, layer, warehouse) for layer, dataset in job.inputs]
+
+
 def plan(job: Job, spark: SparkSession, warehouse: Warehouse) -> DataFrame:
     """The job's output DataFrame (lazy; nothing is written)."""
-    if job.build is None:
-        return read_source(spark, job.dataset, warehouse.registry)
-    frames = [read_layer(spark, dataset, layer, warehouse) for layer, dataset in job.inputs]
-    return job.build(*frames)
+    frames = inputs(job, spark, warehouse)
+    return frames[0] if job.build is None else job.build(*frames)
 
 
 def run_job(
@@ -104,16 +110,28 @@ def run_job(
     warehouse: Warehouse,
     buckets: int | None = None,
     profile: bool = False,
+    shuffle_partitions: int | None = None,
 ) -> str:
     """Write one job's table. ``profile`` logs its columns, counts and a preview first
-    (extra passes over the data; failures only warn)."""
+    (extra passes over the data; failures only warn).
+
+    Shuffle partitions are sized from the job's input bytes
+    (``session.shuffle_partitions_for``) unless ``shuffle_partitions`` is given.
+    """
     job = JOBS[name]
-    df = plan(job, spark, warehouse)
-    log_profile(df, logging.getLogger(f"emporia.{name}"), enabled=profile)
-    bucket_by = None
-    if buckets and warehouse.root is None and job.layer == "silver" and job.dataset in ORDER_KEYED:
-        bucket_by = (buckets, ORDER_KEYED[job.dataset])
-    return write_layer(df, job.dataset, job.layer, warehouse, bucket_by=bucket_by)
+    if shuffle_partitions is None:
+        shuffle_partitions = shuffle_partitions_for(spark, inputs(job, spark, warehouse))
+    saved = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    try:
+        df = plan(job, spark, warehouse)
+        log_profile(df, logging.getLogger(f"emporia.{name}"), enabled=profile)
+        bucket_by = None
+        if buckets and warehouse.root is None and job.layer == "silver" and job.dataset in ORDER_KEYED:
+            bucket_by = (buckets, ORDER_KEYED[job.dataset])
+        return write_layer(df, job.dataset, job.layer, warehouse, bucket_by=bucket_by)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", saved)
 
 
 def ordered(names: Sequence[str]) -> list[str]:
@@ -128,9 +146,10 @@ def run_all(
     layers: Sequence[str] = LAYER_ORDER,
     buckets: int | None = None,
     profile: bool = False,
+    shuffle_partitions: int | None = None,
 ) -> list[str]:
     names = ordered([n for n, j in JOBS.items() if j.layer in layers])
-    return [run_job(spark, n, warehouse, buckets, profile) for n in names]
+    return [run_job(spark, n, warehouse, buckets, profile, shuffle_partitions) for n in names]
 
 
 def main(argv: Sequence[str] | None = None) -> None:
@@ -141,6 +160,12 @@ def main(argv: Sequence[str] | None = None) -> None:
     parser.add_argument("--catalog", default=None, help="catalog prefix for table names")
     parser.add_argument("--buckets", type=int, default=None, help="bucket order-keyed silver tables")
     parser.add_argument("--profile", action="store_true", help="log a profile of each table before writing")
+    parser.add_argument(
+        "--shuffle-partitions",
+        type=int,
+        default=None,
+        help="fixed shuffle partitions (default: sized per job from its input bytes)",
+    )
     parser.add_argument(
         "--hot-key-rows",
         type=int,
@@ -168,7 +193,8 @@ def main(argv: Sequence[str] | None = None) -> None:
         else:
             parser.error(f"unknown job {arg!r}; known: {', '.join(JOBS)}")
     for name in ordered(list(dict.fromkeys(names))):
-        print(name, "->", run_job(spark, name, warehouse, args.buckets, args.profile), flush=True)
+        out = run_job(spark, name, warehouse, args.buckets, args.profile, args.shuffle_partitions)
+        print(name, "->", out, flush=True)
 
 
 if __name__ == "__main__":

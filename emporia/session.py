@@ -10,7 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings that matter at scale:
 # * AQE re-plans at stage boundaries from measured shuffle sizes: it coalesces
@@ -61,6 +61,51 @@ def build_session(
     return spark
 
 
+# Automatic shuffle sizing. Shuffled rows take about twice their
+# compressed columnar size on disk; partition counts are kept within bounds the
+# driver's map-output tracking handles comfortably.
+SHUFFLE_BYTES_PER_INPUT_BYTE = 2
+MIN_SHUFFLE_PARTITIONS = 8
+MAX_SHUFFLE_PARTITIONS = 65536
+
+_BYTE_UNITS = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40, "p": 1 << 50}
+
+
+def byte_size(text: str) -> int:
+    """``'128m'`` / ``'64MB'`` / ``'1048576'`` -> bytes (Spark's size notation)."""
+    t = text.strip().lower().removesuffix("b") or "0"
+    unit = t[-1] if t[-1] in _BYTE_UNITS else "b"
+    number = t[:-1] if t[-1] in _BYTE_UNITS else t
+    return int(float(number) * _BYTE_UNITS[unit])
+
+
+def input_bytes(df: DataFrame) -> int:
+    """On-disk size of the data under ``df``'s scans, from Catalyst's statistics.
+
+    For file sources and catalog tables this is the sum of file sizes known to
+    the file index (metadata only: no data is read and nothing reaches the
+    driver but one number).
+    """
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    return int(size if isinstance(size, int) else size.toString())
+
+
+def shuffle_partitions_for(spark: SparkSession, frames: list[DataFrame]) -> int:
+    """Shuffle partitions for a job reading ``frames``: about one advisory-sized
+    partition (``spark.sql.adaptive.advisoryPartitionSizeInBytes``) per
+    ``SHUFFLE_BYTES_PER_INPUT_BYTE`` x input bytes, within
+    [``MIN_SHUFFLE_PARTITIONS``, ``MAX_SHUFFLE_PARTITIONS``].
+
+    Sized for the largest shuffle the job can produce, so no partition has to
+    spill heavily; AQE then coalesces the smaller shuffles down to the advisory
+    size. Starting too low cannot be repaired at run time (AQE only merges).
+    """
+    advisory = byte_size(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m"))
+    total = sum(input_bytes(f) for f in frames)
+    wanted = -(-total * SHUFFLE_BYTES_PER_INPUT_BYTE // advisory)
+    return int(min(MAX_SHUFFLE_PARTITIONS, max(MIN_SHUFFLE_PARTITIONS, wanted)))
+
+
 def _context_checkpoint_dir(spark: SparkSession) -> str | None:
     try:
         return spark.sparkContext.getCheckpointDir()
@@ -108,6 +153,9 @@ def local_path(path: str) -> str:
 __all__ = [
     "RECOMMENDED_CONF",
     "build_session",
+    "byte_size",
+    "input_bytes",
+    "shuffle_partitions_for",
     "scratch_root",
     "fresh_scratch_path",
     "local_path",

@@ -74,3 +74,41 @@ def test_profile_logging_runs_before_write(spark, workdir, caplog):
         jobs.run_job(spark, "bronze-sellers", wh, profile=True)
     text = caplog.text
     assert "row count: 3" in text and "columns (4)" in text
+
+
+def test_byte_sizes_in_spark_notation():
+    from emporia.session import byte_size
+
+    assert byte_size("128m") == 128 << 20
+    assert byte_size("64MB") == 64 << 20
+    assert byte_size("1048576") == 1 << 20
+    assert byte_size("1.5g") == 3 << 29
+
+
+def test_shuffle_partitions_follow_input_bytes(spark):
+    from emporia import session
+
+    path = "/root/testdata/sf0.1/lineitem.parquet"
+    df = spark.read.parquet(path)
+    size = os.path.getsize(path)
+    assert session.input_bytes(df) == size  # file-index metadata, no data read
+    saved = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    try:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+        want = -(-size * session.SHUFFLE_BYTES_PER_INPUT_BYTE // (1 << 20))
+        assert session.shuffle_partitions_for(spark, [df]) == max(session.MIN_SHUFFLE_PARTITIONS, want)
+        assert session.shuffle_partitions_for(spark, [df, df]) >= session.shuffle_partitions_for(spark, [df])
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1t")
+        assert session.shuffle_partitions_for(spark, [df]) == session.MIN_SHUFFLE_PARTITIONS
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1")
+        assert session.shuffle_partitions_for(spark, [df]) == session.MAX_SHUFFLE_PARTITIONS
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", saved)
+
+
+def test_run_job_restores_the_session_shuffle_setting(spark, workdir):
+    landing = write_landing(os.path.join(workdir, "landing"))
+    wh = Warehouse(Registry(landing_root=landing), root=os.path.join(workdir, "wh"))
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    jobs.run_job(spark, "bronze-customers", wh, shuffle_partitions=3)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
