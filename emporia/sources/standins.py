@@ -27,11 +27,11 @@ Mapping (fixed):
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 # Stand-in mappings.
 ORDER_STATUS = {"F": "delivered", "O": "shipped", "P": "processing"}
@@ -43,19 +43,18 @@ MISSING_SCORE = "n/a"
 # so broadcasting them is bounded regardless of data volume.
 FIXED_SIZE_TABLES = frozenset({"nation", "region"})
 
-# The test tables are read-only; their schemas are read once per process so that
-# later reads skip the footer-inference job.
-_SCHEMAS: dict[str, StructType] = {}
+# The test tables are read-only, so each is opened once per session (file
+# listing and schema resolution happen once) and the same DataFrame is reused
+# wherever a query reads it; Spark gives each use its own attributes.
+_TABLES: "weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]]" = weakref.WeakKeyDictionary()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    schema = _SCHEMAS.get(path)
-    if schema is None:
-        df = spark.read.parquet(path)
-        _SCHEMAS[path] = df.schema
-    else:
-        df = spark.read.schema(schema).parquet(path)
+    opened = _TABLES.setdefault(spark, {})
+    df = opened.get(path)
+    if df is None:
+        df = opened[path] = spark.read.parquet(path)
     return F.broadcast(df) if name in FIXED_SIZE_TABLES else df
 
 
