@@ -10,9 +10,9 @@ deduplicated dimension):
 
 1. ``big``'s rows are counted per key (partial aggregation map-side, so at most
    one row per key and map task is shuffled). Keys with more than ``hot_rows``
-   rows are hot. There are at most ``rows(big) / hot_rows`` of them, so the hot
-   list has a proven size bound and is broadcast (at the default threshold, at
-   most a million keys for 10^12 rows).
+   rows are hot. There are at most ``rows(big) / hot_rows`` of them, and at
+   most ``MAX_HOT_KEYS`` (the hottest) are kept, so the broadcast hot list has a
+   fixed size bound. Keys beyond the cap join unsalted: same result.
 2. A row of a hot key gets a salt in ``[1, s]``, ``s = ceil(count / hot_rows)``,
    from a hash of its input partition and content: deterministic, so a retried
    task sends every row where its first attempt did. (Identical copies within
@@ -42,6 +42,10 @@ from pyspark.sql import functions as F
 # splitting off.
 HOT_ROWS_CONF = "emporia.skew.hotKeyRows"
 DEFAULT_HOT_ROWS = 1_000_000
+# Fixed value: at most this many hot keys are split (the hottest first), so the
+# broadcast hot list stays a few megabytes at any data size. Keys beyond it take
+# the unsalted path: results are unchanged, only their balance is not improved.
+MAX_HOT_KEYS = 100_000
 
 _KEY = "__hot_key"
 _SPLITS = "__hot_splits"
@@ -53,13 +57,17 @@ def hot_key_rows(spark: SparkSession) -> int:
     return int(spark.conf.get(HOT_ROWS_CONF, str(DEFAULT_HOT_ROWS)))
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int) -> DataFrame:
-    """``(__hot_key, __hot_splits)`` for every key (NULL included) with more than ``hot_rows`` rows.
+def hot_keys(df: DataFrame, key: str, hot_rows: int, max_keys: int = MAX_HOT_KEYS) -> DataFrame:
+    """``(__hot_key, __hot_splits)`` for the keys (NULL included) with more than ``hot_rows`` rows.
 
-    ``__hot_splits = ceil(rows / hot_rows)``, which exceeds 1 exactly when the key is hot.
+    ``__hot_splits = ceil(rows / hot_rows)``, which exceeds 1 exactly when the key
+    is hot. At most ``max_keys`` keys are returned, the most-split first, ties by
+    key: a total order, so every computation of the list yields the same keys
+    (both join sides must agree on them).
     """
     splits = F.ceil(F.count(F.lit(1)) / F.lit(hot_rows)).cast("int")
-    return df.groupBy(F.col(key).alias(_KEY)).agg(splits.alias(_SPLITS)).where(F.col(_SPLITS) > 1)
+    hot = df.groupBy(F.col(key).alias(_KEY)).agg(splits.alias(_SPLITS)).where(F.col(_SPLITS) > 1)
+    return hot.orderBy(F.col(_SPLITS).desc(), F.col(_KEY).asc_nulls_first()).limit(max_keys)
 
 
 def salt_rows(tagged: DataFrame, columns: list[str]) -> DataFrame:
@@ -79,6 +87,7 @@ def balanced_join(
     how: str = "inner",
     hot_rows: int | None = None,
     counts_from: DataFrame | None = None,
+    max_hot_keys: int = MAX_HOT_KEYS,
 ) -> DataFrame:
     """``big.join(small, key, how)`` (``inner`` or ``left``) with hot keys of ``big`` split.
 
@@ -101,7 +110,9 @@ def balanced_join(
         # Splitting switched off (say, for tables bucketed on the key, whose
         # buckets a salted join would re-shuffle): a plain join.
         return big.join(small, key, how)
-    hot = F.broadcast(hot_keys(counts_from if counts_from is not None else big, key, hot_rows))
+    hot = F.broadcast(
+        hot_keys(counts_from if counts_from is not None else big, key, hot_rows, max_hot_keys)
+    )
     splits = F.col(_SPLITS)
     salted_big = salt_rows(big.join(hot, F.col(key).eqNullSafe(F.col(_KEY)), "left"), big.columns)
     # NULL keys of ``small`` never match: they get no replica (an empty explode

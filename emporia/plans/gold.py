@@ -27,8 +27,8 @@ Plans are shaped for scale without changing a result:
   gets both inputs through their own shuffle, so AQE's skew-join handling
   splits a hot order there.
 * No broadcast hints: AQE broadcasts a side only after measuring it; the only
-  explicit broadcasts are the hot-key lists inside ``balanced_join``, bounded
-  by rows / threshold.
+  explicit broadcasts are the hot-key lists inside ``balanced_join``, at most
+  ``MAX_HOT_KEYS`` keys.
 """
 
 from __future__ import annotations

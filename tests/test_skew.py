@@ -312,3 +312,16 @@ def test_zero_threshold_is_a_plain_join(lopsided):
     got = balanced_join(big, small, "k", "left", hot_rows=0)
     assert "__salt" not in got._jdf.queryExecution().optimizedPlan().toString()
     assert rows(got) == rows(big.join(small, "k", "left"))
+
+
+def test_capped_hot_list_keeps_results_exact(lopsided):
+    big, small = lopsided
+    # threshold 10: key 7, NULL and every ordinary key (about 17 rows each) are hot;
+    # only the 3 hottest are split, the others join unsalted
+    capped = hot_keys(big, "k", 10, max_keys=3)
+    got = rows(capped)
+    # key 7 (2513 rows) and NULL (400) are the hottest; the tie among the others goes to the lowest key
+    assert sorted(got, key=str) == sorted([(7, 252), (None, 40), (1, 2)], key=str)
+    for how in ("inner", "left"):
+        out = balanced_join(big, small, "k", how, hot_rows=10, max_hot_keys=3)
+        assert rows(out) == rows(big.join(small, "k", how))
