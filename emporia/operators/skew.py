@@ -28,6 +28,10 @@ NULL keys never match, but in a left join they are kept, and hashing sends them
 all to one task. They are counted as one key (null-safe tagging) and spread by
 the same salt.
 
+When ``small`` is within the broadcast threshold by Catalyst's size estimate,
+none of this is needed: a broadcast hash join never shuffles ``big``, so the
+join is broadcast. The salted shuffle is the way beyond that size.
+
 The result is exactly ``big.join(small, key, how)``: every row of ``big`` meets
 every row of ``small`` with its key once, in one salt bucket.
 """
@@ -37,6 +41,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from emporia.session import byte_size, input_bytes
+
 # Session setting and default for the hot-key threshold. A key with
 # more rows than this (about one task's worth of input) is split; 0 turns
 # splitting off.
@@ -52,6 +58,18 @@ _SPLITS = "__hot_splits"
 _SALT = "__salt"
 
 
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Catalyst's size estimate of ``df`` is within
+    ``spark.sql.autoBroadcastJoinThreshold`` (-1: never).
+
+    The estimate comes from file-index metadata and is an upper bound through
+    filters, projections and aggregates (no data is read), the same check
+    Spark's planner applies before a broadcast join.
+    """
+    limit = byte_size(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10m"))
+    return limit >= 0 and input_bytes(df) <= limit
+
+
 def hot_key_rows(spark: SparkSession) -> int:
     """The session's hot-key threshold (``emporia.skew.hotKeyRows``)."""
     return int(spark.conf.get(HOT_ROWS_CONF, str(DEFAULT_HOT_ROWS)))
@@ -110,6 +128,9 @@ def balanced_join(
         # Splitting switched off (say, for tables bucketed on the key, whose
         # buckets a salted join would re-shuffle): a plain join.
         return big.join(small, key, how)
+    if fits_broadcast(small):
+        # A broadcast hash join never shuffles ``big``, so no key can be hot.
+        return big.join(F.broadcast(small), key, how)
     hot = F.broadcast(
         hot_keys(counts_from if counts_from is not None else big, key, hot_rows, max_hot_keys)
     )

@@ -33,6 +33,7 @@ def main(sf_dir: str, marker_dir: str) -> None:
         extra_conf={"spark.checkpoint.dir": os.path.join(marker_dir, "ckpt")},
     )
     spark.conf.set(HOT_ROWS_CONF, "3")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # salt, do not broadcast
 
     def fail_first_attempt(_):
         tc = TaskContext.get()

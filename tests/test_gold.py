@@ -239,7 +239,9 @@ def test_layout_independent_with_keys_salted(spark, sf, name):
 
     fast, _, inputs = CASES[name]
     saved = spark.conf.get("spark.sql.shuffle.partitions")
+    saved_bc = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set(HOT_ROWS_CONF, "3")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         base = rows(fast(*[getattr(sf, n)() for n in inputs]))
         spark.conf.set("spark.sql.shuffle.partitions", "5")
@@ -247,4 +249,5 @@ def test_layout_independent_with_keys_salted(spark, sf, name):
         assert rows(fast(*args)) == base
     finally:
         spark.conf.unset(HOT_ROWS_CONF)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved_bc)
         spark.conf.set("spark.sql.shuffle.partitions", saved)

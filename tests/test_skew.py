@@ -133,11 +133,21 @@ def lopsided(spark):
     return big.unionByName(copies), small.unionByName(extra)
 
 
+@pytest.fixture()
+def no_static_broadcast(spark):
+    """Lookups too big to broadcast (the at-scale case): balanced joins salt."""
+    saved = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
+
+
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_balanced_join_equals_plain_join(lopsided, how):
+def test_balanced_join_equals_plain_join(lopsided, how, no_static_broadcast):
     big, small = lopsided
     got = balanced_join(big, small, "k", how, hot_rows=100)
     assert got.columns == ["k", "v", "w"]
+    assert "__salt" in got._jdf.queryExecution().optimizedPlan().toString()
     assert rows(got) == rows(big.join(small, "k", how))
 
 
@@ -171,7 +181,7 @@ def test_balanced_join_rejects_other_join_types(lopsided):
 
 
 @pytest.fixture()
-def hot_path(spark):
+def hot_path(spark, no_static_broadcast):
     """Force the hot-key path on small data."""
     spark.conf.set(HOT_ROWS_CONF, "50")
     yield
@@ -307,14 +317,14 @@ def test_aqe_splits_the_hot_order_in_review_insights(spark, aqe_skew):
     assert "(skew=true)" in joins[0], final
 
 
-def test_zero_threshold_is_a_plain_join(lopsided):
+def test_zero_threshold_is_a_plain_join(lopsided, no_static_broadcast):
     big, small = lopsided
     got = balanced_join(big, small, "k", "left", hot_rows=0)
     assert "__salt" not in got._jdf.queryExecution().optimizedPlan().toString()
     assert rows(got) == rows(big.join(small, "k", "left"))
 
 
-def test_capped_hot_list_keeps_results_exact(lopsided):
+def test_capped_hot_list_keeps_results_exact(lopsided, no_static_broadcast):
     big, small = lopsided
     # threshold 10: key 7, NULL and every ordinary key (about 17 rows each) are hot;
     # only the 3 hottest are split, the others join unsalted
@@ -325,3 +335,19 @@ def test_capped_hot_list_keeps_results_exact(lopsided):
     for how in ("inner", "left"):
         out = balanced_join(big, small, "k", how, hot_rows=10, max_hot_keys=3)
         assert rows(out) == rows(big.join(small, "k", how))
+
+
+def test_small_lookup_is_broadcast_instead_of_salted(spark, lopsided):
+    big, small = lopsided
+    saved = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+        out = balanced_join(big, small, "k", "left", hot_rows=100)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "__salt" not in plan and "BroadcastHashJoin" in plan
+        assert rows(out) == rows(big.join(small, "k", "left"))
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")  # too big to broadcast
+        assert "__salt" in balanced_join(big, small, "k", "left", hot_rows=100)._jdf.queryExecution() \
+            .optimizedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
