@@ -106,7 +106,9 @@ def customer_ltv(orders: DataFrame, order_items: DataFrame, customers: DataFrame
         )
     )
     states = customers.groupBy("customer_id", "state").agg(F.count(F.lit(1)).alias("copies"))
-    return per_customer.join(states, "customer_id").select(
+    # One row per customer on the order side; the state side may list a customer
+    # under many states, so it is the big side of a balanced join.
+    return balanced_join(states, per_customer, "customer_id").select(
         "customer_id",
         F.col("state").alias("customer_state"),
         "total_orders",
