@@ -6,7 +6,8 @@ DataFrame`` builder over the whole test tables; ``oracle_sql()`` gives, for each
 of them, an independent DuckDB query over the same tables, written the
 straightforward row-level way (plain fan-out joins, window dedupe), so the
 comparison also checks the Spark plans' rewrites (pre-aggregation before joins,
-arithmetic review fan-out, reordered joins).
+arithmetic review fan-out, reordered joins, hot-key-salted lookups; the
+salted paths are forced on in ``tests/test_oracle.py``).
 """
 
 from __future__ import annotations
