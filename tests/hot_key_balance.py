@@ -8,6 +8,10 @@ busiest stages:
 
     python tests/hot_key_balance.py /root/testdata/sf0.1 0       # plain joins
     python tests/hot_key_balance.py /root/testdata/sf0.1 20000   # hot keys split
+    python tests/hot_key_balance.py /root/testdata/sf0.1 20000 aqe-skew
+
+``aqe-skew`` lowers AQE's skew-join thresholds to this data size, to show which
+joins AQE can split on top.
 """
 
 from __future__ import annotations
@@ -24,7 +28,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
 
-def main(sf_dir: str, hot_rows: str) -> None:
+def main(sf_dir: str, hot_rows: str, aqe_skew: bool = False) -> None:
     import zstandard
     from pyspark.sql import functions as F
 
@@ -45,6 +49,15 @@ def main(sf_dir: str, hot_rows: str) -> None:
             "spark.sql.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            **(
+                {
+                    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+                    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+                    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k",
+                }
+                if aqe_skew
+                else {}
+            ),
         },
     )
     spark.conf.set(HOT_ROWS_CONF, hot_rows)
@@ -74,10 +87,11 @@ def main(sf_dir: str, hot_rows: str) -> None:
     )
     print(json.dumps({
         "hot_key_rows": int(hot_rows),
+        "aqe_skew": aqe_skew,
         "wall_sec": round(wall, 2),
         "busiest_stages": [{"max_records": m, "median_records": md, "tasks": n} for m, md, n in busiest[:3]],
     }))
 
 
 if __name__ == "__main__":
-    main(sys.argv[1], sys.argv[2])
+    main(sys.argv[1], sys.argv[2], len(sys.argv) > 3 and sys.argv[3] == "aqe-skew")
