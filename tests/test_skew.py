@@ -351,3 +351,41 @@ def test_small_lookup_is_broadcast_instead_of_salted(spark, lopsided):
             .optimizedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
+
+
+def test_aqe_splits_the_hot_order_in_the_sales_fact_item_join(spark, aqe_skew):
+    # A third of the items on order 0; high-entropy columns keep shuffle bytes
+    # proportional to rows.
+    n = 12000
+    items = spark.range(n).select(
+        F.when(F.col("id") < n // 3, F.lit(0)).otherwise(F.col("id") % 2000 + 1).alias("order_id"),
+        F.col("id").cast("int").alias("order_item_id"),
+        ((F.col("id") * 7919) % 5000).alias("product_id"),
+        ((F.col("id") * 104729) % 300).alias("seller_id"),
+        (F.col("id") % 977 + F.lit(0.25)).alias("price"),
+        (F.col("id") % 31 + F.lit(0.5)).alias("freight_value"),
+    )
+    orders = spark.range(2001).select(
+        F.col("id").alias("order_id"),
+        (F.col("id") % 700).alias("customer_id"),
+        F.timestamp_seconds(F.col("id") * 3600).cast("timestamp_ntz").alias("order_created_ts"),
+    )
+    customers = spark.range(700).select(
+        F.col("id").alias("customer_id"),
+        F.sha2(F.col("id").cast("string"), 256).alias("city"),
+        (F.col("id") % 27).cast("string").alias("state"),
+    )
+    products = spark.range(5000).select(
+        F.col("id").alias("product_id"), F.sha2(F.col("id").cast("string"), 256).alias("category")
+    )
+    sellers = spark.range(300).select(
+        F.col("id").alias("seller_id"),
+        F.sha2(F.col("id").cast("string"), 224).alias("city"),
+        (F.col("id") % 27).cast("string").alias("state"),
+    )
+    out = gold.sales_fact(orders, items, products, customers, sellers)
+    got = out.collect()
+    assert len(got) == n
+    final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    item_joins = [line for line in final.splitlines() if "SortMergeJoin" in line and "__salt" not in line]
+    assert item_joins and all("(skew=true)" in line for line in item_joins), final
