@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.llm import mixing, secret_scan, sharding, url_filter
+from emporia.llm import bpe_automaton, mixing, secret_scan, sharding, token_counts, url_filter
 from emporia.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,10 +36,18 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), limit=512)
+
+
 def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(table(spark, sf_dir, "documents"), SHARD_BYTES)
 
 
+def op6_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_automaton.round_trip(table(spark, sf_dir, "documents"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
@@ -47,7 +55,9 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_source_mix": op1_source_mix,
     "op2_secret_scan": op2_secret_scan,
+    "op4_token_counts": op4_token_counts,
     "op5_sharding": op5_sharding,
+    "op6_bpe_automaton": op6_bpe_automaton,
     "op7_url_filter": op7_url_filter,
 }
 
