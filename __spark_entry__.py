@@ -22,6 +22,21 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from emporia.plans.queries import QUERIES  # noqa: E402
 
+# The training-data operators are an optional subpackage: without it, or without
+# corpus_pipeline.py, the other queries stay as they are.
+try:
+    import corpus_pipeline  # noqa: E402
+    from emporia.llm.queries import ORACLE_SQL as LLM_SQL  # noqa: E402
+    from emporia.llm.queries import QUERIES as LLM_QUERIES  # noqa: E402
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "emporia.llm", "emporia.llm.queries"):
+        raise
+    LLM_QUERIES, LLM_SQL = {}, {}
+else:
+    LLM_QUERIES = {**LLM_QUERIES, "pipeline": corpus_pipeline.run}
+    if corpus_pipeline.ORACLE_SQL:
+        LLM_SQL = {**LLM_SQL, "pipeline": corpus_pipeline.ORACLE_SQL}
+
 FLAGSHIP = "gold_daily_sales"
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -32,7 +47,7 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    return {**QUERIES, **LLM_QUERIES}
 
 
 # ---------------------------------------------------------------------------
@@ -242,4 +257,4 @@ def oracle_sql() -> dict[str, str]:
     for name in QUERIES:
         if name.startswith("bronze_"):
             sql[name] = _with("src_" + name[len("bronze_"):])
-    return sql
+    return {**sql, **LLM_SQL}
