@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.llm import bpe_automaton, mixing, secret_scan, sharding, token_counts, url_filter
+from emporia.llm import bpe_automaton, mixing, secret_scan, sharding, token_counts, toxicity, url_filter
 from emporia.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,10 @@ def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), limit=512)
 
@@ -55,6 +59,7 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_source_mix": op1_source_mix,
     "op2_secret_scan": op2_secret_scan,
+    "op3_toxicity": op3_toxicity,
     "op4_token_counts": op4_token_counts,
     "op5_sharding": op5_sharding,
     "op6_bpe_automaton": op6_bpe_automaton,
