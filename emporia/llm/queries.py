@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.llm import bpe_automaton, mixing, secret_scan, sharding, token_counts, toxicity, url_filter
+from emporia.llm import bpe_automaton, minhash, mixing, secret_scan, sharding, token_counts, toxicity, url_filter
 from emporia.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,10 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages"))
 
 
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_source_mix": op1_source_mix,
     "op2_secret_scan": op2_secret_scan,
@@ -64,6 +68,7 @@ QUERIES: dict[str, Query] = {
     "op5_sharding": op5_sharding,
     "op6_bpe_automaton": op6_bpe_automaton,
     "op7_url_filter": op7_url_filter,
+    "op8_minhash": op8_minhash,
 }
 
 ORACLE_SQL: dict[str, str] = {
