@@ -10,10 +10,10 @@ bounded size.
 
 Each of SAMPLES consistent weighted samples of two texts agrees with the
 probability of their weighted Jaccard similarity. ROWS samples make a band.
-Texts that share a band are candidates: in each bucket one member, chosen by a
-hash, is compared with all others (first by their samples, then exactly, by the
-weighted Jaccard similarity of their shingles). Members similar to it are linked;
-the others go on among themselves with another one, from the third round in
+Texts that share a band are candidates: in each bucket up to CHOSEN members, chosen by
+hashes, are compared with all others (first by their samples, then exactly, by the
+weighted Jaccard similarity of their shingles). Members similar to one are linked;
+the others go on among themselves with others chosen, from the second round in
 buckets that must share a second band too. So no bucket emits all its pairs,
 none is cut off, and the rounds end when no bucket has two members left. Classes
 are the connected components of the links.
@@ -21,9 +21,9 @@ are the connected components of the links.
 Exact copies are one text from the start: texts are keyed by their digest, and
 copies only counted. A text that is chosen by thousands is joined by salted key.
 
-Two texts at similarity 0.8 share no band with probability 1e-5; a pair is also
-left to other links if, wherever both meet, one is similar to the chosen member
-and the other is not.
+Two texts at similarity 0.8 share no band with probability 2e-4 (at 0.9: 7e-8); a
+pair is also left to other links if, wherever both meet, one is similar to a chosen
+member and the other to none.
 
 Defined cases: null and empty texts, and texts without words, are copies only of
 equal texts (null equals null); very long texts are read whole; repeated rows
@@ -49,16 +49,18 @@ from emporia.llm.components import connected_components
 
 WORDS_PER_SHINGLE = 5
 SIMILARITY = 0.8
-BANDS, ROWS = 16, 3
+BANDS, ROWS = 16, 4
+# Members of a bucket that are compared with all others in one round.
+CHOSEN = 4
 SAMPLES = BANDS * ROWS
 DF_BITS = 18
 DAMPING = 4.0
 # Pairs that agree in fewer samples are not compared exactly: at similarity 0.8,
-# 48 samples give 20 or fewer agreements with probability 1e-8.
-LEAST_AGREEING = 21
+# 64 samples give 31 or fewer agreements with probability 1e-8.
+LEAST_AGREEING = 32
 SALT_ROWS = 128
-TABLE_BITS = 16
-SLICE = 4096
+TABLE_BITS = 14
+SLICE = 512
 _WORD = re.compile(r"\w+")
 _MULTIPLIERS = np.random.default_rng(5).integers(1, 2**63, SAMPLES + WORDS_PER_SHINGLE, dtype=np.uint64) | np.uint64(1)
 
@@ -113,21 +115,23 @@ def _draws() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Tables of the scheme's random draws: r and log c of Gamma(2, 1), beta uniform."""
     rng = np.random.default_rng(11)
     size = 1 << TABLE_BITS
-    return rng.gamma(2.0, 1.0, size), np.log(rng.gamma(2.0, 1.0, size)), rng.random(size)
+    r, log_c, beta = rng.gamma(2.0, 1.0, size), np.log(rng.gamma(2.0, 1.0, size)), rng.random(size)
+    return r.astype(np.float32), log_c.astype(np.float32), beta.astype(np.float32)
 
 
 def samples(h: np.ndarray, w: np.ndarray) -> np.ndarray:
     """SAMPLES consistent weighted samples (uint32) of a non-empty weighted set."""
     r_of, log_c_of, beta_of = _draws()
-    best = np.full(SAMPLES, np.inf)
+    best = np.full(SAMPLES, np.inf, np.float32)
     out = np.zeros(SAMPLES, np.uint64)
     columns = np.arange(SAMPLES)
+    log_weights = np.log(w).astype(np.float32)
     for at in range(0, len(h), SLICE):
-        part, log_w = h[at : at + SLICE, None], np.log(w[at : at + SLICE])[:, None]
-        key = (part * _MULTIPLIERS[:SAMPLES]) >> np.uint64(64 - TABLE_BITS)
-        r, beta = r_of[key], beta_of[key]
+        part, log_w = h[at : at + SLICE, None], log_weights[at : at + SLICE, None]
+        key = ((part * _MULTIPLIERS[:SAMPLES]) >> np.uint64(64 - TABLE_BITS)).view(np.int64)
+        r, beta = r_of.take(key), beta_of.take(key)
         t = np.floor(log_w / r + beta)
-        log_a = log_c_of[key] - r * (t - beta + 1.0)
+        log_a = log_c_of.take(key) - r * (t - beta + np.float32(1.0))
         row = log_a.argmin(axis=0)
         least = log_a[row, columns]
         drawn = h[at + row] + t[row, columns].astype(np.int64).view(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
@@ -214,68 +218,90 @@ def _salted(pairs: DataFrame, chosen: DataFrame, hash_of: str = "node") -> DataF
 
 
 def _met(members: DataFrame, turn: int) -> DataFrame:
-    """``members`` (node, band, key) of buckets with two or more, with the bucket's chosen node."""
-    order = F.xxhash64("node", "band", F.lit(turn))
+    """``members`` (node, band, key) of buckets with two or more, once with each of the
+    bucket's chosen nodes (a chosen node also with itself)."""
+    least = [
+        F.min(F.struct(F.xxhash64("node", "band", F.lit(turn * CHOSEN + c)).alias("o"), "node"))["node"]
+        for c in range(CHOSEN)
+    ]
     buckets = (
         members.groupBy("band", "key")
-        .agg(F.min(F.struct(order.alias("o"), "node"))["node"].alias("chosen"), F.max("node").alias("z"), F.min("node").alias("a"))
+        .agg(F.array_distinct(F.array(*least)).alias("all"), F.max("node").alias("z"), F.min("node").alias("a"))
         .where("a <> z")
-        .select("band", "key", "chosen")
+        .select("band", "key", F.explode("all").alias("chosen"))
     )
-    return members.join(buckets, ["band", "key"]).where("node <> chosen")
+    return members.join(buckets, ["band", "key"])
+
+
+def _compared(docs: DataFrame, texts: DataFrame, pairs: DataFrame, idf, similarity: float) -> DataFrame:
+    """The pairs (node, chosen) whose texts are similar: by samples first, then exactly."""
+    signed = texts.select("node", "sig")
+    both = pairs.join(signed.withColumnRenamed("sig", "sig_a"), "node")
+    both = _salted(both, signed.select(F.col("node").alias("chosen"), F.col("sig").alias("sig_b")))
+    near = both.withColumn("agree", _agreeing(F.col("sig_a"), F.col("sig_b"))).where(F.col("agree") >= LEAST_AGREEING)
+    near = written(near.select("node", "chosen"), "minhash-near")
+    needed = near.select("node").union(near.select("chosen")).distinct()
+    rows = texts.select("node", "doc_id").join(needed, "node")
+    whole = (
+        docs.select("doc_id", "text", text_key(F.col("text")).alias("node"))
+        .join(rows, ["doc_id", "node"], "left_semi")
+        .select("node", "text")
+        .dropDuplicates(["node"])
+    )
+    whole = written(whole, "minhash-texts")
+    compared = near.join(whole.withColumnRenamed("text", "text_a"), "node")
+    compared = _salted(compared, whole.select(F.col("node").alias("chosen"), F.col("text").alias("text_b")))
+    checked = compared.select("node", "chosen", _similarity(F.col("text_a"), F.col("text_b"), idf).alias("similarity"))
+    return written(checked.where(F.col("similarity") >= similarity).select("node", "chosen"), "minhash-links")
+
+
+def _united(frames: list[DataFrame]) -> DataFrame:
+    out = frames[0]
+    for more in frames[1:]:
+        out = out.union(more)
+    return out
 
 
 def links(docs: DataFrame, texts: DataFrame, idf, similarity: float = SIMILARITY) -> DataFrame:
     """(u, v): links between text keys. ``texts`` (node, doc_id, sig) has one row per
     distinct text with words, and one of its rows' doc_id."""
     signed = texts.select("node", "sig")
-    members, turn, found, tried = written(_bands(signed), "minhash-bands"), 0, [], None
+    found: list[DataFrame] = []
+    tried: list[DataFrame] = []
+    members, turn = _bands(signed), 0
     while True:
         met = written(_met(members, turn), "minhash-met")
         if met.isEmpty():
             break
-        pairs = met.select("node", "chosen").distinct()
-        if tried is not None:
-            pairs = pairs.join(tried.select("node", "chosen"), ["node", "chosen"], "left_anti")
+        pairs = met.where("node <> chosen").select(
+            F.greatest("node", "chosen").alias("node"), F.least("node", "chosen").alias("chosen")
+        ).distinct()
+        if tried:
+            pairs = pairs.join(_united(tried), ["node", "chosen"], "left_anti")
         pairs = written(pairs, "minhash-pairs")
-        both = pairs.join(signed.withColumnRenamed("sig", "sig_a"), "node")
-        both = _salted(both, signed.select(F.col("node").alias("chosen"), F.col("sig").alias("sig_b")))
-        near = both.withColumn("agree", _agreeing(F.col("sig_a"), F.col("sig_b"))).where(F.col("agree") >= LEAST_AGREEING)
-        near = written(near.select("node", "chosen"), "minhash-near")
-        needed = near.select("node").union(near.select("chosen")).distinct()
-        rows = texts.select("node", "doc_id").join(needed, "node")
-        whole = (
-            docs.select("doc_id", "text", text_key(F.col("text")).alias("node"))
-            .join(rows, ["doc_id", "node"], "left_semi")
-            .select("node", "text")
-            .dropDuplicates(["node"])
-        )
-        whole = written(whole, "minhash-texts")
-        compared = near.join(whole.withColumnRenamed("text", "text_a"), "node")
-        compared = _salted(compared, whole.select(F.col("node").alias("chosen"), F.col("text").alias("text_b")))
-        checked = compared.select(
-            "node", "chosen", _similarity(F.col("text_a"), F.col("text_b"), idf).alias("similarity")
-        )
-        linked = written(checked.where(F.col("similarity") >= similarity).select("node", "chosen"), "minhash-links")
-        found.append(linked)
-        tried = pairs if tried is None else written(tried.union(pairs), "minhash-tried")
-        known = found[0]
-        for more in found[1:]:
-            known = known.union(more)
-        # Members not linked to the chosen one go on without it.
-        rest = met.join(known, ["node", "chosen"], "left_anti").select("node", "band", "key")
+        tried.append(pairs)
+        if not pairs.isEmpty():
+            found.append(_compared(docs, texts, pairs, idf, similarity))
+        # The chosen have met all others; members linked to one of them are done too.
+        done = F.col("node") == F.col("chosen")
+        rest = met
+        if found:
+            known = _united(found)
+            known = known.union(known.select("chosen", "node")).withColumn("linked", F.lit(True))
+            rest = met.join(known, ["node", "chosen"], "left")
+            done = done | F.coalesce("linked", F.lit(False))
+        rest = rest.groupBy("band", "key", "node").agg(F.max(done).alias("done")).where("not done").drop("done")
         turn += 1
-        if turn == 2:
+        if turn == 1:
             # From here on, buckets of those left must share a second band too.
             other = _bands(signed).select("node", F.col("band").alias("band2"), F.col("key").alias("key2"))
-            rest = rest.join(other, "node").where("band <> band2").select(
+            rest = rest.join(other, "node").where("band < band2").select(
                 "node", (F.col("band") * BANDS + F.col("band2")).alias("band"), F.xxhash64("key", "key2").alias("key")
             )
-        members = written(rest, "minhash-bands")
-    out = docs.sparkSession.createDataFrame([], "u string, v string")
-    for linked in found:
-        out = out.union(linked.select(F.col("node").alias("u"), F.col("chosen").alias("v")))
-    return out
+        members = rest
+    if not found:
+        return docs.sparkSession.createDataFrame([], "u string, v string")
+    return _united(found).select(F.col("node").alias("u"), F.col("chosen").alias("v"))
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.llm import bpe_automaton, minhash, mixing, secret_scan, sharding, token_counts, toxicity, url_filter
+from emporia.llm import bit_sliced, bpe_automaton, minhash, mixing, multiprobe, secret_scan, sharding, token_counts, toxicity, url_filter
 from emporia.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +60,14 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_multiprobe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multiprobe.nearest(table(spark, sf_dir, "embeddings"), every=20, k=20)
+
+
+def op10_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bit_sliced.top_k(table(spark, sf_dir, "embeddings"), every=100, k=10)
+
+
 QUERIES: dict[str, Query] = {
     "op1_source_mix": op1_source_mix,
     "op2_secret_scan": op2_secret_scan,
@@ -69,9 +77,12 @@ QUERIES: dict[str, Query] = {
     "op6_bpe_automaton": op6_bpe_automaton,
     "op7_url_filter": op7_url_filter,
     "op8_minhash": op8_minhash,
+    "op9_multiprobe": op9_multiprobe,
+    "op10_bit_sliced": op10_bit_sliced,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op5_sharding": sharding.ORACLE.format(limit=SHARD_BYTES),
     "op7_url_filter": url_filter.oracle(),
+    "op10_bit_sliced": bit_sliced.ORACLE,
 }
