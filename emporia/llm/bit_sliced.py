@@ -141,13 +141,13 @@ def top_k(vectors: DataFrame, every: int = 100, k: int = 10, id_col: str = "vec_
 
 ORACLE = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS c
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS c
   FROM embeddings
   WHERE embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
   SELECT q.vec_id AS query_id, v.vec_id,
-         CAST(list_sum(list_transform(list_zip(q.c, v.c), z -> z[1] * z[2])) AS BIGINT) AS score
+         CAST(list_sum(list_transform(list_zip(q.c, v.c), lambda z: z[1] * z[2])) AS BIGINT) AS score
   FROM v AS q JOIN v ON q.vec_id % 100 = 0 AND v.vec_id <> q.vec_id AND len(q.c) = len(v.c))
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
        vec_id, score

@@ -15,9 +15,10 @@ read). The full table would have a cell for each pair of 50,000 tokens, so cells
 are filled when first read, and kept in a bounded table per worker.
 
 The automaton is deterministic on bytes too: each prefix of a word has exactly one
-encoding, so the state after ``j`` bytes is one token. A word is encoded by one
-left-to-right pass that looks up, for the tokens ending at ``j``, the cell of the
-state before them. Decoding emits the labels (byte strings) of the arcs.
+encoding, so a place in a word is reached in one state. A word is encoded from left
+to right, by the longest token whose cell is set; a place with no way on is
+marked and never entered again, so no word takes more than one visit per byte.
+Decoding emits the labels (byte strings) of the arcs.
 
 Texts are split into words by the tokenizer's own split; special strings are cut
 out first, as the library does. One row in, one row out: no shuffle.
@@ -35,7 +36,6 @@ import json
 from collections.abc import Iterator
 from functools import lru_cache
 
-import numpy as np
 import pandas as pd
 import regex
 from pyspark.sql import Column, DataFrame
@@ -102,7 +102,7 @@ class Automaton(Splitter):
         self.parts_of: dict[int, tuple[int, int]] = {}  # token -> its pair
         self.made: dict[int, int] = {}  # token -> rank of its merge, -1 for a byte
         self.label: dict[int, bytes] = {i: s.encode("utf-8") for s, i in self.special.items()}
-        self.cells: dict[tuple[int, int], bool] = {}
+        self.cells: dict[int, bool] = {}
         self.cache: dict[str, tuple[int, ...]] = {}
         for char, byte in self.chars.items():
             if char in vocab:
@@ -116,10 +116,12 @@ class Automaton(Splitter):
                 self.label[uv] = self.label[u] + self.label[v]
             self.rank.setdefault((u, v), r)
         self.token = {self.label[t]: t for t in self.made}
-        ends: dict[bytes, list[int]] = {}
+        starts: dict[bytes, set[int]] = {}
         for label in self.token:
-            ends.setdefault(label[-2:], []).append(len(label))
-        self.lengths = {e: sorted(set(n), reverse=True) for e, n in ends.items()}
+            if len(label) >= 3:
+                starts.setdefault(label[:3], {2, 1}).add(len(label))
+        # Lengths of the tokens that start with three bytes, longest first.
+        self.lengths = {start: tuple(sorted(n, reverse=True)) for start, n in starts.items()}
 
     def arc(self, a: int, b: int, limit: int) -> bool:
         """Whether the arc a -> b exists after the first ``limit`` gadgets."""
@@ -138,7 +140,7 @@ class Automaton(Splitter):
 
     def follows(self, a: int, b: int) -> bool:
         """The cell of state ``a`` and token ``b``."""
-        key = (a, b)
+        key = a << 32 | b
         found = self.cells.get(key)
         if found is None:
             if len(self.cells) >= CELLS:
@@ -147,28 +149,32 @@ class Automaton(Splitter):
         return found
 
     def encode_word(self, word: bytes) -> list[int]:
-        n = len(word)
-        state = np.full(n + 1, -1, dtype=np.int64).tolist()
-        for j in range(1, n + 1):
-            # At most as many tokens end here as there are lengths for these last bytes.
-            for length in self.lengths.get(word[max(0, j - 2) : j], ()) if j > 1 else (1,):
-                i = j - length
-                if i < 0:
+        whole = self.token.get(word)
+        if whole is not None:
+            return [whole]
+        n, at, state = len(word), 0, -1
+        read: list[int] = []
+        tries = [iter(self.lengths.get(word[:3], (2, 1)))]
+        dead: set[int] = set()  # places from which the end cannot be reached: each is left once
+        while at < n:
+            for length in tries[-1]:
+                end = at + length
+                if end > n or end in dead:
                     continue
-                t = self.token.get(word[i:j])
-                if t is not None and (i == 0 or self.follows(state[i], t)):
-                    state[j] = t
+                t = self.token.get(word[at:end])
+                if t is not None and (state < 0 or self.follows(state, t)):
+                    read.append(t)
+                    at, state = end, t
+                    tries.append(iter(self.lengths.get(word[at : at + 3], (2, 1))))
                     break
             else:
-                t = self.token.get(word[j - 1 : j])  # a single byte always can be read
-                if t is None or (j > 1 and not self.follows(state[j - 1], t)):
-                    raise ValueError("the automaton has no arc for this text")
-                state[j] = t
-        out, j = [], n
-        while j:
-            out.append(state[j])
-            j -= len(self.label[state[j]])
-        return out[::-1]
+                if not read:
+                    raise ValueError("the automaton has no path for this text")
+                dead.add(at)
+                tries.pop()
+                at -= len(self.label[read.pop()])
+                state = read[-1] if read else -1
+        return read
 
     def encode(self, text: str) -> list[int]:
         ids: list[int] = []
