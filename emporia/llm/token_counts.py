@@ -50,26 +50,37 @@ class Counts:
         self.split, self.hashes, self.lengths = splitter(path), hashes, lengths
         self.cache: dict[str, int] = {}
 
-    def frequent(self, word: str) -> int:
-        """Length by the broadcast table, 0 if it is not there."""
-        h = np.uint64(_hash(word))
-        at = int(np.searchsorted(self.hashes, h))
-        return int(self.lengths[at]) if at < len(self.hashes) and self.hashes[at] == h else 0
+    def frequent(self, words: list[str]) -> list[int]:
+        """Lengths by the broadcast table, 0 where it lacks a word."""
+        if not len(self.hashes):
+            return [0] * len(words)
+        h = np.fromiter(map(_hash, words), np.uint64, len(words))
+        at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == h, self.lengths[at], 0).tolist()
 
     def words(self, words: list[str]) -> int:
-        counted, total, misses = Counter(words), 0, []
+        counted, known = Counter(words), self.cache.get
+        total, new = 0, []
         for word, times in counted.items():
-            n = self.cache.get(word) or (len(word) <= WORD_KEPT and self.frequent(word)) or 0
-            if n:
-                self._keep(word, n)
+            n = known(word)
+            if n is None:
+                new.append(word)
+            else:
                 total += n * times
+        misses = []
+        for word, n in zip(new, self.frequent(new), strict=True):
+            # Longer words were not counted for the table.
+            if n and len(word) <= WORD_KEPT:
+                self._keep(word, n)
+                total += n * counted[word]
             else:
                 misses.append(word)
         if misses:
-            coded = self.split.tokenizer.encode_batch(misses, add_special_tokens=False)
+            coded = self.split.tokenizer.encode_batch_fast(misses, add_special_tokens=False)
             for word, code in zip(misses, coded, strict=True):
-                self._keep(word, len(code.ids))
-                total += len(code.ids) * counted[word]
+                n = len(code)
+                self._keep(word, n)
+                total += n * counted[word]
         return total
 
     def _keep(self, word: str, n: int) -> None:
