@@ -15,6 +15,7 @@ empty table gives an empty result; further columns are not read.
 
 from __future__ import annotations
 
+import os
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -36,6 +37,8 @@ WORD_KEPT = 64
 
 @lru_cache(maxsize=2)
 def splitter(path: str) -> Splitter:
+    # A task has one core: the library's own threads would only spin beside it.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     return Splitter(path)
 
 
