@@ -59,11 +59,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def _zip_key(expr: str) -> str:
     text = f"trim(CAST({expr} AS VARCHAR))"
-    return f"(CASE WHEN length({text}) < 5 THEN lpad({text}, 5, '0') ELSE {text} END)"
+    raw = f"CAST({expr} AS VARCHAR)"
+    return (
+        f"(CASE WHEN regexp_full_match({text}, '[0-9]{{1,4}}') THEN lpad({text}, 5, '0')"
+        f" WHEN regexp_full_match({text}, '[0-9]+') THEN {text} ELSE {raw} END)"
+    )
 
 
 def _money_sum(expr: str) -> str:
-    return f"SUM(CAST({expr} AS DECIMAL(18,4)))"
+    return f"SUM(CAST({expr} AS DECIMAL(28,10)))"
 
 
 _CTES: dict[str, tuple[tuple[str, ...], str]] = {

@@ -79,12 +79,14 @@ def line_total(price: Column | str, freight: Column | str) -> Column:
 def zip_key(col: Column | str) -> Column:
     """Join key for zip-code prefixes.
 
-    Text, trimmed, and left-padded with zeros to ``ZIP_WIDTH`` so that a file
-    that lost its leading zeros (``1151``) meets one that kept them
-    (``01151``). Longer values are left as they are rather than cut.
+    Digits are trimmed, and left-padded with zeros to ``ZIP_WIDTH`` so that a
+    file that lost its leading zeros (``1151``) meets one that kept them
+    (``01151``). Longer numbers are left as they are rather than cut; a blank or
+    anything but digits stays as it is, so a blank meets only an equal blank.
     """
-    text = F.trim(_c(col).cast("string"))
-    return F.when(F.length(text) < ZIP_WIDTH, F.lpad(text, ZIP_WIDTH, "0")).otherwise(text)
+    raw = _c(col).cast("string")
+    text = F.trim(raw)
+    return F.when(text.rlike("^[0-9]+$"), F.lpad(text, F.greatest(F.length(text), F.lit(ZIP_WIDTH)), F.lit("0"))).otherwise(raw)
 
 
 __all__ = [

@@ -4,11 +4,11 @@ from emporia.operators.centroid import centroid
 from emporia.operators.dedupe import dedupe
 from emporia.operators.money import (
     MONEY_SCALE,
-    UNITS_PER_MONEY,
     exact_total,
     mean_of,
     money_sum,
     money_units,
+    repeated,
     units_to_money,
 )
 from emporia.operators.profile import log_profile, preview, profile
@@ -18,7 +18,7 @@ __all__ = [
     "centroid",
     "dedupe",
     "MONEY_SCALE",
-    "UNITS_PER_MONEY",
+    "repeated",
     "exact_total",
     "mean_of",
     "money_sum",

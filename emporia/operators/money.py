@@ -1,17 +1,17 @@
 """Exact, order-independent money sums.
 
 A ``sum`` over doubles depends on the order rows arrive in, so two layouts of
-the same data (or a recomputed partition) can differ in the last bits. Money
-carries at most ``MONEY_SCALE`` decimals, so each amount is rounded once to an
-integer number of 1/10^MONEY_SCALE units and summed as ``bigint``; only the final
-total is turned back into a double. Integer partial sums are exact, so a sum may
-be split and re-combined in any grouping (pre-aggregation below a join, partial
-aggregates across map tasks) without changing a bit of the result.
-
-``bigint`` units keep the aggregation on Spark's fixed-width hash-aggregate fast
-path (a ``decimal(28,4)`` buffer is about twice as slow). Totals are exact up to
-about 9.2e14 money units per group; beyond that ANSI mode raises an overflow
-error rather than returning a wrong sum.
+the same data (or a recomputed partition) can differ in the last bits. Each
+amount is therefore turned once into a decimal with ``MONEY_SCALE`` places and
+summed as a wide decimal; only the final total is a double again. Decimal partial
+sums are exact, so a sum may be split and re-combined in any grouping
+(pre-aggregation below a join, partial aggregates across map tasks) without
+changing a bit of the result.
+
+An amount that has no such decimal (NaN, infinite, or 1e17 and more) raises an
+error on its row, whether or not ANSI mode is on; a total beyond 38 digits raises
+under ANSI mode, which is Spark's default and in ``RECOMMENDED_CONF``. No total
+is ever silently wrong.
 
 Use for money only: coordinates keep plain ``avg`` (rounding would lose precision).
 """
@@ -21,28 +21,36 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: money is kept to four decimal places while summing.
-MONEY_SCALE = 4
-UNITS_PER_MONEY = 10**MONEY_SCALE
+# Decimal places kept while summing, and the amounts that fit.
+MONEY_SCALE = 10
+MONEY_BELOW = 1e17
+UNIT_TYPE = f"decimal(28,{MONEY_SCALE})"
 
 
 def money_units(col: Column) -> Column:
-    """A double amount as a whole number of 1/10^MONEY_SCALE units (half rounds up)."""
-    return F.floor(col * F.lit(float(UNITS_PER_MONEY)) + F.lit(0.5))
+    """A double amount as an exact decimal (half rounds up at MONEY_SCALE places)."""
+    fits = col.isNull() | (F.abs(col) < F.lit(MONEY_BELOW))
+    beyond = F.raise_error(F.concat(F.lit("amount cannot be summed as money: "), col.cast("string")))
+    return F.when(fits, col.cast(UNIT_TYPE)).otherwise(beyond.cast(UNIT_TYPE))
+
+
+def repeated(units: Column, times: Column) -> Column:
+    """``times`` copies of an exact amount (a product that still has all its places)."""
+    return units.cast(UNIT_TYPE) * times.cast("decimal(9,0)")
 
 
 def units_to_money(units: Column) -> Column:
-    """Units back to a double amount (correctly rounded below 2^53 units)."""
-    return units.cast("double") / F.lit(float(UNITS_PER_MONEY))
+    """An exact amount as the nearest double."""
+    return units.cast("double")
 
 
 def money_sum(col: Column) -> Column:
-    """Aggregate: exact sum of amounts, in units (NULL when every input is NULL)."""
+    """Aggregate: exact sum of amounts (NULL when every input is NULL)."""
     return F.sum(money_units(col))
 
 
 def exact_total(units_sum: Column) -> Column:
-    """Aggregate partial unit sums and return the total as a double."""
+    """Aggregate partial sums and return the total as a double."""
     return units_to_money(F.sum(units_sum))
 
 

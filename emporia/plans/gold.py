@@ -14,7 +14,7 @@ Plans are shaped for scale without changing a result:
 * Items are summed per order *before* the order-level joins (partial
   aggregation map-side), so the customer join and the final aggregate see one
   row per order instead of one per item. Money sums are exact integer sums of
-  1/10^4 units (``operators.money``), so regrouping them cannot change a bit.
+  exact decimals (``operators.money``), so regrouping them cannot change a bit.
 * Reviews are summarised per order before the product-performance join: the
   review fan-out is reproduced arithmetically (counts and sums multiplied by the
   number of reviews) instead of materialising item x review pairs.
@@ -43,12 +43,13 @@ from emporia.operators import (
     mean_of,
     money_sum,
     money_units,
+    repeated,
     units_to_money,
 )
 
 
 def item_totals_by_order(order_items: DataFrame) -> DataFrame:
-    """Per order_id: exact sum of ``price + freight`` (money units) and the count of non-NULL amounts."""
+    """Per order_id: exact sum of ``price + freight`` (exact decimal) and the count of non-NULL amounts."""
     amount = line_total("price", "freight_value")
     return order_items.groupBy("order_id").agg(
         money_sum(amount).alias("amount_sum"),
@@ -112,7 +113,7 @@ def customer_ltv(orders: DataFrame, order_items: DataFrame, customers: DataFrame
         "customer_id",
         F.col("state").alias("customer_state"),
         "total_orders",
-        units_to_money(F.col("amount_sum") * F.col("copies")).alias("total_spent"),
+        units_to_money(repeated(F.col("amount_sum"), F.col("copies"))).alias("total_spent"),
         "last_order_timestamp",
     )
 
@@ -144,7 +145,7 @@ def product_performance(order_items: DataFrame, products: DataFrame, reviews: Da
         F.sum(F.when(F.col("order_id").isNotNull(), copies).otherwise(F.lit(0).cast("bigint"))).alias(
             "total_units_sold"
         ),
-        units_to_money(F.sum(money_units(F.col("amount")) * copies)).alias("total_revenue"),
+        units_to_money(F.sum(repeated(money_units(F.col("amount")), copies))).alias("total_revenue"),
         mean_of(F.sum("score_sum"), F.sum("score_n")).alias("average_review_score"),
     )
 

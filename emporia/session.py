@@ -62,11 +62,9 @@ def build_session(
 
 
 # Automatic shuffle sizing. Shuffled rows take about twice their
-# compressed columnar size on disk; partition counts are kept within bounds the
-# driver's map-output tracking handles comfortably.
+# compressed columnar size on disk.
 SHUFFLE_BYTES_PER_INPUT_BYTE = 2
 MIN_SHUFFLE_PARTITIONS = 8
-MAX_SHUFFLE_PARTITIONS = 65536
 
 _BYTE_UNITS = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40, "p": 1 << 50}
 
@@ -93,8 +91,8 @@ def input_bytes(df: DataFrame) -> int:
 def shuffle_partitions_for(spark: SparkSession, frames: list[DataFrame]) -> int:
     """Shuffle partitions for a job reading ``frames``: about one advisory-sized
     partition (``spark.sql.adaptive.advisoryPartitionSizeInBytes``) per
-    ``SHUFFLE_BYTES_PER_INPUT_BYTE`` x input bytes, within
-    [``MIN_SHUFFLE_PARTITIONS``, ``MAX_SHUFFLE_PARTITIONS``].
+    ``SHUFFLE_BYTES_PER_INPUT_BYTE`` x input bytes, at least
+    ``MIN_SHUFFLE_PARTITIONS`` and without an upper bound.
 
     Sized for the largest shuffle the job can produce, so no partition has to
     spill heavily; AQE then coalesces the smaller shuffles down to the advisory
@@ -103,7 +101,7 @@ def shuffle_partitions_for(spark: SparkSession, frames: list[DataFrame]) -> int:
     advisory = byte_size(spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64m"))
     total = sum(input_bytes(f) for f in frames)
     wanted = -(-total * SHUFFLE_BYTES_PER_INPUT_BYTE // advisory)
-    return int(min(MAX_SHUFFLE_PARTITIONS, max(MIN_SHUFFLE_PARTITIONS, wanted)))
+    return int(max(MIN_SHUFFLE_PARTITIONS, wanted))
 
 
 def _context_checkpoint_dir(spark: SparkSession) -> str | None:

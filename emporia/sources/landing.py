@@ -4,11 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType, TimestampNTZType
+from pyspark.sql.types import StringType, StructType, TimestampNTZType
 
 from emporia.sources.registry import MULTILINE_SOURCES, Registry
 from emporia.sources.schemas import SOURCE_SCHEMAS
 
+# Fixed value: what the CSV reader puts for a missing field before it becomes NULL.
+NULL_MARK = "\\N"
+
 
 def cast_by_name(df: DataFrame, schema: StructType) -> DataFrame:
     """Cast each declared column, matched by name, to its declared type.
@@ -26,10 +29,13 @@ def cast_by_name(df: DataFrame, schema: StructType) -> DataFrame:
     for name, dtype in declared.items():
         if df.schema[name].dataType == dtype:
             continue
+        value = F.col(f"`{name}`")
+        if isinstance(df.schema[name].dataType, StringType):
+            value = F.when(F.trim(value) != "", value)  # empty text has no number or time
         if isinstance(dtype, TimestampNTZType):
-            casts[name] = F.to_timestamp_ntz(F.col(f"`{name}`"))
+            casts[name] = F.to_timestamp_ntz(value)
         else:
-            casts[name] = F.col(f"`{name}`").cast(dtype)
+            casts[name] = value.cast(dtype)
     return df.withColumns(casts) if casts else df
 
 
@@ -46,12 +52,14 @@ def read_csv(
     No schema inference: inference costs an extra pass over the file and its
     result depends on the data (``01151`` would become the integer 1151).
     ``multiline`` reads quoted fields that contain line breaks as one record
-    (``"`` doubles as the escape character), at the price of not splitting the
-    file across tasks.
+    at the price of not splitting a file across tasks: land such a dataset as
+    many part files. A quote inside a quoted field is doubled.
     """
-    reader = spark.read.option("header", header).option("inferSchema", False)
+    reader = spark.read.option("header", header).option("inferSchema", False).option("escape", '"')
+    # A missing field is NULL, a quoted empty one is the empty text.
+    reader = reader.option("nullValue", NULL_MARK).option("emptyValue", "")
     if multiline:
-        reader = reader.option("multiLine", True).option("escape", '"')
+        reader = reader.option("multiLine", True)
     for key, value in (options or {}).items():
         reader = reader.option(key, value)
     df = reader.csv(path)
@@ -85,6 +93,7 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
         .option("escape", '"')
+        .option("emptyValue", '""')
         .option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss[.SSSSSS]")
         .csv(path)
     )

@@ -68,8 +68,8 @@ def test_line_total_null_propagates(spark):
 
 
 def test_zip_key_pads_short_and_keeps_long(spark):
-    df = spark.createDataFrame([("1151",), ("01151",), (" 9790 ",), ("123456",), (None,)], "z string")
+    df = spark.createDataFrame([("1151",), ("01151",), (" 9790 ",), ("123456",), (None,), ("",), ("  ",), ("ab",)], "z string")
     out = [r[0] for r in df.select(fn.zip_key("z")).collect()]
-    assert out == ["01151", "01151", "09790", "123456", None]
+    assert out == ["01151", "01151", "09790", "123456", None, "", "  ", "ab"]
     ints = spark.createDataFrame([(1151,)], "z int")
     assert ints.select(fn.zip_key("z")).first()[0] == "01151"

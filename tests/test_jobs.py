@@ -101,7 +101,7 @@ def test_shuffle_partitions_follow_input_bytes(spark):
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1t")
         assert session.shuffle_partitions_for(spark, [df]) == session.MIN_SHUFFLE_PARTITIONS
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1")
-        assert session.shuffle_partitions_for(spark, [df]) == session.MAX_SHUFFLE_PARTITIONS
+        assert session.shuffle_partitions_for(spark, [df]) == size * session.SHUFFLE_BYTES_PER_INPUT_BYTE
     finally:
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", saved)
 

@@ -2,9 +2,10 @@ from __future__ import annotations
 
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
-from emporia.operators import centroid, dedupe, exact_total, mean_of, money_sum, preview, profile
+from emporia.operators import centroid, dedupe, exact_total, mean_of, money_sum, preview, profile, units_to_money
 from tests.conftest import rows
 
 ITEMS = [
@@ -74,7 +75,21 @@ def test_money_sum_is_exact_and_order_independent(spark):
         partial = shuffled.groupBy(F.spark_partition_id().alias("p")).agg(money_sum(F.col("x")).alias("s"))
         totals.add(partial.agg(exact_total(F.col("s"))).first()[0])
     assert totals == {float(Decimal("1000000.6701"))}
-    assert df.agg(money_sum(F.col("x")).alias("u")).first().u == 10000006701
+    assert df.agg(money_sum(F.col("x")).alias("u")).first().u == Decimal("1000000.6701")
+
+
+def test_money_sum_large_small_and_not_finite(spark):
+    def total(*values):
+        return spark.createDataFrame([(float(v),) for v in values], "x double").agg(
+            units_to_money(money_sum(F.col("x"))).alias("t")
+        ).first().t
+
+    assert total(1e15) == 1e15
+    assert total(1e15, 0.25) == 1e15 + 0.25
+    assert total(*[0.00004] * 10) == 0.0004
+    for bad in ("nan", "inf", "-inf", "1e17"):
+        with pytest.raises(Exception, match="cannot be summed as money"):
+            total(bad, 1.0)
 
 
 def test_mean_of_matches_avg_and_nulls_on_zero(spark):

@@ -106,6 +106,17 @@ def test_csv_round_trip_keeps_text_and_types(spark, workdir):
     assert back.collect() == src.collect()
 
 
+@pytest.mark.parametrize("multiline", [False, True])
+def test_csv_round_trip_quotes_and_empty_text(spark, workdir, multiline):
+    src = spark.createDataFrame(
+        [(1, 'say "hi", x', ""), (2, "a,b", None), (None, "\\N-like \\ slash", " ")], "id bigint, a string, b string"
+    )
+    path = os.path.join(workdir, "rt")
+    write_csv(src, path)
+    back = read_csv(spark, path, schema=src.schema, multiline=multiline)
+    assert sorted(back.collect(), key=str) == sorted(src.collect(), key=str)
+
+
 def test_layer_write_read_path_layout(spark, registry, workdir):
     wh = Warehouse(registry=registry, root=os.path.join(workdir, "wh"))
     df = read_source(spark, "sellers", registry)
