@@ -250,8 +250,10 @@ def redacted(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
         ).otherwise(F.struct(acc["out"].alias("out"), F.greatest(acc["at"], s["end"]).alias("at"))),
         lambda acc: F.concat(acc["out"], F.substr(text, acc["at"] + 1)),
     )
-    new = F.when(F.size("__all") > 0, cut).otherwise(text)
-    columns = {"text": new}
+    # Columns of one withColumns may see each other's new values: the new text needs a step and a name of its own.
+    found = found.withColumn("__new", F.when(F.size("__all") > 0, cut).otherwise(text))
+    columns = {c: F.col(f"`{c}`") for c in docs.columns} | {"text": F.col("__new").alias("text")}
     if "n_chars" in docs.columns:
-        columns["n_chars"] = F.when(F.size("__all") > 0, F.length(new).cast("long")).otherwise(F.col("n_chars"))
-    return found.withColumns(columns).select(*[F.col(f"`{c}`") for c in docs.columns])
+        n_chars = F.when(F.size("__all") > 0, F.length("__new").cast("long")).otherwise(F.col("n_chars"))
+        columns["n_chars"] = n_chars.alias("n_chars")
+    return found.select(*columns.values())
