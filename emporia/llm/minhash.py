@@ -2,7 +2,7 @@
 
 A text's shingles are its runs of five lower-cased words (a shorter text is one
 shingle). A shingle weighs its count in the text times a damped inverse document
-frequency, in [1, 1 + 1/DAMPING], so that passages many documents share count
+frequency, in [1, 1 + 1/DAMPING] and rounded to one of IDF_LEVELS steps, so that passages many documents share count
 less but a group of near copies, however large, still sees itself as similar.
 Document frequencies cover all documents: they are counted in 2**DF_BITS hash
 slots, less the slots' mean load, summed per task first, so the table has one
@@ -10,8 +10,8 @@ bounded size.
 
 Each of SAMPLES consistent weighted samples of two texts agrees with the
 probability of their weighted Jaccard similarity. ROWS samples make a band.
-Texts that share a band are candidates: in each bucket up to CHOSEN members, chosen by
-hashes, are compared with all others (first by their samples, then exactly, by the
+Texts that share a band are candidates: in each bucket up to CHOSEN members, the first by
+hashes that are the same in all buckets, are compared with all others (first by their samples, then exactly, by the
 weighted Jaccard similarity of their shingles). Members similar to one are linked;
 the others go on among themselves with others chosen, from the second round in
 buckets that must share a second band too. So no bucket emits all its pairs,
@@ -55,6 +55,9 @@ CHOSEN = 4
 SAMPLES = BANDS * ROWS
 DF_BITS = 18
 DAMPING = 4.0
+IDF_LEVELS = 9
+# Counts up to this one have their draws ready in a table.
+READY_COUNTS = 3
 # Pairs that agree in fewer samples are not compared exactly: at similarity 0.8,
 # 64 samples give 31 or fewer agreements with probability 1e-8.
 LEAST_AGREEING = 32
@@ -72,10 +75,11 @@ def shingles(text: str) -> tuple[np.ndarray, np.ndarray]:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
     known = {w: xxhash.xxh3_64_intdigest(w) for w in set(words)}
     h = np.fromiter((known[w] for w in words), np.uint64, len(words))
+    h ^= h >> np.uint64(29)
     n = max(1, len(words) - WORDS_PER_SHINGLE + 1)
     mixed = np.zeros(n, np.uint64)
     for i in range(min(WORDS_PER_SHINGLE, len(words))):
-        mixed += (h[i : i + n] ^ (h[i : i + n] >> np.uint64(29))) * _MULTIPLIERS[SAMPLES + i]
+        mixed += h[i : i + n] * _MULTIPLIERS[SAMPLES + i]
     mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
     return np.unique(mixed ^ (mixed >> np.uint64(29)), return_counts=True)
 
@@ -85,7 +89,7 @@ def _slots(h: np.ndarray) -> np.ndarray:
 
 
 def idf_table(docs: DataFrame) -> np.ndarray:
-    """The damped weight of each slot, from all rows of ``docs`` (text)."""
+    """The idf level of each slot, from all rows of ``docs`` (text)."""
 
     def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         slots, rows = np.zeros(1 << DF_BITS, np.int64), 0
@@ -102,12 +106,17 @@ def idf_table(docs: DataFrame) -> np.ndarray:
     inside = found[found.slot >= 0]
     slots[inside.slot.to_numpy(dtype=np.int64)] = inside.n.to_numpy(dtype=np.float64)
     df = np.maximum(1.0, slots - slots.mean())
-    return (1 + np.log1p(rows / df) / (DAMPING * np.log1p(rows))).astype(np.float32)
+    return np.rint(np.log1p(rows / df) / np.log1p(rows) * (IDF_LEVELS - 1)).clip(0, IDF_LEVELS - 1).astype(np.uint8)
+
+
+def _weight(n: np.ndarray, level: np.ndarray) -> np.ndarray:
+    """The weight of shingles with these counts and idf levels."""
+    return n * (1 + level / ((IDF_LEVELS - 1) * DAMPING))
 
 
 def weights(text: str, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     h, n = shingles(text)
-    return h, n * idf[_slots(h)].astype(np.float64)
+    return h, _weight(n, idf[_slots(h)])
 
 
 @lru_cache(maxsize=1)
@@ -119,30 +128,52 @@ def _draws() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return r.astype(np.float32), log_c.astype(np.float32), beta.astype(np.float32)
 
 
-def samples(h: np.ndarray, w: np.ndarray) -> np.ndarray:
-    """SAMPLES consistent weighted samples (uint32) of a non-empty weighted set."""
+def _drawn(key: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(log a, t) of the scheme for draws ``key`` at weights ``w``."""
     r_of, log_c_of, beta_of = _draws()
+    r, beta = r_of.take(key), beta_of.take(key)
+    t = np.floor(np.log(w).astype(np.float32) / r + beta)
+    return log_c_of.take(key) - r * (t - beta + np.float32(1.0)), t.astype(np.int32)
+
+
+@lru_cache(maxsize=1)
+def _ready() -> tuple[np.ndarray, np.ndarray]:
+    """(log a, t) of every draw at every idf level, for counts up to READY_COUNTS."""
+    n, level = np.divmod(np.arange(READY_COUNTS * IDF_LEVELS), IDF_LEVELS)
+    key = np.tile(np.arange(1 << TABLE_BITS), len(n))
+    return _drawn(key, np.repeat(_weight(n + 1, level), 1 << TABLE_BITS))
+
+
+def samples(h: np.ndarray, n: np.ndarray, level: np.ndarray) -> np.ndarray:
+    """SAMPLES consistent weighted samples (uint32) of a non-empty set of shingles with
+    their counts and idf levels."""
+    ready_log_a, ready_t = _ready()
     best = np.full(SAMPLES, np.inf, np.float32)
     out = np.zeros(SAMPLES, np.uint64)
     columns = np.arange(SAMPLES)
-    log_weights = np.log(w).astype(np.float32)
-    for at in range(0, len(h), SLICE):
-        part, log_w = h[at : at + SLICE, None], log_weights[at : at + SLICE, None]
-        key = ((part * _MULTIPLIERS[:SAMPLES]) >> np.uint64(64 - TABLE_BITS)).view(np.int64)
-        r, beta = r_of.take(key), beta_of.take(key)
-        t = np.floor(log_w / r + beta)
-        log_a = log_c_of.take(key) - r * (t - beta + np.float32(1.0))
-        row = log_a.argmin(axis=0)
-        least = log_a[row, columns]
-        drawn = h[at + row] + t[row, columns].astype(np.int64).view(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-        better = least < best
-        best[better], out[better] = least[better], drawn[better]
+    known = n <= READY_COUNTS
+    place = ((n - 1) * IDF_LEVELS + level) << TABLE_BITS
+    for rare, rows in ((False, np.flatnonzero(known)), (True, np.flatnonzero(~known))):
+        for at in range(0, len(rows), SLICE):
+            some = rows[at : at + SLICE]
+            key = ((_MULTIPLIERS[:SAMPLES, None] * h[some]) >> np.uint64(64 - TABLE_BITS)).view(np.int64)
+            if rare:
+                log_a, t = _drawn(key, _weight(n[some], level[some]))
+            else:
+                key += place[some]
+                log_a, t = ready_log_a.take(key), None
+            at_least = log_a.argmin(axis=1)
+            least = log_a[columns, at_least]
+            step = t[columns, at_least] if rare else ready_t[key[columns, at_least]]
+            drawn = h[some[at_least]] + step.astype(np.int64).view(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+            better = least < best
+            best[better], out[better] = least[better], drawn[better]
     return ((out * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.uint32)
 
 
 def text_key(text: Column) -> Column:
     """The key of a text: equal texts, and only they, share it."""
-    return F.coalesce(F.sha2(text, 256), F.lit("null"))
+    return F.coalesce(F.unhex(F.sha2(text, 256)), F.lit("null").cast("binary"))
 
 
 def _signatures(docs: DataFrame, idf) -> DataFrame:
@@ -155,8 +186,8 @@ def _signatures(docs: DataFrame, idf) -> DataFrame:
             done: dict[str, bytes | None] = {}
             for text in texts:
                 if text not in done:
-                    h, w = weights(text, table)
-                    done[text] = samples(h, w).tobytes() if len(h) else None
+                    h, n = shingles(text)
+                    done[text] = samples(h, n, table[_slots(h)].astype(np.int64)).tobytes() if len(h) else None
             yield pd.Series([done[t] for t in texts], dtype=object)
 
     return docs.select(text_key(F.col("text")).alias("node"), sign(text_or_empty()).alias("sig"))
@@ -219,9 +250,10 @@ def _salted(pairs: DataFrame, chosen: DataFrame, hash_of: str = "node") -> DataF
 
 def _met(members: DataFrame, turn: int) -> DataFrame:
     """``members`` (node, band, key) of buckets with two or more, once with each of the
-    bucket's chosen nodes (a chosen node also with itself)."""
+    bucket's chosen nodes (a chosen node also with itself). The order that chooses is the
+    same in all buckets, so the buckets of one group choose few different members."""
     least = [
-        F.min(F.struct(F.xxhash64("node", "band", F.lit(turn * CHOSEN + c)).alias("o"), "node"))["node"]
+        F.min(F.struct(F.xxhash64("node", F.lit(turn * CHOSEN + c)).alias("o"), "node"))["node"]
         for c in range(CHOSEN)
     ]
     buckets = (
@@ -300,7 +332,7 @@ def links(docs: DataFrame, texts: DataFrame, idf, similarity: float = SIMILARITY
             )
         members = rest
     if not found:
-        return docs.sparkSession.createDataFrame([], "u string, v string")
+        return docs.sparkSession.createDataFrame([], "u binary, v binary")
     return _united(found).select(F.col("node").alias("u"), F.col("chosen").alias("v"))
 
 

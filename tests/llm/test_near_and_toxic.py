@@ -67,10 +67,12 @@ def test_samples_agree_as_weighted_jaccard():
     agreed, expected = [], []
     for _ in range(60):
         h = np.sort(rng.integers(1, 2**63, 200, dtype=np.uint64))
-        w1, w2 = rng.integers(1, 5, 150).astype(float), rng.integers(1, 5, 150).astype(float)
-        a, b = (h[:150], w1), (h[50:], w2)
+        n1, n2 = rng.integers(1, 6, 150), rng.integers(1, 6, 150)
+        level = rng.integers(0, minhash.IDF_LEVELS, 200)
+        a, b = (h[:150], n1, level[:150]), (h[50:], n2, level[50:])
         agreed.append((minhash.samples(*a) == minhash.samples(*b)).mean())
-        expected.append(minhash.jaccard(*a, *b))
+        weighted = [x for i, n, lev in (a, b) for x in (i, minhash._weight(n, lev))]
+        expected.append(minhash.jaccard(*weighted))
     assert abs(np.mean(agreed) - np.mean(expected)) < 0.03
 
 
