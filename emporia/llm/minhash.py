@@ -12,18 +12,18 @@ Each of SAMPLES consistent weighted samples of two texts agrees with the
 probability of their weighted Jaccard similarity. ROWS samples make a band.
 Texts that share a band are candidates: in each bucket up to CHOSEN members, the first by
 hashes that are the same in all buckets, are compared with all others (first by their samples, then exactly, by the
-weighted Jaccard similarity of their shingles). Members similar to one are linked;
-the others go on among themselves with others chosen, from the second round in
-buckets that must share a second band too. So no bucket emits all its pairs,
-none is cut off, and the rounds end when no bucket has two members left. Classes
-are the connected components of the links.
+weighted Jaccard similarity of their shingles). Members similar to one are linked
+but stay: in buckets whose other members are not all in one component of the links yet, those outside the
+largest component meet all members, in tiles of bounded size. Each emits the pairs across components that
+agree in most samples, CHOSEN of them at first and four times as many each round, and they are compared
+exactly. So a large group does not emit all its pairs, and the rounds end only when every pair of every
+bucket has been compared or is in one component. Classes are the connected components of the links.
 
 Exact copies are one text from the start: texts are keyed by their digest, and
 copies only counted. A text that is chosen by thousands is joined by salted key.
 
-Two texts at similarity 0.8 share no band with probability 2e-4 (at 0.9: 7e-8); a
-pair is also left to other links if, wherever both meet, one is similar to a chosen
-member and the other to none.
+Two texts at similarity 0.8 share no band with probability 2e-4 (at 0.9: 7e-8), and agree in too few
+samples to be compared exactly with probability 1e-8. No other pair is left out.
 
 Defined cases: null and empty texts, and texts without words, are copies only of
 equal texts (null equals null); very long texts are read whole; repeated rows
@@ -64,6 +64,9 @@ LEAST_AGREEING = 32
 SALT_ROWS = 128
 TABLE_BITS = 14
 SLICE = 512
+# Members of a bucket in a tile, on either side; members of small buckets in one group.
+TILE_ROWS = 2048
+GROUP_ROWS = 1024
 _WORD = re.compile(r"\w+")
 _MULTIPLIERS = np.random.default_rng(5).integers(1, 2**63, SAMPLES + WORDS_PER_SHINGLE, dtype=np.uint64) | np.uint64(1)
 
@@ -248,21 +251,101 @@ def _salted(pairs: DataFrame, chosen: DataFrame, hash_of: str = "node") -> DataF
     return dealt.drop("salts").join(copies.drop("salts"), ["chosen", "salt"]).drop("salt")
 
 
-def _met(members: DataFrame, turn: int) -> DataFrame:
-    """``members`` (node, band, key) of buckets with two or more, once with each of the
-    bucket's chosen nodes (a chosen node also with itself). The order that chooses is the
+def _met(members: DataFrame) -> DataFrame:
+    """``members`` (node, band, key) of buckets with two or more, with ``all`` the
+    bucket's chosen nodes. The order that chooses is the
     same in all buckets, so the buckets of one group choose few different members."""
-    least = [
-        F.min(F.struct(F.xxhash64("node", F.lit(turn * CHOSEN + c)).alias("o"), "node"))["node"]
-        for c in range(CHOSEN)
-    ]
+    least = [F.min(F.struct(F.xxhash64("node", F.lit(c)).alias("o"), "node"))["node"] for c in range(CHOSEN)]
     buckets = (
         members.groupBy("band", "key")
         .agg(F.array_distinct(F.array(*least)).alias("all"), F.max("node").alias("z"), F.min("node").alias("a"))
         .where("a <> z")
-        .select("band", "key", F.explode("all").alias("chosen"))
+        .select("band", "key", "all")
     )
-    return members.join(buckets, ["band", "key"])
+    return members.join(written(buckets, "minhash-buckets"), ["band", "key"])
+
+
+def _best(agree: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray, bool]:
+    """Places in ``agree`` (asked, rows) of at least LEAST_AGREEING, of each asked the
+    ``limit`` highest, and whether there are more."""
+    near = agree >= LEAST_AGREEING
+    more = np.flatnonzero(near.sum(axis=1) > limit)
+    for i in more:
+        at = np.flatnonzero(near[i])
+        near[i, at[np.argsort(-agree[i, at].astype(np.int64), kind="stable")[limit:]]] = False
+    return *np.nonzero(near), len(more) > 0
+
+
+def _across(rest: DataFrame, parts: DataFrame, signed: DataFrame, limit: int) -> DataFrame | None:
+    """(node, chosen): pairs of ``rest`` (node, band, key) that share a bucket but no
+    component (``parts``) and agree in LEAST_AGREEING samples; in a tile at most the ``limit`` best for each node
+    outside the bucket's largest component. A row of nulls says that there are more. None if no bucket is open."""
+    own = rest.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    own = written(own, "minhash-own")
+    counted = own.groupBy("band", "key", "component").agg(F.count(F.lit(1)).alias("n"))
+    buckets = counted.groupBy("band", "key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("main"))
+    buckets = written(
+        buckets.where("n > main.n").select(
+            "band",
+            "key",
+            "n",
+            F.col("main.component").alias("main"),
+            F.ceil(F.col("n") / TILE_ROWS).cast("int").alias("chunks"),
+            F.ceil((F.col("n") - F.col("main.n")) / TILE_ROWS).cast("int").alias("blocks"),
+        ),
+        "minhash-open",
+    )
+    rows = buckets.agg(F.sum("n")).first()[0]
+    if not rows:
+        return None
+    groups = -(-rows // GROUP_ROWS)
+    dealt = own.join(buckets, ["band", "key"]).withColumn("late", F.col("component") != F.col("main"))
+    dealt = dealt.join(signed, "node").select("node", "component", "sig", "band", "key", "chunks", "blocks", "late")
+
+    def copies(frame: DataFrame, asked: bool, own_place: str, n: str, other: str, m: str) -> DataFrame:
+        return (
+            frame.withColumn(own_place, F.pmod(F.xxhash64("node"), F.col(n)).cast("int"))
+            .withColumn(other, F.explode(F.sequence(F.lit(0), F.col(m) - 1)))
+            .select("node", "component", "sig", "band", "key", "chunks", "blocks", "late", "chunk", "block", F.lit(asked).alias("asked"))
+        )
+
+    both = copies(dealt, False, "chunk", "chunks", "block", "blocks").union(
+        copies(dealt.where("late"), True, "block", "blocks", "chunk", "chunks")
+    )
+    bucket = F.xxhash64("band", "key", "chunk", "block")
+    small = F.col("chunks") * F.col("blocks") == 1
+    both = both.select(
+        "node", "component", "sig", "band", "key", "chunk", "block", "late", "asked",
+        # Large buckets have groups of their own, small ones share theirs.
+        F.when(small, F.pmod(bucket, F.lit(groups))).otherwise(bucket).alias("tile"),
+    )
+
+    def tile(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["band", "key", "chunk", "block", "asked", "node"], kind="stable")
+        sig = np.frombuffer(b"".join(rows["sig"]), np.uint32).reshape(-1, SAMPLES)
+        node, names = pd.factorize(rows["node"], sort=True)
+        component = pd.factorize(rows["component"])[0]
+        late, asked = rows["late"].to_numpy(dtype=bool), rows["asked"].to_numpy(dtype=bool)
+        place = rows[["band", "key", "chunk", "block"]].to_numpy(dtype=np.int64)
+        starts = np.flatnonzero(np.append(True, (place[1:] != place[:-1]).any(axis=1)))
+        out, cut = [], False
+        for start, end in zip(starts, np.append(starts[1:], len(rows)), strict=True):
+            first = start + int(np.count_nonzero(~asked[start:end]))
+            one, two = slice(first, end), slice(start, first)
+            agree = np.zeros((end - first, first - start), np.uint8)
+            for left, right in zip(sig[one].T, sig[two].T, strict=True):
+                agree += left[:, None] == right[None, :]
+            # Two that are both outside the largest component meet twice: once is enough.
+            twice = late[None, two] & (node[one, None] < node[None, two])
+            agree[twice | (component[one, None] == component[None, two])] = 0
+            i, j, more = _best(agree, limit)
+            cut |= more
+            out.append(np.column_stack([node[one][i], node[two][j]]))
+        pairs = np.unique(np.sort(np.concatenate(out), axis=1), axis=0)
+        found = pd.DataFrame({"node": names[pairs[:, 1]], "chosen": names[pairs[:, 0]]}, dtype=object)
+        return pd.concat([found, pd.DataFrame({"node": [None], "chosen": [None]})]) if cut else found
+
+    return both.groupBy("tile").applyInPandas(tile, "node binary, chosen binary")
 
 
 def _compared(docs: DataFrame, texts: DataFrame, pairs: DataFrame, idf, similarity: float) -> DataFrame:
@@ -294,46 +377,39 @@ def _united(frames: list[DataFrame]) -> DataFrame:
     return out
 
 
-def links(docs: DataFrame, texts: DataFrame, idf, similarity: float = SIMILARITY) -> DataFrame:
-    """(u, v): links between text keys. ``texts`` (node, doc_id, sig) has one row per
-    distinct text with words, and one of its rows' doc_id."""
+def links(docs: DataFrame, texts: DataFrame, idf, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+    """(u, v): links between text keys, and (node, component) of the linked ones. ``texts``
+    (node, doc_id, sig) has one row per distinct text with words, and one of its rows' doc_id."""
     signed = texts.select("node", "sig")
-    found: list[DataFrame] = []
-    tried: list[DataFrame] = []
-    members, turn = _bands(signed), 0
-    while True:
-        met = written(_met(members, turn), "minhash-met")
-        if met.isEmpty():
+    met = written(_met(_bands(signed)), "minhash-met")
+    pairs = met.select("node", F.explode("all").alias("chosen")).where("node <> chosen")
+    pairs = pairs.select(F.greatest("node", "chosen").alias("node"), F.least("node", "chosen").alias("chosen")).distinct()
+    tried = [written(pairs, "minhash-pairs")]
+    found = [_compared(docs, texts, tried[0], idf, similarity)]
+
+    def edges() -> DataFrame:
+        return _united(found).select(F.col("node").alias("u"), F.col("chosen").alias("v"))
+
+    parts = written(connected_components(edges()), "minhash-components")
+    # The chosen have met all others of their buckets.
+    rest = met.where(~F.array_contains("all", F.col("node"))).select("node", "band", "key")
+    limit, more = CHOSEN, True
+    while more:
+        across = _across(rest, parts, signed, limit)
+        if across is None:
             break
-        pairs = met.where("node <> chosen").select(
-            F.greatest("node", "chosen").alias("node"), F.least("node", "chosen").alias("chosen")
-        ).distinct()
-        if tried:
-            pairs = pairs.join(_united(tried), ["node", "chosen"], "left_anti")
+        across = written(across, "minhash-across")
+        more = not across.where("node is null").isEmpty()
+        pairs = across.where("node is not null").distinct().join(_united(tried), ["node", "chosen"], "left_anti")
         pairs = written(pairs, "minhash-pairs")
-        tried.append(pairs)
         if not pairs.isEmpty():
-            found.append(_compared(docs, texts, pairs, idf, similarity))
-        # The chosen have met all others; members linked to one of them are done too.
-        done = F.col("node") == F.col("chosen")
-        rest = met
-        if found:
-            known = _united(found)
-            known = known.union(known.select("chosen", "node")).withColumn("linked", F.lit(True))
-            rest = met.join(known, ["node", "chosen"], "left")
-            done = done | F.coalesce("linked", F.lit(False))
-        rest = rest.groupBy("band", "key", "node").agg(F.max(done).alias("done")).where("not done").drop("done")
-        turn += 1
-        if turn == 1:
-            # From here on, buckets of those left must share a second band too.
-            other = _bands(signed).select("node", F.col("band").alias("band2"), F.col("key").alias("key2"))
-            rest = rest.join(other, "node").where("band < band2").select(
-                "node", (F.col("band") * BANDS + F.col("band2")).alias("band"), F.xxhash64("key", "key2").alias("key")
-            )
-        members = rest
-    if not found:
-        return docs.sparkSession.createDataFrame([], "u binary, v binary")
-    return _united(found).select(F.col("node").alias("u"), F.col("chosen").alias("v"))
+            tried.append(pairs)
+            new = _compared(docs, texts, pairs, idf, similarity)
+            if not new.isEmpty():
+                found.append(new)
+                parts = written(connected_components(edges()), "minhash-components")
+        limit *= 4
+    return edges(), parts
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -348,13 +424,10 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
         signed.where("sig is not null").groupBy("node").agg(F.min("sig").alias("sig")), "node", "left"
     )
     texts = written(texts, "minhash-nodes")
-    edges = written(links(docs, texts.where("sig is not null"), idf, similarity), "minhash-edges")
+    edges, parts = links(docs, texts.where("sig is not null"), idf, similarity)
+    edges = written(edges, "minhash-edges")
     degree = edges.select("u").union(edges.select("v")).groupBy(F.col("u").alias("node")).agg(F.count(F.lit(1)).alias("links"))
-    if edges.isEmpty():
-        grouped = texts.withColumn("component", F.col("node"))
-    else:
-        parts = written(connected_components(edges), "minhash-components")
-        grouped = texts.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    grouped = texts.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = written(grouped.join(degree, "node", "left").select("node", "doc_id", "copies", "component", "links"), "minhash-grouped")
     sizes = named.groupBy("component").agg(F.min("doc_id").alias("class_id"), F.sum("copies").alias("class_size"))
     return written(

@@ -58,6 +58,31 @@ def test_links_no_pair_lost(spark, docs):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(set(got.values()))
 
 
+def test_star_of_copies_is_one_class(spark):
+    """Copies near the original (0.82) but not near each other (0.69): one class."""
+    rng = random.Random(8)
+    base = [f"b{i}" for i in range(1000)]
+    texts = [" ".join(base)]
+    for n in range(400):
+        copy = list(base)
+        for at in rng.sample(range(1000), 20):
+            copy[at] = f"c{n}x{at}"
+        texts.append(" ".join(copy))
+    star = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    idf = minhash.idf_table(star)
+    sets = [minhash.weights(t, idf) for t in texts]
+    near = [minhash.jaccard(*sets[0], *s) >= minhash.SIMILARITY for s in sets]
+    assert sum(near) > 350
+    got = {r.doc_id: r.class_id for r in minhash.near_duplicates(star).collect()}
+    assert {got[i] for i, is_near in enumerate(near) if is_near} == {0}
+
+
+def test_best_pairs_of_each_and_whether_there_are_more():
+    agree = np.array([[40, 64, 31, 50], [32, 0, 0, 0]], np.uint8)
+    assert [list(x) for x in minhash._best(agree, 2)[:2]] == [[0, 0, 1], [1, 3, 0]]
+    assert minhash._best(agree, 2)[2] and not minhash._best(agree, 3)[2]
+
+
 def test_empty_table(spark, docs):
     assert minhash.near_duplicates(docs.limit(0)).count() == 0
 
