@@ -1,16 +1,18 @@
 """Approximate nearest neighbours by multiprobe p-stable hashing.
 
 Largest inner product becomes nearest point by one more component: vectors are
-scaled by the largest norm and filled up to norm one, queries scaled to norm one.
+scaled and filled up to norm one, queries scaled to norm one. Vectors are scaled by the largest norm
+of their norm range (norms within a factor of RANGE), so a long vector does not move the others.
 Each of TABLES tables hashes by HASHES p-stable (normal) projections, shifted and
 cut into cells of WIDTH. A query visits PROBES buckets of each table: its own, and
 those with projections moved to a neighbouring cell, in order of estimated
-success (the squared distances to the cell borders that were crossed). The
+success (the squared distances to the cell borders that were crossed). Where it finds fewer than ``k``
+of a tile's rows of one norm range, it goes on to twice as many buckets, and at last to all rows of the range. The
 candidates of all tables, merged, are ranked by the exact inner product of the
 original vectors in double precision.
 
-Every row is indexed, in the tile that holds it; the largest norm is the only
-number gathered. Nearest rows at an inner product of 0.4 leave hashing little to
+Every row is indexed, in the tile that holds it; the largest norm of each range is all that is
+gathered. Nearest rows at an inner product of 0.4 leave hashing little to
 cut off, so tables are wide: recall against brute force is measured in the tests.
 
 Defined cases: null, zero and non-finite vectors take no part; repeated rows are
@@ -21,6 +23,7 @@ result; further columns are not read.
 from __future__ import annotations
 
 import itertools
+import math
 
 import numpy as np
 import pandas as pd
@@ -30,6 +33,8 @@ from pyspark.sql import functions as F
 from emporia.llm import tiles
 
 TABLES, HASHES, WIDTH, PROBES = 16, 5, 1.2, 40
+# Largest over smallest norm of a range.
+RANGE = 1.25
 CHUNK_ROWS, BLOCK_ROWS = 2048, 512
 SEED = 7
 
@@ -37,17 +42,23 @@ SEED = 7
 class Hashing:
     """The tables' hash functions for vectors of ``dims`` components."""
 
-    def __init__(self, dims: int, largest: float) -> None:
+    def __init__(self, dims: int, tops: np.ndarray) -> None:
+        """``tops``: the largest norm of each norm range, ascending."""
         rng = np.random.default_rng((SEED, dims))
-        self.largest = largest
+        self.tops = tops
         self.axes = rng.normal(size=(TABLES, dims + 1, HASHES))
         self.shifts = rng.random((TABLES, HASHES))
         self.mixers = rng.integers(1, 2**62, HASHES, dtype=np.int64) | 1
         # All moves of the projections by one cell down, none, or one up.
         self.moves = np.array(list(itertools.product((-1, 0, 1), repeat=HASHES)), dtype=np.int64)
 
+    def ranges(self, rows: np.ndarray) -> np.ndarray:
+        """The norm range of each row; sums in another order may pass a range's largest norm by a little."""
+        norms = np.linalg.norm(rows, axis=1) * (1 - 1e-9)
+        return np.minimum(np.searchsorted(self.tops, norms), len(self.tops) - 1)
+
     def filled(self, rows: np.ndarray) -> np.ndarray:
-        scaled = rows / self.largest
+        scaled = rows / self.tops[self.ranges(rows)][:, None]
         return np.column_stack([scaled, np.sqrt(np.maximum(0.0, 1 - (scaled * scaled).sum(axis=1)))])
 
     def asked(self, queries: np.ndarray) -> np.ndarray:
@@ -60,45 +71,67 @@ class Hashing:
     def keys(self, cells: np.ndarray) -> np.ndarray:
         return (cells * self.mixers).sum(axis=-1)
 
-    def probes(self, table: int, points: np.ndarray) -> np.ndarray:
-        """Bucket keys (queries, PROBES) in order of estimated success."""
+    def probes(self, table: int, points: np.ndarray, n: int = PROBES) -> np.ndarray:
+        """Bucket keys (queries, n) in order of estimated success."""
         at = self.cells(table, points)
         own = np.floor(at)
         inside = at - own
         down, up = (self.moves == -1).astype(float), (self.moves == 1).astype(float)
         cost = (inside**2) @ down.T + ((1 - inside) ** 2) @ up.T
-        order = np.argsort(cost, axis=1, kind="stable")[:, :PROBES]
+        order = np.argsort(cost, axis=1, kind="stable")[:, :n]
         return self.keys(own.astype(np.int64)[:, None, :] + self.moves[order])
 
 
-def candidates(hashing: Hashing, queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Flags (queries, rows): the row is in a visited bucket of some table."""
-    points, asked = hashing.filled(rows), hashing.asked(queries)
-    met = np.zeros((len(queries), len(rows)), bool)
+def _visited(hashing: Hashing, asked: np.ndarray, points: np.ndarray, probes: int) -> np.ndarray:
+    """Flags (asked, points): the point is in one of ``probes`` buckets of some table."""
+    met = np.zeros((len(asked), len(points)), bool)
     for table in range(TABLES):
         buckets, bucket_of = np.unique(
             hashing.keys(np.floor(hashing.cells(table, points)).astype(np.int64)), return_inverse=True
         )
-        probes = hashing.probes(table, asked)
-        at = np.minimum(np.searchsorted(buckets, probes), len(buckets) - 1)
-        query, probe = np.nonzero(buckets[at] == probes)
-        visited = np.zeros((len(queries), len(buckets)), bool)
+        keys = hashing.probes(table, asked, probes)
+        at = np.minimum(np.searchsorted(buckets, keys), len(buckets) - 1)
+        query, probe = np.nonzero(buckets[at] == keys)
+        visited = np.zeros((len(asked), len(buckets)), bool)
         visited[query, at[query, probe]] = True
         met |= visited[:, bucket_of]
     return met
 
 
+def candidates(hashing: Hashing, queries: np.ndarray, rows: np.ndarray, own: np.ndarray, k: int) -> np.ndarray:
+    """Flags (queries, rows): the row is in a visited bucket of some table. Of each norm range a
+    query gets ``k`` rows at least, or all; its ``own`` rows (queries, rows) are left out."""
+    points, asked = hashing.filled(rows), hashing.asked(queries)
+    met = _visited(hashing, asked, points, PROBES) & ~own
+    range_of = hashing.ranges(rows)
+    for r in np.unique(range_of):
+        at = np.flatnonzero(range_of == r)
+        there = ~own[:, at]
+        least, probes = np.minimum(k, there.sum(axis=1)), PROBES
+        while len(short := np.flatnonzero(met[:, at].sum(axis=1) < least)):
+            probes *= 2
+            if len(at) <= k or probes >= 2 * len(hashing.moves):
+                met[np.ix_(short, at)] = there[short]
+            else:
+                met[np.ix_(short, at)] = _visited(hashing, asked[short], points[at], probes) & there[short]
+    return met
+
+
 def nearest(vectors: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest found for each row whose id is
     divisible by ``every``, its own id left out."""
     usable = tiles.finite_vectors(vectors, id_col, vector_col).where(F.exists("v", lambda x: x != 0))
     square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x.cast("double") * x.cast("double"))
-    largest = float(np.sqrt(usable.agg(F.max(square)).first()[0] or 1.0))
+    norm = F.sqrt(square).alias("norm")
+    ranged = usable.select(norm).groupBy(F.round(F.log("norm") / math.log(RANGE)).alias("range"))
+    found = ranged.agg(F.max("norm").alias("top")).where("top > 0").collect()  # a row for each range
+    tops = np.sort([r.top for r in found]) if found else np.ones(1)
 
     def tile(asked_ids: np.ndarray, asked: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> pd.DataFrame:
-        hashing, out = Hashing(rows.shape[1], largest), []
-        for query_id, query, met in zip(asked_ids, asked, candidates(hashing, asked, rows), strict=True):
-            at = np.flatnonzero(met & (ids != query_id))
+        hashing, out = Hashing(rows.shape[1], tops), []
+        found = candidates(hashing, asked, rows, asked_ids[:, None] == ids[None, :], k)
+        for query_id, query, met in zip(asked_ids, asked, found, strict=True):
+            at = np.flatnonzero(met)
             if len(at) > k:
                 # A quick product sorts out; those left get sums in one fixed order, so that ties are ties.
                 quick = rows[at] @ query

@@ -59,6 +59,36 @@ def test_multiprobe_recall_scores_and_order(spark):
     assert hits / len(got) >= 0.9
 
 
+@pytest.mark.parametrize("stretch", ["one long row", "all unequal"])
+def test_multiprobe_recall_with_unequal_norms(spark, stretch):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(1200, 32))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    if stretch == "one long row":
+        x[11] *= 100
+    else:
+        x *= np.exp(rng.normal(size=(1200, 1)))
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = multiprobe.nearest(df).toPandas()
+    assert set(got.query_id) == set(range(0, 1200, 20)) and len(got) == 60 * 20
+    hits = 0
+    for q, rows in got.groupby("query_id"):
+        s = x @ x[q]
+        s[q] = -np.inf
+        hits += len(set(np.argsort(-s)[:20]) & set(rows.vec_id))
+    assert hits / len(got) >= 0.9
+
+
+def test_multiprobe_gives_all_rows_if_there_are_fewer_than_k(spark):
+    x = np.random.default_rng(6).normal(size=(15, 64))
+    x[4] *= 50
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = multiprobe.nearest(df, every=1).toPandas()
+    for q in range(15):
+        rows = got[got.query_id == q].sort_values("rank")
+        assert list(rows.vec_id) == [i for i in np.argsort(-(x @ x[q])) if i != q]
+
+
 def test_few_and_no_rows(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.0, 0.0]), (2, [0.5, 0.5])], "vec_id long, embedding array<float>")
     assert [(r.query_id, r.rank, r.vec_id, r.score) for r in bit_sliced.top_k(df).collect()] == [(0, 1, 2, 524288), (0, 2, 1, 0)]
