@@ -27,8 +27,9 @@ samples to be compared exactly with probability 1e-8. No other pair is left out.
 
 Defined cases: null and empty texts, and texts without words, are copies only of
 equal texts (null equals null); very long texts are read whole; repeated rows
-share a class; a class is named by its smallest doc_id; an empty table gives an
-empty result; further columns pass through unread.
+share a class; a class is known by its class_key (the smallest text key in it) and named by its smallest
+doc_id, null if it has none, so classes may share a name where ids repeat or are null; of each class one
+row stays, whatever its id; an empty table gives an empty result; further columns pass through unread.
 """
 
 from __future__ import annotations
@@ -356,10 +357,10 @@ def _compared(docs: DataFrame, texts: DataFrame, pairs: DataFrame, idf, similari
     near = both.withColumn("agree", _agreeing(F.col("sig_a"), F.col("sig_b"))).where(F.col("agree") >= LEAST_AGREEING)
     near = written(near.select("node", "chosen"), "minhash-near")
     needed = near.select("node").union(near.select("chosen")).distinct()
-    rows = texts.select("node", "doc_id").join(needed, "node")
+    rows = texts.select(F.col("node").alias("n"), F.col("doc_id").alias("id")).join(needed.withColumnRenamed("node", "n"), "n")
     whole = (
         docs.select("doc_id", "text", text_key(F.col("text")).alias("node"))
-        .join(rows, ["doc_id", "node"], "left_semi")
+        .join(rows, (F.col("node") == F.col("n")) & F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
         .select("node", "text")
         .dropDuplicates(["node"])
     )
@@ -413,8 +414,9 @@ def links(docs: DataFrame, texts: DataFrame, idf, similarity: float = SIMILARITY
 
 
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(node, class_id, class_size, links): for each distinct text its class (the
-    smallest doc_id in it), the class's documents, and the text's links to others."""
+    """(node, doc_id, class_key, class_id, class_size, links, stays): for each distinct text one of its
+    rows' doc_id, its class (known by the smallest node, named by the smallest doc_id), the class's
+    documents, the text's links to others, and whether it stays of its class."""
     require(docs, ("doc_id", "text"))
     idf = docs.sparkSession.sparkContext.broadcast(idf_table(docs))
     signed = _signatures(docs.select("text"), idf)
@@ -429,26 +431,36 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     degree = edges.select("u").union(edges.select("v")).groupBy(F.col("u").alias("node")).agg(F.count(F.lit(1)).alias("links"))
     grouped = texts.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     named = written(grouped.join(degree, "node", "left").select("node", "doc_id", "copies", "component", "links"), "minhash-grouped")
-    sizes = named.groupBy("component").agg(F.min("doc_id").alias("class_id"), F.sum("copies").alias("class_size"))
+    # The smallest doc_id, nulls last.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node"))
+    sizes = named.groupBy("component").agg(first.alias("first"), F.sum("copies").alias("class_size"))
     return written(
         named.join(sizes, "component").select(
-            "node", "class_id", "class_size", F.coalesce("links", F.lit(0)).cast("long").alias("links")
+            "node",
+            "doc_id",
+            F.lower(F.hex("component")).alias("class_key"),
+            F.col("first.doc_id").alias("class_id"),
+            "class_size",
+            F.coalesce("links", F.lit(0)).cast("long").alias("links"),
+            (F.col("node") == F.col("first.node")).alias("stays"),
         ),
         "minhash-classes",
     )
 
 
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): doc_id, class_id, class_size, links."""
+    """Per row of ``docs`` (doc_id, text): doc_id, class_id, class_size, links, class_key."""
     rows = docs.select("doc_id", text_key(F.col("text")).alias("node"))
-    return rows.join(classes(docs, similarity), "node").select("doc_id", "class_id", "class_size", "links")
+    found = classes(docs, similarity).select("node", "class_id", "class_size", "links", "class_key")
+    return rows.join(found, "node").select("doc_id", "class_id", "class_size", "links", "class_key")
 
 
 def deduplicated(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` that stay: of each class one row with its smallest doc_id."""
     own = [F.col(f"`{c}`") for c in docs.columns]
-    keep = classes(docs, similarity).select(F.col("class_id").alias("__id")).distinct()
-    kept = docs.join(keep, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    # Rows that repeat the id of the one that stays: the first of them.
-    first = Window.partitionBy("doc_id").orderBy(text_key(F.col("text")))
+    keep = classes(docs, similarity).where("stays").select(F.col("node").alias("__text"), F.col("doc_id").alias("__id"))
+    keyed = docs.withColumn("__key", text_key(F.col("text")))
+    kept = keyed.join(keep, (F.col("__key") == F.col("__text")) & F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
+    # Rows that repeat the text and id of the one that stays: one of them.
+    first = Window.partitionBy("__key").orderBy("doc_id")
     return kept.withColumn("__n", F.row_number().over(first)).where("__n = 1").select(*own)

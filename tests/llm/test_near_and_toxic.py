@@ -77,6 +77,20 @@ def test_star_of_copies_is_one_class(spark):
     assert {got[i] for i, is_near in enumerate(near) if is_near} == {0}
 
 
+def test_null_and_repeated_ids_with_other_texts(spark):
+    rng = random.Random(12)
+    a, b, c, d = (words(rng, 150) for _ in range(4))
+    near = [*a[:75], "changed", *a[76:]]
+    rows = [(None, a), (None, near), (None, b), (None, b), (7, c), (7, d), (7, c), (9, d), (None, c)]
+    frame = spark.createDataFrame([(i, " ".join(t)) for i, t in rows], "doc_id long, text string")
+    texts = {" ".join(t): name for t, name in ((a, "a"), (near, "a"), (b, "b"), (c, "c"), (d, "d"))}
+    kept = [(r.doc_id, texts[r.text]) for r in minhash.deduplicated(frame).collect()]
+    assert sorted(kept, key=lambda x: x[1]) == [(None, "a"), (None, "b"), (7, "c"), (7, "d")]
+    got = sorted((r.doc_id or 0, r.class_id or 0, r.class_size, r.links) for r in minhash.near_duplicates(frame).collect())
+    assert got == sorted([(0, 0, 2, 1)] * 2 + [(0, 0, 2, 0)] * 2 + [(7, 7, 3, 0)] * 2 + [(0, 7, 3, 0)] + [(7, 7, 2, 0), (9, 7, 2, 0)])
+    assert len({r.class_key for r in minhash.near_duplicates(frame).collect()}) == 4
+
+
 def test_best_pairs_of_each_and_whether_there_are_more():
     agree = np.array([[40, 64, 31, 50], [32, 0, 0, 0]], np.uint8)
     assert [list(x) for x in minhash._best(agree, 2)[:2]] == [[0, 0, 1], [1, 3, 0]]
