@@ -6,7 +6,8 @@ frequency, in [1, 1 + 1/DAMPING] and rounded to one of IDF_LEVELS steps, so that
 less but a group of near copies, however large, still sees itself as similar.
 Document frequencies cover all documents: they are counted in 2**DF_BITS hash
 slots, less the slots' mean load, summed per task first, so the table has one
-bounded size.
+bounded size. In a corpus with thousands of shingles a slot, collisions make the levels
+of rare shingles uneven, within the damping.
 
 Each of SAMPLES consistent weighted samples of two texts agrees with the
 probability of their weighted Jaccard similarity. ROWS samples make a band.

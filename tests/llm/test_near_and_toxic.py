@@ -91,6 +91,25 @@ def test_null_and_repeated_ids_with_other_texts(spark):
     assert len({r.class_key for r in minhash.near_duplicates(frame).collect()}) == 4
 
 
+def test_pair_that_shares_one_band_alone_in_a_large_bucket(spark):
+    rng, draw = random.Random(2), np.random.default_rng(2)
+    texts = [" ".join(words(rng, 200)) for _ in range(40)]
+    texts.append(texts[0] + " end")
+    sigs = draw.integers(0, 2**32, (41, minhash.SAMPLES), dtype=np.uint32)
+    sigs[:, -minhash.ROWS :] = 5  # all share the last band
+    sigs[40] = sigs[0]
+    sigs[40, : -minhash.ROWS : minhash.ROWS] += 1  # and these two no other, though most samples agree
+    rows = [(i, t, bytearray(s.tobytes())) for i, (t, s) in enumerate(zip(texts, sigs, strict=True))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, sig binary")
+    nodes = minhash.written(frame.select(minhash.text_key(frame.text).alias("node"), "doc_id", "sig"), "test-nodes")
+    chosen = {bytes(c) for r in minhash._met(minhash._bands(nodes.select("node", "sig"))).collect() for c in r["all"]}
+    pair = {bytes(r.node) for r in nodes.where("doc_id in (0, 40)").collect()}
+    assert not pair & chosen
+    idf = spark.sparkContext.broadcast(minhash.idf_table(frame))
+    edges, _ = minhash.links(frame.select("doc_id", "text"), nodes, idf)
+    assert [{bytes(r.u), bytes(r.v)} for r in edges.collect()] == [pair]
+
+
 def test_best_pairs_of_each_and_whether_there_are_more():
     agree = np.array([[40, 64, 31, 50], [32, 0, 0, 0]], np.uint8)
     assert [list(x) for x in minhash._best(agree, 2)[:2]] == [[0, 0, 1], [1, 3, 0]]
