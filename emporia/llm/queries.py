@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.llm import bit_sliced, bpe_automaton, minhash, mixing, multiprobe, secret_scan, sharding, token_counts, toxicity, url_filter
+from emporia.llm import (
+    bit_sliced,
+    bpe_automaton,
+    collocations,
+    decontamination,
+    minhash,
+    mixing,
+    multiprobe,
+    periodic_runs,
+    secret_scan,
+    sharding,
+    token_counts,
+    toxicity,
+    url_filter,
+)
 from emporia.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +82,20 @@ def op10_bit_sliced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bit_sliced.top_k(table(spark, sf_dir, "embeddings"), every=100, k=10)
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.with_planted_runs(table(spark, sf_dir, "documents"))
+    return periodic_runs.report(periodic_runs.periodic_runs(docs))
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontamination.report(found)
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), top=2000)
+
+
 QUERIES: dict[str, Query] = {
     "op1_source_mix": op1_source_mix,
     "op2_secret_scan": op2_secret_scan,
@@ -79,10 +107,16 @@ QUERIES: dict[str, Query] = {
     "op8_minhash": op8_minhash,
     "op9_multiprobe": op9_multiprobe,
     "op10_bit_sliced": op10_bit_sliced,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_decontamination": op12_decontamination,
+    "op13_collocations": op13_collocations,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op5_sharding": sharding.ORACLE.format(limit=SHARD_BYTES),
     "op7_url_filter": url_filter.oracle(),
     "op10_bit_sliced": bit_sliced.ORACLE,
+    "op11_periodic_runs": periodic_runs.ORACLE,
+    "op12_decontamination": decontamination.ORACLE,
+    "op13_collocations": collocations.oracle(top=2000),
 }
