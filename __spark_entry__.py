@@ -6,8 +6,8 @@ DataFrame`` builder over the whole test tables; ``oracle_sql()`` gives, for each
 of them, an independent DuckDB query over the same tables, written the
 straightforward row-level way (plain fan-out joins, window dedupe), so the
 comparison also checks the Spark plans' rewrites (pre-aggregation before joins,
-arithmetic review fan-out, reordered joins, hot-key-salted lookups; the
-salted paths are forced on in ``tests/test_oracle.py``).
+arithmetic review fan-out, reordered joins; split partitions are forced in
+``tests/test_oracle.py``).
 """
 
 from __future__ import annotations
@@ -227,6 +227,12 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
         JOIN silver_orders o ON r.order_id = o.order_id
         JOIN silver_order_items i ON o.order_id = i.order_id
         JOIN silver_products p ON i.product_id = p.product_id"""),
+    "catalog_order_totals": (("silver_orders", "silver_order_items"), f"""
+        SELECT o.order_id, o.customer_id,
+               CAST({_money_sum('i.price + i.freight_value')} AS DOUBLE) AS amount,
+               count(i.price + i.freight_value) AS items
+        FROM silver_orders o JOIN silver_order_items i ON o.order_id = i.order_id
+        GROUP BY 1, 2"""),
     "profile_order_items": (("silver_order_items",), """
         SELECT count(*) AS row_count, CAST(6 AS INTEGER) AS column_count,
                count(*) - count(order_id) AS nulls_order_id,
@@ -239,19 +245,54 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 
-def _with(target: str) -> str:
+# The faults of emporia.sources.standins.rough, over the plain stand-ins.
+_ROUGH: dict[str, str] = {
+    "src_customers": """
+        SELECT * FROM (SELECT * FROM plain_src_customers
+          UNION ALL SELECT * REPLACE ('A ' || customer_unique_id AS customer_unique_id,
+                                      (customer_zip_code_prefix + 3) % 25 AS customer_zip_code_prefix)
+          FROM plain_src_customers WHERE customer_id % 7 = 0)
+        WHERE customer_id % 11 <> 0""",
+    "src_sellers": """
+        SELECT * FROM (SELECT * FROM plain_src_sellers
+          UNION ALL SELECT * REPLACE ((seller_zip_code_prefix + 3) % 25 AS seller_zip_code_prefix)
+          FROM plain_src_sellers WHERE seller_id % 3 = 0)
+        WHERE seller_id % 7 <> 0""",
+    "src_orders": """
+        SELECT * FROM (SELECT * FROM plain_src_orders
+          UNION ALL SELECT * REPLACE (order_purchase_timestamp + INTERVAL 1 DAY AS order_purchase_timestamp)
+          FROM plain_src_orders WHERE order_id % 13 = 0)
+        WHERE order_id % 19 <> 0""",
+    "src_products": """
+        SELECT * FROM (SELECT * FROM plain_src_products
+          UNION ALL SELECT * FROM plain_src_products WHERE product_id % 17 = 0)
+        WHERE product_id % 5 <> 0""",
+    "src_order_items": """
+        SELECT * REPLACE (CASE WHEN order_id % 29 <> 0 THEN product_id END AS product_id,
+                          CASE WHEN order_item_id <> 3 THEN freight_value END AS freight_value)
+        FROM plain_src_order_items""",
+    "src_order_reviews": """
+        SELECT * REPLACE (CASE WHEN review_id % 23 <> 0 THEN order_id END AS order_id)
+        FROM plain_src_order_reviews""",
+}
+
+
+def _with(target: str, rough: bool = False) -> str:
     """``WITH`` the CTEs ``target`` needs (dependencies first), then select it."""
-    order: list[str] = []
+    parts: dict[str, str] = {}
 
     def visit(name: str) -> None:
-        if name in order:
+        if name in parts:
             return
         for dep in _CTES[name][0]:
             visit(dep)
-        order.append(name)
+        faults = _ROUGH.get(name) if rough else None
+        if faults:
+            parts[f"plain_{name}"] = _CTES[name][1]
+        parts[name] = faults or _CTES[name][1]
 
     visit(target)
-    body = ",\n".join(f"{name} AS ({_CTES[name][1]}\n)" for name in order)
+    body = ",\n".join(f"{name} AS ({sql}\n)" for name, sql in parts.items())
     return f"WITH {body}\nSELECT * FROM {target}"
 
 
@@ -260,5 +301,7 @@ def oracle_sql() -> dict[str, str]:
     # Bronze round trips return the source dataset unchanged.
     for name in QUERIES:
         if name.startswith("bronze_"):
-            sql[name] = _with("src_" + name[len("bronze_"):])
+            sql[name] = _with("src_" + name.removeprefix("bronze_"))
+        if name.startswith("rough_"):
+            sql[name] = _with(name.removeprefix("rough_"), rough=True)
     return {**sql, **LLM_SQL}

@@ -7,10 +7,8 @@ Layers, each a set of pure ``DataFrame -> DataFrame`` functions:
 * ``emporia.functions`` - column-level scalar helpers (text cleaning, safe casts,
   wall-clock timestamps, delivery days, zip keys, line totals).
 * ``emporia.operators`` - relational building blocks (repeatable key dedupe,
-  geo centroids, exact money sums, DataFrame profiling, and hot-key-splitting
-  balanced joins).
+  geo centroids, exact sums, DataFrame profiling, and joins that AQE can split).
 * ``emporia.plans``     - the bronze / silver / gold table jobs and their DAG.
-* ``emporia.streaming`` - intentionally empty (the workload is batch-only).
 
 I/O happens only at the edges (``sources`` and ``plans.jobs``); the caller owns
 the SparkSession.

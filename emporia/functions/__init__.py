@@ -86,7 +86,7 @@ def zip_key(col: Column | str) -> Column:
     """
     raw = _c(col).cast("string")
     text = F.trim(raw)
-    return F.when(text.rlike("^[0-9]+$"), F.lpad(text, F.greatest(F.length(text), F.lit(ZIP_WIDTH)), F.lit("0"))).otherwise(raw)
+    return F.when(text.rlike(r"^[0-9]+\z"), F.lpad(text, F.greatest(F.length(text), F.lit(ZIP_WIDTH)), F.lit("0"))).otherwise(raw)
 
 
 __all__ = [

@@ -11,8 +11,8 @@ from emporia.operators.money import (
     repeated,
     units_to_money,
 )
-from emporia.operators.profile import log_profile, preview, profile
-from emporia.operators.skew import balanced_join, hot_key_rows, hot_keys
+from emporia.operators.profile import log_observed, observed, preview, profile
+from emporia.operators.skew import balanced_join, splits_hot_keys
 
 __all__ = [
     "centroid",
@@ -24,10 +24,10 @@ __all__ = [
     "money_sum",
     "money_units",
     "units_to_money",
-    "log_profile",
+    "log_observed",
+    "observed",
     "preview",
     "profile",
     "balanced_join",
-    "hot_key_rows",
-    "hot_keys",
+    "splits_hot_keys",
 ]

@@ -1,48 +1,57 @@
 """DataFrame profiling: column list, row count, NULL counts, preview.
 
-Everything except the preview comes from one aggregate pass (partial counts
-map-side, one row per map task shuffled), so profiling a table costs one scan
-and returns a single row; nothing row-level reaches the driver.
+``profile`` is a one-row frame from one aggregate pass (partial counts map-side).
+``observed`` takes the same counts from rows on their way to a table, by an
+``Observation``, so that profiling a job's output reads nothing twice.
 """
 
 from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 PREVIEW_ROWS = 5
 
 
+def _counts(df: DataFrame) -> list[Column]:
+    nulls = [F.count_if(F.col(f"`{c}`").isNull()).alias(f"nulls_{c}") for c in df.columns]
+    return [F.count(F.lit(1)).alias("row_count"), *nulls]
+
+
 def profile(df: DataFrame) -> DataFrame:
     """One-row summary: ``row_count``, ``column_count`` and ``nulls_<col>`` per column."""
-    aggs = [F.count(F.lit(1)).alias("row_count")]
-    aggs += [
-        F.count_if(F.col(f"`{c}`").isNull()).alias(f"nulls_{c}") for c in df.columns
-    ]
-    return df.agg(*aggs).select(
+    return df.agg(*_counts(df)).select(
         "row_count",
         F.lit(len(df.columns)).alias("column_count"),
-        *[f"nulls_{c}" for c in df.columns],
+        *[F.col(f"`nulls_{c}`") for c in df.columns],
     )
 
 
+def observed(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``df`` with an observation that holds its counts once an action has run over it."""
+    seen = Observation()
+    return df.observe(seen, *_counts(df)), seen
+
+
 def preview(df: DataFrame, n: int = PREVIEW_ROWS) -> DataFrame:
     """The first ``n`` rows (a limit, so only as many rows as needed are read)."""
     return df.limit(n)
 
 
-def log_profile(df: DataFrame, logger: logging.Logger, enabled: bool = True) -> None:
-    """Log columns, counts and a preview when enabled; failures only warn."""
-    if not enabled:
-        return
+def log_observed(seen: Observation, written: DataFrame, logger: logging.Logger) -> None:
+    """Log what was observed while ``written`` was written, and its first rows; failures only warn."""
     try:
-        logger.debug("columns (%d): %s", len(df.columns), ", ".join(df.columns))
-        summary = profile(df).first().asDict()
-        logger.debug("row count: %s", f"{summary['row_count']:,}")
-        logger.debug("null counts: %s", {k[6:]: v for k, v in summary.items() if k.startswith("nulls_")})
-        for row in preview(df).collect():
-            logger.debug("row: %s", row)
+        counts = dict(seen.get)
+        rows = counts.pop("row_count")
+        report = {
+            f"columns ({len(written.columns)})": ", ".join(written.columns),
+            "row count": f"{rows:,}",
+            "null counts": {name.removeprefix("nulls_"): n for name, n in counts.items()},
+        }
+        report |= {f"row {i + 1}": row for i, row in enumerate(preview(written).collect())}
+        for name, value in report.items():
+            logger.debug("%s: %s", name, value)
     except Exception as exc:  # profiling must never fail a job
         logger.warning("profiling failed: %s", exc)

@@ -1,39 +1,27 @@
 """Equi-joins that stay balanced when one key holds a large share of the rows.
 
-A sort-merge join sends every row of a key to one task. AQE splits such a
-partition only when *both* join inputs arrive straight from a shuffle; when one
-input is an aggregate or a deduplicated table that is already partitioned on
-the join key, no exchange sits below the join and a hot key stays whole in one
-task. ``balanced_join`` splits hot keys itself, for joins of a large frame
-(``big``) with a frame that holds few rows per key (``small``: an aggregate, a
-deduplicated dimension):
-
-1. ``big``'s rows are counted per key (partial aggregation map-side, so at most
-   one row per key and map task is shuffled). Keys with more than ``hot_rows``
-   rows are hot. There are at most ``rows(big) / hot_rows`` of them, and at
-   most ``MAX_HOT_KEYS`` (the hottest) are kept, so the broadcast hot list has a
-   fixed size bound. Keys beyond the cap join unsalted: same result.
-2. A row of a hot key gets a salt in ``[1, s]``, ``s = ceil(count / hot_rows)``,
-   from a hash of its input partition and content: deterministic, so a retried
-   task sends every row where its first attempt did. (Identical copies within
-   one input partition share a salt; copies spread over partitions spread over
-   salts.) Other rows get salt 0.
-3. ``small``'s rows of a hot key are replicated once per salt value: at most
-   ``rows(big) / hot_rows + #hot`` extra rows in all.
-4. One join on ``(key, salt)``: no task sees more than about ``hot_rows`` rows of
-   one key from ``big``. AQE may still turn it into a broadcast join once it has
-   measured ``small``.
-
-NULL keys never match, but in a left join they are kept, and hashing sends them
-all to one task. They are counted as one key (null-safe tagging) and spread by
-the same salt.
-
-When ``small`` is within the broadcast threshold by Catalyst's size estimate,
-none of this is needed: a broadcast hash join never shuffles ``big``, so the
-join is broadcast. The salted shuffle is the way beyond that size.
-
-The result is exactly ``big.join(small, key, how)``: every row of ``big`` meets
-every row of ``small`` with its key once, in one salt bucket.
+A sort-merge join sends every row of a key to one task. AQE repairs that from the
+sizes it measures: a partition far above the others is split over several tasks
+(``spark.sql.adaptive.skewJoin.*``), whichever keys fill it, and nothing is paid
+where no partition stands out. It can do so only if *both* inputs of the join
+arrive straight from the join's own shuffle. An aggregate or a deduplicated table
+reaches a join already partitioned on the key, so no shuffle sits below the join
+and a hot key would stay whole in one task.
+
+``balanced_join`` gives such a join its own shuffle on both sides: it joins on the
+key and on a hash of the key. Equal keys have equal hashes, so the result is that of
+the plain join, but a partitioning on the key alone does not serve two join keys
+(``spark.sql.requireAllClusterKeysForCoPartition``, on by default). A side that had
+to be shuffled anyway is shuffled as before; the cost is one more shuffle of the
+side that was already partitioned, which is an aggregate or deduplicated table and
+so the smaller one. No rows are counted, no list of keys is kept, and there is no
+limit to the number of hot keys.
+
+NULL keys of a left join never match but are kept, and hashing sends them all to one
+partition. They are rows of the left side, which AQE splits like any other.
+
+Whether the other side is broadcast is left to AQE's measurement of it
+(``spark.sql.adaptive.autoBroadcastJoinThreshold``); there is no hint.
 """
 
 from __future__ import annotations
@@ -41,114 +29,32 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.session import byte_size, input_bytes
-
-# Session setting and default for the hot-key threshold. A key with
-# more rows than this (about one task's worth of input) is split; 0 turns
-# splitting off.
-HOT_ROWS_CONF = "emporia.skew.hotKeyRows"
-DEFAULT_HOT_ROWS = 1_000_000
-# Fixed value: at most this many hot keys are split (the hottest first), so the
-# broadcast hot list stays a few megabytes at any data size. Keys beyond it take
-# the unsalted path: results are unchanged, only their balance is not improved.
-MAX_HOT_KEYS = 100_000
-
-_KEY = "__hot_key"
-_SPLITS = "__hot_splits"
-_SALT = "__salt"
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Catalyst's size estimate of ``df`` is within
-    ``spark.sql.autoBroadcastJoinThreshold`` (-1: never).
-
-    The estimate comes from file-index metadata and is an upper bound through
-    filters, projections and aggregates (no data is read), the same check
-    Spark's planner applies before a broadcast join.
-    """
-    limit = byte_size(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", "10m"))
-    return limit >= 0 and input_bytes(df) <= limit
-
-
-def hot_key_rows(spark: SparkSession) -> int:
-    """The session's hot-key threshold (``emporia.skew.hotKeyRows``)."""
-    return int(spark.conf.get(HOT_ROWS_CONF, str(DEFAULT_HOT_ROWS)))
+# Fixed value: session setting; "false" makes every balanced join a plain one (say,
+# for tables bucketed on the key, whose buckets a join's own shuffle would undo).
+SPLIT_CONF = "emporia.skew.split"
 
+_SPREAD = "__spread"
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int, max_keys: int = MAX_HOT_KEYS) -> DataFrame:
-    """``(__hot_key, __hot_splits)`` for the keys (NULL included) with more than ``hot_rows`` rows.
-
-    ``__hot_splits = ceil(rows / hot_rows)``, which exceeds 1 exactly when the key
-    is hot. At most ``max_keys`` keys are returned, the most-split first, ties by
-    key: a total order, so every computation of the list yields the same keys
-    (both join sides must agree on them).
-    """
-    splits = F.ceil(F.count(F.lit(1)) / F.lit(hot_rows)).cast("int")
-    hot = df.groupBy(F.col(key).alias(_KEY)).agg(splits.alias(_SPLITS)).where(F.col(_SPLITS) > 1)
-    return hot.orderBy(F.col(_SPLITS).desc(), F.col(_KEY).asc_nulls_first()).limit(max_keys)
 
+def splits_hot_keys(spark: SparkSession) -> bool:
+    """Whether the session wants joins that AQE can split (``emporia.skew.split``)."""
+    return spark.conf.get(SPLIT_CONF, "true").lower() != "false"
 
-def salt_rows(tagged: DataFrame, columns: list[str]) -> DataFrame:
-    """``columns`` plus ``__salt``: 0 for rows without ``__hot_splits``, else a
-    value in ``[1, __hot_splits]`` from a hash of the row's input partition and
-    content (the same on every attempt of the task)."""
-    splits = F.col(_SPLITS)
-    cols = [F.col(f"`{c}`") for c in columns]
-    spread = F.lit(1) + F.pmod(F.xxhash64(F.spark_partition_id(), *cols), splits).cast("int")
-    return tagged.select(*cols, F.when(splits.isNull(), F.lit(0)).otherwise(spread).alias(_SALT))
 
-
-def balanced_join(
-    big: DataFrame,
-    small: DataFrame,
-    key: str,
-    how: str = "inner",
-    hot_rows: int | None = None,
-    counts_from: DataFrame | None = None,
-    max_hot_keys: int = MAX_HOT_KEYS,
-) -> DataFrame:
-    """``big.join(small, key, how)`` (``inner`` or ``left``) with hot keys of ``big`` split.
+def balanced_join(big: DataFrame, small: DataFrame, key: str, how: str = "inner", split: bool | None = None) -> DataFrame:
+    """``big.join(small, key, how)`` (``inner`` or ``left``) that AQE can split.
 
     Output columns: ``key``, then ``big``'s other columns, then ``small``'s other
     columns (the layout of a join on a column name). ``small`` should hold few
-    rows per key, since its rows of a hot key are replicated per split.
-
-    ``counts_from`` (default ``big``) is the frame whose rows per key decide
-    which keys are hot: pass a cheaper base frame (say, the items table that
-    ``big`` was joined from) to avoid recomputing ``big`` for the counts. The
-    result is exact whichever keys are chosen; only the balance depends on it.
+    rows per key: a split reads its rows of the partition once per part.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"balanced_join supports inner and left joins, not {how!r}")
     clash = (set(big.columns) & set(small.columns)) - {key}
     if clash:
         raise ValueError(f"columns on both sides besides the key: {sorted(clash)}")
-    hot_rows = hot_key_rows(big.sparkSession) if hot_rows is None else hot_rows
-    if hot_rows <= 0:
-        # Splitting switched off (say, for tables bucketed on the key, whose
-        # buckets a salted join would re-shuffle): a plain join.
+    if not (splits_hot_keys(big.sparkSession) if split is None else split):
         return big.join(small, key, how)
-    if fits_broadcast(small):
-        # A broadcast hash join never shuffles ``big``, so no key can be hot.
-        return big.join(F.broadcast(small), key, how)
-    hot = F.broadcast(
-        hot_keys(counts_from if counts_from is not None else big, key, hot_rows, max_hot_keys)
-    )
-    splits = F.col(_SPLITS)
-    salted_big = salt_rows(big.join(hot, F.col(key).eqNullSafe(F.col(_KEY)), "left"), big.columns)
-    # NULL keys of ``small`` never match: they get no replica (an empty explode
-    # drops the row), and both sides can use the same null-safe lookup, so the
-    # hot list is computed and broadcast once.
-    replicas = (
-        F.when(F.col(key).isNull(), F.array().cast("array<int>"))
-        .when(splits.isNull(), F.array(F.lit(0)))
-        .otherwise(F.sequence(F.lit(1), splits))
-    )
-    salted_small = small.join(hot, F.col(key).eqNullSafe(F.col(_KEY)), "left").select(
-        *[F.col(f"`{c}`") for c in small.columns],
-        F.explode(replicas).alias(_SALT),
-    )
-    out = [F.col(f"`{key}`")]
-    out += [F.col(f"`{c}`") for c in big.columns if c != key]
-    out += [F.col(f"`{c}`") for c in small.columns if c != key]
-    return salted_big.join(salted_small, [key, _SALT], how).select(*out)
+    spread = F.xxhash64(F.col(f"`{key}`"))
+    joined = big.withColumn(_SPREAD, spread).join(small.withColumn(_SPREAD, spread), [key, _SPREAD], how)
+    return joined.drop(_SPREAD)

@@ -1,11 +1,11 @@
-"""Bronze ingest: a landing CSV file becomes a typed bronze table, unchanged otherwise.
+"""Bronze ingest: a dataset's landing files become a typed bronze table, unchanged otherwise.
 
 One parameterised job serves all nine source datasets.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 from pyspark.sql.types import StructType
 
 from emporia.sources.landing import read_source
@@ -21,13 +21,7 @@ def ingest(
     warehouse: Warehouse | None = None,
     schema: StructType | None = None,
 ) -> str:
-    """Read ``dataset``'s landing file and overwrite its bronze table; returns the table."""
+    """Read ``dataset``'s landing files and overwrite its bronze table; returns the table."""
     warehouse = warehouse or Warehouse()
     df = read_source(spark, dataset, warehouse.registry, schema=schema)
     return write_layer(df, dataset, "bronze", warehouse)
-
-
-def bronze_frame(spark: SparkSession, dataset: str, warehouse: Warehouse | None = None) -> DataFrame:
-    """The bronze frame without writing it (for composing or inspecting)."""
-    warehouse = warehouse or Warehouse()
-    return read_source(spark, dataset, warehouse.registry)

@@ -18,17 +18,14 @@ Plans are shaped for scale without changing a result:
 * Reviews are summarised per order before the product-performance join: the
   review fan-out is reproduced arithmetically (counts and sums multiplied by the
   number of reviews) instead of materialising item x review pairs.
-* Every join of a large frame with a frame holding few rows per key (an
-  aggregate, a deduplicated dimension) is a ``balanced_join``: keys holding
-  more than about a task's worth of rows are split across tasks, NULL keys of a
-  left join too. Such joins are exactly the ones AQE cannot split, because the
-  small side reaches them already partitioned on the key.
-* The one join of two large frames (review_insights' review x item fan-out)
-  gets both inputs through their own shuffle, so AQE's skew-join handling
-  splits a hot order there.
-* No broadcast hints: AQE broadcasts a side only after measuring it; the only
-  explicit broadcasts are the hot-key lists inside ``balanced_join``, at most
-  ``MAX_HOT_KEYS`` keys.
+* Every join of a large frame with a frame that may reach it already partitioned
+  on the key (an aggregate, a deduplicated dimension) is a ``balanced_join``: both
+  inputs get the join's own shuffle, the shape in which AQE splits a partition
+  that a hot key (or the NULL keys of a left join) makes far larger than the others.
+* The other joins of two large frames (orders x items in the sales fact, the
+  review x item fan-out) have that shape as they are.
+* No broadcast hints and no counting passes: AQE broadcasts a side, or splits a
+  partition, only after measuring it.
 """
 
 from __future__ import annotations
@@ -69,13 +66,8 @@ def _orders_with_totals(orders: DataFrame, order_items: DataFrame) -> DataFrame:
 
 def daily_sales(orders: DataFrame, order_items: DataFrame, customers: DataFrame) -> DataFrame:
     """Per (order date, customer state): distinct orders, revenue, mean item total."""
-    # Each order row meets at most one totals row, so counting customer_id on
-    # the orders themselves bounds the joined rows per customer.
     rows = balanced_join(
-        _orders_with_totals(orders, order_items),
-        customers.select("customer_id", "state"),
-        "customer_id",
-        counts_from=orders,
+        _orders_with_totals(orders, order_items), customers.select("customer_id", "state"), "customer_id"
     )
     return rows.groupBy(
         calendar_day("order_created_ts").alias("order_date"),
@@ -91,11 +83,13 @@ def customer_ltv(orders: DataFrame, order_items: DataFrame, customers: DataFrame
     """Per (customer, state): distinct orders, total spent, last order time.
 
     Orders are summarised per customer *before* customers are joined, so the
-    join sees at most one row per customer on the order side and one per
-    (customer, state) on the other: a customer holding any share of the orders
-    is absorbed by partial aggregation map-side. A customer row listed k times
-    with one state stands for k copies of each joined row: the money sum is
-    multiplied by k, the distinct count and the latest time are unchanged.
+    join sees at most one row per customer on the order side: a customer holding
+    any share of the orders is absorbed by partial aggregation map-side. The
+    customers table is deduplicated on its key, so neither side of this join can
+    hold a hot key, and a plain join serves: its partitioning on customer_id is
+    also the last aggregate's. A customer row that is listed k times with one state
+    all the same stands for k copies of each joined row: the money sum is multiplied
+    by k, the distinct count and the latest time are unchanged.
     """
     per_customer = (
         _orders_with_totals(orders, order_items)
@@ -106,15 +100,11 @@ def customer_ltv(orders: DataFrame, order_items: DataFrame, customers: DataFrame
             F.max("order_created_ts").alias("last_order_timestamp"),
         )
     )
-    states = customers.groupBy("customer_id", "state").agg(F.count(F.lit(1)).alias("copies"))
-    # One row per customer on the order side; the state side may list a customer
-    # under many states, so it is the big side of a balanced join.
-    return balanced_join(states, per_customer, "customer_id").select(
-        "customer_id",
-        F.col("state").alias("customer_state"),
-        "total_orders",
-        units_to_money(repeated(F.col("amount_sum"), F.col("copies"))).alias("total_spent"),
-        "last_order_timestamp",
+    rows = customers.select("customer_id", "state").join(per_customer, "customer_id")
+    return rows.groupBy("customer_id", F.col("state").alias("customer_state")).agg(
+        F.first("total_orders").alias("total_orders"),
+        exact_total(F.col("amount_sum")).alias("total_spent"),
+        F.first("last_order_timestamp").alias("last_order_timestamp"),
     )
 
 
@@ -137,9 +127,7 @@ def product_performance(order_items: DataFrame, products: DataFrame, reviews: Da
         "order_id", "product_id", line_total("price", "freight_value").alias("amount")
     )
     lines = balanced_join(items, products.select("product_id", "category"), "product_id")
-    rows = balanced_join(
-        lines, review_summary_by_order(reviews), "order_id", "left", counts_from=items
-    )
+    rows = balanced_join(lines, review_summary_by_order(reviews), "order_id", "left")
     copies = F.coalesce(F.col("n_reviews"), F.lit(1).cast("bigint"))
     return rows.groupBy("product_id", "category").agg(
         F.sum(F.when(F.col("order_id").isNotNull(), copies).otherwise(F.lit(0).cast("bigint"))).alias(
@@ -167,14 +155,9 @@ def review_insights(
     already partitioned on order_id, which AQE cannot split.) The wide review
     text crosses the network once.
     """
-    # The inner join on order_id drops NULL order ids anyway; dropping them here
-    # too keeps the hot-key counts' input identical to the join's, so Spark
-    # reuses one shuffle of the items for both.
-    items = order_items.where(F.col("order_id").isNotNull()).select("order_id", "product_id")
+    items = order_items.select("order_id", "product_id")
     dated = balanced_join(items, orders.select("order_id", "order_created_ts"), "order_id")
-    categorised = balanced_join(
-        dated, products.select("product_id", "category"), "product_id", counts_from=items
-    )
+    categorised = balanced_join(dated, products.select("product_id", "category"), "product_id")
     return reviews.select("review_id", "order_id", "review_score", "review_text").join(
         categorised, "order_id"
     ).select(
@@ -198,14 +181,9 @@ def sales_fact(
     Orders meet customers before items (order-level rows are the ones shuffled
     by customer_id); this left join commutes with the inner join on order_id.
     The order x item join has two large inputs, each through its own shuffle,
-    so AQE splits a hot order there; the dimension lookups are balanced joins,
-    their hot keys counted on the items table itself.
+    so AQE splits a hot order there; the dimension lookups are balanced joins.
     """
-    # NULL order ids never meet an order (inner join); dropped up front so the
-    # hot-key counts read the same items shuffle as the join.
-    items = order_items.where(F.col("order_id").isNotNull()).select(
-        "order_id", "product_id", "seller_id", "price", "freight_value"
-    )
+    items = order_items.select("order_id", "product_id", "seller_id", "price", "freight_value")
     ordered = balanced_join(
         orders.select("order_id", "customer_id", "order_created_ts"),
         customers.select(
@@ -215,15 +193,12 @@ def sales_fact(
         "left",
     )
     rows = ordered.join(items, "order_id")
-    rows = balanced_join(
-        rows, products.select("product_id", "category"), "product_id", "left", counts_from=items
-    )
+    rows = balanced_join(rows, products.select("product_id", "category"), "product_id", "left")
     rows = balanced_join(
         rows,
         sellers.select("seller_id", F.col("city").alias("seller_city"), F.col("state").alias("seller_state")),
         "seller_id",
         "left",
-        counts_from=items,
     )
     return rows.select(
         "order_id",

@@ -13,8 +13,11 @@ Run one job, a layer, or everything:
 With ``--buckets N`` (catalog layout only) the silver tables keyed by order_id
 are written bucketed on it; gold jobs then aggregate items and reviews per
 order without shuffling them. Joins on order_id keep them bucket-aligned only
-with ``--hot-key-rows 0`` (no hot-key splitting), which is safe only when no
+with ``--no-split`` (joins that AQE cannot split), which is safe only when no
 order holds a large share of the rows; a bucket cannot be split either.
+
+``--read-option dataset.name=value`` sets a CSV reader option of one dataset,
+``--infer-undeclared dataset`` infers the types of the columns it does not declare.
 """
 
 from __future__ import annotations
@@ -26,9 +29,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from emporia.operators.profile import log_profile
-from emporia.operators.skew import HOT_ROWS_CONF
-from emporia.session import shuffle_partitions_for
+from emporia.operators.profile import log_observed, observed
+from emporia.operators.skew import SPLIT_CONF
+from emporia.session import RECOMMENDED_CONF, shuffle_partitions_for
 from emporia.plans import gold, silver
 from emporia.plans.bronze import BRONZE_DATASETS
 from emporia.sources.landing import read_source
@@ -90,6 +93,10 @@ def _jobs() -> list[Job]:
 JOBS: dict[str, Job] = {job.name: job for job in _jobs()}
 LAYER_ORDER = ("bronze", "silver", "gold")
 
+# Settings of the caller's session that a job's own session keeps (newSession starts
+# from the context's settings, not from what was set at run time).
+_SHARED_CONF = (*RECOMMENDED_CONF, SPLIT_CONF)
+
 
 def inputs(job: Job, spark: SparkSession, warehouse: Warehouse) -> list[DataFrame]:
     """The job's input frames: its landing file (bronze) or the tables it reads."""
@@ -112,26 +119,31 @@ def run_job(
     profile: bool = False,
     shuffle_partitions: int | None = None,
 ) -> str:
-    """Write one job's table. ``profile`` logs its columns, counts and a preview first
-    (extra passes over the data; failures only warn).
+    """Write one job's table. ``profile`` logs its columns, counts and a preview: the counts
+    are observed while the table is written, the preview is read from it; failures only warn.
 
     Shuffle partitions are sized from the job's input bytes
-    (``session.shuffle_partitions_for``) unless ``shuffle_partitions`` is given.
+    (``session.shuffle_partitions_for``) unless ``shuffle_partitions`` is given, and set
+    in a session of the job's own that shares the caller's context and catalog.
     """
     job = JOBS[name]
+    own = spark.newSession()
+    for key in _SHARED_CONF:
+        if (value := spark.conf.get(key, None)) is not None:
+            own.conf.set(key, value)
     if shuffle_partitions is None:
-        shuffle_partitions = shuffle_partitions_for(spark, inputs(job, spark, warehouse))
-    saved = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    try:
-        df = plan(job, spark, warehouse)
-        log_profile(df, logging.getLogger(f"emporia.{name}"), enabled=profile)
-        bucket_by = None
-        if buckets and warehouse.root is None and job.layer == "silver" and job.dataset in ORDER_KEYED:
-            bucket_by = (buckets, ORDER_KEYED[job.dataset])
-        return write_layer(df, job.dataset, job.layer, warehouse, bucket_by=bucket_by)
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", saved)
+        shuffle_partitions = shuffle_partitions_for(own, inputs(job, own, warehouse))
+    own.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    df = plan(job, own, warehouse)
+    df, seen = observed(df) if profile else (df, None)
+    bucket_by = None
+    if buckets and warehouse.root is None and job.layer == "silver" and job.dataset in ORDER_KEYED:
+        bucket_by = (buckets, ORDER_KEYED[job.dataset])
+    where = write_layer(df, job.dataset, job.layer, warehouse, bucket_by=bucket_by)
+    if seen is not None:
+        written = read_layer(own, job.dataset, job.layer, warehouse)
+        log_observed(seen, written, logging.getLogger(f"emporia.{name}"))
+    return where
 
 
 def ordered(names: Sequence[str]) -> list[str]:
@@ -167,10 +179,23 @@ def main(argv: Sequence[str] | None = None) -> None:
         help="fixed shuffle partitions (default: sized per job from its input bytes)",
     )
     parser.add_argument(
-        "--hot-key-rows",
-        type=int,
-        default=None,
-        help="rows per join key above which the key is split across tasks (0: never split)",
+        "--no-split",
+        action="store_true",
+        help="plain joins that keep bucket alignment, without the shuffles that let AQE split hot keys",
+    )
+    parser.add_argument(
+        "--read-option",
+        action="append",
+        default=[],
+        metavar="DATASET.NAME=VALUE",
+        help="CSV reader option of one dataset, such as orders.sep=; (may be repeated)",
+    )
+    parser.add_argument(
+        "--infer-undeclared",
+        action="append",
+        default=[],
+        metavar="DATASET",
+        help="infer the types of the columns that this dataset does not declare (may be repeated)",
     )
     args = parser.parse_args(argv)
     if args.profile:
@@ -187,12 +212,29 @@ def main(argv: Sequence[str] | None = None) -> None:
         else:
             parser.error(f"unknown job {arg!r}; known: {', '.join(JOBS)}")
 
+    options: dict[str, dict[str, str]] = {}
+    for text in args.read_option:
+        target, _, value = text.partition("=")
+        dataset, _, option = target.partition(".")
+        if dataset not in BRONZE_DATASETS or not option:
+            parser.error(f"not a dataset's reader option: {text!r}")
+        options.setdefault(dataset, {})[option] = value
+    for dataset in args.infer_undeclared:
+        if dataset not in BRONZE_DATASETS:
+            parser.error(f"unknown dataset {dataset!r}")
+
     from emporia.session import build_session
 
     spark = build_session(app_name="emporia-jobs")
-    if args.hot_key_rows is not None:
-        spark.conf.set(HOT_ROWS_CONF, str(args.hot_key_rows))
-    warehouse = Warehouse(Registry(landing_root=args.landing, catalog=args.catalog), args.warehouse_root)
+    if args.no_split:
+        spark.conf.set(SPLIT_CONF, "false")
+    registry = Registry(
+        landing_root=args.landing,
+        catalog=args.catalog,
+        options=options,
+        infer_undeclared=frozenset(args.infer_undeclared),
+    )
+    warehouse = Warehouse(registry, args.warehouse_root)
     for name in ordered(list(dict.fromkeys(names))):
         out = run_job(spark, name, warehouse, args.buckets, args.profile, args.shuffle_partitions)
         print(name, "->", out, flush=True)

@@ -2,35 +2,45 @@
 
 Each builder takes ``(spark, sf_dir)``, derives the source datasets from the
 test tables (``sources.standins``) and returns the job's output DataFrame over
-the whole tables. Nothing is written except by the bronze round trips, which
-write to a fresh folder under the shared scratch root.
+the whole tables. ``rough_*`` queries run the same jobs over stand-ins with
+repeated ids, references to missing rows and NULL keys. Nothing is written except
+by the bronze round trips and the catalog query, which write to a fresh folder or
+database under the shared scratch root.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from emporia.operators import centroid, dedupe, profile
+from emporia.operators import centroid, dedupe, profile, units_to_money
 from emporia.plans import gold, silver
-from emporia.session import fresh_scratch_path
+from emporia.plans.bronze import ingest
+from emporia.session import fresh_scratch_path, scratch_root
 from emporia.sources import standins
-from emporia.sources.landing import read_csv, write_csv
+from emporia.sources.landing import write_csv
 from emporia.sources.registry import MULTILINE_SOURCES, SOURCE_FILES, Registry
 from emporia.sources.tables import Warehouse, read_layer, write_layer
 
+# Rows of a landed review file; buckets of the catalog query's tables.
+REVIEWS_PER_FILE = 250_000
+CATALOG_BUCKETS = 8
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 class Silver:
-    """Lazily built silver frames over one test-data folder."""
+    """Lazily built silver frames over one test-data folder; ``rough``: with repeated, missing and NULL keys."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, rough: bool = False):
         self.spark, self.sf_dir = spark, sf_dir
+        self.build = standins.rough if rough else standins.source
 
     def src(self, name: str) -> DataFrame:
-        return standins.source(self.spark, self.sf_dir, name)
+        return self.build(self.spark, self.sf_dir, name)
 
     def customers(self) -> DataFrame:
         return silver.customers(self.src("customers"), self.src("geolocation"))
@@ -67,72 +77,78 @@ def profile_order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile(Silver(spark, sf_dir).order_items())
 
 
-def gold_sales_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = Silver(spark, sf_dir)
-    return gold.sales_fact(s.orders(), s.order_items(), s.products(), s.customers(), s.sellers())
-
-
-def gold_daily_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = Silver(spark, sf_dir)
-    return gold.daily_sales(s.orders(), s.order_items(), s.customers())
-
-
-def gold_customer_ltv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = Silver(spark, sf_dir)
-    return gold.customer_ltv(s.orders(), s.order_items(), s.customers())
-
-
-def gold_product_performance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = Silver(spark, sf_dir)
-    return gold.product_performance(s.order_items(), s.products(), s.reviews())
-
-
-def gold_review_insights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = Silver(spark, sf_dir)
-    return gold.review_insights(s.reviews(), s.orders(), s.order_items(), s.products())
+GOLD: dict[str, Callable[[Silver], DataFrame]] = {
+    "sales_fact": lambda s: gold.sales_fact(s.orders(), s.order_items(), s.products(), s.customers(), s.sellers()),
+    "daily_sales": lambda s: gold.daily_sales(s.orders(), s.order_items(), s.customers()),
+    "customer_ltv": lambda s: gold.customer_ltv(s.orders(), s.order_items(), s.customers()),
+    "product_performance": lambda s: gold.product_performance(s.order_items(), s.products(), s.reviews()),
+    "review_insights": lambda s: gold.review_insights(s.reviews(), s.orders(), s.order_items(), s.products()),
+}
 
 
 def bronze_roundtrip(dataset: str) -> Query:
-    """Land the stand-in as CSV, ingest it (text read, casts by name), write the
-    bronze table and read it back."""
+    """Land the stand-in as CSV part files, ingest it (text read, casts by name) into
+    its bronze table and read that back."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         source = standins.source(spark, sf_dir, dataset)
         root = fresh_scratch_path(spark, f"bronze-{dataset}")
         registry = Registry(landing_root=f"{root}/landing")
-        write_csv(source, registry.source_path(dataset))
-        ingested = read_csv(
-            spark,
-            registry.source_path(dataset),
-            schema=source.schema,
-            multiline=dataset in MULTILINE_SOURCES,
-        )
+        # Whole-record files cannot be split: bounded part files keep their read parallel.
+        bound = REVIEWS_PER_FILE if dataset in MULTILINE_SOURCES else 0
+        write_csv(source, registry.source_path(dataset), max_records_per_file=bound)
         warehouse = Warehouse(registry=registry, root=f"{root}/warehouse")
-        write_layer(ingested, dataset, "bronze", warehouse)
+        ingest(spark, dataset, warehouse, schema=source.schema)
         return read_layer(spark, dataset, "bronze", warehouse)
 
     run.__name__ = f"bronze_{dataset}"
     return run
 
 
-def _silver_query(name: str) -> Query:
+def catalog_order_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with their item totals, over catalog tables.
+
+    Silver orders and items are saved as tables of a fresh database under the scratch
+    root, bucketed alike on the order; read back by name, they are aggregated and
+    joined without a shuffle.
+    """
+    s = Silver(spark, sf_dir)
+    database = f"emporia_{uuid.uuid4().hex}"
+    warehouse = Warehouse(Registry(databases={"silver": database}), databases_under=scratch_root(spark))
+    for dataset in ("orders", "order_items"):
+        frame = getattr(s, dataset)()
+        write_layer(frame, dataset, "silver", warehouse, bucket_by=(CATALOG_BUCKETS, "order_id"))
+    orders, items = (read_layer(spark, d, "silver", warehouse) for d in ("orders", "order_items"))
+    return orders.select("order_id", "customer_id").join(gold.item_totals_by_order(items), "order_id").select(
+        "order_id", "customer_id", units_to_money(F.col("amount_sum")).alias("amount"), F.col("amount_n").alias("items")
+    )
+
+
+def _silver_query(name: str, rough: bool = False) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return getattr(Silver(spark, sf_dir), name)()
+        return getattr(Silver(spark, sf_dir, rough), name)()
 
     run.__name__ = f"silver_{name}"
     return run
 
 
+def _gold_query(name: str, rough: bool = False) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return GOLD[name](Silver(spark, sf_dir, rough))
+
+    run.__name__ = f"gold_{name}"
+    return run
+
+
 QUERIES: dict[str, Query] = {
     "dedupe_order_items": dedupe_order_items,
     "geo_centroid": geo_centroid,
     **{f"silver_{n}": _silver_query(n) for n in
        ("customers", "sellers", "products", "orders", "order_items", "payments", "reviews")},
-    "gold_sales_fact": gold_sales_fact,
-    "gold_daily_sales": gold_daily_sales,
-    "gold_customer_ltv": gold_customer_ltv,
-    "gold_product_performance": gold_product_performance,
-    "gold_review_insights": gold_review_insights,
+    **{f"gold_{n}": _gold_query(n) for n in GOLD},
     "profile_order_items": profile_order_items,
     **{f"bronze_{d}": bronze_roundtrip(d) for d in SOURCE_FILES},
+    "catalog_order_totals": catalog_order_totals,
+    **{f"rough_silver_{n}": _silver_query(n, rough=True) for n in ("customers", "sellers", "orders")},
+    **{f"rough_gold_{n}": _gold_query(n, rough=True) for n in GOLD},
 }

@@ -28,10 +28,9 @@ _ZIP = "__zip_key"
 def _located(df: DataFrame, zip_col: str, geolocation: DataFrame) -> DataFrame:
     """Left join to the centroid of the row's zip prefix (1:1, centroids are unique).
 
-    A balanced join: a zip prefix holding a large share of the rows (a big
-    city), or NULL prefixes, are split across tasks instead of landing whole in
-    one; the centroid aggregate reaches the join already partitioned on the
-    prefix, so AQE could not split it.
+    A balanced join: the centroid aggregate reaches it already partitioned on the
+    prefix, so only with a shuffle of its own can AQE split a prefix that holds a
+    large share of the rows (a big city), or the NULL prefixes.
     """
     located = df.withColumn(_ZIP, zip_key(F.col(f"`{zip_col}`")))
     centroids = centroid(geolocation).withColumnRenamed(GEO_KEY, _ZIP)

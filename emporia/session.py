@@ -9,15 +9,18 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 # Settings that matter at scale:
 # * AQE re-plans at stage boundaries from measured shuffle sizes: it coalesces
 #   small partitions, splits skewed join partitions, and turns a sort-merge join
 #   into a broadcast join only when the *measured* build side is under
-#   ``spark.sql.adaptive.autoBroadcastJoinThreshold``. That is our only path to a
-#   broadcast; no job carries a broadcast hint.
+#   ``spark.sql.adaptive.autoBroadcastJoinThreshold``. The planner's own choice,
+#   which goes by compressed file sizes, is off, and no job carries a broadcast hint
+#   on data tables: this is the only path to a broadcast.
 # * ANSI mode makes bad money or timestamp text fail loudly instead of nulling.
 # * Wall-clock timestamps are read as TIMESTAMP_NTZ; UTC keeps any LTZ input stable.
 RECOMMENDED_CONF: dict[str, str] = {
@@ -26,6 +29,7 @@ RECOMMENDED_CONF: dict[str, str] = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.ansi.enabled": "true",
@@ -78,14 +82,12 @@ def byte_size(text: str) -> int:
 
 
 def input_bytes(df: DataFrame) -> int:
-    """On-disk size of the data under ``df``'s scans, from Catalyst's statistics.
-
-    For file sources and catalog tables this is the sum of file sizes known to
-    the file index (metadata only: no data is read and nothing reaches the
-    driver but one number).
-    """
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(size if isinstance(size, int) else size.toString())
+    """On-disk size of the files under ``df``'s scans (a listing; no file is opened)."""
+    files = df.inputFiles()
+    if not files:
+        return 0
+    listed = df.sparkSession.read.format("binaryFile").load([unquote(f) for f in files])
+    return int(listed.agg(F.sum("length")).first()[0] or 0)
 
 
 def shuffle_partitions_for(spark: SparkSession, frames: list[DataFrame]) -> int:

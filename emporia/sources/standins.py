@@ -30,7 +30,7 @@ from __future__ import annotations
 import weakref
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Stand-in mappings.
@@ -184,5 +184,44 @@ BUILDERS: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 
+def _repeated(df: DataFrame, key: str, every: int, **changed: Column) -> DataFrame:
+    """``df`` and once more its rows whose key is divisible by ``every``, with changed columns."""
+    return df.unionByName(df.where(F.col(key) % every == 0).withColumns(changed))
+
+
+def rough(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
+    """The stand-in with the faults that raw files have, derived from the same rows.
+
+    Customers and sellers repeat ids with other attributes; orders and products
+    repeat; customers, sellers, orders and products that others refer to are
+    missing; some items have no product or no freight, some reviews no order.
+    """
+    df = source(spark, sf_dir, dataset)
+    if dataset == "customers":
+        again = {
+            "customer_unique_id": F.concat(F.lit("A "), F.col("customer_unique_id")),
+            "customer_zip_code_prefix": (F.col("customer_zip_code_prefix") + 3) % 25,
+        }
+        return _repeated(df, "customer_id", 7, **again).where(F.col("customer_id") % 11 != 0)
+    if dataset == "sellers":
+        again = {"seller_zip_code_prefix": (F.col("seller_zip_code_prefix") + 3) % 25}
+        return _repeated(df, "seller_id", 3, **again).where(F.col("seller_id") % 7 != 0)
+    if dataset == "orders":
+        later = F.col("order_purchase_timestamp") + F.expr("INTERVAL 1 DAY")
+        return _repeated(df, "order_id", 13, order_purchase_timestamp=later).where(F.col("order_id") % 19 != 0)
+    if dataset == "products":
+        return _repeated(df, "product_id", 17).where(F.col("product_id") % 5 != 0)
+    if dataset == "order_items":
+        return df.withColumns(
+            {
+                "product_id": F.when(F.col("order_id") % 29 != 0, F.col("product_id")),
+                "freight_value": F.when(F.col("order_item_id") != 3, F.col("freight_value")),
+            }
+        )
+    if dataset == "order_reviews":
+        return df.withColumn("order_id", F.when(F.col("review_id") % 23 != 0, F.col("order_id")))
+    return df
+
+
 def source(spark: SparkSession, sf_dir: str, dataset: str) -> DataFrame:
     return BUILDERS[dataset](spark, sf_dir)

@@ -1,5 +1,5 @@
-"""Run gold tables with nearly every key salted while the first attempt of half
-the tasks in the salting stages fails; print whether the results equal a
+"""Run gold tables with most partitions split by AQE while the first attempt of half
+the tasks that read orders and items fails; print whether the results equal a
 failure-free run. Needs its own JVM (``local[4,4]``: four attempts per task),
 so ``tests/test_retries.py`` runs it as a subprocess:
 
@@ -21,7 +21,6 @@ def main(sf_dir: str, marker_dir: str) -> None:
     from pyspark import TaskContext
     from pyspark.sql import functions as F
 
-    from emporia.operators.skew import HOT_ROWS_CONF
     from emporia.plans import gold
     from emporia.plans.queries import Silver
     from emporia.session import build_session
@@ -32,8 +31,13 @@ def main(sf_dir: str, marker_dir: str) -> None:
         shuffle_partitions=4,
         extra_conf={"spark.checkpoint.dir": os.path.join(marker_dir, "ckpt")},
     )
-    spark.conf.set(HOT_ROWS_CONF, "3")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # salt, do not broadcast
+    for key, value in {
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "0.1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+    }.items():
+        spark.conf.set(key, value)
 
     def fail_first_attempt(_):
         tc = TaskContext.get()
@@ -47,7 +51,7 @@ def main(sf_dir: str, marker_dir: str) -> None:
 
     def tables(inject: bool):
         orders, items, reviews = s.orders(), s.order_items(), s.reviews()
-        if inject:  # same stage as the salting of these frames
+        if inject:  # in the stages whose output the joins split
             orders = orders.where(flaky(F.lit(1)))
             items = items.where(flaky(F.lit(1)))
         return {

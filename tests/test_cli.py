@@ -13,11 +13,12 @@ from tests.fixtures import write_landing
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
-def test_cli_runs_every_job_with_hot_keys_split(tmp_path):
+def test_cli_runs_every_job(tmp_path):
     landing = write_landing(str(tmp_path / "landing"))
     wh = str(tmp_path / "wh")
     cmd = [sys.executable, "-m", "emporia.plans.jobs", "all", "--landing", landing,
-           "--warehouse-root", wh, "--hot-key-rows", "2", "--shuffle-partitions", "3"]
+           "--warehouse-root", wh, "--shuffle-partitions", "3", "--infer-undeclared", "customers",
+           "--read-option", "orders.encoding=UTF-8"]
     out = subprocess.run(cmd, cwd=ROOT, capture_output=True, text=True, timeout=600)
     assert out.returncode == 0, out.stderr[-3000:]
     written = [line for line in out.stdout.splitlines() if " -> " in line]
@@ -28,6 +29,12 @@ def test_cli_runs_every_job_with_hot_keys_split(tmp_path):
                                   "avg_order_value"]
 
 
+def test_cli_rejects_an_unknown_dataset_option():
+    out = subprocess.run([sys.executable, "-m", "emporia.plans.jobs", "gold", "--read-option", "nothing.sep=;"],
+                         cwd=ROOT, capture_output=True, text=True, timeout=300)
+    assert out.returncode != 0 and "reader option" in out.stderr
+
+
 def test_cli_rejects_an_unknown_job(tmp_path):
     out = subprocess.run([sys.executable, "-m", "emporia.plans.jobs", "gold-nothing"],
                          cwd=ROOT, capture_output=True, text=True, timeout=300)

@@ -232,22 +232,20 @@ def test_layout_independent_exact_results(spark, sf, name):
 
 
 @pytest.mark.parametrize("name", sorted(CASES))
-def test_layout_independent_with_keys_salted(spark, sf, name):
-    """Salts hash the input partition id, so another layout salts differently;
-    the result must still be bit-identical."""
-    from emporia.operators.skew import HOT_ROWS_CONF
+def test_layout_independent_with_partitions_split(spark, sf, name):
+    """AQE splits other partitions under another layout; the result must still be bit-identical."""
+    from tests.test_skew import AQE_SKEW
 
     fast, _, inputs = CASES[name]
-    saved = spark.conf.get("spark.sql.shuffle.partitions")
-    saved_bc = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set(HOT_ROWS_CONF, "3")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf = {**AQE_SKEW, "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "0.1"}
+    saved = {k: spark.conf.get(k) for k in (*conf, "spark.sql.shuffle.partitions")}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
     try:
         base = rows(fast(*[getattr(sf, n)() for n in inputs]))
         spark.conf.set("spark.sql.shuffle.partitions", "5")
         args = [getattr(sf, n)().repartition(7).sortWithinPartitions(F.rand(11)) for n in inputs]
         assert rows(fast(*args)) == base
     finally:
-        spark.conf.unset(HOT_ROWS_CONF)
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved_bc)
-        spark.conf.set("spark.sql.shuffle.partitions", saved)
+        for k, v in saved.items():
+            spark.conf.set(k, v)

@@ -1,4 +1,4 @@
-"""Failed task attempts must not change results (salts and dedupe are deterministic)."""
+"""Failed task attempts must not change results (sums and dedupe are deterministic)."""
 
 from __future__ import annotations
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from emporia.operators import dedupe
 from emporia.plans import gold
+from emporia.session import RECOMMENDED_CONF
 from emporia.sources import GOLD_COLUMNS
 from tests.conftest import rows
 from tests.test_gold import (
@@ -106,8 +107,8 @@ def test_item_totals_are_partially_aggregated(hot):
 
 # --- balanced joins ---------------------------------------------------------------
 
-from emporia.operators import balanced_join, hot_keys  # noqa: E402
-from emporia.operators.skew import HOT_ROWS_CONF, salt_rows  # noqa: E402
+from emporia.operators import balanced_join  # noqa: E402
+from emporia.operators.skew import SPLIT_CONF  # noqa: E402
 from emporia.plans import silver  # noqa: E402
 from emporia.sources import SILVER_COLUMNS  # noqa: E402
 from tests.test_gold import brute_sales_fact  # noqa: E402
@@ -133,45 +134,63 @@ def lopsided(spark):
     return big.unionByName(copies), small.unionByName(extra)
 
 
+AQE_SKEW = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1000",
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
+}
+
+
 @pytest.fixture()
-def no_static_broadcast(spark):
-    """Lookups too big to broadcast (the at-scale case): balanced joins salt."""
-    saved = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def aqe_skew(spark):
+    """AQE's skew thresholds lowered to test sizes; nothing is broadcast."""
+    saved = {k: spark.conf.get(k) for k in AQE_SKEW}
+    for k, v in AQE_SKEW.items():
+        spark.conf.set(k, v)
     yield
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
+    for k, v in saved.items():
+        spark.conf.set(k, v)
+
+
+def final_plan(df):
+    """The adaptive plan after the rows were collected."""
+    got = df.collect()
+    return got, df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_balanced_join_equals_plain_join(lopsided, how, no_static_broadcast):
+@pytest.mark.parametrize("split", [True, False])
+def test_balanced_join_equals_plain_join(lopsided, how, split, aqe_skew):
     big, small = lopsided
-    got = balanced_join(big, small, "k", how, hot_rows=100)
+    got = balanced_join(big, small, "k", how, split=split)
     assert got.columns == ["k", "v", "w"]
-    assert "__salt" in got._jdf.queryExecution().optimizedPlan().toString()
     assert rows(got) == rows(big.join(small, "k", how))
 
 
-def test_hot_keys_and_their_splits(lopsided):
-    big, _ = lopsided
-    got = dict(rows(hot_keys(big, "k", 100)))
-    # key 7: 2000 + 13 (id % 300 == 7) + 500 copies = 2513 rows -> 26 splits;
-    # NULL: 400 rows -> 4 splits; no other key exceeds 100
-    assert got == {7: 26, None: 4}
-
-
-def test_hot_rows_are_spread_over_their_splits(lopsided):
-    big, _ = lopsided
-    hot = hot_keys(big, "k", 100)
-    tagged = big.repartition(6).join(F.broadcast(hot), F.col("k").eqNullSafe(F.col("__hot_key")), "left")
-    salted = salt_rows(tagged, big.columns)
-    sizes = dict(
-        ((r["k"], r["__salt"]), r["n"])
-        for r in salted.groupBy("k", "__salt").agg(F.count(F.lit(1)).alias("n")).collect()
-    )
-    hot7 = [n for (k, s), n in sizes.items() if k == 7]
-    assert sum(hot7) == 2513 and 20 <= len(hot7) <= 26
-    assert max(hot7) <= 3 * 100  # about hot_rows per bucket, copies included
-    assert all(s == 0 for (k, s) in sizes if k not in (7, None))
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_a_hot_key_is_split_although_the_other_side_is_an_aggregate(spark, lopsided, how, aqe_skew):
+    big, small = lopsided
+    big = big.withColumn("text", F.sha2(F.concat_ws(",", "k", "v", F.monotonically_increasing_id()), 256)).repartition(12)
+    totals = small.groupBy("k").agg(F.sum("w").alias("w"))
+    got, plan = final_plan(balanced_join(big, totals, "k", how))
+    joins = [line for line in plan.splitlines() if "SortMergeJoin" in line]
+    assert joins and all("(skew=true)" in line for line in joins), plan
+    assert len(got) == big.join(totals, "k", how).count()
+    # The plain join cannot be split: the aggregate arrives partitioned on the key.
+    _, plain = final_plan(big.join(totals, "k", how))
+    assert "(skew=true)" not in plain
+
+
+def test_null_keys_of_a_left_join_are_split(spark, aqe_skew):
+    big = spark.range(6000).select(
+        F.when(F.col("id") % 3 == 0, F.col("id")).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v")
+    ).repartition(12)
+    small = spark.range(100).groupBy(F.col("id").alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    got, plan = final_plan(balanced_join(big, small, "k", "left"))
+    assert "(skew=true)" in plan and len(got) == 6000
 
 
 def test_balanced_join_rejects_other_join_types(lopsided):
@@ -180,15 +199,48 @@ def test_balanced_join_rejects_other_join_types(lopsided):
         balanced_join(big, small, "k", "full")
 
 
-@pytest.fixture()
-def hot_path(spark, no_static_broadcast):
-    """Force the hot-key path on small data."""
-    spark.conf.set(HOT_ROWS_CONF, "50")
-    yield
-    spark.conf.unset(HOT_ROWS_CONF)
+def test_splitting_can_be_switched_off(spark, lopsided, aqe_skew):
+    big, small = lopsided
+    totals = small.groupBy("k").agg(F.sum("w").alias("w"))
+
+    def shuffles():
+        return balanced_join(big, totals, "k")._jdf.queryExecution().executedPlan().toString().count("Exchange hash")
+
+    with_split = shuffles()
+    spark.conf.set(SPLIT_CONF, "false")
+    try:
+        assert shuffles() == with_split - 1
+    finally:
+        spark.conf.unset(SPLIT_CONF)
+
+
+def test_a_compressible_lookup_is_broadcast_by_measured_size(spark, workdir):
+    """A million rows in a few kilobytes of Parquet are too large in memory; a hundred are not."""
+    path = f"{workdir}/lookup"
+    text = F.concat(F.lit("x" * 200), (F.col("id") % 2).cast("string"))
+    spark.range(1_000_000).select(F.col("id").alias("k"), text.alias("w")).write.parquet(path)
+    lookup = spark.read.parquet(path)
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    }
+    assert {k: RECOMMENDED_CONF[k] for k in conf} == conf
+    saved = {k: spark.conf.get(k) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        big = spark.range(3000).select((F.col("id") % 400).alias("k"), F.col("id").alias("v"))
+        wide = big.withColumn("v", F.sha2(F.col("v").cast("string"), 256)).crossJoin(F.broadcast(spark.range(1_000).select("id")))
+        _, plan = final_plan(balanced_join(wide, lookup, "k", "left").groupBy("w").count())
+        assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan, plan
+        _, plan = final_plan(balanced_join(big, lookup.where("k < 100"), "k", "left"))
+        assert "BroadcastHashJoin" in plan, plan
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
 
 
-def test_gold_plans_with_hot_keys_split_match_brute_force(spark, hot, hot_path):
+def test_gold_plans_with_hot_keys_split_match_brute_force(spark, hot, aqe_skew):
     sellers = spark.range(11).select(
         F.col("id").alias("seller_id"), F.lit("c").alias("city"), (F.col("id") % 2).cast("string").alias("state")
     )
@@ -204,12 +256,10 @@ def test_gold_plans_with_hot_keys_split_match_brute_force(spark, hot, hot_path):
          (hot["orders"], hot["items"], hot["products"], customers, sellers), "sales_fact"),
     ]
     for fast, brute, args, name in cases:
-        plan = fast(*args)._jdf.queryExecution().optimizedPlan().toString()
-        assert "__salt" in plan, name
         assert approx(rows(fast(*args))) == approx(rows(brute(*args).select(*GOLD_COLUMNS[name]))), name
 
 
-def test_silver_lookups_with_a_hot_and_null_zip(spark, hot_path):
+def test_silver_lookups_with_a_hot_and_null_zip(spark, aqe_skew):
     # A third of the customers share zip 1151 (stored without its leading zero),
     # a tenth have no zip; the centroid side writes it as 01151.
     customers = spark.range(600).select(
@@ -267,25 +317,6 @@ def test_silver_lookups_with_a_hot_and_null_zip(spark, hot_path):
 
 # --- AQE splits the fan-out join ----------------------------------------------------
 
-AQE_SKEW = {
-    "spark.sql.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
-    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200",
-    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1000",
-    "spark.sql.adaptive.coalescePartitions.enabled": "false",
-}
-
-
-@pytest.fixture()
-def aqe_skew(spark):
-    saved = {k: spark.conf.get(k) for k in AQE_SKEW}
-    for k, v in AQE_SKEW.items():
-        spark.conf.set(k, v)
-    yield
-    for k, v in saved.items():
-        spark.conf.set(k, v)
-
 
 def test_aqe_splits_the_hot_order_in_review_insights(spark, aqe_skew):
     # A third of the items are on order 0, which has 10 reviews. High-entropy
@@ -317,42 +348,6 @@ def test_aqe_splits_the_hot_order_in_review_insights(spark, aqe_skew):
     assert "(skew=true)" in joins[0], final
 
 
-def test_zero_threshold_is_a_plain_join(lopsided, no_static_broadcast):
-    big, small = lopsided
-    got = balanced_join(big, small, "k", "left", hot_rows=0)
-    assert "__salt" not in got._jdf.queryExecution().optimizedPlan().toString()
-    assert rows(got) == rows(big.join(small, "k", "left"))
-
-
-def test_capped_hot_list_keeps_results_exact(lopsided, no_static_broadcast):
-    big, small = lopsided
-    # threshold 10: key 7, NULL and every ordinary key (about 17 rows each) are hot;
-    # only the 3 hottest are split, the others join unsalted
-    capped = hot_keys(big, "k", 10, max_keys=3)
-    got = rows(capped)
-    # key 7 (2513 rows) and NULL (400) are the hottest; the tie among the others goes to the lowest key
-    assert sorted(got, key=str) == sorted([(7, 252), (None, 40), (1, 2)], key=str)
-    for how in ("inner", "left"):
-        out = balanced_join(big, small, "k", how, hot_rows=10, max_hot_keys=3)
-        assert rows(out) == rows(big.join(small, "k", how))
-
-
-def test_small_lookup_is_broadcast_instead_of_salted(spark, lopsided):
-    big, small = lopsided
-    saved = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    try:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
-        out = balanced_join(big, small, "k", "left", hot_rows=100)
-        plan = out._jdf.queryExecution().executedPlan().toString()
-        assert "__salt" not in plan and "BroadcastHashJoin" in plan
-        assert rows(out) == rows(big.join(small, "k", "left"))
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1")  # too big to broadcast
-        assert "__salt" in balanced_join(big, small, "k", "left", hot_rows=100)._jdf.queryExecution() \
-            .optimizedPlan().toString()
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", saved)
-
-
 def test_aqe_splits_the_hot_order_in_the_sales_fact_item_join(spark, aqe_skew):
     # A third of the items on order 0; high-entropy columns keep shuffle bytes
     # proportional to rows.
@@ -387,5 +382,13 @@ def test_aqe_splits_the_hot_order_in_the_sales_fact_item_join(spark, aqe_skew):
     got = out.collect()
     assert len(got) == n
     final = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
-    item_joins = [line for line in final.splitlines() if "SortMergeJoin" in line and "__salt" not in line]
-    assert item_joins and all("(skew=true)" in line for line in item_joins), final
+    # one item join on the order key alone
+    item_joins = [line for line in final.splitlines() if "SortMergeJoin" in line and "__spread" not in line]
+    assert len(item_joins) == 1 and "(skew=true)" in item_joins[0], final
+
+
+def test_customer_ltv_runs_at_most_six_shuffles(spark, hot, aqe_skew):
+    """Without a hot key nothing but the shuffles of the plan is paid: no counting pass."""
+    out = gold.customer_ltv(hot["orders"], hot["items"], hot["customers"])
+    _, plan = final_plan(out)
+    assert plan.count("ShuffleQueryStage") <= 6, plan
