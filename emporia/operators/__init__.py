@@ -2,28 +2,18 @@
 
 from emporia.operators.centroid import centroid
 from emporia.operators.dedupe import dedupe
-from emporia.operators.money import (
-    MONEY_SCALE,
-    exact_total,
-    mean_of,
-    money_sum,
-    money_units,
-    repeated,
-    units_to_money,
-)
+from emporia.operators.money import ALL, MONEY, ExactSum, mean_of, money_sums
 from emporia.operators.profile import log_observed, observed, preview, profile
 from emporia.operators.skew import balanced_join, splits_hot_keys
 
 __all__ = [
     "centroid",
     "dedupe",
-    "MONEY_SCALE",
-    "repeated",
-    "exact_total",
+    "ALL",
+    "MONEY",
+    "ExactSum",
     "mean_of",
-    "money_sum",
-    "money_units",
-    "units_to_money",
+    "money_sums",
     "log_observed",
     "observed",
     "preview",

@@ -1,57 +1,143 @@
-"""Exact, order-independent money sums.
-
-A ``sum`` over doubles depends on the order rows arrive in, so two layouts of
-the same data (or a recomputed partition) can differ in the last bits. Each
-amount is therefore turned once into a decimal with ``MONEY_SCALE`` places and
-summed as a wide decimal; only the final total is a double again. Decimal partial
-sums are exact, so a sum may be split and re-combined in any grouping
-(pre-aggregation below a join, partial aggregates across map tasks) without
-changing a bit of the result.
-
-An amount that has no such decimal (NaN, infinite, or 1e17 and more) raises an
-error on its row, whether or not ANSI mode is on; a total beyond 38 digits raises
-under ANSI mode, which is Spark's default and in ``RECOMMENDED_CONF``. No total
-is ever silently wrong.
-
-Use for money only: coordinates keep plain ``avg`` (rounding would lose precision).
+"""Exact, order-independent sums of doubles.
+
+A ``sum`` over doubles depends on the order rows arrive in, so two layouts of the
+same data (or a recomputed partition) can differ in the last bits. Here a double is
+cut at fixed powers of two into whole numbers of LIMB_BITS bits ("limbs", one a bin
+of exponents), each bin is summed as a bigint, and only the finished total is rounded
+to a double, once, to the nearest (ties to even). Sums of whole numbers are exact,
+so a sum may be split and merged in any grouping (pre-aggregation below a join,
+partial aggregates across map tasks) without changing a bit of the result.
+
+NaN and infinities are summed beside the bins and give what a plain sum gives: NaN
+if there is a NaN or infinities of both signs, else the infinity.
+
+A bin holds 2**39 (5e11) full limbs of one sign before its bigint overflows, which
+raises under ANSI mode (Spark's default, and in ``RECOMMENDED_CONF``).
+
+How many bins there are is a choice of range. MONEY covers every double below 2**96
+(7.9e28) that is a multiple of 2**-96; that includes all doubles from 1.2e-13 up and
+all differences of such amounts. One outside raises an error on its row, whether or
+not ANSI mode is on. ALL covers every double there is, with eleven times the bins;
+``emporia.money.allDoubles = true`` makes the gold tables use it. No total is ever
+silently wrong.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from dataclasses import dataclass
+
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-# Decimal places kept while summing, and the amounts that fit.
-MONEY_SCALE = 10
-MONEY_BELOW = 1e17
-UNIT_TYPE = f"decimal(28,{MONEY_SCALE})"
+# Fixed value: session setting; "true" sums over every double's range.
+ALL_DOUBLES_CONF = "emporia.money.allDoubles"
+
+# Bits of a limb: a multiple of it is the number of bits a range covers.
+LIMB_BITS = 24
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+@dataclass(frozen=True)
+class ExactSum:
+    """Exact sums of doubles that are multiples of ``2**low`` and below ``2**(low + 24 * limbs)``."""
+
+    low: int
+    limbs: int
+
+    @property
+    def high(self) -> int:
+        return self.low + LIMB_BITS * self.limbs
+
+    def _limb(self, col: Column, i: int) -> Column:
+        """The bits of ``col`` from ``2**(low + 24 * i)`` on, up to the next limb; remainders by powers of two are exact."""
+        unit = 2.0 ** (self.low + LIMB_BITS * i)
+        upto = col if i == self.limbs - 1 else col % F.lit(2.0 ** (self.low + LIMB_BITS * (i + 1)))
+        return ((upto - col % F.lit(unit)) / F.lit(unit)).cast("bigint")
+
+    def sum(self, col: Column, times: Column | None = None) -> Column:
+        """Aggregate: the bins of the sum of a double column, each row counted ``times`` times.
+
+        NULL amounts are skipped; the bins are NULL when every amount is.
+        """
+        odd = F.isnan(col) | (F.abs(col) == F.lit(float("inf")))
+        finite = F.when(odd, F.lit(0.0)).otherwise(col)
+        if self.high < 1024 or self.low > -1074:
+            outside = (F.abs(finite) >= F.lit(2.0**self.high)) | (finite % F.lit(2.0**self.low) != 0)
+            error = F.raise_error(F.concat(F.lit("amount outside the range of exact sums: "), col.cast("string")))
+            finite = F.when(outside, error.cast("double")).otherwise(finite)
+        weight = F.lit(1).cast("bigint") if times is None else times.cast("bigint")
+        bins = [F.sum(self._limb(finite, i) * weight) for i in range(self.limbs)]
+        special = F.sum(F.when(odd, col).otherwise(F.when(col.isNotNull(), F.lit(0.0))))
+        return F.struct(F.array(*bins).alias("bins"), special.alias("special"))
+
+    def merged(self, part: Column) -> Column:
+        """Aggregate: the bins of the sum of several sums."""
+        bins = [F.sum(F.get(part["bins"], F.lit(i))) for i in range(self.limbs)]
+        return F.struct(F.array(*bins).alias("bins"), F.sum(part["special"]).alias("special"))
+
+    def value(self, total: Column) -> Column:
+        """The double nearest to a sum (NULL when nothing was summed)."""
+        mask, zero = F.lit((1 << LIMB_BITS) - 1), F.lit(0).cast("bigint")
+        none = F.array().cast("array<bigint>")
+
+        def digits(bins: Column) -> Column:
+            """Carried over to digits from 0 to 2**24 - 1, lowest first, and the carry that is left."""
+            start = F.struct(none.alias("digits"), zero.alias("carry"))
+
+            def carry(seen: Column, bin_: Column) -> Column:
+                whole = bin_ + seen["carry"]
+                digit = F.array(whole.bitwiseAND(mask))
+                return F.struct(F.concat(seen["digits"], digit).alias("digits"), F.shiftright(whole, LIMB_BITS).alias("carry"))
+
+            return F.aggregate(bins, start, carry)
+
+        def size_of(parts: Column) -> Column:
+            """A total that is not negative, from its digits: the four highest make a double, a bit stands for the rest."""
+            rest = F.array(parts["carry"].bitwiseAND(mask), F.shiftright(parts["carry"], LIMB_BITS))
+
+            def rounded(all_: Column) -> Column:
+                return _let(F.array_max(F.transform(all_, lambda d, i: F.when(d > 0, i).otherwise(F.lit(-1)))), lambda top: nearest(all_, top))
 
+            def nearest(all_: Column, top: Column) -> Column:
+                def digit(back: int) -> Column:
+                    return F.coalesce(F.get(all_, top - back), zero)
 
-def money_units(col: Column) -> Column:
-    """A double amount as an exact decimal (half rounds up at MONEY_SCALE places)."""
-    fits = col.isNull() | (F.abs(col) < F.lit(MONEY_BELOW))
-    beyond = F.raise_error(F.concat(F.lit("amount cannot be summed as money: "), col.cast("string")))
-    return F.when(fits, col.cast(UNIT_TYPE)).otherwise(beyond.cast(UNIT_TYPE))
+                lower = F.exists(F.slice(all_, F.lit(1), F.greatest(top - 3, F.lit(0))), lambda d: d > 0)
+                upper48 = F.shiftleft(digit(0), LIMB_BITS) + digit(1)
+                lower48 = (F.shiftleft(digit(2), LIMB_BITS) + digit(3)).bitwiseOR(lower.cast("bigint"))
+                # Both are exact doubles, so their sum is rounded once.
+                lead = upper48.cast("double") * F.lit(2.0**48) + lower48.cast("double")
+                exponent = F.lit(LIMB_BITS) * (top - 3) + F.lit(self.low)
+                half = F.floor(exponent / F.lit(2))
+                scaled = lead * F.pow(F.lit(2.0), half) * F.pow(F.lit(2.0), exponent - half)
+                return F.when(top >= 0, scaled).otherwise(F.lit(0.0))
 
+            return _let(F.concat(parts["digits"], rest), rounded)
 
-def repeated(units: Column, times: Column) -> Column:
-    """``times`` copies of an exact amount (a product that still has all its places)."""
-    return units.cast(UNIT_TYPE) * times.cast("decimal(9,0)")
+        def signed(parts: Column) -> Column:
+            negated = digits(F.transform(total["bins"], lambda b: -b))
+            return F.when(parts["carry"] < 0, -_let(negated, size_of)).otherwise(size_of(parts))
 
+        finite = _let(digits(total["bins"]), signed)
+        exact = F.when(total["special"] == 0, finite).otherwise(total["special"])
+        return F.when(F.get(total["bins"], F.lit(0)).isNotNull(), exact)
 
-def units_to_money(units: Column) -> Column:
-    """An exact amount as the nearest double."""
-    return units.cast("double")
+    def total(self, col: Column) -> Column:
+        """Aggregate: the sum of a double column as the nearest double."""
+        return self.value(self.sum(col))
 
 
-def money_sum(col: Column) -> Column:
-    """Aggregate: exact sum of amounts (NULL when every input is NULL)."""
-    return F.sum(money_units(col))
+MONEY = ExactSum(low=-96, limbs=8)
+ALL = ExactSum(low=-1074, limbs=88)
 
 
-def exact_total(units_sum: Column) -> Column:
-    """Aggregate partial sums and return the total as a double."""
-    return units_to_money(F.sum(units_sum))
+def money_sums(spark: SparkSession) -> ExactSum:
+    """The range that the session's sums cover (``emporia.money.allDoubles``)."""
+    return ALL if spark.conf.get(ALL_DOUBLES_CONF, "false").lower() == "true" else MONEY
 
 
 def mean_of(total: Column, count: Column) -> Column:

@@ -34,22 +34,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emporia.functions import calendar_day, line_total
-from emporia.operators import (
-    balanced_join,
-    exact_total,
-    mean_of,
-    money_sum,
-    money_units,
-    repeated,
-    units_to_money,
-)
+from emporia.operators import balanced_join, mean_of, money_sums
 
 
 def item_totals_by_order(order_items: DataFrame) -> DataFrame:
-    """Per order_id: exact sum of ``price + freight`` (exact decimal) and the count of non-NULL amounts."""
+    """Per order_id: exact sum of ``price + freight`` (its bins) and the count of non-NULL amounts."""
     amount = line_total("price", "freight_value")
     return order_items.groupBy("order_id").agg(
-        money_sum(amount).alias("amount_sum"),
+        money_sums(order_items.sparkSession).sum(amount).alias("amount_sum"),
         F.count(amount).alias("amount_n"),
     )
 
@@ -69,13 +61,21 @@ def daily_sales(orders: DataFrame, order_items: DataFrame, customers: DataFrame)
     rows = balanced_join(
         _orders_with_totals(orders, order_items), customers.select("customer_id", "state"), "customer_id"
     )
-    return rows.groupBy(
+    sums = money_sums(orders.sparkSession)
+    days = rows.groupBy(
         calendar_day("order_created_ts").alias("order_date"),
         F.col("state").alias("customer_state"),
     ).agg(
         F.count_distinct("order_id").alias("total_orders"),
-        exact_total(F.col("amount_sum")).alias("total_revenue"),
-        mean_of(units_to_money(F.sum("amount_sum")), F.sum("amount_n")).alias("avg_order_value"),
+        sums.merged(F.col("amount_sum")).alias("amount_sum"),
+        F.sum("amount_n").alias("amount_n"),
+    )
+    return days.withColumn("total_revenue", sums.value(F.col("amount_sum"))).select(
+        "order_date",
+        "customer_state",
+        "total_orders",
+        "total_revenue",
+        mean_of(F.col("total_revenue"), F.col("amount_n")).alias("avg_order_value"),
     )
 
 
@@ -91,19 +91,20 @@ def customer_ltv(orders: DataFrame, order_items: DataFrame, customers: DataFrame
     all the same stands for k copies of each joined row: the money sum is multiplied
     by k, the distinct count and the latest time are unchanged.
     """
+    sums = money_sums(orders.sparkSession)
     per_customer = (
         _orders_with_totals(orders, order_items)
         .groupBy("customer_id")
         .agg(
             F.count_distinct("order_id").alias("total_orders"),
-            F.sum("amount_sum").alias("amount_sum"),
+            sums.merged(F.col("amount_sum")).alias("amount_sum"),
             F.max("order_created_ts").alias("last_order_timestamp"),
         )
     )
     rows = customers.select("customer_id", "state").join(per_customer, "customer_id")
     return rows.groupBy("customer_id", F.col("state").alias("customer_state")).agg(
         F.first("total_orders").alias("total_orders"),
-        exact_total(F.col("amount_sum")).alias("total_spent"),
+        sums.value(sums.merged(F.col("amount_sum"))).alias("total_spent"),
         F.first("last_order_timestamp").alias("last_order_timestamp"),
     )
 
@@ -129,11 +130,12 @@ def product_performance(order_items: DataFrame, products: DataFrame, reviews: Da
     lines = balanced_join(items, products.select("product_id", "category"), "product_id")
     rows = balanced_join(lines, review_summary_by_order(reviews), "order_id", "left")
     copies = F.coalesce(F.col("n_reviews"), F.lit(1).cast("bigint"))
+    sums = money_sums(order_items.sparkSession)
     return rows.groupBy("product_id", "category").agg(
         F.sum(F.when(F.col("order_id").isNotNull(), copies).otherwise(F.lit(0).cast("bigint"))).alias(
             "total_units_sold"
         ),
-        units_to_money(F.sum(repeated(money_units(F.col("amount")), copies))).alias("total_revenue"),
+        sums.value(sums.sum(F.col("amount"), times=copies)).alias("total_revenue"),
         mean_of(F.sum("score_sum"), F.sum("score_n")).alias("average_review_score"),
     )
 

@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.operators import centroid, dedupe, profile, units_to_money
+from emporia.operators import centroid, dedupe, money_sums, profile
 from emporia.plans import gold, silver
 from emporia.plans.bronze import ingest
 from emporia.session import fresh_scratch_path, scratch_root
@@ -120,7 +120,7 @@ def catalog_order_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
         write_layer(frame, dataset, "silver", warehouse, bucket_by=(CATALOG_BUCKETS, "order_id"))
     orders, items = (read_layer(spark, d, "silver", warehouse) for d in ("orders", "order_items"))
     return orders.select("order_id", "customer_id").join(gold.item_totals_by_order(items), "order_id").select(
-        "order_id", "customer_id", units_to_money(F.col("amount_sum")).alias("amount"), F.col("amount_n").alias("items")
+        "order_id", "customer_id", money_sums(spark).value(F.col("amount_sum")).alias("amount"), F.col("amount_n").alias("items")
     )
 
 

@@ -1,11 +1,13 @@
 from __future__ import annotations
 
-from decimal import Decimal
+import math
+import random
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
 
-from emporia.operators import centroid, dedupe, exact_total, mean_of, money_sum, preview, profile, units_to_money
+from emporia.operators import ALL, MONEY, centroid, dedupe, mean_of, preview, profile
 from tests.conftest import rows
 
 ITEMS = [
@@ -66,30 +68,64 @@ def test_centroid_groups_by_padded_zip_and_skips_nulls(spark):
     assert len(out) == 3
 
 
-def test_money_sum_is_exact_and_order_independent(spark):
-    values = [0.1, 0.2, 0.3, 1e6 + 0.07, 0.0001, None]
-    df = spark.createDataFrame([(v,) for v in values], "x double")
-    totals = set()
-    for n in (1, 2, 5):
-        shuffled = df.repartition(n).sortWithinPartitions(F.rand(n))
-        partial = shuffled.groupBy(F.spark_partition_id().alias("p")).agg(money_sum(F.col("x")).alias("s"))
-        totals.add(partial.agg(exact_total(F.col("s"))).first()[0])
-    assert totals == {float(Decimal("1000000.6701"))}
-    assert df.agg(money_sum(F.col("x")).alias("u")).first().u == Decimal("1000000.6701")
-
-
-def test_money_sum_large_small_and_not_finite(spark):
-    def total(*values):
-        return spark.createDataFrame([(float(v),) for v in values], "x double").agg(
-            units_to_money(money_sum(F.col("x"))).alias("t")
-        ).first().t
-
-    assert total(1e15) == 1e15
-    assert total(1e15, 0.25) == 1e15 + 0.25
-    assert total(*[0.00004] * 10) == 0.0004
-    for bad in ("nan", "inf", "-inf", "1e17"):
-        with pytest.raises(Exception, match="cannot be summed as money"):
-            total(bad, 1.0)
+def exact(values):
+    """The double nearest to the sum of some finite doubles."""
+    return float(sum((Fraction(v) for v in values), Fraction(0)))
+
+
+def exact_totals(spark, sums, groups, parts=3):
+    """Totals of some groups of doubles, merged from partial sums of arbitrary parts."""
+    data = [(g, v) for g, values in enumerate(groups) for v in values]
+    df = spark.createDataFrame(data, "g int, x double").repartition(parts).sortWithinPartitions(F.rand(parts))
+    partial = df.groupBy("g", F.spark_partition_id().alias("p")).agg(sums.sum(F.col("x")).alias("s"))
+    merged = partial.groupBy("g").agg(sums.merged(F.col("s")).alias("s"))
+    return {r.g: r.t for r in merged.select("g", sums.value(F.col("s")).alias("t")).collect()}
+
+
+def test_sums_are_rounded_once_in_any_grouping(spark):
+    rng = random.Random(1)
+    groups = [[0.1, 0.2, 0.3, 1e6 + 0.07, 0.0001], [0.1] * 10, [1e15, 0.25], [1e-11] * 1000, [0.0], [-0.0, 0.0]]
+    groups += [[1e17, 1.0, -1e17], [2.0**53, 1.0, 2.0**-60], [2.0**53, 1.0], [2.0**53 + 2, 1.0], [-(2.0**53), -1.0, -(2.0**-90)]]
+    for _ in range(60):
+        groups.append([rng.choice([-1, 1]) * rng.random() * 2.0 ** rng.randint(-40, 95) for _ in range(rng.randint(1, 30))])
+    for parts in (1, 4):
+        got = exact_totals(spark, MONEY, groups, parts)
+        assert got == {g: exact(values) for g, values in enumerate(groups)}
+
+
+def test_sums_over_every_double(spark):
+    rng = random.Random(2)
+    tiny, huge = 5e-324, 1.7976931348623157e308
+    groups = [[tiny], [tiny] * 7, [huge, -huge, tiny], [huge, 1.0, -huge, -1.0], [2.0**-1022, -tiny], [1e300, 1e-300, -1e300]]
+    for _ in range(40):
+        groups.append([rng.choice([-1, 1]) * math.ldexp(rng.random(), rng.randint(-1073, 1015)) for _ in range(rng.randint(1, 20))])
+        near = rng.randint(-1070, 1000)
+        groups.append([rng.choice([-1, 1]) * math.ldexp(rng.random(), near + rng.randint(0, 9)) for _ in range(rng.randint(1, 20))])
+    got = exact_totals(spark, ALL, groups)
+    assert got == {g: exact(values) for g, values in enumerate(groups)}
+    assert exact_totals(spark, ALL, [[huge, huge], [-huge, -huge]]) == {0: math.inf, 1: -math.inf}
+
+
+def test_sums_of_nulls_nan_and_infinities(spark):
+    inf, nan = math.inf, math.nan
+    groups = [[None, None], [None, 2.5], [inf, 1.0], [-inf, inf], [nan, 1.0], [nan, -inf], [-inf, -inf], []]
+    for sums in (MONEY, ALL):
+        got = exact_totals(spark, sums, groups)
+        plain = {g: None if not [v for v in values if v is not None] else sum(v for v in values if v is not None) for g, values in enumerate(groups)}
+        assert {g: str(got.get(g)) for g in plain} == {g: str(t) for g, t in plain.items()}
+
+
+def test_amounts_outside_the_range_raise(spark):
+    for bad in (2.0**96, -1e30, 1e-30):
+        with pytest.raises(Exception, match="outside the range of exact sums"):
+            exact_totals(spark, MONEY, [[bad, 1.0]])
+        assert exact_totals(spark, ALL, [[bad, 1.0]]) == {0: bad + 1.0}
+
+
+def test_repeated_amounts(spark):
+    df = spark.createDataFrame([(0.1, 3), (0.2, 1), (None, 5), (1e9, 10**6)], "x double, n long")
+    got = df.agg(MONEY.value(MONEY.sum(F.col("x"), times=F.col("n"))).alias("t")).first().t
+    assert got == exact([0.1] * 3 + [0.2]+ [1e15])
 
 
 def test_mean_of_matches_avg_and_nulls_on_zero(spark):
