@@ -368,8 +368,9 @@ def _union_rows(least: int) -> callable:
     def rows(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         total = united([Automaton.from_bytes(data).grams() for data in group["automaton"]])
         total = total.part(total.weights >= least)
-        made = [Automaton.build(total).to_bytes()] if len(total) else []
-        return pd.DataFrame({"lang": [key[1]] * len(made), "range": [key[0]] * len(made), "automaton": made})
+        if not len(total):
+            return pd.DataFrame()
+        return pd.DataFrame({"lang": [key[1]], "range": [key[0]], "automaton": [Automaton.build(total).to_bytes()]})
 
     return rows
 
@@ -389,6 +390,8 @@ def _request_rows(bounds) -> callable:
         for batch in batches:
             for lang, source, data in zip(batch["lang"], batch["range"], batch["automaton"]):
                 parts = list(_cut(lang, _parts(Automaton.from_bytes(data).grams()), bounds.value))
+                if not parts:
+                    continue
                 made = [Automaton.build(g).to_bytes() for _, g in parts]
                 yield pd.DataFrame({"lang": lang, "source": source, "range": [i for i, _ in parts], "asked": made})
 
@@ -404,7 +407,8 @@ def _answer_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 last, counts = (lang, at), Automaton.from_bytes(data)
             found = counts.compose(Automaton.from_bytes(asked).grams())
             out.append((lang, source, Automaton.build(found).to_bytes()))
-        yield pd.DataFrame(out, columns=["lang", "source", "automaton"])
+        if out:
+            yield pd.DataFrame(out, columns=["lang", "source", "automaton"])
 
 
 SCORE_ROWS = "lang string, phrase binary, a bigint, l bigint, r bigint, score bigint, replaced boolean"
@@ -414,13 +418,10 @@ def _score_rows(key: tuple, own: pd.DataFrame, answers: pd.DataFrame) -> pd.Data
     """The candidates of a range with their lowest-scoring cut, and the pairs that longer ones replace."""
     out: list[tuple] = []
     lang = key[0]
-    counts = united([Automaton.from_bytes(d).grams() for d in answers["automaton"]]) if len(answers) else None
+    known = Automaton.build(united([Automaton.from_bytes(data).grams() for data in answers["automaton"]]))
+    rank = {w: i + 1 for i, w in enumerate(known.labels)}
     for data in own["automaton"]:
         grams = Automaton.from_bytes(data).grams()
-        if counts is None:
-            continue
-        known = Automaton.build(counts)
-        rank = {w: i + 1 for i, w in enumerate(known.labels)}
         words = np.array([0, *(rank.get(w, 0) for w in grams.labels)], np.int64)
         rows = np.flatnonzero(grams.ranks[1] > 0)
         one, two, three = words[grams.ranks[:, rows]]
@@ -443,6 +444,8 @@ def _score_rows(key: tuple, own: pd.DataFrame, answers: pd.DataFrame) -> pd.Data
             scores = [1_000_000 * a * a // (l * r) for l, r in cuts]
             low = scores.index(min(scores))
             out.append((lang, b" ".join(phrase), a, *cuts[low], scores[low], False))
+    if not out:
+        return pd.DataFrame()
     names = [f.split()[0] for f in SCORE_ROWS.split(", ")]
     made = pd.DataFrame(out, columns=names)
     return made.astype({c: "Int64" for c in ("a", "l", "r", "score")})
