@@ -1,59 +1,64 @@
 """BPE encoding and decoding by a tokenization automaton.
 
-The automaton reads tokens: its states are the last token read, an arc ``a -> b``
-says that ``b`` may follow ``a`` in a BPE encoding. It starts with all arcs between
-single bytes. Each merge ``(u, v)``, in order of rank, is a gadget: the arc
-``u -> v`` goes, and wherever ``u`` then ``v`` could be read, the new token can.
-So an arc between two tokens exists at rank ``r`` if
+Merges are compiled to an automaton over tokens by merge gadgets: it starts with
+all arcs between single bytes; each merge ``(u, v)``, in order of rank, takes away
+the arc ``u -> v`` and lets the new token be read wherever ``u`` then ``v`` could. So an
+arc between two tokens exists at rank ``r`` if
 
 * the pair is not itself merged before ``r``, and
 * the arc the later made token inherited existed when that token was made: its
   incoming arcs are those of its left part, its outgoing ones those of its right.
 
 A merge whose own arc is gone when its turn comes adds no token (it can never be
-read). The full table would have a cell for each pair of 50,000 tokens, so cells
-are filled when first read, and kept in a bounded table per worker.
-
-The automaton is deterministic on bytes too: each prefix of a word has exactly one
-encoding, so a place in a word is reached in one state. A word is encoded from left
-to right, by the longest token whose cell is set; a place with no way on is
-marked and never entered again, so no word takes more than one visit per byte.
-Decoding emits the labels (byte strings) of the arcs.
+read).
+
+Words are read byte by byte. Each prefix of a word has exactly one encoding, known
+by its last token; the token that ends at a byte is the one whose arc from the
+encoding before it exists. What the rest of a word can depend on is therefore the
+longest end of the bytes read that begins some token, and, for each end that begins
+one, the last token of the encoding before it. That is the state of a deterministic
+automaton on bytes. Its table (states x bytes) is filled when a transition is first
+taken, and bounded: when it is full it is emptied and filled again from the state
+at hand. Encoding a word is one table step a byte, then a walk back over the last
+tokens; decoding emits the labels (byte strings) of the arcs.
 
 Texts are split into words by the tokenizer's own split; special strings are cut
 out first, as the library does. One row in, one row out: no shuffle.
 
 Defined cases: a null or empty text has no tokens and decodes to the empty text;
-a word of any length is encoded in one linear pass; repeated rows give repeated
-results; an empty table gives an empty result; further columns pass through
-unread, except that output columns replace columns of the same name.
+a word of any length is encoded in one pass; repeated rows give repeated results;
+an empty table gives an empty result; further columns pass through unread, except
+that output columns replace columns of the same name.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import pandas as pd
-import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emporia.llm.common import require, text_or_empty
 
-# Most cells, and words, that a worker keeps; beyond, they are computed again.
-CELLS = 1 << 18
+# Most states of the table, moves between ends, and words (of one age) that a worker keeps; beyond, they are made again.
+STATES = 1 << 17
+MOVES = 1 << 16
 WORDS = 1 << 17
 # Longer words are not kept.
 WORD_KEPT = 64
 
-# The byte-level split, and the characters for which Python's and the library's
-# Unicode classes are known to agree; texts with others are split by the library.
-SPLIT = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
-COMMON = regex.compile(r"[\t\n\r\x20-\x7E¡-¬®-ſ‐-‧]*+")
+# The byte-level split. In the characters of COMMON, Python's and the library's classes are
+# known to agree, and these are the letters and digits among them; other texts are split by the library.
+LETTER, DIGIT = "A-Za-zªµºÀ-ÖØ-öø-ſ", "0-9²³¹¼-¾"
+SPLIT = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTER}]+| ?[{DIGIT}]+| ?[^\s{LETTER}{DIGIT}]+|\s+(?!\S)|\s+")
+NOT_COMMON = re.compile(r"[^\t\n\r\x20-\x7E¡-¬®-ſ‐-‧]")
 
 
 def default_path() -> str:
@@ -79,7 +84,7 @@ class Splitter:
         spec = json.load(open(path, encoding="utf-8"))  # a local file of each worker's own installation
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         listed = sorted(self.special, key=len, reverse=True)
-        self.cut = regex.compile("(" + "|".join(map(regex.escape, listed)) + ")") if listed else None
+        self.cut = re.compile("(" + "|".join(map(re.escape, listed)) + ")") if listed else None
         self.chars = byte_chars()
 
     def parts(self, text: str) -> list[str]:
@@ -87,7 +92,7 @@ class Splitter:
         return [p for p in self.cut.split(text) if p] if self.cut else [text] if text else []
 
     def words(self, part: str) -> list[str]:
-        if COMMON.fullmatch(part):
+        if not NOT_COMMON.search(part):
             return SPLIT.findall(part)
         found = self.tokenizer.pre_tokenizer.pre_tokenize_str(part)
         return [bytes(self.chars[c] for c in w).decode("utf-8") for w, _ in found]
@@ -98,12 +103,10 @@ class Automaton(Splitter):
         super().__init__(path)
         model = json.load(open(path, encoding="utf-8"))["model"]
         vocab = model["vocab"]
-        self.rank: dict[tuple[int, int], int] = {}  # merged pair -> rank
+        self.rank: dict[int, int] = {}  # merged pair (left << 32 | right) -> rank
         self.parts_of: dict[int, tuple[int, int]] = {}  # token -> its pair
         self.made: dict[int, int] = {}  # token -> rank of its merge, -1 for a byte
         self.label: dict[int, bytes] = {i: s.encode("utf-8") for s, i in self.special.items()}
-        self.cells: dict[int, bool] = {}
-        self.cache: dict[str, tuple[int, ...]] = {}
         for char, byte in self.chars.items():
             if char in vocab:
                 self.made[vocab[char]], self.label[vocab[char]] = -1, bytes([byte])
@@ -114,19 +117,19 @@ class Automaton(Splitter):
             if uv not in self.made and u in self.made and v in self.made and self.arc(u, v, r):
                 self.parts_of[uv], self.made[uv] = (u, v), r
                 self.label[uv] = self.label[u] + self.label[v]
-            self.rank.setdefault((u, v), r)
+            self.rank.setdefault(u << 32 | v, r)
+        self.all_merges = len(model["merges"])
         self.token = {self.label[t]: t for t in self.made}
-        starts: dict[bytes, set[int]] = {}
-        for label in self.token:
-            if len(label) >= 3:
-                starts.setdefault(label[:3], {2, 1}).add(len(label))
-        # Lengths of the tokens that start with three bytes, longest first.
-        self.lengths = {start: tuple(sorted(n, reverse=True)) for start, n in starts.items()}
+        # Byte strings that begin a token (and so may go on to one).
+        self.begins = {label[:n] for label in self.token for n in range(len(label))}
+        self.moves: dict[tuple[bytes, int], tuple] = {}
+        self._empty()
+        self.cache = Words(self)
 
     def arc(self, a: int, b: int, limit: int) -> bool:
         """Whether the arc a -> b exists after the first ``limit`` gadgets."""
         while True:
-            if self.rank.get((a, b), limit) < limit:
+            if self.rank.get(a << 32 | b, limit) < limit:
                 return False
             made_a, made_b = self.made[a], self.made[b]
             if made_a > made_b:
@@ -138,65 +141,104 @@ class Automaton(Splitter):
             else:
                 return True
 
-    def follows(self, a: int, b: int) -> bool:
-        """The cell of state ``a`` and token ``b``."""
-        key = a << 32 | b
-        found = self.cells.get(key)
-        if found is None:
-            if len(self.cells) >= CELLS:
-                self.cells.clear()
-            found = self.cells[key] = self.arc(a, b, len(self.rank) + 1)
-        return found
+    def _empty(self) -> None:
+        """The table with the start state alone: nothing read, no token yet."""
+        self.step: dict[int, int] = {}  # state << 8 | byte -> state
+        self.last: list[int] = []  # state -> last token of the encoding so far
+        self.states: list[tuple[bytes, tuple[int, ...]]] = []
+        self.numbers: dict[tuple[bytes, tuple[int, ...]], int] = {}
+        self._state((b"", (-1,)))
+
+    def _state(self, key: tuple[bytes, tuple[int, ...]]) -> int:
+        """The number of a state: the longest end of the bytes read that begins a token, and for all ends
+        that begin one, longest first, the last token of the encoding before them (-1: none)."""
+        number = self.numbers.get(key)
+        if number is None:
+            number = self.numbers[key] = len(self.states)
+            self.states.append(key)
+            self.last.append(key[1][-1])
+        return number
+
+    def _lengths(self, end: bytes) -> list[int]:
+        """Lengths of the ends of ``end`` that begin a token, longest first; 0 is one."""
+        return [n for n in range(len(end), -1, -1) if end[len(end) - n :] in self.begins]
+
+    def _move(self, end: bytes, byte: int) -> tuple[bytes, list[int], list[tuple[int, int]]]:
+        """What a byte does to an end: the new end, where the encodings before its ends are found in the
+        old state, and the tokens that end here with the place of the encoding before them."""
+        move = self.moves.get((end, byte))
+        if move is None:
+            read, lengths = end + bytes([byte]), self._lengths(end)
+            place = {n: i for i, n in enumerate(lengths)}
+            tokens = [(place[n], self.token[read[len(end) - n :]]) for n in lengths if read[len(end) - n :] in self.token]
+            while read not in self.begins:
+                read = read[1:]
+            # An end of n bytes now was one of n - 1 bytes a byte ago.
+            move = read, [place[n - 1] for n in self._lengths(read) if n], tokens
+            if len(self.moves) >= MOVES:
+                self.moves.clear()
+            self.moves[end, byte] = move
+        return move
+
+    def _next(self, state: int, byte: int) -> int:
+        """Fill in one transition."""
+        end, before = self.states[state]
+        read, kept, tokens = self._move(end, byte)
+        for place, token in tokens:
+            if before[place] < 0 or self.arc(before[place], token, self.all_merges + 1):
+                break
+        else:
+            raise ValueError("the automaton has no path for this text")
+        following = read, (*[before[i] for i in kept], token)
+        if len(self.states) >= STATES:
+            self._empty()
+            return self._state(following)
+        number = self.step[state << 8 | byte] = self._state(following)
+        return number
 
     def encode_word(self, word: bytes) -> list[int]:
-        whole = self.token.get(word)
-        if whole is not None:
-            return [whole]
-        n, at, state = len(word), 0, -1
-        read: list[int] = []
-        tries = [iter(self.lengths.get(word[:3], (2, 1)))]
-        dead: set[int] = set()  # places from which the end cannot be reached: each is left once
-        while at < n:
-            for length in tries[-1]:
-                end = at + length
-                if end > n or end in dead:
-                    continue
-                t = self.token.get(word[at:end])
-                if t is not None and (state < 0 or self.follows(state, t)):
-                    read.append(t)
-                    at, state = end, t
-                    tries.append(iter(self.lengths.get(word[at : at + 3], (2, 1))))
-                    break
-            else:
-                if not read:
-                    raise ValueError("the automaton has no path for this text")
-                dead.add(at)
-                tries.pop()
-                at -= len(self.label[read.pop()])
-                state = read[-1] if read else -1
-        return read
+        state, ends = 0, []
+        for byte in word:
+            following = self.step.get(state << 8 | byte)
+            state = self._next(state, byte) if following is None else following
+            ends.append(self.last[state])
+        ids: list[int] = []
+        at = len(word)
+        while at:
+            ids.append(ends[at - 1])
+            at -= len(self.label[ids[-1]])
+        return ids[::-1]
 
     def encode(self, text: str) -> list[int]:
         ids: list[int] = []
         for part in self.parts(text):
             if part in self.special:
                 ids.append(self.special[part])
-                continue
-            for word in self.words(part):
-                found = self.cache.get(word)
-                if found is None:
-                    found = tuple(self.encode_word(word.encode("utf-8")))
-                    if len(word) <= WORD_KEPT:
-                        if len(self.cache) >= WORDS:
-                            self.cache.clear()
-                        self.cache[word] = found
-                ids.extend(found)
+            else:
+                ids.extend(chain.from_iterable(map(self.cache.__getitem__, self.words(part))))
         return ids
 
     def decode(self, ids) -> str:
         return b"".join(map(self.label.__getitem__, ids)).decode("utf-8", errors="replace")
 
 
+class Words(dict):
+    """Ids of the words met, none longer than WORD_KEPT. When there are WORDS of them they
+    make room, and stay at hand until as many others were met: frequent words are never lost."""
+
+    def __init__(self, made: Automaton) -> None:
+        self.made, self.older = made, {}
+
+    def __missing__(self, word: str) -> tuple[int, ...]:
+        found = self.older.get(word) or tuple(self.made.encode_word(word.encode("utf-8")))
+        if len(word) <= WORD_KEPT:
+            if len(self) >= WORDS:
+                self.older = dict(self)
+                self.clear()
+            self[word] = found
+        return found
+
+
 @lru_cache(maxsize=2)
 def automaton(path: str) -> Automaton:
     """One automaton per worker process and file."""

@@ -4,9 +4,10 @@ A text is split into pre-tokens; its count is the sum of their lengths in tokens
 Tier one is a table of frequent pre-tokens, compact (sorted 64-bit hashes and one
 byte each) and broadcast; it is made from a bounded sample of documents and holds
 at most ``TABLE`` entries, so its size is bounded by a parameter. It only saves
-work: what it lacks, or two pre-tokens with one hash would confuse (those are
-left out), tier two encodes with the tokenizer and keeps in a bounded cache of
-the worker. Pre-tokens are never shuffled, and every text is counted whole.
+work: what it lacks, tier two encodes with the tokenizer and keeps in a bounded
+cache of the worker. Pre-tokens of the sample with one hash are left out of it
+(that another one has the hash of an entry has a chance of 1e-15 a distinct
+pre-token). Pre-tokens are never shuffled, and every text is counted whole.
 
 Defined cases: a null or empty text has 0 bytes and 0 tokens; special strings in
 a text count as the library counts them; repeated rows give repeated results; an
@@ -30,6 +31,8 @@ from emporia.llm.bpe_automaton import Splitter, default_path
 from emporia.llm.common import require, text_or_empty
 
 SAMPLE_DOCS = 1024
+# Longer documents are not in the sample, so that it fits the driver (64 MB at most).
+SAMPLE_BYTES = 1 << 16
 TABLE = 1 << 14
 CACHE = 1 << 17
 WORD_KEPT = 64
@@ -100,34 +103,27 @@ class Counts:
 
 
 def frequent_lengths(docs: DataFrame, path: str, sample_docs: int, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """The ``size`` most frequent short pre-tokens of ``sample_docs`` documents:
-    sorted hashes, and lengths in tokens."""
-
-    def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        split, found = splitter(path), Counter()
-        for rows in parts:
-            for text in rows["text"]:
-                for part in split.parts(text):
-                    if part not in split.special:
-                        found.update(w for w in split.words(part) if len(w) <= WORD_KEPT)
-        listed = list(found)
-        coded = split.tokenizer.encode_batch(listed, add_special_tokens=False)
-        yield pd.DataFrame(
-            {"h": np.array([_hash(w) for w in listed], dtype=np.uint64).view(np.int64), "w": listed,
-             "n": [len(c.ids) for c in coded], "times": [found[w] for w in listed]}
-        )
-
-    sample = docs.select(text_or_empty().alias("text")).limit(sample_docs)
-    counted = (
-        sample.mapInPandas(count, "h long, w string, n int, times long")
-        .groupBy("h")
-        .agg(F.sum("times").alias("times"), F.max("n").alias("n"), F.count_distinct("w").alias("words"))
-        .where("words = 1 and n < 256")
-    )
-    rows = counted.orderBy(F.desc("times"), "h").limit(size).select("h", "n").collect()  # at most `size` rows
-    hashes = np.array([r.h for r in rows], dtype=np.int64).view(np.uint64)
-    order = np.argsort(hashes)
-    return hashes[order], np.array([r.n for r in rows], dtype=np.uint8)[order]
+    """The ``size`` most frequent short pre-tokens of ``sample_docs`` documents of at most
+    SAMPLE_BYTES: sorted hashes, and lengths in tokens.
+
+    The sample is taken, not dealt: Spark reads partitions until it has that many rows.
+    """
+    text = text_or_empty()
+    sample = docs.select(text.alias("text")).where(F.octet_length("text") <= SAMPLE_BYTES).take(sample_docs)
+    split, found = splitter(path), Counter()
+    for row in sample:
+        for part in split.parts(row.text):
+            if part not in split.special:
+                found.update(w for w in split.words(part) if len(w) <= WORD_KEPT)
+    listed = sorted(found, key=lambda w: (-found[w], w))[:size]
+    coded = split.tokenizer.encode_batch(listed, add_special_tokens=False)
+    known: dict[int, list[int]] = {}
+    for word, code in zip(listed, coded, strict=True):
+        known.setdefault(_hash(word), []).append(len(code.ids))
+    # Two words with one hash are left out, lengths fit a byte.
+    single = {h: n[0] for h, n in known.items() if len(n) == 1 and n[0] < 256}
+    hashes = np.array(sorted(single), dtype=np.uint64)
+    return hashes, np.array([single[h] for h in hashes.tolist()], dtype=np.uint8)
 
 
 def token_counts(

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import hashlib
+import random
 
 import pytest
 from tokenizers import Tokenizer
 
 from emporia.llm import bpe_automaton, token_counts
+from tests.conftest import SF_ORACLE
 
 TEXTS = [
     "", " ", "the quick brown fox", "a<|endoftext|>b  <|endoftext|>", "x" * 3000, "ab" * 700, "don't WE'LL i've",
@@ -56,3 +58,45 @@ def test_counts_with_and_without_table(spark, docs, library):
     by_id = {r.doc_id: r.n_bytes for r in rows}
     assert by_id[900] == 0 and by_id[7] == len(TEXTS[7].encode())
     assert token_counts.token_counts(docs.limit(0)).count() == 0
+
+
+def test_all_documents_equal_the_library(spark, library):
+    """Ids, texts and counts of every document of a given table."""
+    table = spark.read.parquet(f"{SF_ORACLE}/documents.parquet")
+    texts = {r.doc_id: r.text or "" for r in table.select("doc_id", "text").collect()}
+    ids = {d: library.encode(t, add_special_tokens=False).ids for d, t in texts.items()}
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    for r in bpe_automaton.round_trip(table).collect():
+        assert (r.n_tokens, r.ids_sha256) == (len(ids[r.doc_id]), sha(",".join(map(str, ids[r.doc_id]))))
+        assert r.decoded_sha256 == sha(library.decode(ids[r.doc_id], skip_special_tokens=False))
+    got = {r.doc_id: (r.n_bytes, r.n_tokens) for r in token_counts.token_counts(table).collect()}
+    assert got == {d: (len(t.encode()), len(ids[d])) for d, t in texts.items()}
+
+
+def test_a_full_table_and_word_cache_change_nothing(library, monkeypatch):
+    monkeypatch.setattr(bpe_automaton, "STATES", 40)
+    monkeypatch.setattr(bpe_automaton, "MOVES", 30)
+    monkeypatch.setattr(bpe_automaton, "WORDS", 5)
+    made = bpe_automaton.Automaton(bpe_automaton.default_path())
+    rng = random.Random(3)
+    for _ in range(150):
+        text = "".join(rng.choice("abcdeinorst  hTH-=_é日1") for _ in range(rng.randrange(200)))
+        assert made.encode(text) == library.encode(text, add_special_tokens=False).ids
+    assert len(made.states) <= 41 and len(made.moves) <= 30 and len(made.cache) <= 5
+
+
+def test_states_are_shared_between_words():
+    """The table is an automaton, not a list of words: words with one ending meet in one state."""
+    made = bpe_automaton.Automaton(bpe_automaton.default_path())
+    made.encode_word(b"zzzzzzzzzzzzzzzzzzzzzzzzzzzz")
+    before = len(made.states)
+    made.encode_word(b"z" * 5000)
+    assert len(made.states) - before <= 64
+
+
+def test_the_sample_holds_no_long_text(spark, monkeypatch):
+    monkeypatch.setattr(token_counts, "SAMPLE_BYTES", 100)
+    docs = spark.createDataFrame([(1, "word " * 1000), (2, "a b"), (3, None)], "doc_id long, text string")
+    hashes, lengths = token_counts.frequent_lengths(docs, bpe_automaton.default_path(), 10, 50)
+    assert len(hashes) == len(lengths) == 2
+    assert [r.n_tokens for r in token_counts.token_counts(docs).orderBy("doc_id").collect()][1:] == [2, 0]
