@@ -65,15 +65,25 @@ def test_bucketed_silver_lets_gold_skip_the_order_shuffle(spark, workdir):
     assert rows(out) == rows(gold.daily_sales(fx.orders(), fx.order_items(), fx.customers()))
 
 
-def test_profile_logging_runs_before_write(spark, workdir, caplog):
+def test_profile_comes_from_the_write_itself(spark, workdir, caplog):
     import logging
 
     landing = write_landing(os.path.join(workdir, "landing"))
     wh = Warehouse(Registry(landing_root=landing), root=os.path.join(workdir, "wh"))
+    tracker = spark.sparkContext.statusTracker()
+
+    def jobs_run(**kwargs):
+        spark.sparkContext.setJobGroup(f"profile-{kwargs}", "")
+        jobs.run_job(spark, "bronze-sellers", wh, shuffle_partitions=2, **kwargs)
+        return len(tracker.getJobIdsForGroup(f"profile-{kwargs}"))
+
     with caplog.at_level(logging.DEBUG, logger="emporia.bronze-sellers"):
-        jobs.run_job(spark, "bronze-sellers", wh, profile=True)
+        without, with_profile = jobs_run(), jobs_run(profile=True)
     text = caplog.text
-    assert "row count: 3" in text and "columns (4)" in text
+    assert "row count: 3" in text and "columns (4)" in text and "'seller_zip_code_prefix': 1" in text
+    assert "row 1:" in text
+    # beside the write itself only the preview, a limit over the written table (and its footer's schema)
+    assert with_profile <= without + 2
 
 
 def test_byte_sizes_in_spark_notation():
@@ -106,9 +116,17 @@ def test_shuffle_partitions_follow_input_bytes(spark):
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", saved)
 
 
-def test_run_job_restores_the_session_shuffle_setting(spark, workdir):
+def test_run_job_leaves_the_session_settings_alone(spark, workdir):
     landing = write_landing(os.path.join(workdir, "landing"))
     wh = Warehouse(Registry(landing_root=landing), root=os.path.join(workdir, "wh"))
     before = spark.conf.get("spark.sql.shuffle.partitions")
     jobs.run_job(spark, "bronze-customers", wh, shuffle_partitions=3)
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_bronze_jobs_infer_and_read_as_the_registry_says(spark, workdir):
+    landing = write_landing(os.path.join(workdir, "landing"))
+    registry = Registry(landing_root=landing, infer_undeclared=frozenset({"products"}))
+    wh = Warehouse(registry, root=os.path.join(workdir, "wh"))
+    jobs.run_job(spark, "bronze-products", wh)
+    assert dict(read_layer(spark, "products", "bronze", wh).dtypes)["product_name_lenght"] == "int"

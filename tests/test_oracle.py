@@ -53,3 +53,34 @@ def test_query_matches_oracle_with_every_large_partition_split(spark, name):
         for k, v in saved.items():
             spark.conf.set(k, v)
     assert rec["ok"], rec
+
+
+def test_rough_stand_ins_hold_the_faults(spark):
+    """The rough queries would show nothing if their inputs had no repeats and no orphans."""
+    from emporia.sources import standins
+
+    def keys(name, key):
+        frame = standins.rough(spark, SF_SMALL, name)
+        return frame.count(), {r[0] for r in frame.select(key).distinct().collect()}
+
+    n_customers, customers = keys("customers", "customer_id")
+    n_orders, orders = keys("orders", "order_id")
+    n_products, products = keys("products", "product_id")
+    assert n_customers > len(customers) and n_orders > len(orders) and n_products > len(products)
+    placed = {r[0] for r in standins.rough(spark, SF_SMALL, "orders").select("customer_id").collect()}
+    items = standins.rough(spark, SF_SMALL, "order_items").select("order_id", "product_id").collect()
+    assert placed - customers and {r.order_id for r in items} - orders
+    assert {r.product_id for r in items} - products - {None} and None in {r.product_id for r in items}
+
+
+def test_catalog_query_reads_bucketed_tables_without_a_shuffle(spark):
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    saved = {k: spark.conf.get(k) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        plan = QUERIES["catalog_order_totals"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan, plan
