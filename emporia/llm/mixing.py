@@ -17,9 +17,9 @@ function of its own row and its source's few numbers: one map-side lookup.
 
 Defined cases: a null text has size 0; a null source is a source of its own and
 the last in order; documents of size 0 give 0; an empty table gives an empty
-result; rows with one doc_id share an order key, and if the pass stops among
-them they split the rest in proportion to their sizes (rounded down); further
-columns pass through unread.
+result; rows with one doc_id (or none) share an order key, and if the pass stops
+among them, a second descent orders them by a hash of their place in the table;
+further columns pass through unread.
 """
 
 from __future__ import annotations
@@ -51,6 +51,18 @@ def order_key(seed: int, doc_id: str = "doc_id") -> Column:
     return F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.col(doc_id)), 1)
 
 
+def tie_key(seed: int, place: str = "place") -> Column:
+    """A seeded pseudo-random order of rows that share an order key, in ``[0, 2**63)``."""
+    return F.shiftrightunsigned(F.xxhash64(F.lit(seed + 1), F.col(place)), 1)
+
+
+def sizes_of(docs: DataFrame, *more: Column) -> DataFrame:
+    """doc_id, source, size and place (of the row in the table; the same in each scan of it) of ``docs``."""
+    return docs.select(
+        *more, "doc_id", "source", word_count(F.col("text")).alias("size"), F.monotonically_increasing_id().alias("place")
+    )
+
+
 def cycled_weights(sources: DataFrame, weights: Sequence[float]) -> DataFrame:
     """``sources`` with ``weight``: the given weights dealt in turn, sources in
     code-point order, null last."""
@@ -84,8 +96,9 @@ def source_plan(
     sizes: DataFrame, weights: Sequence[float], share: float, max_epochs: float, seed: int
 ) -> DataFrame:
     """One row per source: source_size, target, whole passes, and where its
-    fractional pass stops (``stop_key``, ``stop_words`` for the rows at that key
-    out of ``stop_size``). ``sizes`` has doc_id, source, size."""
+    fractional pass stops (``stop_key``; among rows with that key ``stop_tie``, null
+    if there is one row only; ``stop_words`` for the row there out of ``stop_size``).
+    ``sizes`` has doc_id, source, size, place."""
     per_source = sizes.groupBy("source").agg(
         F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("docs")
     )
@@ -104,27 +117,55 @@ def source_plan(
     state = state.withColumn("rest", F.when(F.col("rest") >= size, 0).otherwise(F.col("rest")))
     state = written(state.withColumn("prefix", F.lit(0).cast("long")), "mix-state")
 
-    keyed = sizes.select("source", "size", order_key(seed).alias("key"))
-    bits, most = 0, most or 0
-    while most > SLOT_ROWS and bits + DIGIT_BITS <= KEY_BITS:
-        state = written(_descend(keyed, state, bits, bits + DIGIT_BITS), "mix-state")
-        bits += DIGIT_BITS
-        most = state.agg(F.max("slot_rows")).first()[0] or 0
-    state = _descend(keyed, state, bits, KEY_BITS)
+    keyed = sizes.select("source", "size", "place", order_key(seed).alias("key"))
+    state = written(_stopping(keyed, state, most or 0), "mix-state")
+    stop = state.select(
+        "source",
+        "source_size",
+        "target",
+        "whole",
+        F.col("prefix").alias("stop_key"),
+        F.col("rest").alias("stop_words"),
+        F.col("slot_size").alias("stop_size"),
+    )
+    most = state.agg(F.max("slot_rows")).first()[0] or 0
+    if most <= 1:
+        return stop.withColumn("stop_tie", F.lit(None).cast("long"))
+    tied = state.where("slot_rows > 1").withColumnsRenamed({"prefix": "stop_key"}).withColumn("prefix", F.lit(0).cast("long"))
+    among = tied.select(F.col("source").alias("s"), "stop_key")
+    rows = keyed.join(among, F.col("source").eqNullSafe(F.col("s")) & (F.col("key") == F.col("stop_key")))
+    ties = _stopping(rows.select("source", "size", tie_key(seed).alias("key")), tied, most)
+    found = ties.select(
+        F.col("source").alias("t"), F.col("prefix").alias("stop_tie"), F.col("rest").alias("tie_words"), F.col("slot_size").alias("tie_size")
+    )
+    met = stop.join(found, F.col("source").eqNullSafe(F.col("t")), "left")
+    of_tie = F.col("stop_tie").isNotNull()
     return written(
-        state.select(
+        met.select(
             "source",
             "source_size",
             "target",
             "whole",
-            F.col("prefix").alias("stop_key"),
-            F.col("rest").alias("stop_words"),
-            F.col("slot_size").alias("stop_size"),
+            "stop_key",
+            "stop_tie",
+            F.when(of_tie, F.col("tie_words")).otherwise(F.col("stop_words")).alias("stop_words"),
+            F.when(of_tie, F.col("tie_size")).otherwise(F.col("stop_size")).alias("stop_size"),
         ),
         "mix-plan",
     )
 
 
+def _stopping(keyed: DataFrame, state: DataFrame, most: int) -> DataFrame:
+    """The key (``prefix``) at which each source's rest is used up, by a radix descent.
+    ``keyed`` has source, size, key; ``most`` is the largest number of rows of a source in it."""
+    bits = 0
+    while most > SLOT_ROWS and bits + DIGIT_BITS <= KEY_BITS:
+        state = written(_descend(keyed, state, bits, bits + DIGIT_BITS), "mix-state")
+        bits += DIGIT_BITS
+        most = state.agg(F.max("slot_rows")).first()[0] or 0
+    return _descend(keyed, state, bits, KEY_BITS)
+
+
 def _descend(keyed: DataFrame, state: DataFrame, bits: int, to_bits: int) -> DataFrame:
     """Narrow each source's stopping slot from ``bits`` to ``to_bits`` of the key."""
     inside = keyed.join(
@@ -160,14 +201,14 @@ def _descend(keyed: DataFrame, state: DataFrame, bits: int, to_bits: int) -> Dat
 
 
 def with_taken(sized: DataFrame, plan: DataFrame, seed: int, whole_documents: bool) -> DataFrame:
-    """``sized`` (doc_id, source, size, ...) plus source_size, target, taken (words)
-    and copies (whole repetitions of the document).
+    """``sized`` (doc_id, source, size, place, ...) plus source_size, target, taken (words)
+    and copies (whole repetitions of the document), without place.
 
     With ``whole_documents`` the document at which the fractional pass stops is
     taken entirely if at least half of it is due, else not at all.
     """
-    require(sized, ("doc_id", "source", "size"))
-    own = [F.col(f"d.`{c}`") for c in sized.columns]
+    require(sized, ("doc_id", "source", "size", "place"))
+    own = [F.col(f"d.`{c}`") for c in sized.columns if c != "place"]
     joined = sized.alias("d").join(plan.alias("p"), F.col("d.source").eqNullSafe(F.col("p.source")))
     key, size = order_key(seed, "d.doc_id"), F.col("d.size")
     part = F.when(
@@ -176,7 +217,10 @@ def with_taken(sized: DataFrame, plan: DataFrame, seed: int, whole_documents: bo
     ).otherwise(F.lit(0).cast("long"))
     if whole_documents:
         part = F.when(part * 2 >= size, size).otherwise(F.lit(0).cast("long"))
-    extra = F.when(key < F.col("p.stop_key"), size).when(key == F.col("p.stop_key"), part).otherwise(F.lit(0))
+    tie, stop_tie = tie_key(seed, "d.place"), F.coalesce("p.stop_tie", tie_key(seed, "d.place"))
+    before = (key < F.col("p.stop_key")) | ((key == F.col("p.stop_key")) & (tie < stop_tie))
+    here = (key == F.col("p.stop_key")) & (tie == stop_tie)
+    extra = F.when(before, size).when(here, part).otherwise(F.lit(0))
     extra = F.when((F.col("p.stop_size") > 0) & (size > 0), extra).otherwise(F.lit(0)).cast("long")
     return joined.select(
         *own,
@@ -197,7 +241,7 @@ def mix(
     """Per document of ``docs`` (doc_id, text, source): doc_id, size, source_size,
     target, taken, copies."""
     require(docs, ("doc_id", "text", "source"))
-    sizes = written(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "mix-sizes")
+    sizes = written(sizes_of(docs), "mix-sizes")
     plan = source_plan(sizes, weights, share, max_epochs, seed)
     return with_taken(sizes, plan, seed, whole_documents=False).drop("source")
 
@@ -211,18 +255,13 @@ def mixed_documents(
 ) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as the mix takes it, whole
     documents only, same columns. A source is off its target by half of one
-    document at most. Documents without words are kept once: they cost no share.
+    document at most, as long as two scans of ``docs`` deal its rows alike. Documents without words are kept once: they cost no share.
     """
     require(docs, ("doc_id", "text", "source"))
-    sizes = written(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")), "mix-sizes")
+    sizes = written(sizes_of(docs), "mix-sizes")
     plan = source_plan(sizes, weights, share, max_epochs, seed)
     own = [F.col(f"row.`{c}`") for c in docs.columns]
-    sized = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-        "doc_id",
-        "source",
-        word_count(F.col("text")).alias("size"),
-    )
+    sized = sizes_of(docs, F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     taken = with_taken(sized, plan, seed, whole_documents=True)
     times = F.when(F.col("size") == 0, F.lit(1)).otherwise(F.col("copies"))
     return taken.select("row", F.explode(F.array_repeat(F.lit(0), times))).select(*own)

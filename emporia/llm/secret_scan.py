@@ -6,9 +6,11 @@ matching, so it still consumes its text. ``entropy`` adds candidate strings
 (runs of token characters) in which a sliding window holds too much Shannon
 entropy for its character class. The window is not recounted at each step: the
 sum of ``c * log2(c)`` over its characters' counts changes only by the incoming
-and the outgoing character, so a step looks at two counts. Known harmless shapes
-(UUIDs, alphabets, placeholders, plain words, numbers, paths) are allowed and
-give no span.
+and the outgoing character, so a step looks at two counts. Known harmless shapes are
+allowed: a run that is a UUID, a number, or a path of slugs as a whole gives no
+span; placeholder words and alphabets are only cut out of a run, and runs of
+letters are judged by their pieces between separators, so that harmless text
+beside a secret does not hide it.
 
 Everything stays in one row: positions are running sums over the pieces between
 matches, in chunks, so a text with very many matches is not quadratic, and a
@@ -21,6 +23,8 @@ result; further columns are not read (``scan``) or pass through (``redacted``).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,14 +45,16 @@ KINDS = ("assign", "access", "hex", "entropy")
 WINDOW = 20
 TOKEN_RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+"
 MIN_BITS = {"hex": 3.0, "alnum": 3.6, "base64": 3.7}
-# Harmless shapes, never reported by the entropy scan.
+# Harmless shapes of a whole run, never reported by the entropy scan.
 ALLOWED = (
     r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$",  # UUID
     r"^[0-9_=+/-]+$",  # numbers, dates, rules
-    r"^[A-Za-z_=+/-]+$",  # words, snake case, paths of words
     r"^(/?[a-z]+[0-9]{0,4})([_/-][a-z]+[0-9]{0,4})+/?$",  # slugs and paths
-    r"(?i)example|placeholder|changeme|dummy|lorem|xxxx|0123456789|abcdefgh",
 )
+# Harmless parts of a run; what is left beside them is scanned.
+CUT = r"(?i)example|placeholder|changeme|dummy|lorem|x{4,}|0123456789|abcdefgh(?:ijklmnopqrstuvwxyz)?"
+# Runs of letters (words, snake case, paths of words) are scanned between separators.
+LETTERS, SEPARATORS = r"^[A-Za-z_=+/-]+$", r"[_=+/-]"
 
 _CHUNK = 256
 _SPANS = "array<struct<start:bigint,end:bigint,hit:string>>"
@@ -109,56 +115,62 @@ def _located(chunks: Column) -> Column:
     return F.flatten(F.zip_with(chunks, F.slice(bases, F.lit(1), F.size(chunks)), in_chunk))
 
 
-def _n_log_n(n: Column) -> Column:
-    return n * F.log2(F.greatest(n, F.lit(1)))
+def _gained(n: Column) -> Column:
+    """How much ``c * log2(c)`` grows from a count ``c = n`` to ``n + 1``."""
+    grown = [(c + 1) * math.log2(c + 1) - (c * math.log2(c) if c else 0.0) for c in range(WINDOW + 1)]
+    return F.get(F.array(*[F.lit(g) for g in grown]), n)
 
 
-def _count(ch: Column, text: Column) -> Column:
-    return F.length(text) - F.length(F.replace(text, ch, F.lit("")))
+def _reaches(block: Column, bits: Column) -> Column:
+    """Whether some WINDOW-wide window of ``block`` has an entropy of ``bits`` a character or more.
 
+    The sum of ``c * log2(c)`` over a window's counts follows from the one before it
+    by the character that comes and the one that goes. Once a window reaches ``bits``
+    the rest is not looked at.
+    """
 
-def window_entropy(run: Column) -> Column:
-    """The highest entropy (bits a character) of any WINDOW-wide window of ``run``
-    (0 if it is shorter)."""
+    def step(seen: Column, i: Column) -> Column:
+        new, old = F.substr(block, i, F.lit(1)), F.substr(block, i - WINDOW, F.lit(1))
+        held = F.least(i - 1, F.lit(WINDOW))
+        before = F.substr(block, i - held, held)  # the window that ends just before i
+        count_in = held - F.length(F.replace(before, new, F.lit("")))
+        count_out = F.lit(WINDOW) - F.length(F.replace(before, old, F.lit(""))) + F.when(old == new, 1).otherwise(0)
+        s = seen["s"] + _gained(count_in) - F.when(i > WINDOW, _gained(count_out - 1)).otherwise(F.lit(0.0))
+        return F.when(seen["hit"], seen).otherwise(F.struct(s.alias("s"), ((i >= WINDOW) & (s <= most)).alias("hit")))
 
-    def block_best(block: Column) -> Column:
-        def step(acc: Column, i: Column) -> Column:
-            new, seen = F.substr(block, i, F.lit(1)), F.least(i - 1, F.lit(WINDOW))
-            before = F.substr(block, i - seen, seen)  # the window that ends just before i
-            c_in = _count(new, before)
-            old = F.substr(block, i - WINDOW, F.lit(1))
-            c_out = _count(old, before) + F.when(old == new, 1).otherwise(0)
-            s = acc["s"] + _n_log_n(c_in + 1) - _n_log_n(c_in)
-            s = s + F.when(i > WINDOW, _n_log_n(c_out - 1) - _n_log_n(c_out)).otherwise(F.lit(0.0))
-            return F.struct(
-                s.alias("s"),
-                F.when(i >= WINDOW, F.greatest(acc["best"], F.log2(F.lit(float(WINDOW))) - s / WINDOW))
-                .otherwise(acc["best"])
-                .alias("best"),
-            )
+    most = F.lit(WINDOW * math.log2(WINDOW) + 1e-9) - bits * WINDOW
+    start = F.struct(F.lit(0.0).alias("s"), F.lit(False).alias("hit"))
+    return F.aggregate(F.sequence(F.lit(1), F.length(block)), start, step, lambda seen: seen["hit"])
 
-        return F.aggregate(
-            F.sequence(F.lit(1), F.length(block)),
-            F.struct(F.lit(0.0).alias("s"), F.lit(0.0).alias("best")),
-            step,
-            lambda acc: acc["best"],
-        )
 
+def high_entropy(run: Column, bits: Column) -> Column:
+    """Whether some window of ``run`` reaches ``bits`` (no, if it is shorter than a window).
+
+    Long runs are scanned in overlapping blocks; one with too few different
+    characters to reach ``bits`` is passed over.
+    """
     blocks = F.transform(
         F.sequence(F.lit(0), F.floor(F.greatest(F.length(run) - WINDOW, F.lit(0)) / _CHUNK).cast("int")),
         lambda k: F.substr(run, k * _CHUNK + 1, F.lit(_CHUNK + WINDOW - 1)),
     )
-    return F.array_max(F.transform(blocks, block_best))
+    different = lambda block: F.size(F.array_distinct(F.split(block, "")))
+    return F.exists(blocks, lambda b: F.when(F.log2(different(b)) + 1e-9 < bits, F.lit(False)).otherwise(_reaches(b, bits)))
 
 
 def suspicious(run: Column) -> Column:
     """Whether a run of token characters looks like a secret."""
-    bits = F.when(run.rlike("^[0-9a-fA-F]+$"), MIN_BITS["hex"])
-    bits = bits.when(run.rlike("^[A-Za-z0-9]+$"), MIN_BITS["alnum"]).otherwise(MIN_BITS["base64"])
     allowed = F.lit(False)
     for shape in ALLOWED:
         allowed = allowed | run.rlike(shape)
-    return F.when(allowed, F.lit(False)).otherwise(window_entropy(run) >= bits)
+    left = F.regexp_replace(run, CUT, " ")
+    pieces = F.when(run.rlike(LETTERS), F.split(left, f" |{SEPARATORS}")).otherwise(F.split(left, " "))
+
+    def secret(piece: Column) -> Column:
+        bits = F.when(piece.rlike("^[0-9a-fA-F]+$"), MIN_BITS["hex"])
+        bits = bits.when(piece.rlike("^[A-Za-z0-9]+$"), MIN_BITS["alnum"]).otherwise(MIN_BITS["base64"])
+        return F.when(F.length(piece) < WINDOW, F.lit(False)).otherwise(high_entropy(piece, bits))
+
+    return F.when(allowed, F.lit(False)).otherwise(F.exists(pieces, secret))
 
 
 def _of_kind(kind: str, spans: Column) -> Column:

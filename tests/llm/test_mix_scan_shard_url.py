@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter
 
 import pytest
@@ -86,6 +87,27 @@ def test_mix_repeated_ids_null_ids_and_empty(spark):
     assert mixing.mixed_documents(docs.limit(0)).count() == 0
 
 
+def test_mix_spreads_what_is_due_over_rows_with_one_id(spark):
+    """A source whose rows have no id, or all the same id, still meets its target."""
+    schema = "doc_id long, text string, source string"
+    rows = [(None, "one", "a")] * 3000 + [(7, "two words", "b")] * 900 + [(i, "a b c", "c") for i in range(100, 500)]
+    docs = spark.createDataFrame(rows, schema).repartition(5)
+    want = filled({"a": 3000, "b": 1800, "c": 1200}, {"a": 3, "b": 1, "c": 2}, 9000, 2.0)
+    for weights, share in (((3, 1, 2), 1.5), ((2, 3, 1), 0.9)):
+        want = filled({"a": 3000, "b": 1800, "c": 1200}, dict(zip("abc", weights)), 6000 * share, 2.0)
+        got = mixing.mix(docs, weights=weights, share=share)
+        taken = Counter()
+        for r in got.collect():
+            assert 0 <= r.taken <= 2 * r.size
+            taken[{3000: "a", 1800: "b", 1200: "c"}[r.source_size]] += r.taken
+        assert all(abs(taken[s] - want[s]) <= 1.5 for s in want), (taken, want)
+        mixed = Counter()
+        for r in mixing.mixed_documents(docs, weights=weights, share=share).collect():
+            mixed[r.source] += len(r.text.split())
+        assert all(abs(mixed[s] - want[s]) <= 2.5 for s in want), (mixed, want)
+        assert sorted(mixing.mix(docs, weights=weights, share=share).collect(), key=str) == sorted(got.collect(), key=str)
+
+
 # Secret scans -------------------------------------------------------------
 
 ASSIGN = re.compile(r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
@@ -118,8 +140,15 @@ def entropy_of(run):
 def is_secret(run):
     if len(run) < secret_scan.WINDOW or any(re.search(p, run) for p in secret_scan.ALLOWED):
         return False
-    kind = "hex" if re.fullmatch("[0-9a-fA-F]+", run) else "alnum" if re.fullmatch("[A-Za-z0-9]+", run) else "base64"
-    return entropy_of(run) >= secret_scan.MIN_BITS[kind] - 1e-9
+    pieces = re.sub(secret_scan.CUT, " ", run).split(" ")
+    if re.search(secret_scan.LETTERS, run):
+        pieces = [x for p in pieces for x in re.split(secret_scan.SEPARATORS, p)]
+
+    def secret(piece):
+        kind = "hex" if re.fullmatch("[0-9a-fA-F]+", piece) else "alnum" if re.fullmatch("[A-Za-z0-9]+", piece) else "base64"
+        return len(piece) >= secret_scan.WINDOW and entropy_of(piece) >= secret_scan.MIN_BITS[kind] - 1e-9
+
+    return any(secret(p) for p in pieces)
 
 
 def scanned(text):
@@ -159,6 +188,37 @@ def test_scan_equals_brute_force(spark):
     assert secret_scan.scan(docs.limit(0)).count() == 0
 
 
+def entropy_spans(spark, texts):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = secret_scan.scan(docs).select("doc_id", F.transform("entropy_spans", lambda s: F.struct(s["start"], s["end"])).alias("s"))
+    return {r.doc_id: [tuple(s) for s in r.s] for r in found.collect()}
+
+
+def test_harmless_text_beside_a_secret_does_not_hide_it(spark):
+    rng = random.Random(9)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
+    key = "".join(rng.sample(letters + "0123456789", 30))
+    secrets = [f"example_key={key}", "".join(rng.sample(letters, 32)), key + "xxxx", f"lorem/{key}/ipsum", "0123456789" + key]
+    harmless = [
+        "example_key=example_key=example", "this_is_a_rather_long_identifier_name", "abcdefghijklmnopqrstuvwxyz",
+        "x" * 50, "some/long/path/of/words/here/and/there", "2024-01-02_03-04-05_678901234567", "internationalization",
+    ]
+    got = entropy_spans(spark, [f"see {t} there" for t in secrets + harmless])
+    assert [got[i] for i in range(len(secrets))] == [[(4, 4 + len(t))] for t in secrets]
+    assert not any(got[i] for i in range(len(secrets), len(got)))
+
+
+def test_a_very_long_candidate_keeps_its_span(spark):
+    """Whatever occurs in it by chance, and in a time that grows with its length only."""
+    rng = random.Random(10)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    run = "".join(rng.choices(alphabet, k=500_000)) + "xxxxexample0123456789" + "".join(rng.choices(alphabet, k=500_000))
+    low = "".join(rng.choices("ACGT", k=300_000))
+    start = time.time()
+    assert entropy_spans(spark, [run, low]) == {0: [(0, len(run))], 1: []}
+    assert time.time() - start < 60
+
+
 def test_scan_whole_table(spark):
     text = {r.doc_id: r.text for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text").collect()}
     got = queries.op2_secret_scan(spark, SF_SMALL).collect()
@@ -243,11 +303,60 @@ def test_rules_and_aliases(spark):
         10: ("", "", None, "allow"),
         11: ("", "", None, "allow"),
         12: ("", "", None, "allow"),
-        13: ("net", "", None, "allow"),
+        13: ("net", "", None, "block"),  # no rule fits its empty path; its relative link is net/relative.html
     }
     assert url_filter.judge(pages.limit(0)).count() == 0
 
 
+def test_links_are_decoded_and_resolved(spark):
+    base = "https://bad.example.com/de/a/b.html?x=1#f"
+    links = {
+        "next.html": "bad.example.com/de/a/next.html",
+        "../up.html": "bad.example.com/de/up.html",
+        "../../../..": "bad.example.com/",
+        "./": "bad.example.com/de/a/",
+        "?lang=en": "bad.example.com/de/a/b.html?lang=en",
+        "/x/../y/./z": "bad.example.com/y/z",
+        "//M.test/q?a=1&amp;b=2": "m.test/q?a=1&b=2",
+        "https://m.test/&#x2e;&#46;/&lt;&#233;&#x65E5;&#0128512;&#0;": "m.test/<é日😀&",
+        "go?u=http://other.test/": "bad.example.com/de/a/go?u=http://other.test/",
+        "mailto:someone@m.test": None,
+        "#top": None,
+        "": None,
+    }
+    pages = spark.createDataFrame([(i, base, page(x)) for i, x in enumerate(links)], "page_id long, url string, html string")
+    got = {r.v for r in url_filter.alias_edges(pages).collect()}
+    assert got == {v for v in links.values() if v}
+    assert {r.u for r in url_filter.alias_edges(pages).collect()} == {"bad.example.com/de/a/b.html?x=1"}
+
+
+def test_verdicts_on_invented_pages_equal_sql(spark):
+    """Chains, a hub of thousands of aliases, relative and encoded links: all as the recursive SQL has it."""
+    import duckdb
+    import pandas as pd
+
+    rng = random.Random(12)
+    hosts = ["a.net", "shop.example.com", "wiki.org", "m.test", "n.test", "x.example.net", "o.test"]
+    paths = ["/de/", "/en/", "/fr/", "/", "/q/"]
+    rows = [(i, f"https://{rng.choice(hosts)}{rng.choice(paths)}{i % 900}?p={i % 3}", None) for i in range(1500)]
+    rows = [
+        (i, url, page(*rng.choices(["../x", "next?a=1&amp;b=2", "/de/1", rows[rng.randrange(1500)][1], "mailto:x"], k=rng.randrange(2))))
+        for i, url, _ in rows
+    ]
+    rows += [(2000 + i, f"https://chain.test/{i}", page(f"{i + 1}")) for i in range(60)]
+    rows += [(2060, "https://chain.test/60", page("https://shop.example.com/de/end"))]
+    rows += [(3000 + i, f"http://hub.test/alias/{i}", page("../hub")) for i in range(3000)]
+    rows += [(6000, "http://hub.test/hub", page(refresh=["//a.net/x"])), (6001, None, page("/x")), (6002, "no scheme", None)]
+    frame = pd.DataFrame(rows, columns=["page_id", "url", "html"])
+    con = duckdb.connect()
+    con.register("pages", frame)
+    want = con.sql(url_filter.oracle()).fetchall()
+    got = url_filter.judge(spark.createDataFrame(rows, "page_id long, url string, html string"))
+    got = [tuple(r) for r in got.select("page_id", "host", "path", "rule", "verdict", "by_alias").collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert sum(r[5] for r in got if 3000 <= r[0] < 6000) == 3000 and sum(r[5] for r in got if r[0] < 3000) > 60
+
+
 def test_components_equal_union_find(spark):
     rng = random.Random(6)
     edges = [(f"n{rng.randrange(150)}", f"n{rng.randrange(150)}") for _ in range(110)]
