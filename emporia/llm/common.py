@@ -27,6 +27,24 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Slots:
+    """Written tables of a loop, in a few paths that are used again in turn.
+
+    A table lasts until ``keep`` more were written, so a loop of any length holds
+    that many on disk. Write a table only when none older than that is needed.
+    """
+
+    def __init__(self, spark: SparkSession, label: str, keep: int = 2) -> None:
+        self.spark, self.keep, self.count = spark, keep, 0
+        self.root = fresh_scratch_path(spark, label)
+
+    def written(self, df: DataFrame) -> DataFrame:
+        path = f"{self.root}/{self.count % self.keep}"
+        self.count += 1
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+
 def require(df: DataFrame, columns: Iterable[str]) -> None:
     missing = [c for c in columns if c not in df.columns]
     if missing:

@@ -3,7 +3,8 @@
 Each star step sends a node's neighbours to the smallest of them; the edges end
 as stars around each component's smallest node. Every step works on written
 tables: its two join inputs are then plain scans with a shuffle each, so AQE
-can split a hub's partition, and a lost executor costs one step at most. The
+can split a hub's partition, and a lost executor costs one step at most. Only
+the last tables stay on disk, whatever the number of rounds. The
 minima are aggregates with map-side combine. Nothing goes to the driver but two
 numbers a round.
 """
@@ -13,18 +14,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporia.llm.common import written
+from emporia.llm.common import Slots
 
 
-def _star(edges: DataFrame, large: bool) -> DataFrame:
+def _star(edges: DataFrame, large: bool, minima: Slots, stars: Slots) -> DataFrame:
     """One large or small star over (u, v) with u > v."""
     if large:
         pairs = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     else:
         pairs = edges
-    least = written(
-        pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "star-least"
-    )
+    least = minima.written(pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
     linked = pairs.join(least, "u")
     if large:
         out = linked.where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -32,7 +31,7 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
         out = linked.select(F.col("v").alias("u"), F.col("m").alias("v")).union(
             least.select("u", F.col("m").alias("v"))
         )
-    return written(out.where(F.col("u") != F.col("v")).distinct(), "star-edges")
+    return stars.written(out.where(F.col("u") != F.col("v")).distinct())
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -43,16 +42,17 @@ def _mark(edges: DataFrame) -> tuple:
 def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component) for every node of ``edges`` (u, v); component is the
     smallest node reachable. Nodes with a null end, and loops, are left out."""
-    cur = written(
+    minima, stars = (Slots(edges.sparkSession, label, keep) for label, keep in (("star-least", 1), ("star-edges", 2)))
+    cur = stars.written(
         edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"), (F.col("u") != F.col("v")).alias("x"))
         .where("x")
         .select("u", "v")
-        .distinct(),
-        "star-edges",
+        .distinct()
     )
     mark = _mark(cur)
     while mark[0]:
-        cur = _star(_star(cur, large=True), large=False)
+        for large in (True, False):
+            cur = _star(cur, large, minima, stars)
         before, mark = mark, _mark(cur)
         if mark == before:
             break

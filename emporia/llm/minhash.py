@@ -46,7 +46,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from emporia.llm.common import require, text_or_empty, written
+from emporia.llm.common import Slots, require, text_or_empty, written
 from emporia.llm.components import connected_components
 
 WORDS_PER_SHINGLE = 5
@@ -278,15 +278,15 @@ def _best(agree: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray, bool]:
     return *np.nonzero(near), len(more) > 0
 
 
-def _across(rest: DataFrame, parts: DataFrame, signed: DataFrame, limit: int) -> DataFrame | None:
+def _across(rest: DataFrame, parts: DataFrame, signed: DataFrame, limit: int, members: Slots, opened: Slots) -> DataFrame | None:
     """(node, chosen): pairs of ``rest`` (node, band, key) that share a bucket but no
     component (``parts``) and agree in LEAST_AGREEING samples; in a tile at most the ``limit`` best for each node
     outside the bucket's largest component. A row of nulls says that there are more. None if no bucket is open."""
     own = rest.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    own = written(own, "minhash-own")
+    own = members.written(own)
     counted = own.groupBy("band", "key", "component").agg(F.count(F.lit(1)).alias("n"))
     buckets = counted.groupBy("band", "key").agg(F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("main"))
-    buckets = written(
+    buckets = opened.written(
         buckets.where("n > main.n").select(
             "band",
             "key",
@@ -294,8 +294,7 @@ def _across(rest: DataFrame, parts: DataFrame, signed: DataFrame, limit: int) ->
             F.col("main.component").alias("main"),
             F.ceil(F.col("n") / TILE_ROWS).cast("int").alias("chunks"),
             F.ceil((F.col("n") - F.col("main.n")) / TILE_ROWS).cast("int").alias("blocks"),
-        ),
-        "minhash-open",
+        )
     )
     rows = buckets.agg(F.sum("n")).first()[0]
     if not rows:
@@ -396,11 +395,13 @@ def links(docs: DataFrame, texts: DataFrame, idf, similarity: float = SIMILARITY
     # The chosen have met all others of their buckets.
     rest = met.where(~F.array_contains("all", F.col("node"))).select("node", "band", "key")
     limit, more = CHOSEN, True
+    spark = docs.sparkSession
+    members, opened, crossed, united = (Slots(spark, f"minhash-{n}", 1) for n in ("own", "open", "across", "components"))
     while more:
-        across = _across(rest, parts, signed, limit)
+        across = _across(rest, parts, signed, limit, members, opened)
         if across is None:
             break
-        across = written(across, "minhash-across")
+        across = crossed.written(across)
         more = not across.where("node is null").isEmpty()
         pairs = across.where("node is not null").distinct().join(_united(tried), ["node", "chosen"], "left_anti")
         pairs = written(pairs, "minhash-pairs")
@@ -409,7 +410,7 @@ def links(docs: DataFrame, texts: DataFrame, idf, similarity: float = SIMILARITY
             new = _compared(docs, texts, pairs, idf, similarity)
             if not new.isEmpty():
                 found.append(new)
-                parts = written(connected_components(edges()), "minhash-components")
+                parts = united.written(connected_components(edges()))
         limit *= 4
     return edges(), parts
 
