@@ -36,14 +36,26 @@ ALL_DOUBLES_CONF = "emporia.money.allDoubles"
 LIMB_BITS = 24
 
 
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+# What every double is scaled by where two halves of 48 bits are put together.
+_HALF = "281474976710656D"
+
+
+def _let(name: str, value: str, body: str) -> str:
+    """``body`` with ``name`` for ``value``, which is computed once."""
+    return f"get(transform(array({value}), {name} -> {body}), 0)"
+
+
+def _double(value: float) -> str:
+    return f"{value!r}D"
 
 
 @dataclass(frozen=True)
 class ExactSum:
-    """Exact sums of doubles that are multiples of ``2**low`` and below ``2**(low + 24 * limbs)``."""
+    """Exact sums of doubles that are multiples of ``2**low`` and below ``2**(low + 24 * limbs)``.
+
+    Amounts and sums are named by SQL text (``"price + freight_value"``, ``"amount_sum"``):
+    the expressions are long, and Spark reads a text much faster than Python builds them.
+    """
 
     low: int
     limbs: int
@@ -52,83 +64,67 @@ class ExactSum:
     def high(self) -> int:
         return self.low + LIMB_BITS * self.limbs
 
-    def _limb(self, col: Column, i: int) -> Column:
-        """The bits of ``col`` from ``2**(low + 24 * i)`` on, up to the next limb; remainders by powers of two are exact."""
-        unit = 2.0 ** (self.low + LIMB_BITS * i)
-        upto = col if i == self.limbs - 1 else col % F.lit(2.0 ** (self.low + LIMB_BITS * (i + 1)))
-        return ((upto - col % F.lit(unit)) / F.lit(unit)).cast("bigint")
+    def _limb(self, amount: str, i: int) -> str:
+        """The bits of ``amount`` from ``2**(low + 24 * i)`` on, up to the next limb; remainders by powers of two are exact."""
+        unit = _double(2.0 ** (self.low + LIMB_BITS * i))
+        upto = amount if i == self.limbs - 1 else f"{amount} % {_double(2.0 ** (self.low + LIMB_BITS * (i + 1)))}"
+        return f"cast(({upto} - {amount} % {unit}) / {unit} as bigint)"
 
-    def sum(self, col: Column, times: Column | None = None) -> Column:
-        """Aggregate: the bins of the sum of a double column, each row counted ``times`` times.
+    def sum(self, amount: str, times: str = "1L") -> Column:
+        """Aggregate: the bins of the sum of a double, each row counted ``times`` times.
 
         NULL amounts are skipped; the bins are NULL when every amount is.
         """
-        odd = F.isnan(col) | (F.abs(col) == F.lit(float("inf")))
-        finite = F.when(odd, F.lit(0.0)).otherwise(col)
+        odd = f"(isnan({amount}) or abs({amount}) = double('inf'))"
+        finite = f"if({odd}, 0D, {amount})"
         if self.high < 1024 or self.low > -1074:
-            outside = (F.abs(finite) >= F.lit(2.0**self.high)) | (finite % F.lit(2.0**self.low) != 0)
-            error = F.raise_error(F.concat(F.lit("amount outside the range of exact sums: "), col.cast("string")))
-            finite = F.when(outside, error.cast("double")).otherwise(finite)
-        weight = F.lit(1).cast("bigint") if times is None else times.cast("bigint")
-        bins = [F.sum(self._limb(finite, i) * weight) for i in range(self.limbs)]
-        special = F.sum(F.when(odd, col).otherwise(F.when(col.isNotNull(), F.lit(0.0))))
-        return F.struct(F.array(*bins).alias("bins"), special.alias("special"))
-
-    def merged(self, part: Column) -> Column:
+            outside = f"(abs({finite}) >= {_double(2.0**self.high)} or {finite} % {_double(2.0**self.low)} != 0D)"
+            error = f"cast(raise_error(concat('amount outside the range of exact sums: ', string({amount}))) as double)"
+            finite = f"if({outside}, {error}, {finite})"
+        bins = ", ".join(f"sum({self._limb(finite, i)} * {times})" for i in range(self.limbs))
+        special = f"sum(case when {odd} then {amount} when {amount} is not null then 0D end)"
+        return F.expr(f"named_struct('bins', array({bins}), 'special', {special})")
+
+    def merged(self, part: str) -> Column:
         """Aggregate: the bins of the sum of several sums."""
-        bins = [F.sum(F.get(part["bins"], F.lit(i))) for i in range(self.limbs)]
-        return F.struct(F.array(*bins).alias("bins"), F.sum(part["special"]).alias("special"))
+        bins = ", ".join(f"sum(get({part}.bins, {i}))" for i in range(self.limbs))
+        return F.expr(f"named_struct('bins', array({bins}), 'special', sum({part}.special))")
 
-    def value(self, total: Column) -> Column:
+    def value(self, total: str) -> Column:
         """The double nearest to a sum (NULL when nothing was summed)."""
-        mask, zero = F.lit((1 << LIMB_BITS) - 1), F.lit(0).cast("bigint")
-        none = F.array().cast("array<bigint>")
+        mask = (1 << LIMB_BITS) - 1
 
-        def digits(bins: Column) -> Column:
+        def digits(bins: str) -> str:
             """Carried over to digits from 0 to 2**24 - 1, lowest first, and the carry that is left."""
-            start = F.struct(none.alias("digits"), zero.alias("carry"))
-
-            def carry(seen: Column, bin_: Column) -> Column:
-                whole = bin_ + seen["carry"]
-                digit = F.array(whole.bitwiseAND(mask))
-                return F.struct(F.concat(seen["digits"], digit).alias("digits"), F.shiftright(whole, LIMB_BITS).alias("carry"))
-
-            return F.aggregate(bins, start, carry)
-
-        def size_of(parts: Column) -> Column:
-            """A total that is not negative, from its digits: the four highest make a double, a bit stands for the rest."""
-            rest = F.array(parts["carry"].bitwiseAND(mask), F.shiftright(parts["carry"], LIMB_BITS))
-
-            def rounded(all_: Column) -> Column:
-                return _let(F.array_max(F.transform(all_, lambda d, i: F.when(d > 0, i).otherwise(F.lit(-1)))), lambda top: nearest(all_, top))
-
-            def nearest(all_: Column, top: Column) -> Column:
-                def digit(back: int) -> Column:
-                    return F.coalesce(F.get(all_, top - back), zero)
-
-                lower = F.exists(F.slice(all_, F.lit(1), F.greatest(top - 3, F.lit(0))), lambda d: d > 0)
-                upper48 = F.shiftleft(digit(0), LIMB_BITS) + digit(1)
-                lower48 = (F.shiftleft(digit(2), LIMB_BITS) + digit(3)).bitwiseOR(lower.cast("bigint"))
-                # Both are exact doubles, so their sum is rounded once.
-                lead = upper48.cast("double") * F.lit(2.0**48) + lower48.cast("double")
-                exponent = F.lit(LIMB_BITS) * (top - 3) + F.lit(self.low)
-                half = F.floor(exponent / F.lit(2))
-                scaled = lead * F.pow(F.lit(2.0), half) * F.pow(F.lit(2.0), exponent - half)
-                return F.when(top >= 0, scaled).otherwise(F.lit(0.0))
-
-            return _let(F.concat(parts["digits"], rest), rounded)
-
-        def signed(parts: Column) -> Column:
-            negated = digits(F.transform(total["bins"], lambda b: -b))
-            return F.when(parts["carry"] < 0, -_let(negated, size_of)).otherwise(size_of(parts))
-
-        finite = _let(digits(total["bins"]), signed)
-        exact = F.when(total["special"] == 0, finite).otherwise(total["special"])
-        return F.when(F.get(total["bins"], F.lit(0)).isNotNull(), exact)
-
-    def total(self, col: Column) -> Column:
-        """Aggregate: the sum of a double column as the nearest double."""
-        return self.value(self.sum(col))
+            return (
+                f"aggregate({bins}, named_struct('digits', cast(array() as array<bigint>), 'carry', 0L), (seen, bin) -> "
+                f"named_struct('digits', concat(seen.digits, array((bin + seen.carry) & {mask}L)), "
+                f"'carry', shiftright(bin + seen.carry, {LIMB_BITS})))"
+            )
+
+        def digit(back: int) -> str:
+            return f"coalesce(get(ds, top - {back}), 0L)"
+
+        # A total that is not negative, from its digits: the four highest make a double, a bit stands for the rest.
+        lower = "cast(exists(slice(ds, 1, greatest(top - 3, 0)), d -> d > 0) as bigint)"
+        # Both halves are exact doubles, so their sum is rounded once.
+        lead = (
+            f"(cast(shiftleft({digit(0)}, {LIMB_BITS}) + {digit(1)} as double) * {_HALF}"
+            f" + cast((shiftleft({digit(2)}, {LIMB_BITS}) + {digit(3)}) | {lower} as double))"
+        )
+        exponent = f"({LIMB_BITS} * (top - 3) + {self.low})"
+        half = f"floor({exponent} / 2)"
+        nearest = f"if(top >= 0, {lead} * pow(2D, {half}) * pow(2D, {exponent} - {half}), 0D)"
+        rounded = _let("top", "array_max(transform(ds, (d, i) -> if(d > 0, i, -1)))", nearest)
+
+        def size_of(parts: str) -> str:
+            rest = f"array({parts}.carry & {mask}L, shiftright({parts}.carry, {LIMB_BITS}))"
+            return _let("ds", f"concat({parts}.digits, {rest})", rounded)
+
+        negated = _let("neg", digits(f"transform({total}.bins, bin -> -bin)"), size_of("neg"))
+        finite = _let("pos", digits(f"{total}.bins"), f"if(pos.carry < 0, -{negated}, {size_of('pos')})")
+        exact = f"if({total}.special = 0D, {finite}, {total}.special)"
+        return F.expr(f"case when get({total}.bins, 0) is not null then {exact} end")
 
 
 MONEY = ExactSum(low=-96, limbs=8)

@@ -39,10 +39,10 @@ from emporia.operators import balanced_join, mean_of, money_sums
 
 def item_totals_by_order(order_items: DataFrame) -> DataFrame:
     """Per order_id: exact sum of ``price + freight`` (its bins) and the count of non-NULL amounts."""
-    amount = line_total("price", "freight_value")
-    return order_items.groupBy("order_id").agg(
-        money_sums(order_items.sparkSession).sum(amount).alias("amount_sum"),
-        F.count(amount).alias("amount_n"),
+    items = order_items.select("order_id", line_total("price", "freight_value").alias("amount"))
+    return items.groupBy("order_id").agg(
+        money_sums(order_items.sparkSession).sum("amount").alias("amount_sum"),
+        F.count("amount").alias("amount_n"),
     )
 
 
@@ -67,10 +67,10 @@ def daily_sales(orders: DataFrame, order_items: DataFrame, customers: DataFrame)
         F.col("state").alias("customer_state"),
     ).agg(
         F.count_distinct("order_id").alias("total_orders"),
-        sums.merged(F.col("amount_sum")).alias("amount_sum"),
+        sums.merged("amount_sum").alias("amount_sum"),
         F.sum("amount_n").alias("amount_n"),
     )
-    return days.withColumn("total_revenue", sums.value(F.col("amount_sum"))).select(
+    return days.withColumn("total_revenue", sums.value("amount_sum")).select(
         "order_date",
         "customer_state",
         "total_orders",
@@ -97,16 +97,19 @@ def customer_ltv(orders: DataFrame, order_items: DataFrame, customers: DataFrame
         .groupBy("customer_id")
         .agg(
             F.count_distinct("order_id").alias("total_orders"),
-            sums.merged(F.col("amount_sum")).alias("amount_sum"),
+            sums.merged("amount_sum").alias("amount_sum"),
             F.max("order_created_ts").alias("last_order_timestamp"),
         )
     )
     rows = customers.select("customer_id", "state").join(per_customer, "customer_id")
-    return rows.groupBy("customer_id", F.col("state").alias("customer_state")).agg(
+    states = rows.groupBy("customer_id", F.col("state").alias("customer_state")).agg(
         F.first("total_orders").alias("total_orders"),
-        sums.value(sums.merged(F.col("amount_sum"))).alias("total_spent"),
+        sums.merged("amount_sum").alias("amount_sum"),
         F.first("last_order_timestamp").alias("last_order_timestamp"),
     )
+    return states.select(
+        "customer_id", "customer_state", "total_orders", sums.value("amount_sum").alias("total_spent"), "last_order_timestamp"
+    )
 
 
 def review_summary_by_order(reviews: DataFrame) -> DataFrame:
@@ -129,15 +132,18 @@ def product_performance(order_items: DataFrame, products: DataFrame, reviews: Da
     )
     lines = balanced_join(items, products.select("product_id", "category"), "product_id")
     rows = balanced_join(lines, review_summary_by_order(reviews), "order_id", "left")
-    copies = F.coalesce(F.col("n_reviews"), F.lit(1).cast("bigint"))
     sums = money_sums(order_items.sparkSession)
-    return rows.groupBy("product_id", "category").agg(
-        F.sum(F.when(F.col("order_id").isNotNull(), copies).otherwise(F.lit(0).cast("bigint"))).alias(
+    counted = rows.withColumn("copies", F.coalesce("n_reviews", F.lit(1).cast("bigint")))
+    totals = counted.groupBy("product_id", "category").agg(
+        F.sum(F.when(F.col("order_id").isNotNull(), F.col("copies")).otherwise(F.lit(0).cast("bigint"))).alias(
             "total_units_sold"
         ),
-        sums.value(sums.sum(F.col("amount"), times=copies)).alias("total_revenue"),
+        sums.sum("amount", times="copies").alias("amount_sum"),
         mean_of(F.sum("score_sum"), F.sum("score_n")).alias("average_review_score"),
     )
+    return totals.select(
+        "product_id", "category", "total_units_sold", sums.value("amount_sum").alias("total_revenue"), "average_review_score"
+    )
 
 
 def review_insights(

@@ -120,7 +120,7 @@ def catalog_order_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
         write_layer(frame, dataset, "silver", warehouse, bucket_by=(CATALOG_BUCKETS, "order_id"))
     orders, items = (read_layer(spark, d, "silver", warehouse) for d in ("orders", "order_items"))
     return orders.select("order_id", "customer_id").join(gold.item_totals_by_order(items), "order_id").select(
-        "order_id", "customer_id", money_sums(spark).value(F.col("amount_sum")).alias("amount"), F.col("amount_n").alias("items")
+        "order_id", "customer_id", money_sums(spark).value("amount_sum").alias("amount"), F.col("amount_n").alias("items")
     )
 
 

@@ -77,9 +77,9 @@ def exact_totals(spark, sums, groups, parts=3):
     """Totals of some groups of doubles, merged from partial sums of arbitrary parts."""
     data = [(g, v) for g, values in enumerate(groups) for v in values]
     df = spark.createDataFrame(data, "g int, x double").repartition(parts).sortWithinPartitions(F.rand(parts))
-    partial = df.groupBy("g", F.spark_partition_id().alias("p")).agg(sums.sum(F.col("x")).alias("s"))
-    merged = partial.groupBy("g").agg(sums.merged(F.col("s")).alias("s"))
-    return {r.g: r.t for r in merged.select("g", sums.value(F.col("s")).alias("t")).collect()}
+    partial = df.groupBy("g", F.spark_partition_id().alias("p")).agg(sums.sum("x").alias("s"))
+    merged = partial.groupBy("g").agg(sums.merged("s").alias("s"))
+    return {r.g: r.t for r in merged.select("g", sums.value("s").alias("t")).collect()}
 
 
 def test_sums_are_rounded_once_in_any_grouping(spark):
@@ -124,7 +124,7 @@ def test_amounts_outside_the_range_raise(spark):
 
 def test_repeated_amounts(spark):
     df = spark.createDataFrame([(0.1, 3), (0.2, 1), (None, 5), (1e9, 10**6)], "x double, n long")
-    got = df.agg(MONEY.value(MONEY.sum(F.col("x"), times=F.col("n"))).alias("t")).first().t
+    got = df.agg(MONEY.sum("x", times="n").alias("s")).select(MONEY.value("s").alias("t")).first().t
     assert got == exact([0.1] * 3 + [0.2]+ [1e15])
 
 
