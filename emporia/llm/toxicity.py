@@ -25,10 +25,12 @@ from __future__ import annotations
 
 import math
 import unicodedata
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import accumulate
 
 import ahocorasick
 import pandas as pd
@@ -110,7 +112,10 @@ def features(text: str, model: Model) -> tuple[float, float]:
         else:
             hits.append((end - length, end, weight))
     if excused:
-        hits = [h for h in hits if not any(a <= h[0] and h[1] <= b for a, b in excused)]
+        # The furthest end of the excused spans that start no later than each of them.
+        excused.sort()
+        starts, reach = [a for a, _ in excused], list(accumulate((b for _, b in excused), max))
+        hits = [h for h in hits if not (at := bisect_right(starts, h[0])) or reach[at - 1] < h[1]]
     total, words = sum(h[2] for h in hits), folded.count(" ") - 1
     return math.log1p(total), math.log1p(100.0 * total / (words + 20))
 
@@ -151,8 +156,9 @@ def fit(
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(fit_rows)
     )
-    # At most fit_rows pairs of numbers.
+    # At most fit_rows pairs of numbers; where an id repeats in docs, one of its texts.
     rows = docs.select("doc_id", text_or_empty().alias("text")).join(F.broadcast(listed), "doc_id")
+    rows = rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.first("toxic").alias("toxic"))
     rows = written(rows.select("text", "toxic"), "toxicity-rows")
     toxic, clean = rows.agg(F.sum(F.col("toxic")), F.sum(1 - F.col("toxic"))).first()
     toxic, clean = toxic or 0, clean or 0
