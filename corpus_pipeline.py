@@ -28,8 +28,9 @@ TOXIC_AT = 0.5
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below TOXIC_AT."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    scored = docs.withColumn("__score", toxicity.score(F.col("text"), model))
-    return scored.where(F.col("__score") < TOXIC_AT).drop("__score")
+    # The row stays whole beside its score, so no column of it can clash.
+    scored = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), toxicity.score(F.col("text"), model).alias("score"))
+    return scored.where(F.col("score") < TOXIC_AT).select("row.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -61,7 +62,8 @@ STAGES: list[tuple[str, Stage]] = [
     ("bpe", encode_texts),
 ]
 
-# Weighted sampling, a fitted model and BPE have no SQL form: tests/llm hold brute-force versions.
+# Weighted sampling, a fitted model and BPE have no SQL form: tests/llm/test_pipeline.py
+# chains plain versions of the stages.
 ORACLE_SQL: str | None = None
 
 

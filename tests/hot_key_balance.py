@@ -6,12 +6,10 @@ shuffle partition is one task, the at-scale shape), and reports, from Spark's
 event log, the most and the median shuffle records read by one task for the
 busiest stages:
 
-    python tests/hot_key_balance.py /root/testdata/sf0.1 0       # plain joins
-    python tests/hot_key_balance.py /root/testdata/sf0.1 20000   # hot keys split
-    python tests/hot_key_balance.py /root/testdata/sf0.1 20000 aqe-skew
+    python tests/hot_key_balance.py /root/testdata/sf0.1 plain   # plain joins
+    python tests/hot_key_balance.py /root/testdata/sf0.1 split   # joins that AQE can split
 
-``aqe-skew`` lowers AQE's skew-join thresholds to this data size, to show which
-joins AQE can split on top.
+AQE's skew-join thresholds are lowered to this data size.
 """
 
 from __future__ import annotations
@@ -28,11 +26,11 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
 
-def main(sf_dir: str, hot_rows: str, aqe_skew: bool = False) -> None:
+def main(sf_dir: str, joins: str) -> None:
     import zstandard
     from pyspark.sql import functions as F
 
-    from emporia.operators.skew import HOT_ROWS_CONF
+    from emporia.operators.skew import SPLIT_CONF
     from emporia.plans import gold
     from emporia.plans.queries import Silver
     from emporia.session import build_session
@@ -49,18 +47,12 @@ def main(sf_dir: str, hot_rows: str, aqe_skew: bool = False) -> None:
             "spark.sql.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
             "spark.sql.adaptive.coalescePartitions.enabled": "false",
-            **(
-                {
-                    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
-                    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-                    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k",
-                }
-                if aqe_skew
-                else {}
-            ),
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k",
         },
     )
-    spark.conf.set(HOT_ROWS_CONF, hot_rows)
+    spark.conf.set(SPLIT_CONF, "false" if joins == "plain" else "true")
     s = Silver(spark, sf_dir)
     third = F.pmod(F.xxhash64("order_id", "order_item_id"), F.lit(3)) == 0
     items = s.order_items().withColumn(
@@ -86,12 +78,11 @@ def main(sf_dir: str, hot_rows: str, aqe_skew: bool = False) -> None:
         ((max(r), sorted(r)[len(r) // 2], len(r)) for r in stages.values() if max(r) > 0), reverse=True
     )
     print(json.dumps({
-        "hot_key_rows": int(hot_rows),
-        "aqe_skew": aqe_skew,
+        "joins": joins,
         "wall_sec": round(wall, 2),
         "busiest_stages": [{"max_records": m, "median_records": md, "tasks": n} for m, md, n in busiest[:3]],
     }))
 
 
 if __name__ == "__main__":
-    main(sys.argv[1], sys.argv[2], len(sys.argv) > 3 and sys.argv[3] == "aqe-skew")
+    main(sys.argv[1], sys.argv[2])
