@@ -26,7 +26,8 @@ from emporia.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-SHARD_BYTES = 32 << 20
+# Small enough that the given tables need many shards.
+SHARD_BYTES = 64 << 10
 
 
 def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

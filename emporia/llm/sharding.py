@@ -94,9 +94,9 @@ def directory(keyed: DataFrame, limit: int) -> tuple[list[tuple[int, DataFrame]]
     return steps, out
 
 
-def shard_of(keyed: DataFrame, limit: int) -> DataFrame:
-    """``keyed`` (bits, n_bytes, ...) plus shard (its prefix), depth, shard_bytes, shard_docs."""
-    steps, shards = directory(keyed, limit)
+def _assigned(keyed: DataFrame, steps: list[tuple[int, DataFrame]]) -> DataFrame:
+    """``keyed`` (bits, ...) plus shard, by looking up each step's cells; a step's rows are those
+    that no step before it has placed."""
     columns = [F.col(f"`{c}`") for c in keyed.columns]
     open_rows, done = keyed, None
     for k, (depth, cells) in enumerate(steps):
@@ -105,14 +105,15 @@ def shard_of(keyed: DataFrame, limit: int) -> DataFrame:
         done = part if done is None else done.union(part)
         if k + 1 < len(steps):
             open_rows = met.where(F.col("shard").isNull()).select(*columns)
-    return done.join(shards, "shard").select(*columns, "shard", "depth", "shard_bytes", "shard_docs")
+    return done
 
 
-def keyed_documents(docs: DataFrame) -> DataFrame:
+def keyed_documents(docs: DataFrame, *more: Column) -> DataFrame:
     """doc_id, n_bytes (UTF-8 bytes of the text) and the 120 bits of each row."""
     require(docs, ("doc_id", "text"))
     key = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
     return docs.select(
+        *more,
         "doc_id",
         F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"),
         F.concat(_bits(key), _bits(_place())).alias("bits"),
@@ -124,7 +125,28 @@ def shards(docs: DataFrame, limit: int = 32 << 20) -> DataFrame:
     depth, shard_bytes, shard_docs. Every shard holds at most ``limit`` bytes, or
     one document."""
     keyed = written(keyed_documents(docs), "shard-keys")
-    return shard_of(keyed, limit).drop("bits")
+    steps, listed = directory(keyed, limit)
+    placed = _assigned(keyed, steps).join(listed, "shard")
+    return placed.select("doc_id", "n_bytes", "shard", "depth", "shard_bytes", "shard_docs")
+
+
+def write_shards(docs: DataFrame, path: str, limit: int = 32 << 20) -> str:
+    """Write the whole rows of ``docs`` as Parquet under ``path``, a folder and file a shard.
+
+    The folders' column (``shard_prefix``, with more underscores if ``docs`` has that
+    name) is ``s`` and the shard's bit prefix; its name is returned. Rows that share an
+    id are placed as in ``shards`` as long as two scans of ``docs`` deal its rows alike.
+    """
+    keyed = written(keyed_documents(docs), "shard-keys")
+    steps, _ = directory(keyed, limit)
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    placed = _assigned(keyed_documents(docs, row).select("row", "bits"), steps)
+    name = "shard_prefix"
+    while name in docs.columns:
+        name += "_"
+    rows = placed.select("row.*", F.concat(F.lit("s"), "shard").alias(name))
+    rows.repartition(name).write.partitionBy(name).parquet(path)
+    return name
 
 
 ORACLE = """

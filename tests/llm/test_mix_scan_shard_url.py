@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from emporia.llm import components, mixing, queries, secret_scan, sharding, url_filter
 from tests.conftest import SF_SMALL
+from tests.oracle_compare import compare
 
 
 # Mixing -------------------------------------------------------------------
@@ -260,6 +261,29 @@ def test_shards_fit_and_split_only_oversized(spark):
     assert sharding.shards(docs.limit(0), limit).count() == 0
 
 
+def test_written_shards_hold_every_row_within_the_limit(spark, tmp_path):
+    rng = random.Random(5)
+    rows = [(i, "é" * rng.randrange(60), "x") for i in range(400)] + [(7, "z" * 50, "x")] * 100 + [(None, None, "y"), (9, "y" * 5000, "z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, shard_prefix string")
+    path, limit = str(tmp_path / "shards"), 900
+    name = sharding.write_shards(docs, path, limit)
+    assert name == "shard_prefix_"
+    back = spark.read.parquet(path)
+    assert sorted(back.select(*docs.columns).collect(), key=str) == sorted(docs.collect(), key=str)
+    sizes = back.groupBy(name).agg(F.sum(F.octet_length("text")).alias("b"), F.count(F.lit(1)).alias("n"))
+    sizes = sizes.collect()
+    assert len(sizes) > 20 and all((r.b or 0) <= limit or r.n == 1 for r in sizes)
+    files = [r.f for r in back.select(F.input_file_name().alias("f")).distinct().collect()]
+    assert len(files) == len(sizes)
+    assert sharding.shards(docs, limit).select("shard").distinct().count() == len(sizes)
+
+
+def test_registered_limit_splits_the_given_tables(spark):
+    rec = compare(spark, SF_SMALL, ["op5_sharding"])["op5_sharding"]
+    assert rec["ok"], rec
+    assert queries.op5_sharding(spark, SF_SMALL).select("shard").distinct().count() > 4
+
+
 # URL filters --------------------------------------------------------------
 
 
