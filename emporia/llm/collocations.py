@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 from emporia.llm.common import require, written
 
 LEAST = 10
-SHARD_BYTES = 12 << 20
+SHARD_BYTES = 8 << 20
 BLOCK = 1 << 16
 RANGE_GRAMS = 1_000_000
 SAMPLE_BLOCKS = 20_000
