@@ -40,6 +40,7 @@ from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -126,6 +127,12 @@ class Automaton(Splitter):
         self._empty()
         self.cache = Words(self)
 
+    def forget(self) -> None:
+        """Give back what encoding has gathered: states, moves and words."""
+        self._empty()
+        self.moves.clear()
+        self.cache = Words(self)
+
     def arc(self, a: int, b: int, limit: int) -> bool:
         """Whether the arc a -> b exists after the first ``limit`` gadgets."""
         while True:
@@ -253,7 +260,8 @@ def encode(text: Column, path: str | None = None) -> Column:
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         made = automaton(where)
         for texts in parts:
-            yield pd.Series([made.encode(t or "") for t in texts], dtype=object)
+            yield pd.Series([np.array(made.encode(t or ""), np.int32) for t in texts], dtype=object)
+        made.forget()
 
     return run(F.coalesce(text, F.lit("")))
 
@@ -278,6 +286,27 @@ def encoded(docs: DataFrame, path: str | None = None) -> DataFrame:
     return with_ids.withColumn("n_tokens", F.size("ids").cast("long"))
 
 
+def coded(docs: DataFrame, path: str | None = None) -> DataFrame:
+    """``docs`` (text, ...) plus ids, n_tokens and the text decoded from the ids.
+
+    One worker a task encodes and decodes, and gives its words and states back after a partition.
+    """
+    require(docs, ("text",))
+    where = path or default_path()
+
+    @F.pandas_udf("ids array<int>, decoded string")
+    def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        made = automaton(where)
+        for texts in parts:
+            ids = [np.array(made.encode(t), np.int32) for t in texts]
+            yield pd.DataFrame({"ids": ids, "decoded": [made.decode(i.tolist()) for i in ids]})
+        made.forget()
+
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("ids", "n_tokens", "decoded")]
+    both = docs.select(F.struct(*kept).alias("row"), run(text_or_empty()).alias("code"))
+    return both.select("row.*", "code.ids", F.size("code.ids").cast("long").alias("n_tokens"), "code.decoded")
+
+
 def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_tokens, ids_sha256, decoded_sha256.
 
