@@ -50,8 +50,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their token ids, and the text decoded from these."""
-    coded = bpe_automaton.encoded(docs)
-    return coded.withColumn("decoded", bpe_automaton.decode(F.col("ids")))
+    return bpe_automaton.coded(docs)
 
 
 STAGES: list[tuple[str, Stage]] = [
