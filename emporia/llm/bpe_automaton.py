@@ -42,6 +42,7 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -54,6 +55,8 @@ MOVES = 1 << 16
 WORDS = 1 << 17
 # Longer words are not kept.
 WORD_KEPT = 64
+# Rows whose ids and decoded texts are held at once.
+CODED_ROWS = 256
 
 # The byte-level split. In the characters of COMMON, Python's and the library's classes are
 # known to agree, and these are the letters and digits among them; other texts are split by the library.
@@ -289,22 +292,31 @@ def encoded(docs: DataFrame, path: str | None = None) -> DataFrame:
 def coded(docs: DataFrame, path: str | None = None) -> DataFrame:
     """``docs`` (text, ...) plus ids, n_tokens and the text decoded from the ids.
 
-    One worker a task encodes and decodes, and gives its words and states back after a partition.
+    One worker a task encodes and decodes, CODED_ROWS rows at a time, and gives its words
+    and states back after a partition.
     """
     require(docs, ("text",))
     where = path or default_path()
+    kept = [f for f in docs.schema.fields if f.name not in ("ids", "n_tokens", "decoded")]
+    more = T.StructType().add("ids", T.ArrayType(T.IntegerType())).add("n_tokens", T.LongType()).add("decoded", T.StringType())
+    at = [f.name for f in kept].index("text")
 
-    @F.pandas_udf("ids array<int>, decoded string")
-    def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = automaton(where)
-        for texts in parts:
-            ids = [np.array(made.encode(t), np.int32) for t in texts]
-            yield pd.DataFrame({"ids": ids, "decoded": [made.decode(i.tolist()) for i in ids]})
+        for batch in batches:
+            for start in range(0, batch.num_rows, CODED_ROWS):
+                part = batch.slice(start, CODED_ROWS)
+                ids = [made.encode(text or "") for text in part.column(at).to_pylist()]
+                columns = [
+                    pa.array(ids, pa.list_(pa.int32())),
+                    pa.array([len(i) for i in ids], pa.int64()),
+                    pa.array([made.decode(i) for i in ids], pa.string()),
+                ]
+                yield pa.RecordBatch.from_arrays([*part.columns, *columns], names=[*part.schema.names, *more.names])
         made.forget()
 
-    kept = [F.col(f"`{c}`") for c in docs.columns if c not in ("ids", "n_tokens", "decoded")]
-    both = docs.select(F.struct(*kept).alias("row"), run(text_or_empty()).alias("code"))
-    return both.select("row.*", "code.ids", F.size("code.ids").cast("long").alias("n_tokens"), "code.decoded")
+    given = docs.select(*[F.col(f"`{f.name}`") for f in kept])
+    return given.mapInArrow(rows, T.StructType([*kept, *more.fields]))
 
 
 def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
