@@ -12,12 +12,14 @@ of rare shingles uneven, within the damping.
 Each of SAMPLES consistent weighted samples of two texts agrees with the
 probability of their weighted Jaccard similarity. ROWS samples make a band.
 Texts that share a band are candidates: in each bucket up to CHOSEN members, the first by
-hashes that are the same in all buckets, are compared with all others (first by their samples, then exactly, by the
-weighted Jaccard similarity of their shingles). Members similar to one are linked
+hashes that are the same in all buckets, are compared with all others (first by their samples, then by a bound,
+then exactly, by the weighted Jaccard similarity of their shingles). The bound: each text's weights are summed in
+BOUND_SLOTS hash slots, and two texts share at most the sum of the smaller slots. It never refuses a similar pair,
+and spares texts that share only a passage the exact comparison. Members similar to one are linked
 but stay: in buckets whose other members are not all in one component of the links yet, those outside the
-largest component meet all members, in tiles of bounded size. Each emits the pairs across components that
-agree in most samples, CHOSEN of them at first and four times as many each round, and they are compared
-exactly. So a large group does not emit all its pairs, and the rounds end only when every pair of every
+largest component meet all members, in tiles of bounded size. Each emits the pairs across components that the
+bound allows and that agree in most samples, CHOSEN of them at first and 16 times as many each round, and they are
+compared exactly. So a large group does not emit all its pairs, and the rounds end only when every pair of every
 bucket has been compared or is in one component. Classes are the connected components of the links.
 
 Exact copies are one text from the start: texts are keyed by their digest, and
@@ -35,13 +37,11 @@ row stays, whatever its id; an empty table gives an empty result; further column
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -65,28 +65,70 @@ READY_COUNTS = 3
 LEAST_AGREEING = 32
 SALT_ROWS = 128
 TABLE_BITS = 14
-SLICE = 512
+SLICE = 1024
 # Members of a bucket in a tile, on either side; members of small buckets in one group.
 TILE_ROWS = 2048
 GROUP_ROWS = 1024
-_WORD = re.compile(r"\w+")
+# Weights of a text's shingles are summed in so many slots, for a bound on its similarity to others.
+BOUND_SLOTS = 256
+NO_BOUND = 0xFFFF
+# Units of a weight: n * (1 + level / UNITS) is a whole number of them.
+UNITS = round((IDF_LEVELS - 1) * DAMPING)
+# Pairs whose bounds are taken at once; texts whose weights are held.
+BOUND_PAIRS = 8192
+KNOWN_TEXTS = 64
 _MULTIPLIERS = np.random.default_rng(5).integers(1, 2**63, SAMPLES + WORDS_PER_SHINGLE, dtype=np.uint64) | np.uint64(1)
 
 
+@lru_cache(maxsize=1)
+def _word_letters() -> np.ndarray:
+    """Which code points are word characters, as in the pattern ``\\w``."""
+    return np.fromiter((chr(c).isalnum() or c == 0x5F for c in range(0x110000)), bool, 0x110000)
+
+
+def word_hashes(text: str) -> np.ndarray:
+    """64-bit hashes of the lower-cased words of a text, in order: sums over their letters, each mixed with its place."""
+    letters = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
+    inside = np.zeros(len(letters) + 2, bool)
+    np.take(_word_letters(), letters, out=inside[1:-1], mode="clip")
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    if not len(edges):
+        return np.empty(0, np.uint64)
+    length = edges[1::2] - edges[::2]
+    first = np.cumsum(length) - length
+    h = letters[inside[1:-1]].astype(np.uint64)
+    h *= _MULTIPLIERS[0]
+    place = np.arange(len(h)) - np.repeat(first, length)
+    h += place.view(np.uint64) * _MULTIPLIERS[1]
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    h ^= h >> np.uint64(29)
+    h = np.add.reduceat(h, first)
+    h *= np.uint64(0x9E3779B97F4A7C15)
+    h ^= h >> np.uint64(29)
+    return h
+
+
 def shingles(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Sorted 64-bit hashes of a text's shingles, and their counts."""
-    words = _WORD.findall(text.lower())
-    if not words:
+    h = word_hashes(text)
+    if not len(h):
         return np.empty(0, np.uint64), np.empty(0, np.int64)
-    known = {w: xxhash.xxh3_64_intdigest(w) for w in set(words)}
-    h = np.fromiter((known[w] for w in words), np.uint64, len(words))
-    h ^= h >> np.uint64(29)
-    n = max(1, len(words) - WORDS_PER_SHINGLE + 1)
-    mixed = np.zeros(n, np.uint64)
-    for i in range(min(WORDS_PER_SHINGLE, len(words))):
+    n = max(1, len(h) - WORDS_PER_SHINGLE + 1)
+    mixed = h[:n] * _MULTIPLIERS[SAMPLES]
+    for i in range(1, min(WORDS_PER_SHINGLE, len(h))):
         mixed += h[i : i + n] * _MULTIPLIERS[SAMPLES + i]
-    mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0x9E3779B97F4A7C15)
-    return np.unique(mixed ^ (mixed >> np.uint64(29)), return_counts=True)
+    mixed ^= mixed >> np.uint64(32)
+    mixed *= np.uint64(0x9E3779B97F4A7C15)
+    mixed ^= mixed >> np.uint64(29)
+    mixed.sort()
+    new = np.empty(n, bool)
+    new[0] = True
+    np.not_equal(mixed[1:], mixed[:-1], out=new[1:])
+    if new.all():
+        return mixed, np.ones(n, np.int64)
+    first = np.flatnonzero(new)
+    return mixed[first], np.diff(first, append=n)
 
 
 def _slots(h: np.ndarray) -> np.ndarray:
@@ -100,8 +142,9 @@ def idf_table(docs: DataFrame) -> np.ndarray:
         slots, rows = np.zeros(1 << DF_BITS, np.int64), 0
         for part in parts:
             rows += len(part)
-            for text in part["text"]:
-                np.add.at(slots, _slots(shingles(text)[0]), 1)
+            for at in range(0, len(part), SLICE):
+                found = [_slots(shingles(text)[0]) for text in part["text"].iloc[at : at + SLICE]]
+                slots += np.bincount(np.concatenate(found), minlength=len(slots))
         used = np.flatnonzero(slots)
         yield pd.DataFrame({"slot": np.append(used, -1), "n": np.append(slots[used], rows)})
 
@@ -149,6 +192,12 @@ def _ready() -> tuple[np.ndarray, np.ndarray]:
     return _drawn(key, np.repeat(_weight(n + 1, level), 1 << TABLE_BITS))
 
 
+@lru_cache(maxsize=1)
+def _room() -> tuple[np.ndarray, np.ndarray]:
+    """Memory for the keys and draws of one slice, used again by the next."""
+    return np.empty(SAMPLES * SLICE, np.uint64), np.empty(SAMPLES * SLICE, np.float32)
+
+
 def samples(h: np.ndarray, n: np.ndarray, level: np.ndarray) -> np.ndarray:
     """SAMPLES consistent weighted samples (uint32) of a non-empty set of shingles with
     their counts and idf levels."""
@@ -156,26 +205,79 @@ def samples(h: np.ndarray, n: np.ndarray, level: np.ndarray) -> np.ndarray:
     best = np.full(SAMPLES, np.inf, np.float32)
     out = np.zeros(SAMPLES, np.uint64)
     columns = np.arange(SAMPLES)
-    known = n <= READY_COUNTS
+    keys, logs = _room()
+
+    def least_of(log_a: np.ndarray, some: np.ndarray, t: np.ndarray, at: np.ndarray | None = None) -> None:
+        at_least = log_a.argmin(axis=1)
+        least = log_a[columns, at_least]
+        step = t[columns, at_least] if at is None else t[at[columns, at_least]]
+        drawn = some[at_least] + step.astype(np.int64).view(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+        better = least < best
+        np.copyto(best, least, where=better)
+        np.copyto(out, drawn, where=better)
+
+    def key_of(some: np.ndarray) -> np.ndarray:
+        key = keys[: SAMPLES * len(some)].reshape(SAMPLES, len(some))
+        np.multiply(_MULTIPLIERS[:SAMPLES, None], some, out=key)
+        np.right_shift(key, np.uint64(64 - TABLE_BITS), out=key)
+        return key.view(np.int64)
+
+    if n.max() > READY_COUNTS:
+        rare = n > READY_COUNTS
+        some, weight = h[rare], _weight(n[rare], level[rare])
+        for at in range(0, len(some), SLICE):
+            log_a, t = _drawn(key_of(some[at : at + SLICE]), weight[at : at + SLICE])
+            least_of(log_a, some[at : at + SLICE], t)
+        h, n, level = h[~rare], n[~rare], level[~rare]
     place = ((n - 1) * IDF_LEVELS + level) << TABLE_BITS
-    for rare, rows in ((False, np.flatnonzero(known)), (True, np.flatnonzero(~known))):
-        for at in range(0, len(rows), SLICE):
-            some = rows[at : at + SLICE]
-            key = ((_MULTIPLIERS[:SAMPLES, None] * h[some]) >> np.uint64(64 - TABLE_BITS)).view(np.int64)
-            if rare:
-                log_a, t = _drawn(key, _weight(n[some], level[some]))
-            else:
-                key += place[some]
-                log_a, t = ready_log_a.take(key), None
-            at_least = log_a.argmin(axis=1)
-            least = log_a[columns, at_least]
-            step = t[columns, at_least] if rare else ready_t[key[columns, at_least]]
-            drawn = h[some[at_least]] + step.astype(np.int64).view(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-            better = least < best
-            best[better], out[better] = least[better], drawn[better]
+    for at in range(0, len(h), SLICE):
+        some = h[at : at + SLICE]
+        key = key_of(some)
+        key += place[at : at + SLICE]
+        # All keys are inside the table; "clip" only saves the copy that "raise" makes.
+        log_a = np.take(ready_log_a, key, out=logs[: key.size].reshape(key.shape), mode="clip")
+        least_of(log_a, some, ready_t, key)
     return ((out * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.uint32)
 
 
+def slot_weights(h: np.ndarray, n: np.ndarray, level: np.ndarray) -> np.ndarray | None:
+    """The weights (in units of 1 / UNITS) of shingles summed in BOUND_SLOTS slots, None if one is too large."""
+    sums = np.bincount((h & np.uint64(BOUND_SLOTS - 1)).view(np.int64), n * (UNITS + level), BOUND_SLOTS)
+    return sums.astype(np.uint16) if sums.max(initial=0) < NO_BOUND else None
+
+
+def _profile(text: str, table: np.ndarray) -> bytes | None:
+    """The samples of a text, then its slot weights; None without words."""
+    h, n = shingles(text)
+    if not len(h):
+        return None
+    level = table[_slots(h)].astype(np.int64)
+    sums = slot_weights(h, n, level)
+    return samples(h, n, level).tobytes() + (b"" if sums is None else sums.tobytes())
+
+
+def _profiles(sigs) -> tuple[np.ndarray, np.ndarray]:
+    """(samples, slot weights) of profiles, a row each; NO_BOUND in all slots where there are none."""
+    size = SAMPLES * 4 + BOUND_SLOTS * 2
+    rows = np.frombuffer(b"".join([s.ljust(size, b"\xff") for s in sigs]), np.uint8).reshape(-1, size)
+    split = SAMPLES * 4
+    return np.ascontiguousarray(rows[:, :split]).view(np.uint32), np.ascontiguousarray(rows[:, split:]).view(np.uint16)
+
+
+def may_be_similar(a: np.ndarray, b: np.ndarray, i: np.ndarray, j: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether rows ``i`` of ``a`` and ``j`` of ``b`` (slot weights) can reach ``similarity``. What two texts share
+    weighs at most the sum of the smaller slots, so no pair that reaches it is ever left out."""
+    whole_a, whole_b = (x.sum(axis=1, dtype=np.int64) for x in (a, b))
+    open_a, open_b = a[:, 0] == NO_BOUND, b[:, 0] == NO_BOUND
+    out = np.empty(len(i), bool)
+    for at in range(0, len(i), BOUND_PAIRS):
+        x, y = i[at : at + BOUND_PAIRS], j[at : at + BOUND_PAIRS]
+        shared = np.minimum(a[x], b[y]).sum(axis=1, dtype=np.int64)
+        total = whole_a[x] + whole_b[y] - shared
+        out[at : at + BOUND_PAIRS] = (shared >= similarity * total * (1 - 1e-12)) | open_a[x] | open_b[y]
+    return out
+
+
 def text_key(text: Column) -> Column:
     """The key of a text: equal texts, and only they, share it."""
     return F.coalesce(F.unhex(F.sha2(text, 256)), F.lit("null").cast("binary"))
@@ -191,8 +293,7 @@ def _signatures(docs: DataFrame, idf) -> DataFrame:
             done: dict[str, bytes | None] = {}
             for text in texts:
                 if text not in done:
-                    h, n = shingles(text)
-                    done[text] = samples(h, n, table[_slots(h)].astype(np.int64)).tobytes() if len(h) else None
+                    done[text] = _profile(text, table)
             yield pd.Series([done[t] for t in texts], dtype=object)
 
     return docs.select(text_key(F.col("text")).alias("node"), sign(text_or_empty()).alias("sig"))
@@ -209,12 +310,16 @@ def _bands(signed: DataFrame) -> DataFrame:
     )
 
 
-def _agreeing(a: Column, b: Column) -> Column:
-    @F.pandas_udf("int")
+def _may_link(a: Column, b: Column, similarity: float) -> Column:
+    """Whether two texts agree in LEAST_AGREEING samples, and their slot weights allow the similarity."""
+
+    @F.pandas_udf("boolean")
     def run(x: pd.Series, y: pd.Series) -> pd.Series:
-        left = np.frombuffer(b"".join(x), np.uint32).reshape(-1, SAMPLES)
-        right = np.frombuffer(b"".join(y), np.uint32).reshape(-1, SAMPLES)
-        return pd.Series((left == right).sum(axis=1).astype(np.int32))
+        (left, a), (right, b) = _profiles(x), _profiles(y)
+        near = (left == right).sum(axis=1) >= LEAST_AGREEING
+        at = np.flatnonzero(near)
+        near[at] = may_be_similar(a, b, at, at, similarity)
+        return pd.Series(near)
 
     return run(a, b)
 
@@ -226,10 +331,12 @@ def _similarity(text_a: Column, text_b: Column, idf) -> Column:
     def run(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         table = idf.value
         for left, right in parts:
-            known: dict[str, tuple[np.ndarray, np.ndarray]] = {}  # the chosen texts of one batch
+            known: dict[str, tuple[np.ndarray, np.ndarray]] = {}  # the last chosen texts
             out = []
             for a, b in zip(left, right, strict=True):
                 if b not in known:
+                    if len(known) == KNOWN_TEXTS:
+                        known.clear()
                     known[b] = weights(b, table)
                 out.append(jaccard(*weights(a, table), *known[b]))
             yield pd.Series(out, dtype="float64")
@@ -278,9 +385,11 @@ def _best(agree: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray, bool]:
     return *np.nonzero(near), len(more) > 0
 
 
-def _across(rest: DataFrame, parts: DataFrame, signed: DataFrame, limit: int, members: Slots, opened: Slots) -> DataFrame | None:
+def _across(
+    rest: DataFrame, parts: DataFrame, signed: DataFrame, limit: int, similarity: float, members: Slots, opened: Slots
+) -> DataFrame | None:
     """(node, chosen): pairs of ``rest`` (node, band, key) that share a bucket but no
-    component (``parts``) and agree in LEAST_AGREEING samples; in a tile at most the ``limit`` best for each node
+    component (``parts``), agree in LEAST_AGREEING samples and may be similar by their slot weights; in a tile at most the ``limit`` best for each node
     outside the bucket's largest component. A row of nulls says that there are more. None if no bucket is open."""
     own = rest.join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
     own = members.written(own)
@@ -323,7 +432,7 @@ def _across(rest: DataFrame, parts: DataFrame, signed: DataFrame, limit: int, me
 
     def tile(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["band", "key", "chunk", "block", "asked", "node"], kind="stable")
-        sig = np.frombuffer(b"".join(rows["sig"]), np.uint32).reshape(-1, SAMPLES)
+        sig, sums = _profiles(rows["sig"])
         node, names = pd.factorize(rows["node"], sort=True)
         component = pd.factorize(rows["component"])[0]
         late, asked = rows["late"].to_numpy(dtype=bool), rows["asked"].to_numpy(dtype=bool)
@@ -339,6 +448,9 @@ def _across(rest: DataFrame, parts: DataFrame, signed: DataFrame, limit: int, me
             # Two that are both outside the largest component meet twice: once is enough.
             twice = late[None, two] & (node[one, None] < node[None, two])
             agree[twice | (component[one, None] == component[None, two])] = 0
+            i, j = np.nonzero(agree >= LEAST_AGREEING)
+            no = ~may_be_similar(sums[one], sums[two], i, j, similarity)
+            agree[i[no], j[no]] = 0
             i, j, more = _best(agree, limit)
             cut |= more
             out.append(np.column_stack([node[one][i], node[two][j]]))
@@ -349,24 +461,16 @@ def _across(rest: DataFrame, parts: DataFrame, signed: DataFrame, limit: int, me
     return both.groupBy("tile").applyInPandas(tile, "node binary, chosen binary")
 
 
-def _compared(docs: DataFrame, texts: DataFrame, pairs: DataFrame, idf, similarity: float) -> DataFrame:
-    """The pairs (node, chosen) whose texts are similar: by samples first, then exactly."""
-    signed = texts.select("node", "sig")
+def _compared(whole: DataFrame, signed: DataFrame, pairs: DataFrame, idf, similarity: float, kept: Slots) -> DataFrame:
+    """The pairs (node, chosen) whose texts are similar: by samples and slot weights first, then exactly."""
     both = pairs.join(signed.withColumnRenamed("sig", "sig_a"), "node")
     both = _salted(both, signed.select(F.col("node").alias("chosen"), F.col("sig").alias("sig_b")))
-    near = both.withColumn("agree", _agreeing(F.col("sig_a"), F.col("sig_b"))).where(F.col("agree") >= LEAST_AGREEING)
-    near = written(near.select("node", "chosen"), "minhash-near")
+    near = both.where(_may_link(F.col("sig_a"), F.col("sig_b"), similarity))
+    near = kept.written(near.select("node", "chosen"))
     needed = near.select("node").union(near.select("chosen")).distinct()
-    rows = texts.select(F.col("node").alias("n"), F.col("doc_id").alias("id")).join(needed.withColumnRenamed("node", "n"), "n")
-    whole = (
-        docs.select("doc_id", "text", text_key(F.col("text")).alias("node"))
-        .join(rows, (F.col("node") == F.col("n")) & F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
-        .select("node", "text")
-        .dropDuplicates(["node"])
-    )
-    whole = written(whole, "minhash-texts")
-    compared = near.join(whole.withColumnRenamed("text", "text_a"), "node")
-    compared = _salted(compared, whole.select(F.col("node").alias("chosen"), F.col("text").alias("text_b")))
+    texts = kept.written(whole.join(needed, "node", "left_semi"))
+    compared = near.join(texts.withColumnRenamed("text", "text_a"), "node")
+    compared = _salted(compared, texts.select(F.col("node").alias("chosen"), F.col("text").alias("text_b")))
     checked = compared.select("node", "chosen", _similarity(F.col("text_a"), F.col("text_b"), idf).alias("similarity"))
     return written(checked.where(F.col("similarity") >= similarity).select("node", "chosen"), "minhash-links")
 
@@ -381,12 +485,24 @@ def _united(frames: list[DataFrame]) -> DataFrame:
 def links(docs: DataFrame, texts: DataFrame, idf, similarity: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
     """(u, v): links between text keys, and (node, component) of the linked ones. ``texts``
     (node, doc_id, sig) has one row per distinct text with words, and one of its rows' doc_id."""
-    signed = texts.select("node", "sig")
-    met = written(_met(_bands(signed)), "minhash-met")
+    met = written(_met(_bands(texts.select("node", "sig"))), "minhash-met")
+    # All later steps read the members of buckets only, in two tables that are written once.
+    members = texts.join(met.select("node").distinct(), "node", "left_semi")
+    signed = written(members.select("node", "sig"), "minhash-members")
+    rows = members.select(F.col("node").alias("n"), F.col("doc_id").alias("id"))
+    whole = (
+        docs.select("doc_id", "text", text_key(F.col("text")).alias("node"))
+        .join(rows, (F.col("node") == F.col("n")) & F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
+        .select("node", "text")
+        .dropDuplicates(["node"])
+    )
+    whole = written(whole, "minhash-texts")
     pairs = met.select("node", F.explode("all").alias("chosen")).where("node <> chosen")
     pairs = pairs.select(F.greatest("node", "chosen").alias("node"), F.least("node", "chosen").alias("chosen")).distinct()
     tried = [written(pairs, "minhash-pairs")]
-    found = [_compared(docs, texts, tried[0], idf, similarity)]
+    spark = docs.sparkSession
+    checks = Slots(spark, "minhash-checked", 2)
+    found = [_compared(whole, signed, tried[0], idf, similarity, checks)]
 
     def edges() -> DataFrame:
         return _united(found).select(F.col("node").alias("u"), F.col("chosen").alias("v"))
@@ -395,10 +511,9 @@ def links(docs: DataFrame, texts: DataFrame, idf, similarity: float = SIMILARITY
     # The chosen have met all others of their buckets.
     rest = met.where(~F.array_contains("all", F.col("node"))).select("node", "band", "key")
     limit, more = CHOSEN, True
-    spark = docs.sparkSession
     members, opened, crossed, united = (Slots(spark, f"minhash-{n}", 1) for n in ("own", "open", "across", "components"))
     while more:
-        across = _across(rest, parts, signed, limit, members, opened)
+        across = _across(rest, parts, signed, limit, similarity, members, opened)
         if across is None:
             break
         across = crossed.written(across)
@@ -407,11 +522,14 @@ def links(docs: DataFrame, texts: DataFrame, idf, similarity: float = SIMILARITY
         pairs = written(pairs, "minhash-pairs")
         if not pairs.isEmpty():
             tried.append(pairs)
-            new = _compared(docs, texts, pairs, idf, similarity)
+            new = _compared(whole, signed, pairs, idf, similarity, checks)
             if not new.isEmpty():
                 found.append(new)
-                parts = united.written(connected_components(edges()))
-        limit *= 4
+                # The components so far are stars: only what the new links unite is left to do.
+                stars = parts.select(F.col("node").alias("u"), F.col("component").alias("v"))
+                more_edges = stars.union(new.select(F.col("node").alias("u"), F.col("chosen").alias("v")))
+                parts = united.written(connected_components(more_edges))
+        limit *= 16
     return edges(), parts
 
 
