@@ -18,8 +18,8 @@ BOUND_SLOTS hash slots, and two texts share at most the sum of the smaller slots
 and spares texts that share only a passage the exact comparison. Members similar to one are linked
 but stay: in buckets whose other members are not all in one component of the links yet, those outside the
 largest component meet all members, in tiles of bounded size. Each emits the pairs across components that the
-bound allows and that agree in most samples, CHOSEN of them at first and 16 times as many each round, and they are
-compared exactly. So a large group does not emit all its pairs, and the rounds end only when every pair of every
+bound allows and that agree in most samples, OFFERED of them for a member at first and MORE_OFFERED times as many each
+round, and they are compared exactly. So a large group does not emit all its pairs, and the rounds end only when every pair of every
 bucket has been compared or is in one component. Classes are the connected components of the links.
 
 Exact copies are one text from the start: texts are keyed by their digest, and
@@ -54,6 +54,8 @@ SIMILARITY = 0.8
 BANDS, ROWS = 16, 4
 # Members of a bucket that are compared with all others in one round.
 CHOSEN = 4
+# Pairs that a member outside its bucket's largest component offers in the first round, and how many times as many in the next.
+OFFERED, MORE_OFFERED = 64, 16
 SAMPLES = BANDS * ROWS
 DF_BITS = 18
 DAMPING = 4.0
@@ -510,7 +512,7 @@ def links(docs: DataFrame, texts: DataFrame, idf, similarity: float = SIMILARITY
     parts = written(connected_components(edges()), "minhash-components")
     # The chosen have met all others of their buckets.
     rest = met.where(~F.array_contains("all", F.col("node"))).select("node", "band", "key")
-    limit, more = CHOSEN, True
+    limit, more = OFFERED, True
     members, opened, crossed, united = (Slots(spark, f"minhash-{n}", 1) for n in ("own", "open", "across", "components"))
     while more:
         across = _across(rest, parts, signed, limit, similarity, members, opened)
@@ -529,7 +531,7 @@ def links(docs: DataFrame, texts: DataFrame, idf, similarity: float = SIMILARITY
                 stars = parts.select(F.col("node").alias("u"), F.col("component").alias("v"))
                 more_edges = stars.union(new.select(F.col("node").alias("u"), F.col("chosen").alias("v")))
                 parts = united.written(connected_components(more_edges))
-        limit *= 16
+        limit *= MORE_OFFERED
     return edges(), parts
 
 
