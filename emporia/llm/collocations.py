@@ -71,6 +71,7 @@ def _unpacked(data: bytes, at: int) -> tuple[np.ndarray, int]:
 
 # Bits of a rank in a packed n-gram; a list of n-grams with more labels is compared by column.
 RANK_BITS = 21
+_RANK = (1 << RANK_BITS) - 1
 
 
 def _fresh(ranks: np.ndarray, columns: int, labels: int) -> np.ndarray:
@@ -122,14 +123,31 @@ class Grams:
         return low
 
 
+def _keys(one: np.ndarray, two: np.ndarray, three: np.ndarray) -> np.ndarray:
+    """N-grams with fewer labels than 2**RANK_BITS as one number each, in the same order."""
+    return (one << RANK_BITS | two) << RANK_BITS | three
+
+
+def _ranks(key: np.ndarray) -> np.ndarray:
+    return np.stack((key >> 2 * RANK_BITS, key >> RANK_BITS & _RANK, key & _RANK))
+
+
+def _starts(key: np.ndarray) -> np.ndarray:
+    """Where a sorted number differs from the one before."""
+    return np.flatnonzero(np.concatenate((np.ones(min(1, len(key)), bool), key[1:] != key[:-1])))
+
+
 def _summed(labels: list[bytes], ranks: np.ndarray, weights: np.ndarray) -> Grams:
     """N-grams in any order, sorted, weights of equal ones summed."""
     if not len(weights):
         return Grams(labels, ranks, weights)
     if len(labels) < 1 << RANK_BITS:
-        order = np.argsort((ranks[0] << RANK_BITS | ranks[1]) << RANK_BITS | ranks[2])
-    else:
-        order = np.lexsort(ranks[::-1])
+        key = _keys(*ranks)
+        order = np.argsort(key)
+        key = key[order]
+        first = _starts(key)
+        return Grams(labels, _ranks(key[first]), np.add.reduceat(weights[order], first))
+    order = np.lexsort(ranks[::-1])
     ranks, weights = ranks[:, order], weights[order]
     first = _fresh(ranks, 3, len(labels))
     return Grams(labels, ranks[:, first], np.add.reduceat(weights, first))
@@ -276,6 +294,25 @@ class _Register:
         return Automaton(labels, first, *(np.ascontiguousarray(arcs[:, i]) for i in range(3)))
 
 
+def _counted(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ranks and counts of all n-grams, from the keys of three-word windows; sorting numbers is far cheaper than ordering rows."""
+    key.sort()
+    first = _starts(key)
+    key, mass = key[first], np.diff(first, append=len(key))
+    keys, weights = [key[key & _RANK > 0]], [mass[key & _RANK > 0]]
+    for bits in (RANK_BITS, 2 * RANK_BITS):
+        # Windows that begin with the same words, however long, are next to each other.
+        prefix = key >> bits
+        long_ = prefix & _RANK > 0
+        prefix, own = prefix[long_], mass[long_]
+        first = _starts(prefix)
+        keys.append(prefix[first] << bits)
+        weights.append(np.add.reduceat(own, first) if len(first) else own)
+    key = np.concatenate(keys)
+    order = np.argsort(key)
+    return _ranks(key[order]), np.concatenate(weights)[order]
+
+
 def shard_grams(texts: list[bytes]) -> Grams:
     """Counts of the one- to three-word n-grams of some texts, sorted."""
     marked = (b" " + MARK + b" ").join(t.translate(FOLD).replace(MARK, b" " + MARK + b" ") for t in texts)
@@ -287,6 +324,8 @@ def shard_grams(texts: list[bytes]) -> Grams:
     one, two, three = word[:-2], word[1:-1], word[2:]
     two = np.where(one > 0, two, 0)
     three = np.where(two > 0, three, 0)
+    if len(labels) < 1 << RANK_BITS:
+        return Grams(labels, *_counted(_keys(one, two, three)[one > 0]))
     windows = _summed(labels, np.stack((one, two, three))[:, one > 0], np.ones(int((one > 0).sum()), np.int64))
     ranks, weights = [windows.ranks[:, windows.ranks[2] > 0]], [windows.weights[windows.ranks[2] > 0]]
     for length in (1, 2):

@@ -229,3 +229,16 @@ def test_collocations_equal_brute_force(spark, monkeypatch):
         got = sorted(tuple(r) for r in collocations.collocations(frame, top, least).collect())
         assert got == sorted(best_phrases(docs, top, least))
     assert collocations.collocations(frame.limit(0), 5).count() == 0
+
+
+def test_counts_by_packed_keys_are_those_by_columns(monkeypatch):
+    rng = random.Random(77)
+    texts = [" ".join(rng.choice(["a", "b", "c", "dd", "."]) for _ in range(rng.randrange(60))).encode() for _ in range(50)]
+    for some in (texts, [b""], [b"one"], [b"one two."], [b". ;"]):
+        packed = collocations.shard_grams(some)
+        with monkeypatch.context() as columns:
+            columns.setattr(collocations, "RANK_BITS", 0)
+            plain = collocations.shard_grams(some)
+        assert packed.labels == plain.labels
+        assert (packed.ranks == plain.ranks).all() and (packed.weights == plain.weights).all()
+        assert packed.ranks.shape == plain.ranks.shape
