@@ -9,9 +9,10 @@ a register turns equal states of a layer into one.
    the n-grams of a shard by one sort (three-word windows; shorter n-grams are
    sums over their prefix) and writes them as automata of at most BLOCK n-grams.
 2. Prefix ranges: the sorted order of all n-grams is cut into ranges of about
-   RANGE_GRAMS by the first n-grams of at most SAMPLE_BLOCKS blocks. The cuts fall
-   between any two n-grams, so a language, word or word pair that begins a third
-   of all n-grams is still cut. They decide the balance only, never a count.
+   RANGE_GRAMS by every KEY_GRAMS-th n-gram of a block, of all blocks or a sample of
+   about SAMPLE_KEYS. The cuts fall between any two n-grams, so a language, word or
+   word pair that begins a third of all n-grams is still cut. They decide the balance
+   only, never a count.
 3. Union: blocks are cut at the range bounds, sent to their range, and united
    there, weights summed. N-grams below ``least`` go: no candidate and no part of
    one is rarer. A range holds about RANGE_GRAMS n-grams of all shards.
@@ -46,7 +47,9 @@ LEAST = 10
 SHARD_BYTES = 8 << 20
 BLOCK = 1 << 16
 RANGE_GRAMS = 1_000_000
-SAMPLE_BLOCKS = 20_000
+# A block shows one n-gram in so many: its first alone would say nothing of the rest of it.
+KEY_GRAMS = 4096
+SAMPLE_KEYS = 100_000
 
 # A to Z folded; a tab is a space; the ends of pieces become MARK, a letter that folding leaves free.
 MARK = b"A"
@@ -340,7 +343,13 @@ def shard_grams(texts: list[bytes]) -> Grams:
     return _summed(labels, np.concatenate(ranks, axis=1), np.concatenate(weights))
 
 
-SHARD_ROWS = "lang string, words bigint, grams bigint, first array<binary>, automaton binary"
+SHARD_ROWS = "lang string, words bigint, grams bigint, keys array<array<binary>>, automaton binary"
+
+
+def _spread(grams: Grams) -> list[list[bytes]]:
+    """Every KEY_GRAMS-th n-gram or so, the first among them, at even distances."""
+    count = -(-len(grams) // KEY_GRAMS)
+    return [list(grams.key(i * len(grams) // count)) for i in range(count)]
 
 
 def _shard_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -354,7 +363,7 @@ def _shard_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 block = grams.part(slice(start, start + BLOCK))
                 words = int(block.weights[block.ranks[1] == 0].sum())
                 made = Automaton.build(block).to_bytes()
-                yield pd.DataFrame({"lang": [lang], "words": [words], "grams": [len(block)], "first": [list(block.key(0))], "automaton": [made]})
+                yield pd.DataFrame({"lang": [lang], "words": [words], "grams": [len(block)], "keys": [_spread(block)], "automaton": [made]})
 
     for batch in batches:
         for lang, text in zip(batch["lang"], batch["text"]):
@@ -371,12 +380,15 @@ Bounds = list[tuple[str, tuple[bytes, ...]]]
 
 def _range_bounds(shards: DataFrame) -> Bounds:
     """Sorted n-grams that cut the order of all into ranges of about RANGE_GRAMS."""
-    total = shards.agg(F.sum("grams")).first()[0] or 0
-    ranges = -(-total // RANGE_GRAMS)
-    by_hash = F.xxhash64("lang", "first", "grams")
-    sample = shards.select("lang", "first", "grams").orderBy(by_hash, "lang", "first").limit(SAMPLE_BLOCKS).collect()
-    keys = sorted((r.lang, tuple(bytes(w) for w in r.first), r.grams) for r in sample)
-    mass = np.cumsum([g for _, _, g in keys])
+    total, shown = shards.agg(F.sum("grams"), F.sum(F.size("keys"))).first()
+    ranges = -(-(total or 0) // RANGE_GRAMS)
+    keyed = shards.select("lang", "words", "grams", (F.col("grams") / F.size("keys")).alias("mass"), F.posexplode("keys").alias("at", "key"))
+    share = min(1.0, SAMPLE_KEYS / max(1, shown or 0))
+    # About SAMPLE_KEYS of them, the same in a rerun; nothing is sorted or gathered in one task.
+    chance = F.pmod(F.xxhash64("lang", "words", "grams", "at", "key"), F.lit(1 << 30)) / (1 << 30)
+    sample = keyed.where(chance < share).select("lang", "key", "mass").collect()
+    keys = sorted((r.lang, tuple(bytes(w) for w in r.key), r.mass) for r in sample)
+    mass = np.cumsum([m for _, _, m in keys])
     cuts = np.searchsorted(mass, [mass[-1] * i / ranges for i in range(1, ranges)], "right") if keys else []
     return sorted({keys[i][:2] for i in cuts if 0 < i < len(keys)})
 

@@ -8,6 +8,7 @@ import re
 from bisect import bisect_right
 from collections import Counter
 
+import pandas as pd
 import pytest
 
 from emporia.llm import collocations, decontamination, periodic_runs
@@ -231,6 +232,26 @@ def test_collocations_equal_brute_force(spark, monkeypatch):
     assert collocations.collocations(frame.limit(0), 5).count() == 0
 
 
+def test_ranges_hold_about_as_many_ngrams_each(spark, monkeypatch):
+    # Many shards of one block or little more: their blocks all begin at the same few n-grams.
+    for name, value in (("SHARD_BYTES", 3_000), ("BLOCK", 1_000), ("KEY_GRAMS", 50), ("RANGE_GRAMS", 2_000)):
+        monkeypatch.setattr(collocations, name, value, raising=False)
+    rng = random.Random(6)
+    texts = [" ".join(f"w{rng.randrange(90)}" for _ in range(60)) for _ in range(400)]
+    batch = pd.DataFrame({"lang": ["en", "en", "de", "en"] * 100, "text": [t.encode() for t in texts]})
+    rows = pd.concat(collocations._shard_rows(iter([batch])))
+    shards = spark.createDataFrame(rows, collocations.SHARD_ROWS)
+    for keys in (100_000, 300):
+        monkeypatch.setattr(collocations, "SAMPLE_KEYS", keys, raising=False)
+        bounds = collocations._range_bounds(shards)
+        held = Counter()
+        for lang, data in zip(rows["lang"], rows["automaton"]):
+            for at, part in collocations._cut(lang, collocations.Automaton.from_bytes(data).grams(), bounds):
+                held[at] += len(part)
+        assert sum(held.values()) == rows["grams"].sum() > 20 * 2_000
+        assert max(held.values()) < (3_000 if keys > 300 else 6_000)
+
+
 def test_counts_by_packed_keys_are_those_by_columns(monkeypatch):
     rng = random.Random(77)
     texts = [" ".join(rng.choice(["a", "b", "c", "dd", "."]) for _ in range(rng.randrange(60))).encode() for _ in range(50)]
