@@ -491,14 +491,9 @@ def links(docs: DataFrame, texts: DataFrame, idf, similarity: float = SIMILARITY
     # All later steps read the members of buckets only, in two tables that are written once.
     members = texts.join(met.select("node").distinct(), "node", "left_semi")
     signed = written(members.select("node", "sig"), "minhash-members")
-    rows = members.select(F.col("node").alias("n"), F.col("doc_id").alias("id"))
-    whole = (
-        docs.select("doc_id", "text", text_key(F.col("text")).alias("node"))
-        .join(rows, (F.col("node") == F.col("n")) & F.col("doc_id").eqNullSafe(F.col("id")), "left_semi")
-        .select("node", "text")
-        .dropDuplicates(["node"])
-    )
-    whole = written(whole, "minhash-texts")
+    # Copies go before the shuffle, and the join needs no other: each distinct text moves once.
+    whole = docs.select(text_key(F.col("text")).alias("node"), "text").dropDuplicates(["node"])
+    whole = written(whole.join(signed.select("node"), "node", "left_semi"), "minhash-texts")
     pairs = met.select("node", F.explode("all").alias("chosen")).where("node <> chosen")
     pairs = pairs.select(F.greatest("node", "chosen").alias("node"), F.least("node", "chosen").alias("chosen")).distinct()
     tried = [written(pairs, "minhash-pairs")]
@@ -580,9 +575,9 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
 def deduplicated(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs`` that stay: of each class one row with its smallest doc_id."""
     own = [F.col(f"`{c}`") for c in docs.columns]
-    keep = classes(docs, similarity).where("stays").select(F.col("node").alias("__text"), F.col("doc_id").alias("__id"))
-    keyed = docs.withColumn("__key", text_key(F.col("text")))
-    kept = keyed.join(keep, (F.col("__key") == F.col("__text")) & F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi")
-    # Rows that repeat the text and id of the one that stays: one of them.
-    first = Window.partitionBy("__key").orderBy("doc_id")
-    return kept.withColumn("__n", F.row_number().over(first)).where("__n = 1").select(*own)
+    keep = classes(docs, similarity).where("stays").select(F.col("node").alias("__key"))
+    # One row of each text, with its smallest doc_id. The rows are dealt once, by text: the other
+    # copies go before that, and the join finds them in place.
+    first = Window.partitionBy("__key").orderBy(F.col("doc_id").asc_nulls_last())
+    rows = docs.withColumn("__key", text_key(F.col("text"))).withColumn("__n", F.row_number().over(first)).where("__n = 1")
+    return rows.join(keep, "__key", "left_semi").select(*own)

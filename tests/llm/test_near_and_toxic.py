@@ -92,6 +92,16 @@ def test_null_and_repeated_ids_with_other_texts(spark):
     assert len({r.class_key for r in minhash.near_duplicates(frame).collect()}) == 4
 
 
+def test_whole_rows_are_shuffled_once(spark, tmp_path):
+    rows = [(1, "one two", "a"), (None, "one two", "b"), (3, None, "c"), (2, None, "d"), (5, "", "e"), (4, "six", "f")]
+    spark.createDataFrame(rows, "doc_id long, text string, more string").write.parquet(str(tmp_path / "docs"))
+    kept = minhash.deduplicated(spark.read.parquet(str(tmp_path / "docs")))
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    # The rows by text, and the keys of those that stay.
+    assert plan.count("Exchange hashpartitioning(") == 2, plan
+    assert sorted(r.more for r in kept.collect()) == ["a", "d", "e", "f"]
+
+
 def test_pair_that_shares_one_band_alone_in_a_large_bucket(spark):
     rng, draw = random.Random(2), np.random.default_rng(2)
     texts = [" ".join(words(rng, 200)) for _ in range(40)]
