@@ -36,6 +36,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
@@ -55,6 +56,7 @@ MOVES = 1 << 16
 WORDS = 1 << 17
 # Longer words are not kept.
 WORD_KEPT = 64
+NOT_MADE = -2
 # Rows whose ids and decoded texts are held at once.
 CODED_ROWS = 256
 
@@ -78,14 +80,24 @@ def byte_chars() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
+def read_spec(path: str) -> dict:
+    with open(path, encoding="utf-8") as file:  # a local file of each worker's own installation
+        return json.load(file)
+
+
 class Splitter:
     """Special strings and words of a text, as the tokenizer file says."""
 
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, whole: bool = True) -> None:
+        """whole: the tokenizer has its vocabulary, too, which splitting alone does not need."""
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        spec = json.load(open(path, encoding="utf-8"))  # a local file of each worker's own installation
+        spec = read_spec(path)
+        if whole:
+            self.tokenizer = Tokenizer.from_file(path)
+        else:
+            bare = {"model": spec["model"] | {"vocab": {}, "merges": []}, "added_tokens": []}
+            self.tokenizer = Tokenizer.from_str(json.dumps(spec | bare))
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         listed = sorted(self.special, key=len, reverse=True)
         self.cut = re.compile("(" + "|".join(map(re.escape, listed)) + ")") if listed else None
@@ -102,14 +114,23 @@ class Splitter:
         return [bytes(self.chars[c] for c in w).decode("utf-8") for w, _ in found]
 
 
+def pack(ids: list[int]) -> bytes:
+    return array("i", ids).tobytes()
+
+
+def unpacked(ids: bytes) -> np.ndarray:
+    return np.frombuffer(ids, np.int32)
+
+
 class Automaton(Splitter):
     def __init__(self, path: str) -> None:
-        super().__init__(path)
-        model = json.load(open(path, encoding="utf-8"))["model"]
+        super().__init__(path, whole=False)
+        model = read_spec(path)["model"]
         vocab = model["vocab"]
+        size = 1 + max(chain(vocab.values(), self.special.values()), default=-1)
         self.rank: dict[int, int] = {}  # merged pair (left << 32 | right) -> rank
-        self.parts_of: dict[int, tuple[int, int]] = {}  # token -> its pair
-        self.made: dict[int, int] = {}  # token -> rank of its merge, -1 for a byte
+        # By token: its pair, and the rank of its merge (-1: a byte, NOT_MADE: never read).
+        self.left, self.right, self.made = array("i", [0]) * size, array("i", [0]) * size, array("i", [NOT_MADE]) * size
         self.label: dict[int, bytes] = {i: s.encode("utf-8") for s, i in self.special.items()}
         for char, byte in self.chars.items():
             if char in vocab:
@@ -118,12 +139,13 @@ class Automaton(Splitter):
             left, right = merge.split(" ") if isinstance(merge, str) else merge
             u, v, uv = vocab[left], vocab[right], vocab[left + right]
             # The gadget: only if u then v can still be read.
-            if uv not in self.made and u in self.made and v in self.made and self.arc(u, v, r):
-                self.parts_of[uv], self.made[uv] = (u, v), r
+            both = self.made[u] != NOT_MADE and self.made[v] != NOT_MADE
+            if both and self.made[uv] == NOT_MADE and self.arc(u, v, r):
+                self.left[uv], self.right[uv], self.made[uv] = u, v, r
                 self.label[uv] = self.label[u] + self.label[v]
             self.rank.setdefault(u << 32 | v, r)
         self.all_merges = len(model["merges"])
-        self.token = {self.label[t]: t for t in self.made}
+        self.token = {self.label[t]: t for t in sorted(vocab.values()) if self.made[t] != NOT_MADE}
         # Byte strings that begin a token (and so may go on to one).
         self.begins = {label[:n] for label in self.token for n in range(len(label))}
         self.moves: dict[tuple[bytes, int], tuple] = {}
@@ -145,9 +167,9 @@ class Automaton(Splitter):
             if made_a > made_b:
                 # Outgoing arcs are the right part's, at the time of the merge. Of
                 # two equal merges that overlap, the left one is done: not after it.
-                a, limit = self.parts_of[a][1], made_a
+                a, limit = self.right[a], made_a
             elif made_b >= 0:
-                b, limit = self.parts_of[b][0], made_b + 1
+                b, limit = self.left[b], made_b + 1
             else:
                 return True
 
@@ -219,28 +241,32 @@ class Automaton(Splitter):
             at -= len(self.label[ids[-1]])
         return ids[::-1]
 
-    def encode(self, text: str) -> list[int]:
-        ids: list[int] = []
+    def packed(self, text: str) -> bytes:
+        """Ids of the text, four bytes each."""
+        ids: list[bytes] = []
         for part in self.parts(text):
             if part in self.special:
-                ids.append(self.special[part])
+                ids.append(pack([self.special[part]]))
             else:
-                ids.extend(chain.from_iterable(map(self.cache.__getitem__, self.words(part))))
-        return ids
+                ids.extend(map(self.cache.__getitem__, self.words(part)))
+        return b"".join(ids)
+
+    def encode(self, text: str) -> list[int]:
+        return unpacked(self.packed(text)).tolist()
 
     def decode(self, ids) -> str:
         return b"".join(map(self.label.__getitem__, ids)).decode("utf-8", errors="replace")
 
 
 class Words(dict):
-    """Ids of the words met, none longer than WORD_KEPT. When there are WORDS of them they
+    """Packed ids of the words met, none longer than WORD_KEPT. When there are WORDS of them they
     make room, and stay at hand until as many others were met: frequent words are never lost."""
 
     def __init__(self, made: Automaton) -> None:
         self.made, self.older = made, {}
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        found = self.older.get(word) or tuple(self.made.encode_word(word.encode("utf-8")))
+    def __missing__(self, word: str) -> bytes:
+        found = self.older.get(word) or pack(self.made.encode_word(word.encode("utf-8")))
         if len(word) <= WORD_KEPT:
             if len(self) >= WORDS:
                 self.older = dict(self)
@@ -263,7 +289,7 @@ def encode(text: Column, path: str | None = None) -> Column:
     def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         made = automaton(where)
         for texts in parts:
-            yield pd.Series([np.array(made.encode(t or ""), np.int32) for t in texts], dtype=object)
+            yield pd.Series([unpacked(made.packed(t or "")) for t in texts], dtype=object)
         made.forget()
 
     return run(F.coalesce(text, F.lit("")))
@@ -306,11 +332,11 @@ def coded(docs: DataFrame, path: str | None = None) -> DataFrame:
         for batch in batches:
             for start in range(0, batch.num_rows, CODED_ROWS):
                 part = batch.slice(start, CODED_ROWS)
-                ids = [made.encode(text or "") for text in part.column(at).to_pylist()]
+                ids = [unpacked(made.packed(text or "")) for text in part.column(at).to_pylist()]
                 columns = [
                     pa.array(ids, pa.list_(pa.int32())),
                     pa.array([len(i) for i in ids], pa.int64()),
-                    pa.array([made.decode(i) for i in ids], pa.string()),
+                    pa.array([made.decode(i.tolist()) for i in ids], pa.string()),
                 ]
                 yield pa.RecordBatch.from_arrays([*part.columns, *columns], names=[*part.schema.names, *more.names])
         made.forget()

@@ -301,6 +301,16 @@ def _signatures(docs: DataFrame, idf) -> DataFrame:
     return docs.select(text_key(F.col("text")).alias("node"), sign(text_or_empty()).alias("sig"))
 
 
+def _distinct_texts(docs: DataFrame, idf) -> DataFrame:
+    """(node, doc_id, copies, sig): one row for each distinct text of ``docs`` (doc_id, text)."""
+    ids = docs.select(text_key(F.col("text")).alias("node"), "doc_id")
+    counted = ids.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
+    # No filter on sig here: Spark would put it below the projection and sign every text twice,
+    # in two Python workers of each task. The least sig leaves nulls out anyway.
+    signed = _signatures(docs.select("text"), idf).groupBy("node").agg(F.min("sig").alias("sig"))
+    return counted.join(signed, "node", "left")
+
+
 def _bands(signed: DataFrame) -> DataFrame:
     """(node, band, key) for the bands of each node."""
     step = ROWS * 4
@@ -536,13 +546,7 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     documents, the text's links to others, and whether it stays of its class."""
     require(docs, ("doc_id", "text"))
     idf = docs.sparkSession.sparkContext.broadcast(idf_table(docs))
-    signed = _signatures(docs.select("text"), idf)
-    ids = docs.select(text_key(F.col("text")).alias("node"), "doc_id")
-    counted = ids.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("copies"))
-    texts = counted.join(
-        signed.where("sig is not null").groupBy("node").agg(F.min("sig").alias("sig")), "node", "left"
-    )
-    texts = written(texts, "minhash-nodes")
+    texts = written(_distinct_texts(docs, idf), "minhash-nodes")
     edges, parts = links(docs, texts.where("sig is not null"), idf, similarity)
     edges = written(edges, "minhash-edges")
     degree = edges.select("u").union(edges.select("v")).groupBy(F.col("u").alias("node")).agg(F.count(F.lit(1)).alias("links"))

@@ -102,6 +102,18 @@ def test_whole_rows_are_shuffled_once(spark, tmp_path):
     assert sorted(r.more for r in kept.collect()) == ["a", "d", "e", "f"]
 
 
+def test_a_text_is_signed_once(spark, tmp_path):
+    rows = [(1, "one two"), (None, "one two"), (3, None), (2, None), (5, ""), (4, "six"), (6, "!!!")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "docs"))
+    idf = spark.sparkContext.broadcast(np.zeros(1 << minhash.DF_BITS, np.uint8))
+    texts = minhash._distinct_texts(spark.read.parquet(str(tmp_path / "docs")), idf)
+    # One evaluation: a second one would double the work and the Python workers of each task.
+    plan = texts._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython [") == 1, plan
+    got = sorted((r.doc_id, r.copies, r.sig is not None) for r in texts.collect())
+    assert got == [(1, 2, True), (2, 2, False), (4, 1, True), (5, 1, False), (6, 1, False)]
+
+
 def test_pair_that_shares_one_band_alone_in_a_large_bucket(spark):
     rng, draw = random.Random(2), np.random.default_rng(2)
     texts = [" ".join(words(rng, 200)) for _ in range(40)]

@@ -85,6 +85,24 @@ def test_a_full_table_and_word_cache_change_nothing(library, monkeypatch):
     assert len(made.states) <= 41 and len(made.moves) <= 30 and len(made.cache) <= 5
 
 
+def test_an_automaton_has_its_vocabulary_once(library):
+    """The library's tokenizer only splits there; words keep their ids packed."""
+    made = bpe_automaton.Automaton(bpe_automaton.default_path())
+    assert made.tokenizer.get_vocab_size() == 0 < library.get_vocab_size()
+    text = "日本語 the quick brown fox <|endoftext|>"
+    ids = library.encode(text, add_special_tokens=False).ids
+    assert bpe_automaton.unpacked(made.packed(text)).tolist() == made.encode(text) == ids
+    assert made.cache and {type(i) for i in made.cache.values()} == {bytes}
+    with pytest.raises(KeyError):
+        made.decode([-1])
+
+
+def test_encoded_rows(spark, docs, library):
+    for r in bpe_automaton.encoded(docs).collect():
+        assert r.ids == library.encode(r.text or "", add_special_tokens=False).ids
+        assert r.n_tokens == len(r.ids)
+
+
 def test_states_are_shared_between_words():
     """The table is an automaton, not a list of words: words with one ending meet in one state."""
     made = bpe_automaton.Automaton(bpe_automaton.default_path())
