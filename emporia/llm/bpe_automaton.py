@@ -48,15 +48,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from emporia.llm.common import require, text_or_empty
+from emporia.llm.common import give_back, in_slices, require, text_or_empty
 
-# Most states of the table, moves between ends, and words (of one age) that a worker keeps; beyond, they are made again.
+# Most states of the table, moves between ends (and arcs looked for), and words (of one age) that a worker keeps; beyond, they are made again.
 STATES = 1 << 17
 MOVES = 1 << 16
 WORDS = 1 << 17
 # Longer words are not kept.
 WORD_KEPT = 64
 NOT_MADE = -2
+# In a step's value, a state's number is above the byte, and the last token above both.
+BYTE_BITS, TOKEN_AT = 8, 32
 # Rows whose ids and decoded texts are held at once.
 CODED_ROWS = 256
 
@@ -149,6 +151,8 @@ class Automaton(Splitter):
         # Byte strings that begin a token (and so may go on to one).
         self.begins = {label[:n] for label in self.token for n in range(len(label))}
         self.moves: dict[tuple[bytes, int], tuple] = {}
+        self.arcs: dict[int, bool] = {}  # pair (left << 32 | right) -> whether its arc is there after all merges
+        self.step = Steps(self)
         self._empty()
         self.cache = Words(self)
 
@@ -156,7 +160,9 @@ class Automaton(Splitter):
         """Give back what encoding has gathered: states, moves and words."""
         self._empty()
         self.moves.clear()
+        self.arcs.clear()
         self.cache = Words(self)
+        give_back()
 
     def arc(self, a: int, b: int, limit: int) -> bool:
         """Whether the arc a -> b exists after the first ``limit`` gadgets."""
@@ -173,23 +179,30 @@ class Automaton(Splitter):
             else:
                 return True
 
+    def follows(self, a: int, b: int) -> bool:
+        """Whether the arc a -> b exists after all gadgets."""
+        pair = a << 32 | b
+        found = self.arcs.get(pair)
+        if found is None:
+            if len(self.arcs) >= MOVES:
+                self.arcs.clear()
+            found = self.arcs[pair] = self.arc(a, b, self.all_merges + 1)
+        return found
+
     def _empty(self) -> None:
         """The table with the start state alone: nothing read, no token yet."""
-        self.step: dict[int, int] = {}  # state << 8 | byte -> state
-        self.last: list[int] = []  # state -> last token of the encoding so far
+        self.step.clear()
         self.states: list[tuple[bytes, tuple[int, ...]]] = []
-        self.numbers: dict[tuple[bytes, tuple[int, ...]], int] = {}
+        self.values: dict[tuple[bytes, tuple[int, ...]], int] = {}
         self._state((b"", (-1,)))
 
     def _state(self, key: tuple[bytes, tuple[int, ...]]) -> int:
-        """The number of a state: the longest end of the bytes read that begins a token, and for all ends
+        """The value of a new state, which steps lead to: its number and the last token of the encoding so far. A state is
+        the longest end of the bytes read that begins a token, and for all ends
         that begin one, longest first, the last token of the encoding before them (-1: none)."""
-        number = self.numbers.get(key)
-        if number is None:
-            number = self.numbers[key] = len(self.states)
-            self.states.append(key)
-            self.last.append(key[1][-1])
-        return number
+        value = self.values[key] = max(key[1][-1], 0) << TOKEN_AT | len(self.states) << BYTE_BITS
+        self.states.append(key)
+        return value
 
     def _lengths(self, end: bytes) -> list[int]:
         """Lengths of the ends of ``end`` that begin a token, longest first; 0 is one."""
@@ -198,26 +211,26 @@ class Automaton(Splitter):
     def _move(self, end: bytes, byte: int) -> tuple[bytes, list[int], list[tuple[int, int]]]:
         """What a byte does to an end: the new end, where the encodings before its ends are found in the
         old state, and the tokens that end here with the place of the encoding before them."""
-        move = self.moves.get((end, byte))
-        if move is None:
-            read, lengths = end + bytes([byte]), self._lengths(end)
-            place = {n: i for i, n in enumerate(lengths)}
-            tokens = [(place[n], self.token[read[len(end) - n :]]) for n in lengths if read[len(end) - n :] in self.token]
-            while read not in self.begins:
-                read = read[1:]
-            # An end of n bytes now was one of n - 1 bytes a byte ago.
-            move = read, [place[n - 1] for n in self._lengths(read) if n], tokens
-            if len(self.moves) >= MOVES:
-                self.moves.clear()
-            self.moves[end, byte] = move
+        read, lengths = end + bytes([byte]), self._lengths(end)
+        place = {n: i for i, n in enumerate(lengths)}
+        tokens = [(place[n], self.token[read[len(end) - n :]]) for n in lengths if read[len(end) - n :] in self.token]
+        while read not in self.begins:
+            read = read[1:]
+        # An end of n bytes now was one of n - 1 bytes a byte ago.
+        move = read, [place[n - 1] for n in self._lengths(read) if n], tokens
+        if len(self.moves) >= MOVES:
+            self.moves.clear()
+        self.moves[end, byte] = move
         return move
 
-    def _next(self, state: int, byte: int) -> int:
-        """Fill in one transition."""
-        end, before = self.states[state]
-        read, kept, tokens = self._move(end, byte)
+    def next(self, at: int) -> int:
+        """Fill in one transition, of a state's value | byte."""
+        byte = at & (1 << BYTE_BITS) - 1
+        state = at ^ byte
+        end, before = self.states[(state & (1 << TOKEN_AT) - 1) >> BYTE_BITS]
+        read, kept, tokens = self.moves.get((end, byte)) or self._move(end, byte)
         for place, token in tokens:
-            if before[place] < 0 or self.arc(before[place], token, self.all_merges + 1):
+            if before[place] < 0 or self.follows(before[place], token):
                 break
         else:
             raise ValueError("the automaton has no path for this text")
@@ -225,21 +238,22 @@ class Automaton(Splitter):
         if len(self.states) >= STATES:
             self._empty()
             return self._state(following)
-        number = self.step[state << 8 | byte] = self._state(following)
-        return number
+        value = self.step[at] = self.values.get(following) or self._state(following)
+        return value
 
     def encode_word(self, word: bytes) -> list[int]:
-        state, ends = 0, []
+        state, step, path = 0, self.step, []
         for byte in word:
-            following = self.step.get(state << 8 | byte)
-            state = self._next(state, byte) if following is None else following
-            ends.append(self.last[state])
-        ids: list[int] = []
-        at = len(word)
+            state = step[state | byte]
+            path.append(state)
+        # Values keep their tokens, also when the table was emptied on the way.
+        label, ids, at = self.label, [], len(word)
         while at:
-            ids.append(ends[at - 1])
-            at -= len(self.label[ids[-1]])
-        return ids[::-1]
+            token = path[at - 1] >> TOKEN_AT
+            ids.append(token)
+            at -= len(label[token])
+        ids.reverse()
+        return ids
 
     def packed(self, text: str) -> bytes:
         """Ids of the text, four bytes each."""
@@ -258,6 +272,16 @@ class Automaton(Splitter):
         return b"".join(map(self.label.__getitem__, ids)).decode("utf-8", errors="replace")
 
 
+class Steps(dict):
+    """The table: value of a state | byte -> value of the next state, filled in when first asked for."""
+
+    def __init__(self, made: Automaton) -> None:
+        self.made = made
+
+    def __missing__(self, at: int) -> int:
+        return self.made.next(at)
+
+
 class Words(dict):
     """Packed ids of the words met, none longer than WORD_KEPT. When there are WORDS of them they
     make room, and stay at hand until as many others were met: frequent words are never lost."""
@@ -285,11 +309,12 @@ def encode(text: Column, path: str | None = None) -> Column:
     """Token ids of a text."""
     where = path or default_path()
 
-    @F.pandas_udf(T.ArrayType(T.IntegerType()))
-    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         made = automaton(where)
         for texts in parts:
-            yield pd.Series([unpacked(made.packed(t or "")) for t in texts], dtype=object)
+            yield pa.array([unpacked(made.packed(t or "")) for (t,) in in_slices(texts)], pa.list_(pa.int32()))
+        texts = None
         made.forget()
 
     return run(F.coalesce(text, F.lit("")))
@@ -339,6 +364,7 @@ def coded(docs: DataFrame, path: str | None = None) -> DataFrame:
                     pa.array([made.decode(i.tolist()) for i in ids], pa.string()),
                 ]
                 yield pa.RecordBatch.from_arrays([*part.columns, *columns], names=[*part.schema.names, *more.names])
+        batch = part = columns = ids = None
         made.forget()
 
     given = docs.select(*[F.col(f"`{f.name}`") for f in kept])
@@ -353,16 +379,21 @@ def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
     require(docs, ("doc_id", "text"))
     where = path or default_path()
 
-    @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
-    def run(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
+    def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         made = automaton(where)
+        kinds = pa.int64(), pa.string(), pa.string()
+        decimal = list(map(str, range(len(made.made))))
         for texts in parts:
             rows = []
-            for text in texts:
+            for (text,) in in_slices(texts):
                 ids = made.encode(text or "")
-                listed = ",".join(map(str, ids)).encode("ascii")
+                listed = ",".join(map(decimal.__getitem__, ids)).encode("ascii")
                 back = made.decode(ids).encode("utf-8")
                 rows.append((len(ids), hashlib.sha256(listed).hexdigest(), hashlib.sha256(back).hexdigest()))
-            yield pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
+            yield pa.StructArray.from_arrays(
+                [pa.array(column, kind) for column, kind in zip(zip(*rows, strict=True) if rows else ((),) * 3, kinds, strict=True)],
+                names=["n_tokens", "ids_sha256", "decoded_sha256"],
+            )
 
     return docs.select("doc_id", run(text_or_empty()).alias("r")).select("doc_id", "r.*")

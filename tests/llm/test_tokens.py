@@ -9,6 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from emporia.llm import bpe_automaton, token_counts
+from emporia.llm.common import in_slices
 from tests.conftest import SF_ORACLE
 
 TEXTS = [
@@ -112,6 +113,58 @@ def test_states_are_shared_between_words():
     assert len(made.states) - before <= 64
 
 
+def test_a_word_takes_one_table_step_a_byte_and_arcs_are_kept(monkeypatch):
+    made = bpe_automaton.Automaton(bpe_automaton.default_path())
+    word = "unbelievably".encode()
+    ids = made.encode_word(word)
+    # Every transition and every arc is known now: nothing is filled in or looked for again.
+    monkeypatch.setattr(made, "next", None)
+    monkeypatch.setattr(made, "arc", None)
+    assert made.encode_word(word) == ids and made.decode(ids) == "unbelievably"
+    assert len(made.arcs) <= bpe_automaton.MOVES
+    made.forget()
+    assert not made.arcs and not made.moves and not made.step and not made.cache
+
+
+def test_workers_read_batches_in_slices():
+    import pyarrow as pa
+
+    sizes = []
+
+    class Column:
+        def __init__(self, values):
+            self.values = values
+
+        def __len__(self):
+            return len(self.values)
+
+        def slice(self, at, rows):
+            sizes.append(rows)
+            return pa.array(self.values[at : at + rows])
+
+    rows = [*zip(["a", None, "c", "", "e"], range(5), strict=True)]
+    assert list(in_slices(*map(Column, map(list, zip(*rows, strict=True))), rows=2)) == rows
+    assert set(sizes) == {2}
+    assert list(in_slices(pa.array([], pa.string()))) == []
+
+
+def test_a_worker_gives_back_what_its_batches_took(spark):
+    """After a partition was encoded, decoded and digested, Arrow keeps none of the batch's memory."""
+    import pyarrow as pa
+
+    texts = spark.createDataFrame([(i, "many words of text " * 2000) for i in range(400)], "doc_id long, text string").coalesce(1)
+    held = []
+
+    def left(rows):
+        for _ in rows:
+            pass
+        held.append(pa.total_allocated_bytes())
+        yield pa.RecordBatch.from_arrays([pa.array(held, pa.int64())], names=["n"])
+
+    bpe_automaton.coded(texts.select("doc_id", "text")).select("n_tokens").write.format("noop").mode("overwrite").save()
+    assert texts.select("doc_id").mapInArrow(left, "n long").first().n < 4_000_000
+
+
 def test_the_sample_holds_no_long_text(spark, monkeypatch):
     monkeypatch.setattr(token_counts, "SAMPLE_BYTES", 100)
     docs = spark.createDataFrame([(1, "word " * 1000), (2, "a b"), (3, None)], "doc_id long, text string")
