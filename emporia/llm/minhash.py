@@ -37,16 +37,18 @@ row stays, whatever its id; an empty table gives an empty result; further column
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from emporia.llm.common import Slots, require, text_or_empty, written
+from emporia.llm.common import Slots, give_back, in_slices, require, text_or_empty, written
 from emporia.llm.components import connected_components
 
 WORDS_PER_SHINGLE = 5
@@ -140,17 +142,20 @@ def _slots(h: np.ndarray) -> np.ndarray:
 def idf_table(docs: DataFrame) -> np.ndarray:
     """The idf level of each slot, from all rows of ``docs`` (text)."""
 
-    def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots, rows = np.zeros(1 << DF_BITS, np.int64), 0
         for part in parts:
             rows += len(part)
             for at in range(0, len(part), SLICE):
-                found = [_slots(shingles(text)[0]) for text in part["text"].iloc[at : at + SLICE]]
+                found = [_slots(shingles(text)[0]) for (text,) in in_slices(part["text"].slice(at, SLICE))]
                 slots += np.bincount(np.concatenate(found), minlength=len(slots))
+        part = found = None
+        give_back()
         used = np.flatnonzero(slots)
-        yield pd.DataFrame({"slot": np.append(used, -1), "n": np.append(slots[used], rows)})
+        columns = [pa.array(np.append(used, -1), pa.int64()), pa.array(np.append(slots[used], rows), pa.int64())]
+        yield pa.RecordBatch.from_arrays(columns, names=["slot", "n"])
 
-    counted = docs.select(text_or_empty().alias("text")).mapInPandas(count, "slot long, n long")
+    counted = docs.select(text_or_empty().alias("text")).mapInArrow(count, "slot long, n long")
     found = counted.groupBy("slot").agg(F.sum("n").alias("n")).toPandas()  # at most 2**DF_BITS + 1 rows
     slots, rows = np.zeros(1 << DF_BITS), max(1, int(found.n[found.slot == -1].sum()))
     inside = found[found.slot >= 0]
@@ -288,15 +293,21 @@ def text_key(text: Column) -> Column:
 def _signatures(docs: DataFrame, idf) -> DataFrame:
     """(node, sig) of each row whose text has words."""
 
-    @F.pandas_udf("binary")
-    def sign(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("binary")
+    def sign(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         table = idf.value
         for texts in parts:
-            done: dict[str, bytes | None] = {}
-            for text in texts:
-                if text not in done:
-                    done[text] = _profile(text, table)
-            yield pd.Series([done[t] for t in texts], dtype=object)
+            done: dict[bytes, bytes | None] = {}
+            out = []
+            for (text,) in in_slices(texts):
+                # Known by digest: the texts themselves are not held.
+                key = hashlib.sha256(text.encode("utf-8")).digest()
+                if key not in done:
+                    done[key] = _profile(text, table)
+                out.append(done[key])
+            yield pa.array(out, pa.binary())
+        texts = done = out = None
+        give_back()
 
     return docs.select(text_key(F.col("text")).alias("node"), sign(text_or_empty()).alias("sig"))
 
@@ -339,19 +350,21 @@ def _may_link(a: Column, b: Column, similarity: float) -> Column:
 def _similarity(text_a: Column, text_b: Column, idf) -> Column:
     """Weighted Jaccard similarity of two texts."""
 
-    @F.pandas_udf("double")
-    def run(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def run(parts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         table = idf.value
         for left, right in parts:
             known: dict[str, tuple[np.ndarray, np.ndarray]] = {}  # the last chosen texts
             out = []
-            for a, b in zip(left, right, strict=True):
+            for a, b in in_slices(left, right):
                 if b not in known:
                     if len(known) == KNOWN_TEXTS:
                         known.clear()
                     known[b] = weights(b, table)
                 out.append(jaccard(*weights(a, table), *known[b]))
-            yield pd.Series(out, dtype="float64")
+            yield pa.array(out, pa.float64())
+        left = right = known = None
+        give_back()
 
     return run(text_a, text_b)
 

@@ -33,14 +33,14 @@ from functools import lru_cache
 from itertools import accumulate
 
 import ahocorasick
-import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from emporia.llm.common import require, text_or_empty, written
+from emporia.llm.common import give_back, in_slices, require, text_or_empty, written
 
 FIT_ROWS = 20_000
 LEXICON_SIZE = 5_000
@@ -127,15 +127,18 @@ def held_out(doc_id: Column) -> Column:
 def _word_counts(rows: DataFrame) -> DataFrame:
     """(word, toxic rows, clean rows), counted per task first."""
 
-    def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             counts: tuple[Counter, Counter] = (Counter(), Counter())
-            for text, toxic in zip(part["text"], part["toxic"], strict=True):
+            for text, toxic in in_slices(part["text"], part["toxic"]):
                 counts[int(toxic)].update(set(fold(text).split()))
             words = list(counts[0].keys() | counts[1].keys())
-            yield pd.DataFrame({"word": words, "t": [counts[1][w] for w in words], "n": [counts[0][w] for w in words]})
+            columns = [pa.array(words, pa.string()), *(pa.array([counts[k][w] for w in words], pa.int64()) for k in (1, 0))]
+            yield pa.RecordBatch.from_arrays(columns, names=["word", "t", "n"])
+        part = counts = words = columns = None
+        give_back()
 
-    counted = rows.mapInPandas(count, "word string, t long, n long")
+    counted = rows.mapInArrow(count, "word string, t long, n long")
     return counted.groupBy("word").agg(F.sum("t").alias("t"), F.sum("n").alias("n"))
 
 
@@ -194,10 +197,10 @@ def fit(
 def _features(text: Column, model: Model) -> Column:
     held = _broadcast(model)
 
-    @F.pandas_udf("array<double>")
-    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("array<double>")
+    def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in parts:
-            yield pd.Series([list(features(t, held.value)) for t in texts], dtype=object)
+            yield pa.array([features(t, held.value) for (t,) in in_slices(texts)], pa.list_(pa.float64()))
 
     return run(F.coalesce(text, F.lit("")))
 
@@ -212,16 +215,18 @@ def score(text: Column, model: Model) -> Column:
     """Probability that a text is toxic."""
     held = _broadcast(model)
 
-    @F.pandas_udf("double")
-    def run(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def run(parts: Iterator[pa.Array]) -> Iterator[pa.Array]:
         known = held.value
         for texts in parts:
             out = []
-            for text in texts:
+            for (text,) in in_slices(texts):
                 x = features(text, known)
                 z = known.intercept + sum(c * v for c, v in zip(known.coefficients, x, strict=True))
                 out.append(1 / (1 + math.exp(-max(-700.0, min(700.0, z)))))
-            yield pd.Series(out, dtype="float64")
+            yield pa.array(out, pa.float64())
+        texts = None
+        give_back()
 
     return run(F.coalesce(text, F.lit("")))
 
